@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tariffa.config import EXPOSURE_KEY
@@ -16,15 +16,20 @@ from tariffa.sources.tables import INPUT_KEYS, InputTables
 _MICROS_PER_DAY = 86_400_000_000
 
 
+def _timestamp(df: DataFrame, column: str) -> Column:
+    """Text is parsed and a bad value becomes missing; a typed column is taken as it is."""
+    if df.schema[column].dataType.typeName() == "string":
+        return F.try_to_timestamp(F.col(column)).alias(column)
+    return F.col(column).cast("timestamp").alias(column)
+
+
 def orders_with_customers(tables: InputTables, with_customers: bool = True) -> DataFrame:
     orders = tables.orders.select(
         "order_id",
         "customer_id",
         "order_status",
-        F.try_to_timestamp(F.col("order_purchase_timestamp").cast("string")).alias("order_purchase_timestamp"),
-        F.try_to_timestamp(F.col("order_estimated_delivery_date").cast("string")).alias(
-            "order_estimated_delivery_date"
-        ),
+        _timestamp(tables.orders, "order_purchase_timestamp"),
+        _timestamp(tables.orders, "order_estimated_delivery_date"),
     )
     if not with_customers:
         return orders

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tariffa.sources.sinks import stored
+
 # A key counts as hot when it holds at least this share of the fact rows, so there can never
 # be more than 1/HOT_SHARE hot keys.
 HOT_SHARE = 0.001
@@ -34,12 +35,12 @@ def broadcast_limit(df: DataFrame) -> int:
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hold a small derived table, count it, and broadcast it only if it really is small.
+    """Write a small derived table, count it, and broadcast it only if it really is small.
 
     Above ``max_rows`` the table comes back without a hint: Spark then shuffles the join and
     splits skewed partitions at run time.
     """
-    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    held = stored(df, "small")
     return F.broadcast(held) if held.count() <= max_rows else held
 
 
@@ -82,7 +83,7 @@ def dimension_join(
     if estimated_bytes(dimension) <= broadcast_limit(dimension):
         return fact.join(F.broadcast(dimension), key, "left")
     if derived:
-        dimension = dimension.persist(StorageLevel.MEMORY_AND_DISK)
+        dimension = stored(dimension, "dimension")
         if dimension.count() <= BROADCAST_ROWS:
             return fact.join(F.broadcast(dimension), key, "left")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +11,7 @@ from tariffa.config import EXPOSURE_KEY, RETURN_REASONS, SimulationConfig
 from tariffa.functions.columns import cap_above, clip, first_match, flag, keyed_uniform, weighted_choice
 from tariffa.operators.joins import checked_broadcast
 from tariffa.operators.quantiles import quantiles, unpivoted
+from tariffa.sources.sinks import stored
 
 SIZE_COLUMNS = ("product_weight_g", "product_volume_cm3")
 _CATEGORY = "product_category_name_english"
@@ -21,52 +22,47 @@ class SizeStatistics:
     """Category and overall medians of the valid sizes, and the 95% points after filling."""
 
     by_category: DataFrame  # category, product_weight_g, product_volume_cm3 (medians)
-    overall: Column  # struct of the two medians, as a scalar subquery
-    bulky: Column  # struct of the two 95% points, as a scalar subquery
+    overall: dict[str, float | None]  # the two overall medians
+    bulky: dict[str, float | None]  # the two 95% points
+
+
+def _by_size(q: DataFrame) -> dict[str, float | None]:
+    """Two numbers (one per size column) as plain values."""
+    found = {row["size"]: row["value"] for row in q.select("size", F.col("q")[0].alias("value")).collect()}
+    return {c: found.get(c) for c in SIZE_COLUMNS}
 
 
 def size_statistics(counts: DataFrame) -> SizeStatistics:
     """Exact medians and 95% points from rows counted per (category, weight, volume)."""
-    per_value = (
+    per_value = stored(
         unpivoted(counts, [_CATEGORY], SIZE_COLUMNS, weight="row_count")
-        .groupBy(_CATEGORY, "field", "value")
-        .agg(F.sum("row_count").alias("row_count"))
+        .groupBy(_CATEGORY, F.col("field").alias("size"), "value")
+        .agg(F.sum("row_count").alias("row_count")),
+        "sizes",
     )
     valid = per_value.filter(F.col("value") > 0)
     medians = checked_broadcast(
-        quantiles(
-            valid.withColumnRenamed("field", "size"), [_CATEGORY, "size"], ["value"], [0.5], weight="row_count"
-        ).select(_CATEGORY, "size", F.col("q")[0].alias("median"))
+        quantiles(valid, [_CATEGORY, "size"], ["value"], [0.5], weight="row_count").select(
+            _CATEGORY, "size", F.col("q")[0].alias("median")
+        )
     )
-    overall = quantiles(
-        valid.withColumnRenamed("field", "size"), ["size"], ["value"], [0.5], weight="row_count", few_groups=True
-    ).select("size", F.col("q")[0].alias("median"))
-
-    by_category = medians.groupBy(_CATEGORY).agg(
-        *[F.max(F.when(F.col("size") == c, F.col("median"))).alias(c) for c in SIZE_COLUMNS]
+    overall = _by_size(quantiles(valid, ["size"], ["value"], [0.5], weight="row_count", few_groups=True))
+    filled = per_value.join(medians, [_CATEGORY, "size"], "left").select(
+        "size",
+        "row_count",
+        F.coalesce(
+            F.when(F.col("value") > 0, F.col("value")),
+            F.col("median"),
+            first_match([(F.col("size") == c, F.lit(v).cast("double")) for c, v in overall.items()], F.lit(None)),
+        ).alias("value"),
     )
-    overall_struct = overall.agg(
-        F.struct(*[F.max(F.when(F.col("size") == c, F.col("median"))).alias(c) for c in SIZE_COLUMNS])
-    ).scalar()
-
-    filled = (
-        per_value.alias("v")
-        .join(medians.alias("m"), (F.col(f"v.{_CATEGORY}") == F.col(f"m.{_CATEGORY}")) & (F.col("v.field") == F.col("m.size")), "left")
-        .select(
-            F.col("v.field").alias("size"),
-            "row_count",
-            F.coalesce(
-                F.when(F.col("value") > 0, F.col("value")),
-                F.col("median"),
-                first_match([(F.col("v.field") == c, overall_struct.getField(c)) for c in SIZE_COLUMNS], F.lit(None)),
-            ).alias("value"),
+    bulky = _by_size(quantiles(filled, ["size"], ["value"], [0.95], weight="row_count", few_groups=True))
+    by_category = checked_broadcast(
+        medians.groupBy(_CATEGORY).agg(
+            *[F.max(F.when(F.col("size") == c, F.col("median"))).alias(c) for c in SIZE_COLUMNS]
         )
     )
-    bulky = quantiles(filled, ["size"], ["value"], [0.95], weight="row_count", few_groups=True)
-    bulky_struct = bulky.agg(
-        F.struct(*[F.max(F.when(F.col("size") == c, F.col("q")[0])).alias(c) for c in SIZE_COLUMNS])
-    ).scalar()
-    return SizeStatistics(by_category, overall_struct, bulky_struct)
+    return SizeStatistics(by_category, overall, bulky)
 
 
 def size_counts(exposure: DataFrame) -> DataFrame:
@@ -79,45 +75,56 @@ def fill_sizes(exposure: DataFrame, stats: SizeStatistics) -> DataFrame:
     medians = stats.by_category.select(
         F.col(_CATEGORY).alias("__category"), *[F.col(c).alias(f"__{c}") for c in SIZE_COLUMNS]
     )
-    joined = exposure.join(F.broadcast(medians), F.col(_CATEGORY) == F.col("__category"), "left")
+    joined = exposure.join(medians, F.col(_CATEGORY) == F.col("__category"), "left")
     filled = {}
     for c in SIZE_COLUMNS:
         valid = F.col(c) > 0
-        filled[f"{c}_filled"] = F.coalesce(F.when(valid, F.col(c)), F.col(f"__{c}"), stats.overall.getField(c))
+        filled[f"{c}_filled"] = F.coalesce(
+            F.when(valid, F.col(c)), F.col(f"__{c}"), F.lit(stats.overall[c]).cast("double")
+        )
         filled[f"{c}_imputed_flag"] = F.when(valid, F.lit(0)).otherwise(F.lit(1))
     return joined.withColumns(filled).drop("__category", *[f"__{c}" for c in SIZE_COLUMNS])
 
 
-def exact_caps(exposure: DataFrame) -> Column:
-    """Struct with the exact 99% points of freight and freight/price, as a scalar subquery."""
+def exact_caps(exposure: DataFrame) -> dict[str, float | None]:
+    """The exact 99% points of freight and freight/price."""
     names = ("freight_value", "freight_to_price_ratio")
-    q = quantiles(exposure, [], names, [0.99])
-    return q.agg(F.struct(*[F.max(F.when(F.col("field") == c, F.col("q")[0])).alias(c) for c in names])).scalar()
+    found = {row["field"]: row["q"][0] for row in quantiles(exposure, [], names, [0.99]).collect()}
+    return {c: found.get(c) for c in names}
+
+
+def with_exact_caps(exposure: DataFrame, config: SimulationConfig) -> SimulationConfig:
+    """The same configuration with missing caps taken from the table."""
+    caps = exact_caps(exposure)
+    return replace(
+        config,
+        freight_value_cap=config.freight_value_cap or caps["freight_value"],
+        freight_to_price_ratio_cap=config.freight_to_price_ratio_cap or caps["freight_to_price_ratio"],
+    )
 
 
 def winsorise(exposure: DataFrame, config: SimulationConfig) -> DataFrame:
     """Cap freight and freight/price from above, at fixed caps or at the table's own 99% points."""
-    freight, ratio = config.freight_value_cap, config.freight_to_price_ratio_cap
-    if freight is None or ratio is None:
-        caps = exact_caps(exposure)
-        freight = caps.getField("freight_value") if freight is None else freight
-        ratio = caps.getField("freight_to_price_ratio") if ratio is None else ratio
+    if config.freight_value_cap is None or config.freight_to_price_ratio_cap is None:
+        config = with_exact_caps(exposure, config)
     return exposure.withColumns(
         {
-            "freight_value_capped": cap_above("freight_value", freight),
-            "freight_to_price_ratio_capped": cap_above("freight_to_price_ratio", ratio),
+            "freight_value_capped": cap_above("freight_value", config.freight_value_cap),
+            "freight_to_price_ratio_capped": cap_above(
+                "freight_to_price_ratio", config.freight_to_price_ratio_cap
+            ),
         }
     )
 
 
-def frequency_factors(prepared: DataFrame, bulky: Column, config: SimulationConfig) -> DataFrame:
+def frequency_factors(prepared: DataFrame, bulky: dict[str, float | None], config: SimulationConfig) -> DataFrame:
     """Five multiplicative return factors: category, route, freight ratio, size and month."""
     pairs = [F.lit(x) for item in config.category_factors.items() for x in item]
     by_category = F.create_map(*pairs) if pairs else F.create_map(F.lit("").cast("string"), F.lit(1.0))
     ratio = F.col("freight_to_price_ratio_capped")
-    oversize = (F.col("product_weight_g_filled") > bulky.getField("product_weight_g")) | (
-        F.col("product_volume_cm3_filled") > bulky.getField("product_volume_cm3")
-    )
+    oversize = F.lit(False)
+    for c in SIZE_COLUMNS:
+        oversize = oversize | (F.col(f"{c}_filled") > F.lit(bulky[c]).cast("double"))
     month = F.col("purchase_month")
     # Factor levels and their limits.
     return prepared.withColumns(

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tariffa.session import new_table_path
+
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> str:
     writer = df.write.mode("overwrite")
@@ -27,11 +29,14 @@ def read_metrics(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
-def stored(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
+def stored(df: DataFrame, name: str = "table", path: str | None = None, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write a table to the shared folder and read it back: the stage hand-off.
 
-    Later stages then scan only the columns they need, and losing an executor costs a
-    re-read instead of a re-run of everything upstream.
+    Everything later sees a plain scan: it reads only the columns it needs, its plan stays
+    small, its true size is known to Catalyst, and losing an executor costs a re-read instead
+    of a re-run of everything upstream.
     """
+    spark = df.sparkSession
+    path = path or new_table_path(spark, name)
     write_table(df, path, "parquet", partition_by)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
