@@ -124,13 +124,11 @@ class Challenger:
 
 
 def _frequency_estimator(config: BoostingConfig) -> GBTClassifier:
-    return GBTClassifier(
+    estimator = GBTClassifier(
         labelCol="__label",
         featuresCol="__ml_x",
         weightCol="__weight",
         predictionCol="__gbt_c",
-        probabilityCol="__gbt_p",
-        rawPredictionCol="__gbt_r",
         maxIter=config.frequency_trees,
         maxDepth=config.frequency_depth,
         stepSize=config.frequency_step,
@@ -141,6 +139,7 @@ def _frequency_estimator(config: BoostingConfig) -> GBTClassifier:
         cacheNodeIds=True,
         seed=config.seed,
     )
+    return estimator.setProbabilityCol("__gbt_p").setRawPredictionCol("__gbt_r")
 
 
 def _severity_estimator(config: BoostingConfig) -> GBTRegressor:

@@ -122,26 +122,6 @@ def build_exposure(tables: InputTables, columns: Sequence[str] = EXPOSURE_COLUMN
     return joined.withColumns({name: expr for name, expr in derived.items() if name in needed}).select(*columns)
 
 
-def product_size_counts(tables: InputTables) -> DataFrame:
-    """Items per (category, weight, volume): all the size statistics need, with far fewer rows.
-
-    Items are counted per product before the join, so a best-selling product is one row.
-    """
-    counted = tables.items.groupBy("product_id").agg(F.count(F.lit(1)).alias("row_count"))
-    sized = products_with_categories(tables).select(
-        "product_id", "product_category_name_english", "product_weight_g", "product_volume_cm3"
-    )
-    return (
-        counted.join(sized, "product_id", "left")
-        .groupBy(
-            F.coalesce("product_category_name_english", F.lit("unknown")).alias("product_category_name_english"),
-            "product_weight_g",
-            "product_volume_cm3",
-        )
-        .agg(F.sum("row_count").alias("row_count"))
-    )
-
-
 def key_audit(tables: InputTables) -> DataFrame:
     """Primary keys of the six tables plus the four-part exposure key."""
     named = {**tables.by_name(), "exposure": tables.items}

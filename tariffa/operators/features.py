@@ -99,7 +99,7 @@ def order_split_exact(df: DataFrame, test_size: float = 0.20, seed: int = SEED)
     """
     drawn = df.select("order_id").distinct().withColumn("u", keyed_uniform(["order_id"], "split", seed))
     limit = values_at_ranks(
-        drawn, [], "u", lambda n: [F.bround(n * F.lit(test_size)).cast("bigint") - 1], few_groups=True
+        drawn, [], "u", lambda n: [f"bround({n} * {test_size!r}D) - 1"], few_groups=True
     ).agg(F.max("value"))
     u = keyed_uniform(["order_id"], "split", seed)
     return df.withColumn("split", F.when(u <= limit.scalar(), "test").otherwise("train"))

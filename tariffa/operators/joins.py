@@ -35,11 +35,14 @@ def broadcast_limit(df: DataFrame) -> int:
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Write a small derived table, count it, and broadcast it only if it really is small.
+    """Broadcast a derived table only if it really is small.
 
-    Above ``max_rows`` the table comes back without a hint: Spark then shuffles the join and
-    splits skewed partitions at run time.
+    It is when all it reads fits Spark's broadcast limit.  Otherwise it is written, counted and
+    broadcast if few rows came out.  Above ``max_rows`` it comes back without a hint: Spark then
+    shuffles the join and splits skewed partitions at run time.
     """
+    if estimated_bytes(df) <= broadcast_limit(df):
+        return F.broadcast(df)
     held = stored(df, "small")
     return F.broadcast(held) if held.count() <= max_rows else held
 

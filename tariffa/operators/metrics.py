@@ -22,7 +22,7 @@ def exact_auc(df: DataFrame, by: Sequence[str], label: str, score: str) -> DataF
     counts = (
         df.select(*by, F.col(score).cast("double").alias("__s"), F.col(label).cast("bigint").alias("__y"))
         .filter(F.col("__s").isNotNull() & F.col("__y").isNotNull())
-        .groupBy(*by, value_bucket(F.col("__s")).alias("__b"), "__s")
+        .groupBy(*by, value_bucket("__s").alias("__b"), "__s")
         .agg(F.sum("__y").alias("__pos"), F.sum(1 - F.col("__y")).alias("__neg"))
     )
     before = Window.partitionBy(*by, "__b").orderBy("__s").rowsBetween(Window.unboundedPreceding, -1)
@@ -95,8 +95,8 @@ def score_deciles(
     tie = keyed_uniform(key, "rank_tie", seed)
     narrow = df.select(*by, *key, F.col(score).cast("double").alias("__s"))
 
-    def cut_ranks(n: Column) -> list[Column]:
-        return [F.floor((n - 1) * F.lit(d) / F.lit(10)) for d in range(1, 10)]
+    def cut_ranks(n: str) -> list[str]:
+        return [f"(({n} - 1) * {d}) div 10" for d in range(1, 10)]
 
     cuts = values_at_ranks(narrow, by, "__s", cut_ranks, few_groups=True).select(
         *[F.col(c).alias(f"__g_{c}") for c in by], F.col("slot").alias("__slot"), F.col("value").alias("__cut"), F.col("offset").alias("__off")
@@ -107,7 +107,7 @@ def score_deciles(
     # at most nine cut rows per group
     tied = narrow.join(F.broadcast(cuts), match).select(*by, "__slot", "__cut", "__off", tie.alias("__u"))
     exact = values_at_ranks(
-        tied, [*by, "__slot", "__cut", "__off"], "__u", lambda n: [F.col("__off")], few_groups=True
+        tied, [*by, "__slot", "__cut", "__off"], "__u", lambda n: ["__off"], few_groups=True
     )
     row = F.struct(F.col("__cut").alias("s"), F.col("value").alias("u"))
     ladder = exact.groupBy(*by).agg(F.collect_list(row).alias("__cuts"))

@@ -95,7 +95,9 @@ def missing_report(df: DataFrame) -> DataFrame:
     )
 
 
-def numeric_quantiles(df: DataFrame, columns: Sequence[str] = NUMERIC_COLUMNS) -> DataFrame:
+def numeric_quantiles(
+    df: DataFrame, columns: Sequence[str] = NUMERIC_COLUMNS, gather: bool | None = None
+) -> DataFrame:
     """Count, missing, mean, standard deviation and ten quantiles per numeric column."""
     stats = unpivoted(df, [], columns).groupBy("field").agg(
         F.count("value").alias("count"),
@@ -103,7 +105,7 @@ def numeric_quantiles(df: DataFrame, columns: Sequence[str] = NUMERIC_COLUMNS) -
         F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"),
     )
-    q = quantiles(df, [], columns, QUANTILES)
+    q = quantiles(df, [], columns, QUANTILES, gather=gather)
     return stats.join(q, "field", "left").select(
         "field",
         "count",
@@ -172,9 +174,9 @@ def anomaly_checks(df: DataFrame) -> DataFrame:
 
 def status_summary(df: DataFrame) -> DataFrame:
     return (
-        _with_quantiles(
+        quantile_columns(
             df,
-            "order_status",
+            ["order_status"],
             {
                 "freight_median": ("freight_value", 0.5),
                 "freight_to_price_ratio_median": ("freight_to_price_ratio", 0.5),
@@ -190,12 +192,17 @@ def status_summary(df: DataFrame) -> DataFrame:
 
 
 def grouped_freight_summary(
-    df: DataFrame, group: str, *, min_exposures: int = 50, delivered_status: str = "delivered"
+    df: DataFrame,
+    group: str,
+    *,
+    min_exposures: int = 50,
+    delivered_status: str = "delivered",
+    gather: bool | None = None,
 ) -> DataFrame:
     """Sixteen freight, price and size statistics per segment with at least ``min_exposures`` rows."""
-    summary = _with_quantiles(
+    summary = quantile_columns(
         df,
-        group,
+        [group],
         {
             "price_median": ("price", 0.5),
             "freight_median": ("freight_value", 0.5),
@@ -214,6 +221,7 @@ def grouped_freight_summary(
         F.max("freight_to_price_ratio").alias("freight_to_price_ratio_max"),
         F.avg("cross_state_flag").alias("cross_state_rate"),
         F.avg(flag(F.col("order_status") == delivered_status)).alias("delivered_rate"),
+        gather=gather,
     )
     return (
         summary.withColumn("exposure_share", F.col("exposures") / row_total(df))
@@ -222,13 +230,6 @@ def grouped_freight_summary(
     )
 
 
-def _with_quantiles(df: DataFrame, group: str, wanted: dict[str, tuple[str, float]], *aggs: Column) -> DataFrame:
-    """Ordinary aggregates and exact quantiles per group, put side by side."""
-    plain = df.groupBy(group).agg(*aggs)
-    exact = quantile_columns(df, [group], wanted).withColumnRenamed(group, "__group")
-    return plain.join(exact, F.col(group).eqNullSafe(F.col("__group")), "left").drop("__group")
-
-
 def top_values(df: DataFrame, column: str, n: int = 10) -> DataFrame:
     """Most frequent labels; equal counts are ordered by label."""
     return (
@@ -273,11 +274,11 @@ def describe_metrics(df: DataFrame) -> DataFrame:
 
 def exposure_overview(df: DataFrame, delivered_status: str = "delivered") -> DataFrame:
     """One row: rows, orders, delivered rows and share, crossing share, freight and ratio range."""
-    medians = quantile_columns(
-        df, [], {"freight_median": ("freight_value", 0.5), "ratio_median": ("freight_to_price_ratio", 0.5)}
-    ).select(F.struct("freight_median", "ratio_median")).scalar()
     delivered = flag(F.col("order_status") == delivered_status)
-    return df.agg(
+    return quantile_columns(
+        df,
+        [],
+        {"freight_value_median": ("freight_value", 0.5), "ratio_median": ("freight_to_price_ratio", 0.5)},
         F.count(F.lit(1)).alias("row_count"),
         F.count_distinct("order_id").alias("unique_orders"),
         F.sum(delivered).alias("delivered_rows"),
@@ -290,10 +291,6 @@ def exposure_overview(df: DataFrame, delivered_status: str = "delivered") -> Dat
         F.min("freight_to_price_ratio").alias("ratio_min"),
         F.avg("freight_to_price_ratio").alias("ratio_mean"),
         F.max("freight_to_price_ratio").alias("ratio_max"),
-    ).select(
-        "*",
-        medians.getField("freight_median").alias("freight_value_median"),
-        medians.getField("ratio_median").alias("ratio_median"),
     )
 
 

@@ -1,46 +1,51 @@
 """Exact order statistics without sorting or gathering a whole group.
 
-An exact ``percentile`` keeps every distinct value of a group in one task.  Here a group is
-first counted over an order-preserving bucket number (bounded, combined map-side); running
-counts over those few buckets tell which ones hold the wanted ranks; only values inside them
-are then ordered.  A group may hold any share of the rows and no task ever sees all of it.
+An exact ``percentile`` keeps every distinct value of a group in one task.  That is fine for a
+table whose size has been checked, and such tables take that short way.  For any other table a
+group is first counted over an order-preserving bucket number (bounded, combined map-side);
+running counts over those few buckets tell which ones hold the wanted ranks; only values inside
+them are then ordered.  A group may hold any share of the rows and no task ever sees all of it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tariffa.operators.joins import checked_broadcast
+from tariffa.operators.joins import checked_broadcast, estimated_bytes
+
+# Tables that read no more than this (on disk) may be gathered by group.
+SMALL_BYTES = 64 * 2**20
 
 # Buckets per doubling of the value.  Twenty doublings give about 80,000 buckets.
 _BUCKETS_PER_OCTAVE = 4096
 _EXPONENT_SHIFT = 1100  # larger than any double exponent, so scaled logs stay positive
 _OUTER_BUCKET = 1 << 40
 
-RankRule = Callable[[Column], Sequence[Column]]
+RankRule = Callable[[str], Sequence[str]]
+
+
+def is_small(df: DataFrame) -> bool:
+    return estimated_bytes(df) <= SMALL_BYTES
 
 
-def value_bucket(value: Column) -> Column:
+def bucket_sql(v: str) -> str:
     """Monotone bucket number: ``a <= b`` implies ``bucket(a) <= bucket(b)``."""
-    inf = F.lit(float("inf"))
-    scaled = F.floor((F.log2(F.abs(value)) + _EXPONENT_SHIFT) * _BUCKETS_PER_OCTAVE).cast("bigint")
+    scaled = f"CAST(floor((log2(abs({v})) + {_EXPONENT_SHIFT}) * {_BUCKETS_PER_OCTAVE}) AS BIGINT) + 1"
     return (
-        F.when(value == 0, F.lit(0).cast("bigint"))
-        .when(value == inf, F.lit(_OUTER_BUCKET))
-        .when(value == -inf, F.lit(-_OUTER_BUCKET))
-        .when(value > 0, scaled + 1)
-        .otherwise(-(scaled + 1))
+        f"CASE WHEN {v} = 0 THEN 0L WHEN abs({v}) = double('Infinity') THEN CAST(sign({v}) AS BIGINT) * {_OUTER_BUCKET}L"
+        f" WHEN {v} > 0 THEN {scaled} ELSE -({scaled}) END"
     )
 
 
-def _same(left: str, right: str, columns: Sequence[str]) -> Column:
-    condition = F.lit(True)
-    for name in columns:
-        condition = condition & F.col(f"{left}.{name}").eqNullSafe(F.col(f"{right}.{name}"))
-    return condition
+def value_bucket(value: str) -> Column:
+    return F.expr(bucket_sql(value))
+
+
+def _quoted(names: Sequence[str]) -> list[str]:
+    return [f"`{n}`" for n in names]
 
 
 def values_at_ranks(
@@ -54,74 +59,80 @@ def values_at_ranks(
 ) -> DataFrame:
     """Values at 0-based ranks within each group of ``by``, in ascending ``value`` order.
 
-    ``ranks`` maps the group's row count to the wanted ranks.  One row per (group, slot):
-    ``by``, ``n`` (rows in the group), ``slot`` (position in the rank list), ``rank``,
-    ``value`` and ``offset`` (the rank counted among the rows that share that value).
+    ``ranks`` maps the group's row count (a SQL name) to the wanted ranks (SQL).  One row per
+    (group, slot): ``by``, ``n`` (rows in the group), ``slot`` (position in the rank list),
+    ``rank``, ``value`` and ``offset`` (the rank counted among the rows that share that value).
     ``weight`` is a column of row counts for input that is already grouped.  ``few_groups``
     promises that the groups themselves are a fixed handful.
     """
-    by = list(by)
-    w = F.lit(1).cast("bigint") if weight is None else F.col(weight).cast("bigint")
+    keys = _quoted(by)
+    part = f"PARTITION BY {', '.join(keys)}" if keys else ""
+    weight_sql = f"CAST(`{weight}` AS BIGINT)" if weight else "1L"
     rows = (
-        df.select(*by, F.col(value).cast("double").alias("__v"), w.alias("__w"))
-        .filter(F.col("__v").isNotNull() & (F.col("__w") > 0))
-        .withColumn("__b", value_bucket(F.col("__v")))
+        df.selectExpr(*keys, f"CAST(`{value}` AS DOUBLE) AS __v", f"{weight_sql} AS __w")
+        .filter("__v IS NOT NULL AND __w > 0")
+        .selectExpr("*", f"{bucket_sql('__v')} AS __b")
     )
-
-    whole = Window.partitionBy(*by)
-    upto = whole.orderBy("__b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    wanted = F.array(*[r.cast("bigint") for r in ranks(F.col("n"))])
+    wanted = ", ".join(f"CAST({r} AS BIGINT)" for r in ranks("n"))
     buckets = (
         rows.groupBy(*by, "__b")
-        .agg(F.sum("__w").alias("__c"))
-        .withColumn("n", F.sum("__c").over(whole))
-        .withColumn("__before", F.sum("__c").over(upto) - F.col("__c"))
-        .withColumn("__ranks", wanted)
-        .filter(
-            F.exists(
-                "__ranks",
-                lambda r: (r >= F.col("__before")) & (r < F.col("__before") + F.col("__c")),
-            )
+        .agg(F.expr("sum(__w)").alias("__c"))
+        .selectExpr(
+            "*",
+            f"sum(__c) OVER ({part}) AS n",
+            f"sum(__c) OVER ({part} ORDER BY __b ROWS UNBOUNDED PRECEDING) - __c AS __before",
         )
-        .select(*by, "__b", "n", "__before", "__ranks")
+        .selectExpr(*keys, "__b", "__c", "n", "__before", f"array({wanted}) AS __ranks")
+        .filter("exists(__ranks, r -> r >= __before AND r < __before + __c)")
+        .selectExpr(*[f"{k} AS `__t_{c}`" for k, c in zip(keys, by)], "__b AS __tb", "n", "__before", "__ranks")
     )
     targets = F.broadcast(buckets) if few_groups else checked_broadcast(buckets)
 
-    inside = (
-        rows.alias("r")
-        .join(targets.alias("t"), _same("r", "t", by) & (F.col("r.__b") == F.col("t.__b")))
-        .select(*[F.col(f"r.{c}") for c in by], "r.__b", "__v", "__w", "n", "__before", "__ranks")
-        .groupBy(*by, "__b", "n", "__before", "__ranks", "__v")
-        .agg(F.sum("__w").alias("__c"))
-    )
-    in_bucket = (
-        Window.partitionBy(*by, "__b")
-        .orderBy("__v")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    start = F.col("__before") + F.sum("__c").over(in_bucket) - F.col("__c")
+    same = " AND ".join(["__b = __tb", *[f"{k} <=> `__t_{c}`" for k, c in zip(keys, by)]])
+    in_bucket = f"PARTITION BY {', '.join([*keys, '__b'])}"
     return (
-        inside.withColumn("__start", start)
-        .select(
-            *by,
+        rows.join(targets, F.expr(same))
+        .groupBy(*by, "__b", "n", "__before", "__ranks", "__v")
+        .agg(F.expr("sum(__w)").alias("__c"))
+        .selectExpr(
+            *keys,
             "n",
-            F.posexplode("__ranks").alias("slot", "rank"),
-            F.col("__v").alias("value"),
-            "__start",
+            "__v",
             "__c",
+            "__ranks",
+            f"__before + sum(__c) OVER ({in_bucket} ORDER BY __v ROWS UNBOUNDED PRECEDING) - __c AS __start",
         )
-        .filter((F.col("rank") >= F.col("__start")) & (F.col("rank") < F.col("__start") + F.col("__c")))
-        .select(*by, "n", "slot", "rank", "value", (F.col("rank") - F.col("__start")).alias("offset"))
+        .selectExpr(*keys, "n", "posexplode(__ranks) AS (slot, rank)", "__v AS value", "__start", "__c")
+        .filter("rank >= __start AND rank < __start + __c")
+        .selectExpr(*keys, "n", "slot", "rank", "value", "rank - __start AS offset")
     )
 
 
 def unpivoted(df: DataFrame, by: Sequence[str], columns: Sequence[str], weight: str | None = None) -> DataFrame:
     """Long form: ``by``, ``field``, ``value`` (and the weight), one row per source column."""
-    pairs = F.array(
-        *[F.struct(F.lit(c).alias("field"), F.col(c).cast("double").alias("value")) for c in columns]
-    )
+    pairs = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in columns)
     extra = [weight] if weight else []
-    return df.select(*by, *extra, F.inline(pairs))
+    return df.selectExpr(*_quoted([*by, *extra]), f"stack({len(columns)}, {pairs}) AS (field, value)")
+
+
+def _percentile_sql(column: str, probabilities: str, weight: str | None) -> str:
+    frequency = f", CAST(`{weight}` AS BIGINT)" if weight else ""
+    return f"percentile(CAST(`{column}` AS DOUBLE), {probabilities}{frequency})"
+
+
+def _gathered_quantiles(
+    df: DataFrame, by: Sequence[str], columns: Sequence[str], probabilities: Sequence[float], weight: str | None
+) -> DataFrame:
+    """The short way for checked small tables: Spark's exact ``percentile``."""
+    p = f"array({', '.join(f'{float(x)!r}D' for x in probabilities)})"
+    w = f"CAST(`{weight}` AS BIGINT)" if weight else "1L"
+    aggs = []
+    for i, c in enumerate(columns):
+        aggs.append(F.expr(_percentile_sql(c, p, weight)).alias(f"__q{i}"))
+        aggs.append(F.expr(f"sum(CASE WHEN `{c}` IS NOT NULL THEN {w} END)").alias(f"__n{i}"))
+    table = df.groupBy(*by).agg(*aggs)
+    stack = ", ".join(f"'{c}', __n{i}, __q{i}" for i, c in enumerate(columns))
+    return table.selectExpr(*_quoted(by), f"stack({len(columns)}, {stack}) AS (field, n, q)").filter("n > 0")
 
 
 def quantiles(
@@ -132,52 +143,67 @@ def quantiles(
     *,
     weight: str | None = None,
     few_groups: bool | None = None,
+    gather: bool | None = None,
 ) -> DataFrame:
     """Exact linearly interpolated quantiles: ``by``, ``field``, ``n``, ``q`` (array of double).
 
-    Missing values are skipped; a group without values has no row.
+    Missing values are skipped; a group without values has no row.  ``gather`` forces or bars
+    the short way; by default the size of what the table reads decides.
     """
     by = list(by)
-    long = unpivoted(df, by, columns, weight)
+    if is_small(df) if gather is None else gather:
+        return _gathered_quantiles(df, by, columns, probabilities, weight)
 
-    def ranks(n: Column) -> list[Column]:
+    def ranks(n: str) -> list[str]:
         out = []
         for p in probabilities:
-            position = (n - 1) * F.lit(float(p))
-            out += [F.floor(position), F.ceil(position)]
+            out += [f"floor(({n} - 1) * {float(p)!r}D)", f"ceil(({n} - 1) * {float(p)!r}D)"]
         return out
 
     found = values_at_ranks(
-        long, [*by, "field"], "value", ranks, weight=weight,
+        unpivoted(df, by, columns, weight), [*by, "field"], "value", ranks, weight=weight,
         few_groups=not by if few_groups is None else few_groups,
     )
-    low = [F.max(F.when(F.col("slot") == 2 * i, F.col("value"))).alias(f"__lo{i}") for i in range(len(probabilities))]
-    high = [
-        F.max(F.when(F.col("slot") == 2 * i + 1, F.col("value"))).alias(f"__hi{i}")
-        for i in range(len(probabilities))
-    ]
-    picked = found.groupBy(*by, "field", "n").agg(*low, *high)
+    picked = found.groupBy(*by, "field", "n").agg(
+        *[F.expr(f"max(CASE WHEN slot = {i} THEN value END)").alias(f"__v{i}") for i in range(2 * len(probabilities))]
+    )
     q = []
     for i, p in enumerate(probabilities):
-        lo, hi = F.col(f"__lo{i}"), F.col(f"__hi{i}")
-        position = (F.col("n") - 1) * F.lit(float(p))
-        q.append(F.when(lo == hi, lo).otherwise(lo + (hi - lo) * (position - F.floor(position))))
-    return picked.select(*by, "field", "n", F.array(*q).alias("q"))
+        lo, hi, position = f"__v{2 * i}", f"__v{2 * i + 1}", f"(n - 1) * {float(p)!r}D"
+        q.append(f"CASE WHEN {lo} = {hi} THEN {lo} ELSE {lo} + ({hi} - {lo}) * ({position} - floor({position})) END")
+    return picked.selectExpr(*_quoted([*by]), "field", "n", f"array({', '.join(q)}) AS q")
 
 
 def quantile_columns(
     df: DataFrame,
     by: Sequence[str],
     wanted: dict[str, tuple[str, float]],
-    *,
+    *plain: Column,
     weight: str | None = None,
+    gather: bool | None = None,
 ) -> DataFrame:
-    """One row per group with named quantiles: ``{"price_median": ("price", 0.5), ...}``."""
+    """One row per group with ordinary aggregates and named exact quantiles.
+
+    ``wanted`` is like ``{"price_median": ("price", 0.5), ...}``.
+    """
+    if is_small(df) if gather is None else gather:
+        exact = [F.expr(_percentile_sql(c, f"{float(p)!r}D", weight)).alias(name) for name, (c, p) in wanted.items()]
+        return df.groupBy(*by).agg(*plain, *exact)
+
     columns = list(dict.fromkeys(c for c, _ in wanted.values()))
     probabilities = sorted({p for _, p in wanted.values()})
-    long = quantiles(df, by, columns, probabilities, weight=weight)
+    long = quantiles(df, by, columns, probabilities, weight=weight, gather=False)
     picks = [
         F.max(F.when(F.col("field") == column, F.col("q")[probabilities.index(p)])).alias(name)
         for name, (column, p) in wanted.items()
     ]
-    return long.groupBy(*by).agg(*picks) if by else long.agg(*picks)
+    exact = long.groupBy(*by).agg(*picks)
+    if not plain:
+        return exact
+    table = df.groupBy(*by).agg(*plain)
+    if not by:
+        whole = exact.select(F.struct(*wanted)).scalar()
+        return table.select("*", *[whole.getField(name).alias(name) for name in wanted])
+    renamed = exact.selectExpr(*[f"`{c}` AS `__k_{c}`" for c in by], *_quoted(list(wanted)))
+    same = F.expr(" AND ".join(f"`{c}` <=> `__k_{c}`" for c in by))
+    return table.join(renamed, same, "left").drop(*[f"__k_{c}" for c in by])

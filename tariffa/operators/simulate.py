@@ -26,28 +26,41 @@ class SizeStatistics:
     bulky: dict[str, float | None]  # the two 95% points
 
 
-def _by_size(q: DataFrame) -> dict[str, float | None]:
+def _by_size(rows: DataFrame) -> dict[str, float | None]:
     """Two numbers (one per size column) as plain values."""
-    found = {row["size"]: row["value"] for row in q.select("size", F.col("q")[0].alias("value")).collect()}
+    found = {row["size"]: row["value"] for row in rows.select("size", "value").collect()}
     return {c: found.get(c) for c in SIZE_COLUMNS}
 
 
 def size_statistics(counts: DataFrame) -> SizeStatistics:
-    """Exact medians and 95% points from rows counted per (category, weight, volume)."""
+    """Exact medians and 95% points from rows counted per (category, weight, volume).
+
+    The category medians and the overall ones come from one pass: each value counts once for
+    its category and once for the missing category, which stands for all.
+    """
     per_value = stored(
         unpivoted(counts, [_CATEGORY], SIZE_COLUMNS, weight="row_count")
         .groupBy(_CATEGORY, F.col("field").alias("size"), "value")
         .agg(F.sum("row_count").alias("row_count")),
         "sizes",
     )
-    valid = per_value.filter(F.col("value") > 0)
-    medians = checked_broadcast(
-        quantiles(valid, [_CATEGORY, "size"], ["value"], [0.5], weight="row_count").select(
-            _CATEGORY, "size", F.col("q")[0].alias("median")
-        )
+    scopes = F.array(F.col(_CATEGORY), F.lit(None).cast("string"))
+    valid = per_value.filter((F.col("value") > 0) & F.col(_CATEGORY).isNotNull())
+    medians = stored(
+        quantiles(
+            valid.select(F.explode(scopes).alias(_CATEGORY), "size", "value", "row_count"),
+            [_CATEGORY, "size"],
+            ["value"],
+            [0.5],
+            weight="row_count",
+        ).select(_CATEGORY, "size", F.col("q")[0].alias("value")),
+        "size_medians",
     )
-    overall = _by_size(quantiles(valid, ["size"], ["value"], [0.5], weight="row_count", few_groups=True))
-    filled = per_value.join(medians, [_CATEGORY, "size"], "left").select(
+    overall = _by_size(medians.filter(F.col(_CATEGORY).isNull()))
+    own = medians.filter(F.col(_CATEGORY).isNotNull())
+    filled = per_value.join(
+        checked_broadcast(own.withColumnRenamed("value", "median")), [_CATEGORY, "size"], "left"
+    ).select(
         "size",
         "row_count",
         F.coalesce(
@@ -56,13 +69,15 @@ def size_statistics(counts: DataFrame) -> SizeStatistics:
             first_match([(F.col("size") == c, F.lit(v).cast("double")) for c, v in overall.items()], F.lit(None)),
         ).alias("value"),
     )
-    bulky = _by_size(quantiles(filled, ["size"], ["value"], [0.95], weight="row_count", few_groups=True))
-    by_category = checked_broadcast(
-        medians.groupBy(_CATEGORY).agg(
-            *[F.max(F.when(F.col("size") == c, F.col("median"))).alias(c) for c in SIZE_COLUMNS]
+    bulky = _by_size(
+        quantiles(filled, ["size"], ["value"], [0.95], weight="row_count", few_groups=True).select(
+            "size", F.col("q")[0].alias("value")
         )
     )
-    return SizeStatistics(by_category, overall, bulky)
+    by_category = own.groupBy(_CATEGORY).agg(
+        *[F.max(F.when(F.col("size") == c, F.col("value"))).alias(c) for c in SIZE_COLUMNS]
+    )
+    return SizeStatistics(checked_broadcast(by_category), overall, bulky)
 
 
 def size_counts(exposure: DataFrame) -> DataFrame:

@@ -49,6 +49,11 @@ def forget_stages() -> None:
 _MONEY = re.compile(r"(loss|premium|severity)(?!_ratio)(?!.*(_pct|_change|_to_expected))")
 
 
+# Quotients of short decimals can end in an exact half, which engines round either way; a nudge
+# far below the reported decimals settles it.
+NUDGE = 1e-9
+
+
 def digits(column: str) -> int:
     """Decimals a result column is reported with."""
     return 3 if _MONEY.search(column) else 6
@@ -58,7 +63,9 @@ def reported(df: DataFrame) -> DataFrame:
     """Round every double column to its reported decimals."""
     return df.select(
         *[
-            F.round(F.col(f"`{f.name}`"), digits(f.name)).alias(f.name) if f.dataType.typeName() == "double" else F.col(f"`{f.name}`")
+            F.round(F.col(f"`{f.name}`") + F.lit(NUDGE), digits(f.name)).alias(f.name)
+            if f.dataType.typeName() == "double"
+            else F.col(f"`{f.name}`")
             for f in df.schema.fields
         ]
     )
@@ -98,7 +105,7 @@ def scan_exposure_inputs(s: StarStages) -> DataFrame:
 
 @query
 def exposure_table(s: StarStages) -> DataFrame:
-    return s.exposure()
+    return exposures.build_exposure(s.tables)
 
 
 @query
@@ -118,53 +125,46 @@ def join_match_rates(s: StarStages) -> DataFrame:
 
 @query
 def exposure_profile(s: StarStages) -> DataFrame:
-    columns = len(exposures.EXPOSURE_COLUMNS)
-    return profile.exposure_profile(s.exposure(*KEY)).withColumn("column_count", F.lit(columns))
+    return profile.exposure_profile(s.exposures)
 
 
 @query
 def missing_report(s: StarStages) -> DataFrame:
-    return profile.missing_report(s.exposure())
+    return profile.missing_report(s.exposures)
 
 
 @query
 def numeric_quantiles(s: StarStages) -> DataFrame:
-    return profile.numeric_quantiles(s.exposure(*profile.NUMERIC_COLUMNS))
+    return profile.numeric_quantiles(s.exposures)
+
+
+@query
+def numeric_quantiles_bucketed(s: StarStages) -> DataFrame:
+    """The same table the way a large input takes."""
+    return profile.numeric_quantiles(s.exposures, gather=False)
 
 
 @query
 def cap_diagnostics(s: StarStages) -> DataFrame:
-    return profile.cap_diagnostics(s.exposure(*profile.CAPPED_COLUMNS))
+    return profile.cap_diagnostics(s.exposures)
 
 
 @query
 def anomaly_checks(s: StarStages) -> DataFrame:
-    return profile.anomaly_checks(s.exposure(*profile.NUMERIC_COLUMNS))
+    return profile.anomaly_checks(s.exposures)
 
 
 @query
 def status_summary(s: StarStages) -> DataFrame:
     return profile.status_summary(
-        s.exposure("order_id", "order_status", "freight_value", "freight_to_price_ratio", "estimated_delivery_days")
+        s.exposures
     )
 
 
-_FREIGHT_COLUMNS = (
-    *KEY,
-    "price",
-    "freight_value",
-    "freight_to_price_ratio",
-    "product_weight_g",
-    "product_volume_cm3",
-    "cross_state_flag",
-    "order_status",
-)
-
-
 @query
 def category_freight_summary(s: StarStages) -> DataFrame:
     return profile.grouped_freight_summary(
-        s.exposure(CATEGORY, *_FREIGHT_COLUMNS),
+        s.exposures,
         CATEGORY,
         min_exposures=RATING.freight_summary_min_exposures,
         delivered_status=SIMULATION.delivered_status,
@@ -174,38 +174,49 @@ def category_freight_summary(s: StarStages) -> DataFrame:
 @query
 def route_freight_summary(s: StarStages) -> DataFrame:
     return profile.grouped_freight_summary(
-        s.exposure(ROUTE, *_FREIGHT_COLUMNS),
+        s.exposures,
+        ROUTE,
+        min_exposures=RATING.freight_summary_min_exposures,
+        delivered_status=SIMULATION.delivered_status,
+    )
+
+
+@query
+def route_freight_summary_bucketed(s: StarStages) -> DataFrame:
+    """The same table the way a large input takes."""
+    return profile.grouped_freight_summary(
+        s.exposures,
         ROUTE,
         min_exposures=RATING.freight_summary_min_exposures,
         delivered_status=SIMULATION.delivered_status,
+        gather=False,
     )
 
 
 @query
 def top_categories(s: StarStages) -> DataFrame:
-    return profile.top_values(s.exposure(CATEGORY), CATEGORY)
+    return profile.top_values(s.exposures, CATEGORY)
 
 
 @query
 def top_routes(s: StarStages) -> DataFrame:
-    return profile.top_values(s.exposure(ROUTE), ROUTE)
+    return profile.top_values(s.exposures, ROUTE)
 
 
 @query
 def metric_by_cross_state(s: StarStages) -> DataFrame:
-    return profile.describe_metrics(s.exposure(*profile.NUMERIC_COLUMNS, "cross_state_flag"))
+    return profile.describe_metrics(s.exposures)
 
 
 @query
 def exposure_overview(s: StarStages) -> DataFrame:
     return profile.exposure_overview(
-        s.exposure("order_id", "order_status", "cross_state_flag", "freight_value", "freight_to_price_ratio"),
-        SIMULATION.delivered_status,
+        s.exposures, SIMULATION.delivered_status
     )
 
 
 def _extreme(s: StarStages, column: str) -> DataFrame:
-    return profile.top_extreme_rows(s.exposure(*profile.EXTREME_COLUMNS), column)
+    return profile.top_extreme_rows(s.exposures, column)
 
 
 @query
@@ -232,7 +243,7 @@ def top_volume_rows(s: StarStages) -> DataFrame:
 def sink_round_trip(s: StarStages) -> DataFrame:
     """Write a table and a one-row metrics file, read both back and compare the counts."""
     spark = s.spark
-    table = stored(s.exposure(*KEY, "price", "purchase_month"), "round_trip", partition_by=["purchase_month"])
+    table = stored(s.exposures.select(*KEY, "price", "purchase_month"), "round_trip", partition_by=["purchase_month"])
     metrics_row = s.tables.items.agg(F.count(F.lit(1)).alias("row_count"))
     path = write_metrics(metrics_row, new_table_path(spark, "metrics"))
     recorded = read_metrics(spark, path, metrics_row.schema).select("row_count").scalar()
@@ -255,14 +266,13 @@ def uniform_by_key(s: StarStages) -> DataFrame:
 
 @query
 def winsorise_p99(s: StarStages) -> DataFrame:
-    capped = simulate.winsorise(s.exposure(*KEY, "freight_value", "freight_to_price_ratio"), exact_cap_simulation())
+    capped = simulate.winsorise(s.exposures, exact_cap_simulation())
     return capped.select(*KEY, "freight_value_capped", "freight_to_price_ratio_capped")
 
 
 @query
 def impute_by_category_median(s: StarStages) -> DataFrame:
-    sized = s.exposure(*KEY, CATEGORY, *simulate.SIZE_COLUMNS)
-    return simulate.fill_sizes(sized, s.size_statistics).select(
+    return simulate.fill_sizes(s.exposures, s.size_statistics).select(
         *KEY,
         CATEGORY,
         "product_weight_g_filled",
@@ -275,18 +285,18 @@ def impute_by_category_median(s: StarStages) -> DataFrame:
 @query
 def frequency_factors(s: StarStages) -> DataFrame:
     names = [f"return_factor_{n}" for n in ("category", "route", "freight_ratio", "size", "month")]
-    return simulate.prepare_claims(s.claim_input, SIMULATION, s.size_statistics).select(*KEY, *names)
+    return simulate.prepare_claims(s.exposures, SIMULATION, s.size_statistics).select(*KEY, *names)
 
 
 @query
 def return_probability(s: StarStages) -> DataFrame:
-    prepared = simulate.prepare_claims(s.claim_input, SIMULATION, s.size_statistics)
+    prepared = simulate.prepare_claims(s.exposures, SIMULATION, s.size_statistics)
     return prepared.select(*KEY, "claim_eligible_flag", "return_probability")
 
 
 @query
 def simulated_events(s: StarStages) -> DataFrame:
-    prepared = simulate.prepare_claims(s.claim_input, SIMULATION, s.size_statistics)
+    prepared = simulate.prepare_claims(s.exposures, SIMULATION, s.size_statistics)
     return simulate.simulate_events(prepared, SIMULATION).select(
         *KEY,
         "return_requested",
@@ -302,7 +312,7 @@ def simulated_events(s: StarStages) -> DataFrame:
 
 @query
 def simulated_losses(s: StarStages) -> DataFrame:
-    return simulate.simulate_claims(s.claim_input, SIMULATION, s.size_statistics).select(
+    return simulate.simulate_claims(s.exposures, SIMULATION, s.size_statistics).select(
         *KEY, "claim_type", "gross_loss", "recovery_from_carrier", "paid_loss", "net_loss", "claim_status"
     )
 

@@ -589,6 +589,7 @@ def build() -> dict[str, str]:
         f"SELECT '{col}' AS field, count({col}) AS count, count(*) - count({col}) AS missing, avg({col}) AS mean, "
         f"stddev_samp({col}) AS std, " + ", ".join(f'quantile_cont({col}, {p}) AS "{n}"' for n, p in qs)
         + " FROM exposure" for col in _NUMERIC))
+    out["numeric_quantiles_bucketed"] = out["numeric_quantiles"]
     caps = [("p95", 0.95), ("p99", 0.99), ("p99.5", 0.995)]
     out["cap_diagnostics"] = _with(x, " UNION ALL ".join(
         f"""SELECT '{col}' AS field, '{n}' AS cap_quantile, cap AS cap_value,
@@ -614,6 +615,7 @@ def build() -> dict[str, str]:
       FROM exposure GROUP BY 1""")
     out["category_freight_summary"] = _with(x, _freight_summary(_CATEGORY))
     out["route_freight_summary"] = _with(x, _freight_summary(_ROUTE))
+    out["route_freight_summary_bucketed"] = out["route_freight_summary"]
     for name, col in (("top_categories", _CATEGORY), ("top_routes", _ROUTE)):
         out[name] = _with(x, f"""SELECT {col}, count(*) AS exposures FROM exposure WHERE {col} IS NOT NULL
           GROUP BY 1 ORDER BY exposures DESC, {col} LIMIT 10""")

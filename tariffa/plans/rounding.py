@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tariffa.plans import oracles
-from tariffa.plans.catalog import digits
+from tariffa.plans.catalog import NUDGE, digits
 
 DOUBLE_COLUMNS: dict[str, str] = {}
 
@@ -13,7 +13,7 @@ def oracle_sql() -> dict[str, str]:
     for name, sql in oracles.build().items():
         columns = DOUBLE_COLUMNS.get(name, "").split()
         if columns:
-            replaced = ", ".join(f'round("{c}", {digits(c)}) AS "{c}"' for c in columns)
+            replaced = ", ".join(f'round("{c}" + {NUDGE!r}, {digits(c)}) AS "{c}"' for c in columns)
             sql = f"SELECT * REPLACE ({replaced}) FROM (\n{sql}\n)"
         out[name] = sql
     return out

@@ -78,22 +78,20 @@ class StarStages:
     def tables(self) -> InputTables:
         return from_star_schema(prepare(self.spark), self.folder)
 
-    def exposure(self, *columns: str) -> DataFrame:
-        return exposures.build_exposure(self.tables, columns) if columns else exposures.build_exposure(self.tables)
-
     @cached_property
-    def size_statistics(self) -> simulate.SizeStatistics:
-        return simulate.size_statistics(exposures.product_size_counts(self.tables))
+    def exposures(self) -> DataFrame:
+        """The exposure table, joined and written once: profiling and simulation scan it many times."""
+        return stored(exposures.build_exposure(self.tables), "exposure")
 
     @cached_property
-    def claim_input(self) -> DataFrame:
-        return self.exposure(*_CLAIM_INPUT)
+    def size_statistics(self) -> simulate.SizeStatistics:
+        return simulate.size_statistics(simulate.size_counts(self.exposures))
 
     @cached_property
     def claims(self) -> DataFrame:
         """Written once: every later stage scans it many times."""
         return stored(
-            simulate.simulate_claims(self.claim_input, SIMULATION, self.size_statistics), "claims"
+            simulate.simulate_claims(self.exposures.select(*_CLAIM_INPUT), SIMULATION, self.size_statistics), "claims"
         )
 
     @cached_property

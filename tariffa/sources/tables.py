@@ -61,6 +61,16 @@ def read_parquet_folder(spark: SparkSession, folder: str) -> InputTables:
     )
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Share out a table that was read in fewer pieces than there are cores.
+
+    Only a small input is: a large one already comes in many splits and is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    pieces = df._jdf.queryExecution().toRdd().getNumPartitions()
+    return df.repartition(cores) if pieces < cores else df
+
+
 def from_star_schema(spark: SparkSession, folder: str) -> InputTables:
     """Map an order/line-item star schema (Parquet) onto the six input tables.
 
@@ -72,7 +82,7 @@ def from_star_schema(spark: SparkSession, folder: str) -> InputTables:
         return spark.read.parquet(os.path.join(folder, f"{name}.parquet"))
 
     nation = table("nation").select("n_nationkey", "n_name")
-    items = table("lineitem").select(
+    items = spread(table("lineitem")).select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("order_item_id"),
         F.col("l_partkey").alias("product_id"),
