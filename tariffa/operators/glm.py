@@ -119,22 +119,29 @@ def fit_regression(
             ),
         ]
         encoded = [f"__ml_v_{c}" for c in names]
-    stages += [
-        VectorAssembler(inputCols=[*encoded, *LOG_FEATURES], outputCol="__ml_x"),
-        GeneralizedLinearRegression(
-            family=family,
-            link=link,
-            labelCol=target,
-            featuresCol="__ml_x",
-            predictionCol=prediction,
-            maxIter=config.max_iter,
-            tol=config.tolerance,
-        ),
-    ]
-    ready = train.withColumns({f"__known_{c}": F.col(c) for c in labels}).withColumn(
-        target, F.col(target).cast("double")
+    stages.append(VectorAssembler(inputCols=[*encoded, *LOG_FEATURES], outputCol="__ml_x"))
+    named = train.withColumns({f"__known_{c}": F.col(c) for c in labels})
+    encoder = Pipeline(stages=stages).fit(named)
+    regression = GeneralizedLinearRegression(
+        family=family,
+        link=link,
+        labelCol=target,
+        featuresCol="__ml_x",
+        predictionCol=prediction,
+        maxIter=config.max_iter,
+        tol=config.tolerance,
+    )
+    # every iteration reads the encoded rows again
+    ready = (
+        encoder.transform(named)
+        .select(F.col(target).cast("double").alias(target), "__ml_x")
+        .persist(StorageLevel.MEMORY_AND_DISK)
     )
-    return FittedGlm(Pipeline(stages=stages).fit(ready), labels, prediction)
+    try:
+        fitted = regression.fit(ready)
+    finally:
+        ready.unpersist()
+    return FittedGlm(PipelineModel(stages=[*encoder.stages, fitted]), labels, prediction)
 
 
 @dataclass(frozen=True)
