@@ -241,4 +241,5 @@ def base_feature_summary(summary: DataFrame) -> DataFrame:
 
 
 def top_features(summary: DataFrame, columns: Sequence[str], n: int = 10) -> DataFrame:
-    return summary.limit(n).select(*columns)
+    """The ``n`` features that move the score most."""
+    return summary.orderBy(F.desc("mean_abs_contribution"), "encoded_feature").limit(n).select(*columns)

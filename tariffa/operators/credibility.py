@@ -12,6 +12,7 @@ from tariffa.functions.columns import clip, first_match, flag, isclose, positive
 from tariffa.operators.joins import dimension_join
 from tariffa.operators.quantiles import quantiles, unpivoted
 from tariffa.operators.rating import eligible_rows
+from tariffa.sources.sinks import stored
 
 _PUSHED_COLUMNS = [
     "seller_eligible_exposures",
@@ -113,7 +114,8 @@ def _priced_sellers(shrunk: DataFrame, factor: Column, config: CredibilityConfig
 def seller_credibility(pricing: DataFrame, config: CredibilityConfig | None = None) -> DataFrame:
     """One row per seller: credibility weight, relativity (raw, capped, normalised), tier, premium."""
     config = config or CredibilityConfig()
-    shrunk = _shrunk(seller_experience(pricing), F.lit(float(config.k)), config)
+    # one scan of the items: the factor and the rows both read the stored per-seller table
+    shrunk = _shrunk(stored(seller_experience(pricing), "experience"), F.lit(float(config.k)), config)
     factor = shrunk.agg(_normalisation(shrunk)).scalar()
     return _priced_sellers(shrunk, factor, config)
 
@@ -242,7 +244,7 @@ def k_sensitivity(
 ) -> DataFrame:
     """Credibility under several values of k: normalisation, relativity range and tier sizes."""
     config = config or CredibilityConfig()
-    per_k = seller_experience(pricing).withColumn(
+    per_k = stored(seller_experience(pricing), "experience").withColumn(
         "credibility_k", F.explode(F.array(*[F.lit(float(k)) for k in ks]))
     )
     shrunk = _shrunk(per_k, F.col("credibility_k"), config)

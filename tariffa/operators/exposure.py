@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tariffa.config import EXPOSURE_KEY
 from tariffa.functions.columns import open_ratio
-from tariffa.operators.joins import dimension_join, key_uniqueness, match_rate
+from tariffa.operators.joins import assert_unique, dimension_join, key_uniqueness, match_rate
 from tariffa.sources.schemas import EXPOSURE_COLUMNS
 from tariffa.sources.tables import INPUT_KEYS, InputTables
 
@@ -122,6 +122,12 @@ def build_exposure(tables: InputTables, columns: Sequence[str] = EXPOSURE_COLUMN
     return joined.withColumns({name: expr for name, expr in derived.items() if name in needed}).select(*columns)
 
 
+def check_contract(tables: InputTables) -> None:
+    """Stop if a table on the right of a many-to-one join repeats its key."""
+    for name in ("orders", "products", "translation", "customers", "sellers"):
+        assert_unique(tables.by_name()[name], INPUT_KEYS[name], name)
+
+
 def key_audit(tables: InputTables) -> DataFrame:
     """Primary keys of the six tables plus the four-part exposure key."""
     named = {**tables.by_name(), "exposure": tables.items}

@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tariffa.config import SEED, GlmConfig
+from tariffa.config import SEED
 from tariffa.functions.columns import keyed_uniform
 from tariffa.operators.joins import checked_broadcast
 from tariffa.operators.quantiles import values_at_ranks
@@ -122,6 +122,20 @@ def frequent_levels(df: DataFrame, column: str, min_exposure: int) -> DataFrame:
     )
 
 
+def level_counts(df: DataFrame, category_min: int, route_min: int) -> DataFrame:
+    """Kept categories and routes, each with the group for all others."""
+    parts = [
+        frequent_levels(df, column, limit).agg(
+            F.lit(name).alias("feature"), (F.count(F.lit(1)) + 1).alias("levels_plus_other")
+        )
+        for name, column, limit in (
+            ("category_group", "product_category_name_english", category_min),
+            ("route_group", "route_state", route_min),
+        )
+    ]
+    return parts[0].unionByName(parts[1])
+
+
 def group_rare_levels(df: DataFrame, column: str, levels: DataFrame, output: str) -> DataFrame:
     """Keep the listed labels; everything else becomes ``Other``."""
     label = F.coalesce(F.col(column).cast("string"), F.lit(UNKNOWN))
@@ -168,7 +182,3 @@ def prepare_features(
 def claims_only(df: DataFrame) -> DataFrame:
     """Rows a severity model learns from."""
     return df.filter((F.col("covered_claim_flag") == 1) & (F.col("net_loss") > 0))
-
-
-def split_config(config: GlmConfig) -> dict:
-    return {"test_size": config.test_size, "seed": config.seed}

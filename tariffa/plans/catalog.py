@@ -607,6 +607,13 @@ def rare_level_grouping(s: StarStages) -> DataFrame:
     return _featured(s).groupBy("category_group", "route_group").agg(F.count(F.lit(1)).alias("exposures"))
 
 
+@query
+def level_counts(s: StarStages) -> DataFrame:
+    return features.level_counts(
+        rating.eligible_rows(s.claims), GLM.category_min_exposure, GLM.route_min_exposure
+    )
+
+
 @query
 def model_features(s: StarStages) -> DataFrame:
     return _featured(s).select(*KEY, *features.MODEL_FEATURES)
@@ -916,3 +923,14 @@ def contribution_summary(s: StarStages) -> DataFrame:
 @query
 def base_feature_summary(s: StarStages) -> DataFrame:
     return attribution.base_feature_summary(s.contribution_table)
+
+
+@query
+def top_contribution_features(s: StarStages) -> DataFrame:
+    columns = ["model", "encoded_feature", "base_feature", "mean_abs_contribution", "mean_abs_contribution_share"]
+    return union_all(
+        [
+            attribution.top_features(s.contribution_table.filter(F.col("model") == model), columns)
+            for model in ("frequency", "severity")
+        ]
+    )

@@ -827,6 +827,9 @@ caps AS (SELECT quantile_cont(freight_value, 0.99) AS fc, quantile_cont(freight_
         FROM (SELECT {_u('split', 'order_id', GLM.seed)} AS u, count(*) AS n FROM items GROUP BY order_id)) GROUP BY 1""")
     out["rare_level_grouping"] = _with(c + "," + _LEVELS, """
       SELECT category_group, route_group, count(*) AS exposures FROM grouped GROUP BY 1, 2""")
+    out["level_counts"] = _with(c + "," + _LEVELS, """
+      SELECT 'category_group' AS feature, count(*) + 1 AS levels_plus_other FROM cat_levels
+      UNION ALL SELECT 'route_group', count(*) + 1 FROM route_levels""")
     logs = ", ".join(
         f"ln(1 + greatest(coalesce({col}, 0.0), 0.0)) AS log_{col}"
         for col in ("price", "freight_value_capped", "freight_to_price_ratio_capped", "product_weight_g_filled",

@@ -169,10 +169,14 @@ class StarStages:
         severity = attribution.contributions(
             features.claims_only(self.test_features), model.severity_encoder, model.severity_model
         )
-        return attribution.contribution_summary(
+        frequency = attribution.contribution_summary(
             self.frequency_contributions, model.frequency_encoder, "frequency", "log_odds_margin"
-        ).unionByName(
-            attribution.contribution_summary(severity, model.severity_encoder, "severity", "log1p_net_loss")
+        )
+        return stored(
+            frequency.unionByName(
+                attribution.contribution_summary(severity, model.severity_encoder, "severity", "log1p_net_loss")
+            ),
+            "contributions",
         )
 
 

@@ -66,6 +66,7 @@ class Workflow:
     # --- steps ----------------------------------------------------------------------------
 
     def run_exposure(self) -> None:
+        exposure.check_contract(self.tables)
         self.report(exposure.key_audit(self.tables), "key_audit")
         self.report(exposure.join_match_rates(self.tables), "join_match_rates")
         table = self.save(exposure.build_exposure(self.tables), "exposure_table")

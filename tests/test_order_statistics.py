@@ -89,3 +89,22 @@ def test_auc_with_ties_and_one_class(spark):
     pos, neg = s[y == 1], s[y == 0]
     want = np.mean([(p > q) + 0.5 * (p == q) for p in pos for q in neg])
     assert abs(got["two"] - want) < 1e-12 and got["one"] is None
+
+
+def test_many_groups_without_broadcast(spark, monkeypatch):
+    """Too many groups to broadcast: the shuffled join gives the same values."""
+    from tariffa.operators import quantiles as module
+
+    monkeypatch.setattr(module, "checked_broadcast", lambda df: df)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(5000).selectExpr("CASE WHEN id % 3 = 0 THEN NULL ELSE id % 700 END AS g", "id * 7 % 911 AS v")
+        got = quantiles(df, ["g"], ["v"], [0.3, 0.5], gather=False)
+        want = quantiles(df, ["g"], ["v"], [0.3, 0.5], gather=True)
+        assert got.count() == want.count()
+        pairs = got.withColumnRenamed("q", "a").join(want, got["g"].eqNullSafe(want["g"]))
+        gap = pairs.select(F.max(F.abs(F.col("a")[0] - F.col("q")[0]) + F.abs(F.col("a")[1] - F.col("q")[1]))).first()[0]
+        assert gap < 1e-9
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
