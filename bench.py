@@ -54,8 +54,12 @@ HEADLINE = [
     "exact_auc",
     "glm_metrics",
     "glm_portfolio",
+    "model_comparison",
+    "challenger_report",
+    "contribution_summary",
 ]
 STAGES = ["exposures", "size_statistics", "claims", "analytic_credibility", "glm_validation", "glm_pricing"]
+STAGES += ["challenger_model", "boosted_validation", "challenger_pricing"]
 
 
 def main() -> None:

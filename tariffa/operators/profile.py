@@ -99,12 +99,19 @@ def numeric_quantiles(
     df: DataFrame, columns: Sequence[str] = NUMERIC_COLUMNS, gather: bool | None = None
 ) -> DataFrame:
     """Count, missing, mean, standard deviation and ten quantiles per numeric column."""
-    stats = unpivoted(df, [], columns).groupBy("field").agg(
-        F.count("value").alias("count"),
-        F.count_if(F.col("value").isNull()).alias("missing"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
+    one_row = df.agg(
+        *[
+            F.struct(
+                F.lit(c).alias("field"),
+                F.count(c).alias("count"),
+                F.count_if(F.col(c).isNull()).alias("missing"),
+                F.avg(c).alias("mean"),
+                F.stddev_samp(c).alias("std"),
+            ).alias(f"__{i}")
+            for i, c in enumerate(columns)
+        ]
     )
+    stats = one_row.select(F.inline(F.array(*[f"__{i}" for i in range(len(columns))])))
     q = quantiles(df, [], columns, QUANTILES, gather=gather)
     return stats.join(q, "field", "left").select(
         "field",

@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 
 from tariffa.operators.joins import checked_broadcast, estimated_bytes
 
-# Tables that read no more than this (on disk) may be gathered by group.
+# Tables that read no more than this (on disk) may be gathered by group.  With only a handful of
+# groups the gathering tasks are few, so that limit is lower.
 SMALL_BYTES = 64 * 2**20
+SMALL_BYTES_FEW_GROUPS = 8 * 2**20
 
 # Buckets per doubling of the value.  Twenty doublings give about 80,000 buckets.
 _BUCKETS_PER_OCTAVE = 4096
@@ -27,8 +29,8 @@ _OUTER_BUCKET = 1 << 40
 RankRule = Callable[[str], Sequence[str]]
 
 
-def is_small(df: DataFrame) -> bool:
-    return estimated_bytes(df) <= SMALL_BYTES
+def is_small(df: DataFrame, few_groups: bool) -> bool:
+    return estimated_bytes(df) <= (SMALL_BYTES_FEW_GROUPS if few_groups else SMALL_BYTES)
 
 
 def bucket_sql(v: str) -> str:
@@ -151,7 +153,8 @@ def quantiles(
     the short way; by default the size of what the table reads decides.
     """
     by = list(by)
-    if is_small(df) if gather is None else gather:
+    few = not by if few_groups is None else few_groups
+    if is_small(df, few) if gather is None else gather:
         return _gathered_quantiles(df, by, columns, probabilities, weight)
 
     def ranks(n: str) -> list[str]:
@@ -161,8 +164,7 @@ def quantiles(
         return out
 
     found = values_at_ranks(
-        unpivoted(df, by, columns, weight), [*by, "field"], "value", ranks, weight=weight,
-        few_groups=not by if few_groups is None else few_groups,
+        unpivoted(df, by, columns, weight), [*by, "field"], "value", ranks, weight=weight, few_groups=few
     )
     picked = found.groupBy(*by, "field", "n").agg(
         *[F.expr(f"max(CASE WHEN slot = {i} THEN value END)").alias(f"__v{i}") for i in range(2 * len(probabilities))]
@@ -186,18 +188,21 @@ def quantile_columns(
 
     ``wanted`` is like ``{"price_median": ("price", 0.5), ...}``.
     """
-    if is_small(df) if gather is None else gather:
-        exact = [F.expr(_percentile_sql(c, f"{float(p)!r}D", weight)).alias(name) for name, (c, p) in wanted.items()]
-        return df.groupBy(*by).agg(*plain, *exact)
-
-    columns = list(dict.fromkeys(c for c, _ in wanted.values()))
-    probabilities = sorted({p for _, p in wanted.values()})
-    long = quantiles(df, by, columns, probabilities, weight=weight, gather=False)
-    picks = [
-        F.max(F.when(F.col("field") == column, F.col("q")[probabilities.index(p)])).alias(name)
-        for name, (column, p) in wanted.items()
-    ]
-    exact = long.groupBy(*by).agg(*picks)
+    if is_small(df, not by) if gather is None else gather:
+        exact = df.groupBy(*by).agg(
+            *[F.expr(_percentile_sql(c, f"{float(p)!r}D", weight)).alias(name) for name, (c, p) in wanted.items()]
+        )
+    else:
+        columns = list(dict.fromkeys(c for c, _ in wanted.values()))
+        probabilities = sorted({p for _, p in wanted.values()})
+        long = quantiles(df, by, columns, probabilities, weight=weight, gather=False)
+        exact = long.groupBy(*by).agg(
+            *[
+                F.max(F.when(F.col("field") == column, F.col("q")[probabilities.index(p)])).alias(name)
+                for name, (column, p) in wanted.items()
+            ]
+        )
+    # kept apart from the plain aggregates: a distinct count among those would multiply the rows
     if not plain:
         return exact
     table = df.groupBy(*by).agg(*plain)
