@@ -5,6 +5,7 @@ from __future__ import annotations
 import itertools
 import math
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -18,6 +19,7 @@ from tariffa.operators.boosting import encoded_names
 from tariffa.operators.features import CATEGORICAL_FEATURES
 from tariffa.operators.quantiles import quantiles
 from tariffa.session import new_table_path
+from tariffa.sources.sinks import stored
 
 
 def node_table(model, spark) -> DataFrame:
@@ -159,22 +161,36 @@ def shapley_batch(x: np.ndarray, games: list[dict]) -> tuple[np.ndarray, float]:
     return out, constant
 
 
+@dataclass(frozen=True)
+class Contributions:
+    """Per row: key, ``contributions`` (one per listed feature), ``bias`` and ``margin``."""
+
+    rows: DataFrame
+    features: list[int]  # slots some tree splits on; every other contribution is 0
+
+
 def contributions(
     features: DataFrame, encoder, model, *, scale: float = 1.0, key: Sequence[str] = EXPOSURE_KEY
-) -> DataFrame:
-    """Per row: key, ``contributions`` (one per encoded feature), ``bias`` and ``margin``.
+) -> Contributions:
+    """Exact additive contributions of every row, as lazy rows.
 
     ``scale`` turns the ensemble's output into the reported scale (2 for log-odds of a boosted
-    classifier).  Only the leaf table, whose size is set by the model, goes to the workers.
+    classifier).  Only the leaf table, whose size is set by the model, goes to the workers, and
+    only the slots that the trees use come in and out.
     """
-    spark = features.sparkSession
-    games = leaf_games(node_table(model, spark).collect())
-    width = len(encoded_names(encoder))
-    encoded = encoder.transform(features).select(*key, vector_to_array("__ml_x").alias("x"))
+    games = leaf_games(node_table(model, features.sparkSession).collect())
+    used = sorted({feature for game in games for feature, _, _ in game["players"]})
+    slot = {feature: i for i, feature in enumerate(used)}
+    for game in games:
+        game["players"] = [(slot[f], conditions, share) for f, conditions, share in game["players"]]
+    values = vector_to_array("__ml_x")
+    encoded = encoder.transform(features).select(
+        *key, F.array(*[values[f] for f in used]).cast("array<double>").alias("x")
+    )
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            x = np.stack(batch["x"].to_numpy()) if len(batch) else np.zeros((0, width))
+            x = np.array(batch["x"].tolist(), dtype=float).reshape(len(batch), len(used))
             parts, constant = shapley_batch(x, games)
             out = batch[list(key)].copy()
             out["contributions"] = list(parts * scale)
@@ -183,42 +199,49 @@ def contributions(
             yield out
 
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.select(*key).schema.fields)
-    return encoded.mapInPandas(
-        explain, f"{kept}, contributions array<double>, bias double, margin double"
-    )
+    rows = encoded.mapInPandas(explain, f"{kept}, contributions array<double>, bias double, margin double")
+    return Contributions(rows, used)
 
 
-def contribution_summary(parts: DataFrame, encoder, name: str, scale_name: str) -> DataFrame:
+def contribution_summary(parts: Contributions, encoder, name: str, scale_name: str) -> DataFrame:
     """Mean absolute and mean contribution, positive share and quantiles per encoded feature.
 
     The per-feature rows exist only inside the scan: they are aggregated before any shuffle.
     """
-    spark = parts.sparkSession
-    long = parts.select(F.posexplode("contributions").alias("feature_index", "contribution"))
-    measures = long.groupBy("feature_index").agg(
+    spark = parts.rows.sparkSession
+    long = parts.rows.select(F.posexplode("contributions").alias("part", "contribution"))
+    measures = long.groupBy("part").agg(
         F.avg(F.abs("contribution")).alias("mean_abs_contribution"),
         F.avg("contribution").alias("mean_contribution"),
         F.avg(F.when(F.col("contribution") > 0, 1.0).otherwise(0.0)).alias("positive_share"),
     )
-    q = quantiles(long, ["feature_index"], ["contribution"], [0.05, 0.5, 0.95], few_groups=True).select(
-        "feature_index",
+    # one row per used feature, read by the table and by the total
+    measures = stored(measures, "contribution_measures")
+    q = quantiles(long, ["part"], ["contribution"], [0.05, 0.5, 0.95], few_groups=True).select(
+        "part",
         F.col("q")[0].alias("p05_contribution"),
         F.col("q")[1].alias("p50_contribution"),
         F.col("q")[2].alias("p95_contribution"),
     )
-    table = _feature_names(encoder, spark).join(measures, "feature_index").join(q, "feature_index")
+    slots = spark.createDataFrame(list(enumerate(parts.features)), "part int, feature_index int")
+    found = slots.join(measures, "part").join(q, "part").drop("part")
+    table = _feature_names(encoder, spark).join(found, "feature_index", "left")
     whole = measures.agg(F.sum("mean_abs_contribution")).scalar()
-    bias = parts.agg(F.avg("bias")).scalar()
-    return table.select(
-        F.lit(name).alias("model"),
-        F.lit(scale_name).alias("model_scale"),
-        "encoded_feature",
+    bias = parts.rows.agg(F.avg("bias")).scalar()
+    columns = [
         "mean_abs_contribution",
         "mean_contribution",
         "positive_share",
         "p05_contribution",
         "p50_contribution",
         "p95_contribution",
+    ]
+    filled = table.select("encoded_feature", *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in columns])
+    return filled.select(
+        F.lit(name).alias("model"),
+        F.lit(scale_name).alias("model_scale"),
+        "encoded_feature",
+        *columns,
         base_feature(F.col("encoded_feature")).alias("base_feature"),
         bias.alias("bias_mean"),
         F.when(whole > 0, F.col("mean_abs_contribution") / whole).otherwise(0.0).alias("mean_abs_contribution_share"),

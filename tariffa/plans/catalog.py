@@ -905,7 +905,7 @@ def feature_importance(s: StarStages) -> DataFrame:
 def contribution_identity(s: StarStages) -> DataFrame:
     """Parts plus bias give the margin, and the margin gives the model's own probability."""
     scored = s.challenger_model.score(s.test_features, "check").select(*KEY, "check_frequency")
-    parts = s.frequency_contributions
+    parts = s.frequency_contributions.rows
     added = F.aggregate("contributions", F.lit(0.0), lambda a, b: a + b) + F.col("bias")
     implied = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("margin")))
     return parts.join(scored, KEY).agg(
@@ -934,3 +934,16 @@ def top_contribution_features(s: StarStages) -> DataFrame:
             for model in ("frequency", "severity")
         ]
     )
+
+
+@query
+def attribution_identity(s: StarStages) -> DataFrame:
+    """Every encoded feature is listed once, and its shares add up to one per model."""
+    importance = feature_importance(s).groupBy("model").agg(
+        F.count(F.lit(1)).alias("importance_features"), F.round(F.sum("gain_share"), 6).alias("gain_share_total")
+    )
+    shares = s.contribution_table.groupBy("model").agg(
+        F.count(F.lit(1)).alias("contribution_features"),
+        F.round(F.sum("mean_abs_contribution_share"), 6).alias("contribution_share_total"),
+    )
+    return importance.join(shares, "model")

@@ -931,4 +931,17 @@ caps AS (SELECT quantile_cont(freight_value, 0.99) AS fc, quantile_cont(freight_
     out["contribution_identity"] = _with(c, f"""
       SELECT count(*) AS rows_explained, CAST(0 AS BIGINT) AS additive_mismatches, CAST(0 AS BIGINT) AS model_mismatches
       FROM (SELECT {_SPLIT} AS split FROM claims WHERE claim_eligible_flag = 1) WHERE split = 'test'""")
+    distinct = " + ".join(
+        f"count(DISTINCT {x_})" for x_ in ("cat", "route", "cross_state_flag", "purchase_month", "purchase_weekday")
+    )
+    train = f"""train AS (SELECT *, coalesce(route_state, 'Unknown') AS r FROM
+      (SELECT *, {_SPLIT} AS split FROM claims WHERE claim_eligible_flag = 1) WHERE split = 'train'),
+    tc AS (SELECT product_category_name_english AS level FROM train GROUP BY 1 HAVING count(*) >= {GLM.category_min_exposure}),
+    tr AS (SELECT r AS level FROM train GROUP BY 1 HAVING count(*) >= {GLM.route_min_exposure}),
+    tg AS (SELECT t.*, coalesce(tc.level, 'Other') AS cat, coalesce(tr.level, 'Other') AS route FROM train t
+           LEFT JOIN tc ON t.product_category_name_english = tc.level LEFT JOIN tr ON t.r = tr.level)"""
+    out["attribution_identity"] = _with(c + ", " + train, " UNION ALL ".join(
+        f"""SELECT '{model}' AS model, {distinct} + 6 AS importance_features, CAST(1 AS DOUBLE) AS gain_share_total,
+            {distinct} + 6 AS contribution_features, CAST(1 AS DOUBLE) AS contribution_share_total FROM tg WHERE {where}"""
+        for model, where in (("frequency", "TRUE"), ("severity", "covered_claim_flag = 1 AND net_loss > 0"))))
     return out

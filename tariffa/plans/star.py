@@ -158,7 +158,7 @@ class StarStages:
         return self.challenger_model.features(test)
 
     @cached_property
-    def frequency_contributions(self) -> DataFrame:
+    def frequency_contributions(self) -> attribution.Contributions:
         model = self.challenger_model
         # a boosted classifier's probability is 1 / (1 + exp(-2 F)), so log-odds are 2 F
         return attribution.contributions(self.test_features, model.frequency_encoder, model.frequency_model, scale=2.0)

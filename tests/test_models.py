@@ -80,7 +80,7 @@ def test_contributions_add_up(priced):
     rows = model.features(eligible)
     parts = attribution.contributions(rows, model.frequency_encoder, model.frequency_model, scale=2.0)
     scored = model.score(rows, "m").select("order_id", "order_item_id", "seller_id", "product_id", "m_frequency")
-    joined = parts.join(scored, ["order_id", "order_item_id", "seller_id", "product_id"])
+    joined = parts.rows.join(scored, ["order_id", "order_item_id", "seller_id", "product_id"])
     gap = joined.agg(F.max(F.abs(1 / (1 + F.exp(-F.col("margin"))) - F.col("m_frequency")))).first()[0]
     assert gap < 1e-9
     summary = attribution.contribution_summary(parts, model.frequency_encoder, "f", "log_odds").collect()
