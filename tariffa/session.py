@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 import os
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
+# Functions that run on workers travel with all they use of this package, so workers need no copy of it.
+cloudpickle.register_pickle_by_value(sys.modules[__name__.partition(".")[0]])
+
 # Runtime settings the operators rely on.  All are Spark's own switches.
 RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
