@@ -19,6 +19,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     prepare(spark)
+    # long texts: small batches between the JVM and Python
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tariffa.llm import exact_dedup, warc
+from tariffa.llm import exact_dedup, simhash, warc
 from tariffa.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,13 @@ WINDOW copies AS (PARTITION BY coalesce(text, ''))
 """
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"), simhash.as_hex("fingerprint").alias("fingerprint"), F.col("component").alias("component_id")
+    )
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_and_read(table(spark, sf_dir, "pages")).select(
         F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
@@ -49,7 +56,7 @@ FROM placed
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_exact_dedup, op10_warc)}
+    return {f.__name__: f for f in (op2_exact_dedup, op9_simhash, op10_warc)}
 
 
 def oracle_sql() -> dict[str, str]:
