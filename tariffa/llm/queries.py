@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tariffa.llm import exact_dedup, simhash, warc
+from tariffa.llm import exact_dedup, simhash, topk, warc
 from tariffa.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,28 @@ WINDOW copies AS (PARTITION BY coalesce(text, ''))
 """
 
 
+def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.search(vectors, vectors.filter(F.col("vec_id") % 50 == 0), 5)
+
+
+OP8_SQL = """
+WITH usable AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS score
+  FROM usable q JOIN usable c ON c.vec_id <> q.vec_id
+  WHERE q.vec_id % 50 = 0
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 5
+"""
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(
@@ -56,8 +78,8 @@ FROM placed
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_exact_dedup, op9_simhash, op10_warc)}
+    return {f.__name__: f for f in (op2_exact_dedup, op8_topk, op9_simhash, op10_warc)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": OP2_SQL, "op10_warc": OP10_SQL}
+    return {"op2_exact_dedup": OP2_SQL, "op8_topk": OP8_SQL, "op10_warc": OP10_SQL}
