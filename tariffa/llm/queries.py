@@ -7,12 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tariffa.llm import exact_dedup, simhash, topk, warc
-from tariffa.llm.common import table
+from tariffa.llm import exact_dedup, language_id, simhash, topk, toxicity, warc
+from tariffa.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold("doc_id", 4) == 2
+    model = language_id.learn(docs.filter(~held_out))
+    found = language_id.predicted(model)
+    return docs.select("doc_id", held_out.alias("held_out"), found.alias("found")).select(
+        "doc_id", "held_out", "found.lang_pred", "found.score"
+    )
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.deduplicate(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
@@ -26,6 +36,14 @@ WINDOW copies AS (PARTITION BY coalesce(text, ''))
 """
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"), fold("doc_id", 5) != 0)
+    return docs.select(
+        "doc_id", (fold("doc_id", 5) == 0).alias("held_out"), toxicity.score(model).alias("score")
+    ).withColumn("predicted", toxicity.verdict("score"))
+
+
 def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return topk.search(vectors, vectors.filter(F.col("vec_id") % 50 == 0), 5)
@@ -78,7 +96,7 @@ FROM placed
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_exact_dedup, op8_topk, op9_simhash, op10_warc)}
+    return {f.__name__: f for f in (op1_language_id, op2_exact_dedup, op7_toxicity, op8_topk, op9_simhash, op10_warc)}
 
 
 def oracle_sql() -> dict[str, str]:
