@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tariffa.llm import exact_dedup, language_id, simhash, topk, toxicity, warc
+from tariffa.llm import exact_dedup, language_id, mixing, simhash, topk, toxicity, warc
 from tariffa.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,11 @@ WINDOW copies AS (PARTITION BY coalesce(text, ''))
 """
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = mixing.mix(table(spark, sf_dir, "documents"))
+    return plan.taken().select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.learn(docs, table(spark, sf_dir, "labels"), fold("doc_id", 5) != 0)
@@ -96,7 +101,7 @@ FROM placed
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_language_id, op2_exact_dedup, op7_toxicity, op8_topk, op9_simhash, op10_warc)}
+    return {f.__name__: f for f in (op1_language_id, op2_exact_dedup, op3_mixing, op7_toxicity, op8_topk, op9_simhash, op10_warc)}
 
 
 def oracle_sql() -> dict[str, str]:
