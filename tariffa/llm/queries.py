@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tariffa.llm import exact_dedup, language_id, mixing, simhash, topk, toxicity, warc
+from tariffa.llm import exact_dedup, language_id, lm, mixing, simhash, topk, toxicity, warc
 from tariffa.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,15 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.taken().select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rest = fold("doc_id", 10)
+    part = F.when(rest == 0, lm.OTHER).when(rest == 1, lm.HELD).otherwise(lm.RETAINED)
+    docs = table(spark, sf_dir, "documents")
+    return lm.score(docs, part).withColumn("held_out", rest == 0).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.learn(docs, table(spark, sf_dir, "labels"), fold("doc_id", 5) != 0)
@@ -101,7 +110,7 @@ FROM placed
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_language_id, op2_exact_dedup, op3_mixing, op7_toxicity, op8_topk, op9_simhash, op10_warc)}
+    return {f.__name__: f for f in (op1_language_id, op2_exact_dedup, op3_mixing, op4_lm_scoring, op7_toxicity, op8_topk, op9_simhash, op10_warc)}
 
 
 def oracle_sql() -> dict[str, str]:
