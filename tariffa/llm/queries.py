@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tariffa.llm import exact_dedup, language_id, lm, mixing, simhash, topk, toxicity, warc
+from tariffa.llm import exact_dedup, language_id, license_scan, lm, mixing, sentencepiece_codec, simhash, topk, toxicity, warc
 from tariffa.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +50,38 @@ def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = sentencepiece_codec.read_model(sentencepiece_codec.MODEL)
+    found = sentencepiece_codec.encoded(model)
+    docs = table(spark, sf_dir, "documents")
+    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), found.alias("found")).select(
+        "doc_id",
+        F.size("found.ids").cast("long").alias("n_tokens"),
+        F.xxhash64("found.ids").alias("ids_hash"),
+        (F.col("found.decoded") == F.col("text")).alias("round_trip"),
+        "found.parity",
+    )
+
+
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return license_scan.scan(docs, license_scan.known_licenses(spark))
+
+
+def _op6_sql() -> str:
+    known = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in license_scan.KNOWN.items())
+    return f"""
+WITH known AS (
+  SELECT sha256({license_scan.canonical_sql("body")}) AS known_digest, min(license_id) AS license_id
+  FROM (VALUES {known}) AS licenses(license_id, body)
+  GROUP BY 1
+), digests AS (
+  SELECT doc_id, sha256({license_scan.canonical_sql("text")}) AS text_digest FROM documents
+)
+SELECT doc_id, text_digest, license_id FROM digests LEFT JOIN known ON text_digest = known_digest
+"""
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.learn(docs, table(spark, sf_dir, "labels"), fold("doc_id", 5) != 0)
@@ -110,8 +142,8 @@ FROM placed
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_language_id, op2_exact_dedup, op3_mixing, op4_lm_scoring, op7_toxicity, op8_topk, op9_simhash, op10_warc)}
+    return {f.__name__: f for f in (op1_language_id, op2_exact_dedup, op3_mixing, op4_lm_scoring, op5_sentencepiece, op6_license_scan, op7_toxicity, op8_topk, op9_simhash, op10_warc)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": OP2_SQL, "op8_topk": OP8_SQL, "op10_warc": OP10_SQL}
+    return {"op2_exact_dedup": OP2_SQL, "op6_license_scan": _op6_sql(), "op8_topk": OP8_SQL, "op10_warc": OP10_SQL}
