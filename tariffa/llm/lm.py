@@ -71,7 +71,10 @@ def _counted(keys: np.ndarray, part: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 PARTS = "other long, retained long, held long"
-SUMS = [F.sum(c).alias(c) for c in ("other", "retained", "held")]
+
+
+def _sums() -> list[Column]:
+    return [F.sum(c).alias(c) for c in ("other", "retained", "held")]
 
 
 @dataclass
@@ -97,7 +100,7 @@ def count(docs: DataFrame, text: str, part: Column, contexts: int = 256) -> Coun
             yield pd.DataFrame({"token": distinct.view(np.int64), **dict(zip(("other", "retained", "held"), counts.T, strict=True))})
 
     rows = _rows(docs, text, part)
-    table = stored(rows.mapInPandas(words, f"token long, {PARTS}").groupBy("token").agg(*SUMS), "words")
+    table = stored(rows.mapInPandas(words, f"token long, {PARTS}").groupBy("token").agg(*_sums()), "words")
     learned = F.col("retained") + F.col("held")
     total, retained, vocabulary, everything = table.agg(
         F.sum(learned), F.sum("retained"), F.count_if(learned > 0), F.sum(learned + F.col("other"))
@@ -129,7 +132,7 @@ def count(docs: DataFrame, text: str, part: Column, contexts: int = 256) -> Coun
                 }
             )
 
-    found = rows.mapInPandas(pairs, f"context int, token long, {PARTS}").groupBy("context", "token").agg(*SUMS)
+    found = rows.mapInPandas(pairs, f"context int, token long, {PARTS}").groupBy("context", "token").agg(*_sums())
     return Counts(table, stored(found, "pairs"), kept, retained, total, vocabulary, everything)
 
 
@@ -172,7 +175,7 @@ def events(counts: Counts) -> DataFrame:
     word = [F.col(f"w.{c}").alias(f"word_{c}") for c in ("retained", "held")]
     own = [F.col(f"p.{c}").alias(c) for c in ("other", "retained", "held")]
     paired = counts.pairs.alias("p").join(counts.words.alias("w"), "token").select("context", "token", *own, *word)
-    covered = counts.pairs.groupBy("token").agg(*SUMS)
+    covered = counts.pairs.groupBy("token").agg(*_sums())
     left = [(F.col(f"w.{c}") - F.coalesce(F.col(f"c.{c}"), F.lit(0))).alias(c) for c in ("other", "retained", "held")]
     alone = counts.words.alias("w").join(covered.alias("c"), "token", "left")
     return paired.unionByName(alone.select(F.lit(NO_CONTEXT).alias("context"), "token", *left, *word))
