@@ -30,16 +30,22 @@ def fold(key: str | Column, folds: int) -> Column:
     return F.crc32(F.coalesce(column.cast("string"), F.lit(""))) % folds
 
 
-def with_locator(df: DataFrame, *columns: str) -> DataFrame:
-    """The named columns with ``_file`` and ``_row``: where each row lies, the same in every scan.
+_PLACE = ("_metadata.file_path", "_metadata.row_index")
+
 
-    A DataFrame that does not come straight from files is written to the shared folder first.
-    """
-    place = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")]
+def on_files(df: DataFrame) -> DataFrame:
+    """The table itself if its rows lie in files, else a copy written to the shared folder."""
     try:
-        return df.select(*columns, *place)
+        df.select(*_PLACE)
     except AnalysisException:
-        return stored(df.select(*columns), "located").select(*columns, *place)
+        return stored(df, "located")
+    return df
+
+
+def with_locator(df: DataFrame, *columns: str) -> DataFrame:
+    """The named columns with ``_file`` and ``_row``: where each row lies, the same in every scan of one table on files."""
+    file, row = _PLACE
+    return on_files(df).select(*columns, F.col(file).alias("_file"), F.col(row).alias("_row"))
 
 
 def words_of(text: str | None) -> list[bytes]:

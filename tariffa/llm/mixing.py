@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tariffa.llm.common import SPACE, collectable, with_locator
+from tariffa.llm.common import SPACE, collectable, on_files, with_locator
 from tariffa.sources.sinks import stored
 
 MOST_SOURCES = 100_000
@@ -102,9 +102,10 @@ def permuted(index: np.ndarray, size: np.ndarray, key: np.ndarray) -> np.ndarray
 
 @dataclass
 class Mix:
-    """``docs``: one row per document (source number, id, size, start, place); ``sources``: one per source;
+    """``documents``: what was mixed; ``docs``: one row of each (source number, id, size, start, place); ``sources``: one per source;
     ``slots``: the blocks of the mix (shard, slot, source number, pass, block)."""
 
+    documents: DataFrame
     docs: DataFrame
     sources: pd.DataFrame
     slots: DataFrame
@@ -156,7 +157,7 @@ def mix(
     bucket_rows: int = 16_384,
 ) -> Mix:
     """Plan a mix whose sources, by code point and null last, get ``weights`` in turn; a document is used ``most`` times at most."""
-    spark = docs.sparkSession
+    spark, docs = docs.sparkSession, on_files(docs)
     counted = stored(
         with_locator(docs, id, text, source).select(
             F.col(id).alias("id"), F.col(source).alias("source"), F.size(word_list(text)).cast("long").alias("size"),
@@ -230,14 +231,15 @@ def mix(
     shape = "shard int, number int, first_ long, count_ long, blocks long"
     spread = spark.createDataFrame(drawn, shape)
     expanded = spread.mapInPandas(slots, "shard int, number int, slot long, turn int, block long")
-    return Mix(numbered, sources, expanded, block)
+    return Mix(docs, numbered, sources, expanded, block)
 
 
-def mixed_documents(docs: DataFrame, plan: Mix, id: str = "doc_id", text: str = "text") -> DataFrame:
+def mixed_documents(plan: Mix, text: str = "text") -> DataFrame:
     """The mix as documents: all columns of a document, once for each pass over its source that takes words of it.
 
     The text holds the words taken in that pass, in order; it is the document's own if all of them are.
     """
+    docs = plan.documents
     taken = (
         plan.pieces()
         .join(plan.slots, ["number", "block"])

@@ -5,7 +5,8 @@ kind of model, byte fallback and the normaliser's settings.  From them a ``token
 character map, extra-space removal, the metaspace marker with its prefix, unigram scores or merges in the order of scores, and bytes
 for unknown characters.  Batches are encoded and decoded multithreaded, and ids are held against the SentencePiece library itself.
 
-A null text counts as empty; an empty text has no ids.  Control symbols (``<s>`` and the like) inside a text are ordinary text.  Repeated
+A null text counts as empty; an empty text has no ids.  Control symbols (``<s>`` and the like) inside a text are ordinary text; only a unigram
+model may take a byte piece spelled out in a text (``<0x41>``) for the piece, and parity is false then.  Repeated
 rows get equal ids, an empty table gives an empty result, further columns are ignored.  The model file travels with the
 job as bytes, so workers need no copy; its path is a parameter.
 """
@@ -112,11 +113,13 @@ def build(model: bytes) -> Tokenizer:
             vocabulary, _merges(spec), unk_token=spec.pieces[unknown][0], fuse_unk=True, byte_fallback=spec.byte_fallback
         )
     else:
-        core = models.Unigram([(p, s) for p, s, _ in spec.pieces], unk_id=unknown, byte_fallback=spec.byte_fallback)
+        # control pieces never match text, so they get spellings that no text has
+        names = [(f"\U0010ffff{p}" if kind in (CONTROL, UNKNOWN) else p, s) for p, s, kind in spec.pieces]
+        core = models.Unigram(names, unk_id=unknown, byte_fallback=spec.byte_fallback)
     out = Tokenizer(core)
     steps = [normalizers.Precompiled(spec.charsmap)] if spec.charsmap else []
     if spec.squeeze:
-        steps += [normalizers.Strip(), normalizers.Replace(Regex(" {2,}"), " ")]
+        steps += [normalizers.Replace(Regex(r"\A +| +\z"), ""), normalizers.Replace(Regex(" {2,}"), " ")]
     if spec.dummy_prefix:
         steps.append(normalizers.Prepend(MARK))
     out.normalizer = normalizers.Sequence([*steps, normalizers.Replace(" ", MARK)])

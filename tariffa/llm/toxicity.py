@@ -1,7 +1,7 @@
 """A toxicity classifier with a counterfactual penalty.
 
-Logistic regression on the presence of words.  Beside the likelihood of the labels it minimises the squared change of a
-text's logit when its identity terms are swapped for others of their group, or for a neutral word: a group that is often the
+Logistic regression on the presence of words and of word beginnings.  Beside the likelihood of the labels it minimises the squared change of a
+text's logit when an identity term is swapped for others of its group, or for none: a group that is often the
 target of abuse must not become a mark of abuse.  An L1 term keeps the words few, so that words which only travel with abusive ones get no weight.
 
 The fit uses a bounded sample of labelled rows (``rows``, by hash; copies once) and the ``features`` words whose frequency differs most
@@ -43,20 +43,29 @@ IDENTITY_GROUPS = (
     ("femmes", "hommes"),
     ("mujeres", "hombres"),
 )
-NEUTRAL = "people"
 TERM = re.compile(r"[^\W\d_]+")
+STEMS = (4,)
 
 
-def terms(text: str | None) -> set[str]:
+def words(text: str | None) -> set[str]:
     return set(TERM.findall(text.lower())) if text else set()
 
 
-def counterfactuals(found: set[str], groups: Sequence[Sequence[str]], neutral: str = NEUTRAL) -> list[set[str]]:
-    """Texts (as sets of terms) in which one identity term gives way to each of the others, or to the neutral word."""
+def with_stems(found: set[str]) -> set[str]:
+    """Words and their beginnings (``begin*``): an inflected form has the mark of its stem."""
+    return found.union(*[{w[:n] + "*" for w in found if len(w) >= n} for n in STEMS])
+
+
+def terms(text: str | None) -> set[str]:
+    return with_stems(words(text))
+
+
+def counterfactuals(found: set[str], groups: Sequence[Sequence[str]]) -> list[set[str]]:
+    """Texts (as sets of words) in which one identity term gives way to each of the others, or to none."""
     out = []
     for group in groups:
-        for term in found.intersection(group):
-            out += [(found - {term}) | {other} for other in (*group, neutral) if other != term]
+        for term in sorted(found.intersection(group)):
+            out += [found - {term}, *[(found - {term}) | {other} for other in group if other != term]]
     return out
 
 
@@ -79,16 +88,19 @@ def fit(
 ) -> tuple[np.ndarray, float]:
     """Accelerated proximal gradient on rows (label, features) and swaps (features that go, features that come).
 
-    Minimises mean log-loss + swap_penalty * mean squared logit change of a swap + l1 * |weights|.
+    Minimises log-loss (both labels weigh a half, however rare one is) + swap_penalty * mean squared logit change of a
+    swap + l1 * |weights|.
     """
     label = np.array([y for y, _ in rows], float)
+    toxic = label.mean()
+    weight = np.where(label > 0, 0.5 / toxic, 0.5 / (1 - toxic)) / len(rows) if 0 < toxic < 1 else np.full(len(rows), 1 / len(rows))
     row = np.repeat(np.arange(len(rows)), [len(x) for _, x in rows])
     column = np.array([i for _, x in rows for i in x], np.int64)
     changes = [(k, i, sign) for k, pair in enumerate(swaps) for sign, side in ((-1.0, pair[0]), (1.0, pair[1])) for i in side]
     swap, place, sign = (np.array([c[j] for c in changes], kind) for j, kind in enumerate((np.int64, np.int64, float)))
     # curvature of each weight: how many rows it meets, times how many others it meets there
-    crowd = np.bincount(row, minlength=len(rows)) + 1.0
-    curve = np.append(np.bincount(column, crowd[row], features), crowd.sum()) / (4 * len(rows))
+    crowd = (np.bincount(row, minlength=len(rows)) + 1.0) * weight
+    curve = np.append(np.bincount(column, crowd[row], features), crowd.sum()) / 4
     if swaps:
         busy = np.bincount(swap, minlength=len(swaps))
         curve[:-1] += 2 * swap_penalty * np.bincount(place, busy[swap], features) / len(swaps)
@@ -97,7 +109,7 @@ def fit(
     momentum = 1.0
     for _ in range(steps):
         logit = np.bincount(row, v[column], len(rows)) + v[-1]
-        residual = (1 / (1 + np.exp(-np.clip(logit, -500, 500))) - label) / len(rows)
+        residual = (1 / (1 + np.exp(-np.clip(logit, -500, 500))) - label) * weight
         gradient = np.append(np.bincount(column, residual[row], features), residual.sum())
         if swaps:
             shift = np.bincount(swap, sign * v[place], len(swaps))
@@ -137,33 +149,34 @@ def learn(
 ) -> Model | None:
     """A model from the labelled rows for which ``learn_from`` (over the labels' columns) holds."""
     sample = stored(labelled_sample(docs, labels, learn_from, id, text, label, rows), "labelled")
-    identity = {t for group in groups for t in group} | {NEUTRAL}
+    identity = {t for group in groups for t in group}
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             seen = [Counter(), Counter()]
             for mark, content in zip(frame["label"], frame["text"], strict=True):
                 seen[int(mark > 0)].update(terms(content))
-            words = sorted(seen[0].keys() | seen[1].keys())
-            yield pd.DataFrame({"word": words, "clean": [seen[0][w] for w in words], "toxic": [seen[1][w] for w in words]})
+            either = sorted(seen[0].keys() | seen[1].keys())
+            yield pd.DataFrame({"word": either, "clean": [seen[0][w] for w in either], "toxic": [seen[1][w] for w in either]})
 
     totals = {bool(r["marked"]): r["count"] for r in sample.groupBy((F.col("label") > 0).alias("marked")).count().collect()}
     if len(totals) < 2:
         return Model({}, 40.0 if totals.get(True) else -40.0) if totals else None
-    words = sample.select("label", "text").mapInPandas(count, "word string, clean long, toxic long")
+    counted = sample.select("label", "text").mapInPandas(count, "word string, clean long, toxic long")
     clean, toxic = F.sum("clean"), F.sum("toxic")
     pooled = (clean + toxic) / float(sum(totals.values()))
     spread = F.sqrt(pooled * (1 - pooled) * (1 / totals[False] + 1 / totals[True])) + 1e-9
     contrast = (toxic / totals[True] - clean / totals[False]) / spread
-    told = words.groupBy("word").agg(contrast.alias("contrast"), (clean + toxic).alias("rows")).filter("rows >= 3")
+    told = counted.groupBy("word").agg(contrast.alias("contrast"), (clean + toxic).alias("rows")).filter("rows >= 3")
     best = told.orderBy(F.desc(F.abs("contrast")), "word").limit(features).select("word").collect()
-    chosen = sorted({r["word"] for r in best} | identity)
+    chosen = sorted({r["word"] for r in best} | with_stems(identity))
     place = {w: i for i, w in enumerate(chosen)}
 
     def design(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            found = [terms(content) & place.keys() for content in frame["text"]]
-            swapped = [[sorted(place[w] for w in other) for other in counterfactuals(f, groups)] for f in found]
+            plain = [words(content) for content in frame["text"]]
+            found = [with_stems(f) & place.keys() for f in plain]
+            swapped = [[sorted(place[w] for w in with_stems(other) & place.keys()) for other in counterfactuals(f, groups)] for f in plain]
             yield pd.DataFrame(
                 {"content": frame["content"], "label": (frame["label"] > 0).astype(int), "words": [sorted(place[w] for w in f) for f in found], "swapped": swapped}
             )
