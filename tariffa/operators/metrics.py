@@ -9,32 +9,40 @@ from pyspark.sql import functions as F
 
 from tariffa.config import EXPOSURE_KEY, SEED
 from tariffa.functions.columns import keyed_uniform, positive_divide
-from tariffa.operators.quantiles import value_bucket, values_at_ranks
+from tariffa.operators.quantiles import fine_bucket, value_bucket, values_at_ranks
 
 
 def exact_auc(df: DataFrame, by: Sequence[str], label: str, score: str) -> DataFrame:
     """Exact ROC AUC per group, ties counted half; NULL when a class is absent.
 
-    Scores are counted per distinct value, ordered inside order-preserving buckets, and the
-    few bucket totals are accumulated; no task sorts a whole group.
+    Scores are counted per distinct value and ordered inside fine order-preserving buckets; totals of
+    those are accumulated inside coarse buckets, and the few coarse totals last.  No task sorts a
+    whole group.  NaN is above every other score.
     """
     by = list(by)
     counts = (
         df.select(*by, F.col(score).cast("double").alias("__s"), F.col(label).cast("bigint").alias("__y"))
         .filter(F.col("__s").isNotNull() & F.col("__y").isNotNull())
-        .groupBy(*by, value_bucket("__s").alias("__b"), "__s")
+        .groupBy(*by, value_bucket("__s").alias("__b"), fine_bucket("__s").alias("__f"), "__s")
         .agg(F.sum("__y").alias("__pos"), F.sum(1 - F.col("__y")).alias("__neg"))
+        .withColumn("__pairs", F.col("__pos") * F.col("__neg") / F.lit(2.0))
     )
-    before = Window.partitionBy(*by, "__b").orderBy("__s").rowsBetween(Window.unboundedPreceding, -1)
-    buckets = (
-        counts.withColumn("__below", F.coalesce(F.sum("__neg").over(before), F.lit(0)))
-        .groupBy(*by, "__b")
-        .agg(
-            F.sum("__pos").alias("__pos"),
-            F.sum("__neg").alias("__neg"),
-            F.sum(F.col("__pos") * (F.col("__below") + F.col("__neg") / F.lit(2.0))).alias("__pairs"),
+
+    def accumulated(rows: DataFrame, groups: list[str], order: str) -> DataFrame:
+        """One row per group: pairs won inside its parts, and those won against the parts before."""
+        before = Window.partitionBy(*groups).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return (
+            rows.withColumn("__below", F.coalesce(F.sum("__neg").over(before), F.lit(0)))
+            .groupBy(*groups)
+            .agg(
+                F.sum("__pos").alias("__pos"),
+                F.sum("__neg").alias("__neg"),
+                F.sum(F.col("__pairs") + F.col("__pos").cast("double") * F.col("__below")).alias("__pairs"),
+            )
         )
-    )
+
+    fine = accumulated(counts, [*by, "__b", "__f"], "__s")
+    buckets = accumulated(fine, [*by, "__b"], "__f")
     earlier = Window.partitionBy(*by).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     placed = buckets.withColumn("__below", F.coalesce(F.sum("__neg").over(earlier), F.lit(0)))
     won = F.sum(F.col("__pairs") + F.col("__pos").cast("double") * F.col("__below"))

@@ -1,10 +1,11 @@
-"""Exact order statistics without sorting or gathering a whole group.
-
-An exact ``percentile`` keeps every distinct value of a group in one task.  That is fine for a
-table whose size has been checked, and such tables take that short way.  For any other table a
-group is first counted over an order-preserving bucket number (bounded, combined map-side);
-running counts over those few buckets tell which ones hold the wanted ranks; only values inside
-them are then ordered.  A group may hold any share of the rows and no task ever sees all of it.
+"""Exact order statistics without sorting or gathering a whole group, the same way at every size.
+
+A group is first counted over an order-preserving bucket number (bounded, combined map-side);
+running counts over those few buckets tell which ones hold the wanted ranks.  The same is done once
+more over 65,536 finer buckets inside each of those; only values inside the fine buckets found are then
+ordered.  A fine bucket is narrower than three billionths of its value, so it holds few distinct values even when a
+column lies far from zero.  A group may hold any share of the rows and no task ever sees all of it.
+Missing values and NaN are skipped.
 """
 
 from __future__ import annotations
@@ -14,38 +15,49 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tariffa.operators.joins import checked_broadcast, estimated_bytes
-
-# Tables that read no more than this (on disk) may be gathered by group.  With only a handful of
-# groups the gathering tasks are few, so that limit is lower.
-SMALL_BYTES = 64 * 2**20
-SMALL_BYTES_FEW_GROUPS = 8 * 2**20
+from tariffa.operators.joins import checked_broadcast
 
-# Buckets per doubling of the value.  Twenty doublings give about 80,000 buckets.
+# Buckets per doubling of the value (twenty doublings give about 80,000), and fine buckets in each.
 _BUCKETS_PER_OCTAVE = 4096
+_FINE_BUCKETS = 1 << 16
 _EXPONENT_SHIFT = 1100  # larger than any double exponent, so scaled logs stay positive
 _OUTER_BUCKET = 1 << 40
 
 RankRule = Callable[[str], Sequence[str]]
 
 
-def is_small(df: DataFrame, few_groups: bool) -> bool:
-    return estimated_bytes(df) <= (SMALL_BYTES_FEW_GROUPS if few_groups else SMALL_BYTES)
+def _scaled_sql(v: str) -> str:
+    return f"((log2(abs({v})) + {_EXPONENT_SHIFT}) * {_BUCKETS_PER_OCTAVE})"
 
 
-def bucket_sql(v: str) -> str:
-    """Monotone bucket number: ``a <= b`` implies ``bucket(a) <= bucket(b)``."""
-    scaled = f"CAST(floor((log2(abs({v})) + {_EXPONENT_SHIFT}) * {_BUCKETS_PER_OCTAVE}) AS BIGINT) + 1"
+def _signed_sql(v: str, zero: str, infinite: str, positive: str) -> str:
+    """NaN is above everything else, as in Spark's own order."""
     return (
-        f"CASE WHEN {v} = 0 THEN 0L WHEN abs({v}) = double('Infinity') THEN CAST(sign({v}) AS BIGINT) * {_OUTER_BUCKET}L"
-        f" WHEN {v} > 0 THEN {scaled} ELSE -({scaled}) END"
+        f"CASE WHEN {v} = 0 THEN {zero} WHEN isnan({v}) THEN 2 * {infinite}"
+        f" WHEN abs({v}) = double('Infinity') THEN CAST(sign({v}) AS BIGINT) * {infinite}"
+        f" WHEN {v} > 0 THEN {positive} ELSE -({positive}) END"
     )
 
 
+def bucket_sql(v: str) -> str:
+    """Monotone bucket number: ``a <= b`` implies ``bucket(a) <= bucket(b)``."""
+    return _signed_sql(v, "0L", f"{_OUTER_BUCKET}L", f"CAST(floor({_scaled_sql(v)}) AS BIGINT) + 1")
+
+
+def fine_bucket_sql(v: str) -> str:
+    """Monotone number inside a bucket."""
+    scaled = _scaled_sql(v)
+    return _signed_sql(v, "0L", "0L", f"CAST(floor(({scaled} - floor({scaled})) * {_FINE_BUCKETS}) AS BIGINT)")
+
+
 def value_bucket(value: str) -> Column:
     return F.expr(bucket_sql(value))
 
 
+def fine_bucket(value: str) -> Column:
+    return F.expr(fine_bucket_sql(value))
+
+
 def _quoted(names: Sequence[str]) -> list[str]:
     return [f"`{n}`" for n in names]
 
@@ -68,41 +80,53 @@ def values_at_ranks(
     promises that the groups themselves are a fixed handful.
     """
     keys = _quoted(by)
-    part = f"PARTITION BY {', '.join(keys)}" if keys else ""
     weight_sql = f"CAST(`{weight}` AS BIGINT)" if weight else "1L"
     rows = (
         df.selectExpr(*keys, f"CAST(`{value}` AS DOUBLE) AS __v", f"{weight_sql} AS __w")
-        .filter("__v IS NOT NULL AND __w > 0")
-        .selectExpr("*", f"{bucket_sql('__v')} AS __b")
+        .filter("__v IS NOT NULL AND NOT isnan(__v) AND __w > 0")
+        .selectExpr("*", f"{bucket_sql('__v')} AS __b", f"{fine_bucket_sql('__v')} AS __f")
     )
     wanted = ", ".join(f"CAST({r} AS BIGINT)" for r in ranks("n"))
-    buckets = (
+    held = "exists(__ranks, r -> r >= __before AND r < __before + __c)"
+
+    def over(*columns: str) -> str:
+        return f"PARTITION BY {', '.join(columns)}" if columns else ""
+
+    def at(found: DataFrame, *levels: str) -> DataFrame:
+        """Rows inside the buckets found, with what is known about each bucket."""
+        columns = [*by, *levels]
+        renamed = found.selectExpr(*[f"`{c}` AS `__t_{c}`" for c in columns], "n", "__before", "__ranks")
+        target = F.broadcast(renamed) if few_groups else checked_broadcast(renamed)
+        return rows.join(target, F.expr(" AND ".join(f"`{c}` <=> `__t_{c}`" for c in columns)))
+
+    coarse = (
         rows.groupBy(*by, "__b")
         .agg(F.expr("sum(__w)").alias("__c"))
         .selectExpr(
             "*",
-            f"sum(__c) OVER ({part}) AS n",
-            f"sum(__c) OVER ({part} ORDER BY __b ROWS UNBOUNDED PRECEDING) - __c AS __before",
+            f"sum(__c) OVER ({over(*keys)}) AS n",
+            f"sum(__c) OVER ({over(*keys)} ORDER BY __b ROWS UNBOUNDED PRECEDING) - __c AS __before",
         )
-        .selectExpr(*keys, "__b", "__c", "n", "__before", f"array({wanted}) AS __ranks")
-        .filter("exists(__ranks, r -> r >= __before AND r < __before + __c)")
-        .selectExpr(*[f"{k} AS `__t_{c}`" for k, c in zip(keys, by)], "__b AS __tb", "n", "__before", "__ranks")
+        .selectExpr("*", f"array({wanted}) AS __ranks")
+        .filter(held)
+    )
+    fine = (
+        at(coarse, "__b")
+        .groupBy(*by, "__b", "__f", "n", "__before", "__ranks")
+        .agg(F.expr("sum(__w)").alias("__c"))
+        .selectExpr(
+            *keys, "__b", "__f", "n", "__ranks", "__c",
+            f"__before + sum(__c) OVER ({over(*keys, '__b')} ORDER BY __f ROWS UNBOUNDED PRECEDING) - __c AS __before",
+        )
+        .filter(held)
     )
-    targets = F.broadcast(buckets) if few_groups else checked_broadcast(buckets)
-
-    same = " AND ".join(["__b = __tb", *[f"{k} <=> `__t_{c}`" for k, c in zip(keys, by)]])
-    in_bucket = f"PARTITION BY {', '.join([*keys, '__b'])}"
     return (
-        rows.join(targets, F.expr(same))
-        .groupBy(*by, "__b", "n", "__before", "__ranks", "__v")
+        at(fine, "__b", "__f")
+        .groupBy(*by, "__b", "__f", "n", "__before", "__ranks", "__v")
         .agg(F.expr("sum(__w)").alias("__c"))
         .selectExpr(
-            *keys,
-            "n",
-            "__v",
-            "__c",
-            "__ranks",
-            f"__before + sum(__c) OVER ({in_bucket} ORDER BY __v ROWS UNBOUNDED PRECEDING) - __c AS __start",
+            *keys, "n", "__v", "__c", "__ranks",
+            f"__before + sum(__c) OVER ({over(*keys, '__b', '__f')} ORDER BY __v ROWS UNBOUNDED PRECEDING) - __c AS __start",
         )
         .selectExpr(*keys, "n", "posexplode(__ranks) AS (slot, rank)", "__v AS value", "__start", "__c")
         .filter("rank >= __start AND rank < __start + __c")
@@ -117,26 +141,6 @@ def unpivoted(df: DataFrame, by: Sequence[str], columns: Sequence[str], weight:
     return df.selectExpr(*_quoted([*by, *extra]), f"stack({len(columns)}, {pairs}) AS (field, value)")
 
 
-def _percentile_sql(column: str, probabilities: str, weight: str | None) -> str:
-    frequency = f", CAST(`{weight}` AS BIGINT)" if weight else ""
-    return f"percentile(CAST(`{column}` AS DOUBLE), {probabilities}{frequency})"
-
-
-def _gathered_quantiles(
-    df: DataFrame, by: Sequence[str], columns: Sequence[str], probabilities: Sequence[float], weight: str | None
-) -> DataFrame:
-    """The short way for checked small tables: Spark's exact ``percentile``."""
-    p = f"array({', '.join(f'{float(x)!r}D' for x in probabilities)})"
-    w = f"CAST(`{weight}` AS BIGINT)" if weight else "1L"
-    aggs = []
-    for i, c in enumerate(columns):
-        aggs.append(F.expr(_percentile_sql(c, p, weight)).alias(f"__q{i}"))
-        aggs.append(F.expr(f"sum(CASE WHEN `{c}` IS NOT NULL THEN {w} END)").alias(f"__n{i}"))
-    table = df.groupBy(*by).agg(*aggs)
-    stack = ", ".join(f"'{c}', __n{i}, __q{i}" for i, c in enumerate(columns))
-    return table.selectExpr(*_quoted(by), f"stack({len(columns)}, {stack}) AS (field, n, q)").filter("n > 0")
-
-
 def quantiles(
     df: DataFrame,
     by: Sequence[str],
@@ -145,17 +149,13 @@ def quantiles(
     *,
     weight: str | None = None,
     few_groups: bool | None = None,
-    gather: bool | None = None,
 ) -> DataFrame:
     """Exact linearly interpolated quantiles: ``by``, ``field``, ``n``, ``q`` (array of double).
 
-    Missing values are skipped; a group without values has no row.  ``gather`` forces or bars
-    the short way; by default the size of what the table reads decides.
+    Missing values and NaN are skipped; a group without values has no row.
     """
     by = list(by)
     few = not by if few_groups is None else few_groups
-    if is_small(df, few) if gather is None else gather:
-        return _gathered_quantiles(df, by, columns, probabilities, weight)
 
     def ranks(n: str) -> list[str]:
         out = []
@@ -182,26 +182,20 @@ def quantile_columns(
     wanted: dict[str, tuple[str, float]],
     *plain: Column,
     weight: str | None = None,
-    gather: bool | None = None,
 ) -> DataFrame:
     """One row per group with ordinary aggregates and named exact quantiles.
 
     ``wanted`` is like ``{"price_median": ("price", 0.5), ...}``.
     """
-    if is_small(df, not by) if gather is None else gather:
-        exact = df.groupBy(*by).agg(
-            *[F.expr(_percentile_sql(c, f"{float(p)!r}D", weight)).alias(name) for name, (c, p) in wanted.items()]
-        )
-    else:
-        columns = list(dict.fromkeys(c for c, _ in wanted.values()))
-        probabilities = sorted({p for _, p in wanted.values()})
-        long = quantiles(df, by, columns, probabilities, weight=weight, gather=False)
-        exact = long.groupBy(*by).agg(
-            *[
-                F.max(F.when(F.col("field") == column, F.col("q")[probabilities.index(p)])).alias(name)
-                for name, (column, p) in wanted.items()
-            ]
-        )
+    columns = list(dict.fromkeys(c for c, _ in wanted.values()))
+    probabilities = sorted({p for _, p in wanted.values()})
+    long = quantiles(df, by, columns, probabilities, weight=weight)
+    exact = long.groupBy(*by).agg(
+        *[
+            F.max(F.when(F.col("field") == column, F.col("q")[probabilities.index(p)])).alias(name)
+            for name, (column, p) in wanted.items()
+        ]
+    )
     # kept apart from the plain aggregates: a distinct count among those would multiply the rows
     if not plain:
         return exact

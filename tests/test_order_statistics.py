@@ -1,4 +1,4 @@
-"""Quantiles, ranks and AUC against brute force, both the short way and the large-table way."""
+"""Quantiles, ranks and AUC against brute force."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tariffa.operators import metrics
-from tariffa.operators.quantiles import quantiles, value_bucket
+from tariffa.operators.quantiles import fine_bucket, quantiles, value_bucket
 
 
 def frame(n=3000, seed=3):
@@ -28,15 +28,14 @@ def spark_frame(spark, pdf):
     return spark.createDataFrame(rows, "g string, v double, w int")
 
 
-@pytest.mark.parametrize("gather", [True, False])
 @pytest.mark.parametrize("weighted", [True, False])
-def test_quantiles_equal_numpy(spark, gather, weighted):
+def test_quantiles_equal_numpy(spark, weighted):
     pdf = frame()
     probabilities = [0.0, 0.05, 0.5, 0.95, 1.0]
     got = {
         r["g"]: (r["n"], r["q"])
         for r in quantiles(
-            spark_frame(spark, pdf), ["g"], ["v"], probabilities, weight="w" if weighted else None, gather=gather
+            spark_frame(spark, pdf), ["g"], ["v"], probabilities, weight="w" if weighted else None
         ).collect()
     }
     valid = pdf[pdf.v.notna()]
@@ -49,11 +48,35 @@ def test_quantiles_equal_numpy(spark, gather, weighted):
             assert x == want or abs(x - want) < 1e-9 * max(1, abs(want))
 
 
-def test_bucket_is_monotone(spark):
-    values = sorted([0.0, -0.0, 1e-300, -1e-300, 1.0, 1.0000001, -5.0, 3e8, float("inf"), float("-inf"), 0.25])
-    rows = spark.createDataFrame([(v,) for v in values], "v double").select("v", value_bucket("v").alias("b"))
-    buckets = [r["b"] for r in sorted(rows.collect(), key=lambda r: r["v"])]
+def test_buckets_are_monotone(spark):
+    values = [0.0, -0.0, 1e-300, -1e-300, 1.0, 1.0000001, -5.0, 3e8, float("inf"), float("-inf"), 0.25]
+    values += [s * (1e9 + i / 7) for i in range(2000) for s in (1, -1)] + [2.0**k for k in range(-40, 40)]
+    rows = spark.createDataFrame([(v,) for v in values], "v double").select("v", value_bucket("v"), fine_bucket("v"))
+    buckets = [tuple(r)[1:] for r in sorted(rows.collect(), key=lambda r: r["v"])]
     assert buckets == sorted(buckets)
+    nan = spark.createDataFrame([(float("nan"),)], "v double").select(value_bucket("v")).first()[0]
+    assert nan > max(buckets)[0]
+
+
+def test_not_a_number_is_skipped_and_infinities_count(spark):
+    nan, inf = float("nan"), float("inf")
+    df = spark.createDataFrame([(v,) for v in (1.0, 2.0, 3.0, nan, inf, -inf, None)], "v double")
+    row = quantiles(df, [], ["v"], [0.0, 0.5, 1.0]).first()
+    assert row["n"] == 5 and row["q"] == [-inf, 2.0, inf]
+    row = quantiles(df.filter("not isnan(v) and abs(v) < 10"), [], ["v"], [0.0, 0.5, 1.0]).first()
+    assert row["n"] == 3 and row["q"] == [1.0, 2.0, 3.0]
+
+
+def test_values_far_from_zero_stay_in_small_buckets(spark):
+    df = spark.range(100_000).select((F.col("id") + 1e9).alias("v"))
+    fullest = df.groupBy(value_bucket("v"), fine_bucket("v")).count().agg(F.max("count")).first()[0]
+    assert fullest < 50
+    assert quantiles(df, [], ["v"], [0.25, 0.9]).first()["q"] == [1e9 + 24_999.75, 1e9 + 89_999.1]
+
+
+def test_auc_puts_not_a_number_highest(spark):
+    rows = [(1.0, 0), (2.0, 1), (3.0, 0), (float("nan"), 1)]
+    assert metrics.exact_auc(spark.createDataFrame(rows, "s double, y int"), [], "y", "s").first()["auc"] == 0.75
 
 
 @pytest.mark.parametrize("n", [1, 2, 5, 10, 15, 37, 400])
@@ -100,8 +123,8 @@ def test_many_groups_without_broadcast(spark, monkeypatch):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         df = spark.range(5000).selectExpr("CASE WHEN id % 3 = 0 THEN NULL ELSE id % 700 END AS g", "id * 7 % 911 AS v")
-        got = quantiles(df, ["g"], ["v"], [0.3, 0.5], gather=False)
-        want = quantiles(df, ["g"], ["v"], [0.3, 0.5], gather=True)
+        got = quantiles(df, ["g"], ["v"], [0.3, 0.5])
+        want = df.groupBy("g").agg(F.expr("percentile(v, array(0.3D, 0.5D))").alias("q"))
         assert got.count() == want.count()
         pairs = got.withColumnRenamed("q", "a").join(want, got["g"].eqNullSafe(want["g"]))
         gap = pairs.select(F.max(F.abs(F.col("a")[0] - F.col("q")[0]) + F.abs(F.col("a")[1] - F.col("q")[1]))).first()[0]
