@@ -65,6 +65,26 @@ def test_unigram_models_with_bytes(settings):
             assert ours.encode(text, add_special_tokens=False).ids == theirs.encode(text), text
 
 
+@pytest.mark.parametrize("most", [400_000, 3])
+def test_parts_that_came_before_change_nothing(most):
+    for model in (codec.read_model(codec.MODEL), unigram(), unigram(True, False, False)):
+        encoder, theirs = codec.Encoder(model, most), SentencePieceProcessor(model_proto=model)
+        texts = [t for t in TEXTS if "<0x41>" not in t]
+        for batch in (texts, texts[::-1], texts[:2]):
+            ids, parity = encoder.encode(batch)
+            assert ids == theirs.encode(batch) and all(parity)
+            assert encoder.decode(ids) == encoder.tokenizer.decode_batch(ids, skip_special_tokens=False)
+
+
+def test_a_difference_is_seen():
+    """Another model as the reference: parity is false where the ids differ, and only there."""
+    encoder = codec.Encoder(unigram())
+    encoder.reference = SentencePieceProcessor(model_proto=codec.read_model(codec.MODEL))
+    ids, parity = encoder.encode(["Hello World", "", " a  b"])
+    assert parity == [a == b for a, b in zip(ids, encoder.reference.encode(["Hello World", "", " a  b"]), strict=True)]
+    assert parity[:2] == [False, True]
+
+
 def test_parse_reads_the_settings():
     spec = codec.parse(unigram(True, False, True))
     assert (spec.kind, spec.byte_fallback, spec.dummy_prefix, spec.squeeze) == (codec.UNIGRAM, True, False, True)
