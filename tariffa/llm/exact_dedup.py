@@ -18,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tariffa.llm.common import with_locator
+from tariffa.llm.common import on_files, with_locator
 from tariffa.session import new_table_path
 from tariffa.sources.sinks import stored
 
@@ -80,10 +80,11 @@ def deduplicate(
     stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files_per_batch).parquet(arrivals)
     state = stored(drain(spark, stream, checkpoint or new_table_path(spark, "state")), "keepers")
 
-    # hits: compare the full bytes under each digest that came more than once
-    hits = state.filter("size > 1").select("digest")
-    spans = full.join(hits, "digest").groupBy("digest").agg(F.min("content").alias("least"), F.max("content").alias("most"))
-    differing = stored(spans.filter("least <> most").select("digest"), "differing")
+    # hits: the full bytes of all rows under one digest.  Equal ones meet in their own tasks first, so a group
+    # of copies shuffles its bytes once a task, and only digests travel on
+    texts = full.groupBy("digest", "content").agg(F.count(F.lit(1)).alias("rows")).select("digest", "rows")
+    classes = texts.groupBy("digest").agg(F.count(F.lit(1)).alias("texts"), F.sum("rows").alias("rows"))
+    differing = stored(classes.filter("rows > 1 and texts > 1").select("digest"), "differing")
     joined = rows.join(state, "digest")
     if not differing.isEmpty():
         doubtful = full.join(differing, "digest")
@@ -110,6 +111,7 @@ def deduplicate(
 
 def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents without copies: all columns of the row that stays of each class."""
+    docs = on_files(docs)
     located = with_locator(docs, *docs.columns)
     # only copies have to be taken out, so uncopied texts need no partner in the join
     copies = deduplicate(docs, id, text).filter("not kept").select("_file", "_row")

@@ -151,7 +151,7 @@ class Encoder:
     with any other part, or with one on which they differ, is encoded whole by both.
     """
 
-    def __init__(self, model: bytes, most: int = 400_000, run: int = 1000, threads: int = 1):
+    def __init__(self, model: bytes, most: int = 120_000, run: int = 1000, threads: int = 1):
         self.reference, self.threads = SentencePieceProcessor(model_proto=model), threads
         self.tokenizer, spec = build(model), parse(model)
         self.most, self.run, self.known, self.doubtful = most, run, {}, set()
@@ -244,7 +244,7 @@ def _chunks(texts: list[str], most: int) -> Iterator[list[str]]:
         yield run
 
 
-def encoded(model: bytes, text: str = "text", threads: int = 2, most: int = 2_000_000) -> Column:
+def encoded(model: bytes, text: str = "text", threads: int = 2, most: int = 500_000) -> Column:
     """A struct for a text column: ids, decoded (the text the ids give back), parity (SentencePiece gives the same ids)."""
 
     @F.pandas_udf("ids array<int>, decoded string, parity boolean")
