@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import argparse
+import os
 
 from tariffa.plans.workflow import PHASES, STEPS, Workflow, run
-from tariffa.session import build_session
+from tariffa.session import build_session, drop_tables
 from tariffa.sources.tables import read_csv_folder, read_parquet_folder
 
 
@@ -26,9 +27,10 @@ def main() -> None:
         return
     if not args.input or not args.output:
         parser.error("--run needs --input and --output")
-    spark = build_session()
+    spark = build_session(work=os.path.join(args.output, "_work"))
     read = read_csv_folder if args.input_format == "csv" else read_parquet_folder
     run(Workflow(read(spark, args.input), args.output, table_format=args.table_format), args.run)
+    drop_tables(spark)
     spark.stop()
 
 

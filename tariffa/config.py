@@ -104,7 +104,7 @@ class GlmConfig:
     test_size: float = 0.20
     category_min_exposure: int = 500
     route_min_exposure: int = 500
-    max_iter: int = 25
+    max_iter: int = 100
     tolerance: float = 1e-8
 
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler, VectorSlicer
 from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -69,6 +71,8 @@ class FittedGlm:
     pipeline: PipelineModel
     labels: dict[str, list[str]]  # alphabetical, base level first
     prediction: str
+    aliased: tuple[str, ...] = ()  # terms that others determine; they are left out
+    max_iter: int = 0
 
     def score(self, df: DataFrame) -> DataFrame:
         """Add the prediction.  A label not seen in training is scored as the base level."""
@@ -82,12 +86,89 @@ class FittedGlm:
     def summary(self):
         return self.pipeline.stages[-1].summary
 
+    @property
+    def iterations(self) -> int:
+        return int(self.summary.numIterations)
+
+    @property
+    def converged(self) -> bool:
+        """False as well if a level has no claims at all: its coefficient then falls without end, predictions do not."""
+        return self.iterations < self.max_iter
+
     def terms(self) -> list[str]:
-        """Coefficient names in the model's order (intercept last)."""
-        names = []
-        for column, levels in self.labels.items():
-            names += [f"{column}[{level}]" for level in reversed(levels[1:])]
-        return [*names, *LOG_FEATURES, "Intercept"]
+        """Coefficient names in the model's order (intercept last), without the aliased ones."""
+        return [t for t in [*encoded_terms(self.labels), "Intercept"] if t not in self.aliased]
+
+
+def encoded_terms(labels: dict[str, list[str]]) -> list[str]:
+    """Columns of the design in the encoder's order: levels from the last to the second, then the log features."""
+    levels = [f"{column}[{level}]" for column, own in labels.items() for level in reversed(own[1:])]
+    return [*levels, *LOG_FEATURES]
+
+
+# A regression on this many columns or fewer is solved directly (Spark's own limit).
+MOST_TERMS = 4096
+
+
+def gram_matrix(train: DataFrame, labels: dict[str, list[str]]) -> np.ndarray:
+    """Sums of products of all pairs of design columns, the intercept first, from cross tabulations.
+
+    One grouping with a set for each pair of categories; the driver gets a number per pair of levels.
+    """
+    names = list(labels)
+    terms = ["Intercept", *encoded_terms(labels)]
+    place = {t: i for i, t in enumerate(terms)}
+    sets = [*itertools.combinations(names, 2), *[(n,) for n in names], ()]
+    products = [F.sum(F.col(a) * F.col(b)) for a, b in itertools.combinations_with_replacement(LOG_FEATURES, 2)]
+    rows = (
+        train.groupingSets([list(s) for s in sets], *names)
+        .agg(
+            *[F.grouping(n).alias(f"__g{i}") for i, n in enumerate(names)],
+            F.count(F.lit(1)).cast("double").alias("__n"),
+            F.array(*[F.sum(c) for c in LOG_FEATURES]).alias("__sums"),
+            F.array(*products).alias("__products"),
+        )
+        .collect()
+        if names
+        else train.agg(
+            F.count(F.lit(1)).cast("double").alias("__n"),
+            F.array(*[F.sum(c) for c in LOG_FEATURES]).alias("__sums"),
+            F.array(*products).alias("__products"),
+        ).collect()
+    )
+    out = np.zeros((len(terms), len(terms)))
+    for r in rows:
+        own = [f"{n}[{r[n]}]" for i, n in enumerate(names) if r[f"__g{i}"] == 0]
+        if any(t not in place for t in own):
+            continue  # a base level
+        at = [place[t] for t in own]
+        if len(at) == 2:
+            out[at[0], at[1]] = out[at[1], at[0]] = r["__n"]
+            continue
+        i = at[0] if at else 0
+        out[i, i] = r["__n"]
+        if at:
+            out[0, i] = out[i, 0] = r["__n"]
+        for c, total in zip(LOG_FEATURES, r["__sums"], strict=True):
+            out[i, place[c]] = out[place[c], i] = total
+        if not at:
+            pairs = itertools.combinations_with_replacement(LOG_FEATURES, 2)
+            for (a, b), total in zip(pairs, r["__products"], strict=True):
+                out[place[a], place[b]] = out[place[b], place[a]] = total
+    return out
+
+
+def independent_columns(gram: np.ndarray, tolerance: float = 1e-9) -> list[int]:
+    """Columns that the ones before them do not determine, by a Cholesky factorisation in the given order."""
+    scale = np.sqrt(np.maximum(np.diag(gram), 1e-300))
+    rest = gram / scale[:, None] / scale[None, :]
+    kept: list[int] = []
+    for j in range(len(rest)):
+        if gram[j, j] > 0 and rest[j, j] > tolerance:
+            kept.append(j)
+            column = rest[j + 1 :, j] / np.sqrt(rest[j, j])
+            rest[j + 1 :, j + 1 :] -= np.outer(column, column)
+    return kept
 
 
 def _labels(df: DataFrame) -> dict[str, list[str]]:
@@ -119,7 +200,16 @@ def fit_regression(
             ),
         ]
         encoded = [f"__ml_v_{c}" for c in names]
-    stages.append(VectorAssembler(inputCols=[*encoded, *LOG_FEATURES], outputCol="__ml_x"))
+    terms = encoded_terms(labels)
+    if len(terms) > MOST_TERMS:
+        raise ValueError(f"{len(terms)} terms; the regression takes {MOST_TERMS}: raise the minimum exposure of a level")
+    # the intercept comes first and always stays; log features stay before levels that they determine
+    order = [0, *range(len(terms) - len(LOG_FEATURES) + 1, len(terms) + 1), *range(1, len(terms) - len(LOG_FEATURES) + 1)]
+    gram = gram_matrix(train, labels)[np.ix_(order, order)]
+    kept = sorted(order[i] - 1 for i in independent_columns(gram) if order[i])
+    aliased = tuple(t for i, t in enumerate(terms) if i not in set(kept))
+    stages.append(VectorAssembler(inputCols=[*encoded, *LOG_FEATURES], outputCol="__ml_all"))
+    stages.append(VectorSlicer(inputCol="__ml_all", outputCol="__ml_x", indices=kept))
     named = train.withColumns({f"__known_{c}": F.col(c) for c in labels})
     encoder = Pipeline(stages=stages).fit(named)
     regression = GeneralizedLinearRegression(
@@ -141,7 +231,7 @@ def fit_regression(
         fitted = regression.fit(ready)
     finally:
         ready.unpersist()
-    return FittedGlm(PipelineModel(stages=[*encoder.stages, fitted]), labels, prediction)
+    return FittedGlm(PipelineModel(stages=[*encoder.stages, fitted]), labels, prediction, aliased, config.max_iter)
 
 
 @dataclass(frozen=True)
@@ -184,17 +274,11 @@ def fit_two_part(population: DataFrame, config: GlmConfig | None = None) -> TwoP
 
 
 def coefficient_table(model: FittedGlm, name: str, spark) -> DataFrame:
-    """Coefficients with errors, p-values, intervals and relativities.
-
-    A singular design has no standard errors; those columns are then missing.
-    """
+    """Coefficients with errors, p-values, intervals and relativities; aliased terms are not among them."""
     fitted = model.pipeline.stages[-1]
     values = [*[float(v) for v in fitted.coefficients.toArray()], float(fitted.intercept)]
-    try:
-        errors = [float(v) for v in model.summary.coefficientStandardErrors]
-        p_values = [float(v) for v in model.summary.pValues]
-    except Exception:  # Spark raises a plain error when the normal equations are singular
-        errors = p_values = [None] * len(values)
+    errors = [float(v) for v in model.summary.coefficientStandardErrors]
+    p_values = [float(v) for v in model.summary.pValues]
     rows = list(zip([name] * len(values), model.terms(), values, errors, p_values, strict=True))
     table = spark.createDataFrame(
         rows, "model string, term string, coefficient double, standard_error double, p_value double"
@@ -214,10 +298,10 @@ def coefficient_table(model: FittedGlm, name: str, spark) -> DataFrame:
 
 def fit_statistics(model: TwoPartGlm, spark) -> DataFrame:
     rows = [
-        (name, float(m.summary.aic), int(m.summary.numInstances), int(m.summary.rank))
+        (name, float(m.summary.aic), int(m.summary.numInstances), int(m.summary.rank), m.iterations, m.converged, list(m.aliased))
         for name, m in (("frequency", model.frequency), ("severity", model.severity))
     ]
-    return spark.createDataFrame(rows, "model string, aic double, nobs bigint, model_rank int")
+    return spark.createDataFrame(rows, "model string, aic double, nobs bigint, model_rank int, iterations int, converged boolean, aliased array<string>")
 
 
 def validation_scores(claims: DataFrame, config: GlmConfig | None = None) -> DataFrame:

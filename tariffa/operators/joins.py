@@ -12,8 +12,12 @@ from tariffa.sources.sinks import stored
 # A key counts as hot when it holds at least this share of the fact rows, so there can never
 # be more than 1/HOT_SHARE hot keys.
 HOT_SHARE = 0.001
+# Rows of a hot key that one salt takes, and the salts of rows without a key.
+ROWS_PER_SALT = 1_000_000
 SALTS = 32
+# A derived table is broadcast if it has no more rows than this and takes no more room on disk.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 16 * 2**20
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -44,11 +48,16 @@ def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFram
     if estimated_bytes(df) <= broadcast_limit(df):
         return F.broadcast(df)
     held = stored(df, "small")
-    return F.broadcast(held) if held.count() <= max_rows else held
+    return F.broadcast(held) if few(held, max_rows) else held
 
 
-def hot_keys(key_source: DataFrame, key: str) -> list:
-    """Keys that hold at least ``HOT_SHARE`` of the rows: never more than ``1 / HOT_SHARE``.
+def few(held: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """Whether a written table is small in rows and in bytes."""
+    return estimated_bytes(held) <= max(BROADCAST_BYTES, broadcast_limit(held)) and held.count() <= max_rows
+
+
+def hot_keys(key_source: DataFrame, key: str) -> dict:
+    """Keys that hold at least ``HOT_SHARE`` of the rows, with their counts: never more than ``1 / HOT_SHARE``.
 
     A frequent-items sketch has a bounded state, so this is one narrow pass with nothing to
     shuffle.  The list is fixed once, as literals, so both join sides and every retried task
@@ -63,7 +72,7 @@ def hot_keys(key_source: DataFrame, key: str) -> list:
         )
         .first()
     )
-    return [t["item"] for t in summary["top"] or [] if t["count"] >= summary["row_count"] * HOT_SHARE]
+    return {t["item"]: t["count"] for t in summary["top"] or [] if t["count"] >= summary["row_count"] * HOT_SHARE}
 
 
 def dimension_join(
@@ -74,12 +83,13 @@ def dimension_join(
     key_source: DataFrame | None = None,
     row_key: Sequence[str] = (),
     derived: bool = False,
+    rows_per_salt: int = ROWS_PER_SALT,
 ) -> DataFrame:
     """Left join to a table with a unique ``key``, whatever the sizes and however hot a key is.
 
     A dimension below Spark's broadcast limit is broadcast.  So is a ``derived`` one (an
     aggregate of a large table) once its rows have been counted and found few.  A larger one
-    is shuffled; rows of hot keys (and rows without a key) are then spread over ``SALTS`` salts and only the
+    is shuffled; rows of hot keys are then spread over salts, one for each ``rows_per_salt`` of the key's rows, and only the
     dimension rows of those few keys are repeated, so a key with a third of all rows still
     ends up in many tasks.
     """
@@ -87,17 +97,20 @@ def dimension_join(
         return fact.join(F.broadcast(dimension), key, "left")
     if derived:
         dimension = stored(dimension, "dimension")
-        if dimension.count() <= BROADCAST_ROWS:
+        if few(dimension):
             return fact.join(F.broadcast(dimension), key, "left")
 
     hot = hot_keys(fact if key_source is None else key_source, key)
-    spread = F.pmod(F.xxhash64(*(row_key or [c for c in fact.columns if c != key])), F.lit(SALTS)).cast("int")
+    mixed = F.xxhash64(*(row_key or [c for c in fact.columns if c != key]))
     known = F.col(key).isNotNull()
-    is_hot = F.col(key).isin(hot) if hot else F.lit(False)
-    salted_fact = fact.withColumn("__salt", F.when(known & ~is_hot, F.lit(0)).otherwise(spread))
-    every_salt = F.array(*[F.lit(s) for s in range(SALTS)])
+    salts = F.lit(1)
+    if hot:
+        table = F.create_map(*[F.lit(x) for k, n in hot.items() for x in (k, max(2, -(-n // rows_per_salt)))])
+        salts = F.coalesce(table[F.col(key)], F.lit(1))
+    # rows without a key find no partner, wherever they go
+    salted_fact = fact.withColumn("__salt", F.pmod(mixed, F.when(known, salts).otherwise(F.lit(SALTS))).cast("int"))
     salted_dimension = dimension.filter(known).withColumn(
-        "__salt", F.explode(F.when(is_hot, every_salt).otherwise(F.array(F.lit(0))))
+        "__salt", F.explode(F.sequence(F.lit(0), (salts - 1).cast("int")))
     )
     return salted_fact.join(salted_dimension, [key, "__salt"], "left").drop("__salt")
 

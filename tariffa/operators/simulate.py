@@ -113,8 +113,10 @@ def with_exact_caps(exposure: DataFrame, config: SimulationConfig) -> Simulation
     caps = exact_caps(exposure)
     return replace(
         config,
-        freight_value_cap=config.freight_value_cap or caps["freight_value"],
-        freight_to_price_ratio_cap=config.freight_to_price_ratio_cap or caps["freight_to_price_ratio"],
+        freight_value_cap=caps["freight_value"] if config.freight_value_cap is None else config.freight_value_cap,
+        freight_to_price_ratio_cap=(
+            caps["freight_to_price_ratio"] if config.freight_to_price_ratio_cap is None else config.freight_to_price_ratio_cap
+        ),
     )
 
 

@@ -14,6 +14,7 @@ from tariffa.functions.columns import keyed_uniform
 from tariffa.operators import attribution, backtest, boosting, features, glm, metrics, profile, rating, simulate, stress
 from tariffa.operators import credibility as cred
 from tariffa.operators import exposure as exposures
+from tariffa.operators.quantiles import quantiles
 from tariffa.plans.star import BOOSTING, CREDIBILITY, GLM, RATING, SIMULATION, StarStages, exact_cap_simulation
 from tariffa.sources.sinks import read_metrics, stored, write_metrics
 from tariffa.session import new_table_path
@@ -23,7 +24,7 @@ CATEGORY, ROUTE = "product_category_name_english", "route_state"
 Builder = Callable[[StarStages], DataFrame]
 
 _REGISTRY: dict[str, Builder] = {}
-_STAGES: dict[tuple[str, str], StarStages] = {}
+_STAGES: dict[tuple, StarStages] = {}
 
 
 def query(builder: Builder) -> Builder:
@@ -32,9 +33,16 @@ def query(builder: Builder) -> Builder:
     return builder
 
 
+def _state(spark: SparkSession, folder: str) -> tuple:
+    """Length and time of each file in a folder."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in files))
+
+
 def stages(spark: SparkSession, folder: str) -> StarStages:
-    """Stages of one input folder; tables written for one query serve the session's others."""
-    key = (spark.sparkContext.applicationId, folder)
+    """Stages of one input folder; tables written for one query serve the session's others until a file changes."""
+    key = (spark.sparkContext.applicationId, folder, _state(spark, folder))
     if key not in _STAGES:
         _STAGES[key] = StarStages(spark, folder)
     return _STAGES[key]
@@ -90,13 +98,12 @@ def union_all(parts: list[DataFrame]) -> DataFrame:
 
 @query
 def scan_exposure_inputs(s: StarStages) -> DataFrame:
-    widths = {"items": 6, "orders": 5, "products": 6, "translation": 2, "customers": 4, "sellers": 4}
     return union_all(
         [
             df.agg(
                 F.lit(name).alias("table_name"),
                 F.count(F.lit(1)).alias("row_count"),
-                F.lit(widths[name]).alias("column_count"),
+                F.lit(len(df.columns)).alias("column_count"),
             )
             for name, df in s.tables.by_name().items()
         ]
@@ -144,6 +151,17 @@ def numeric_quantiles_bucketed(s: StarStages) -> DataFrame:
     return profile.numeric_quantiles(s.exposures)
 
 
+@query
+def order_time_quantiles(s: StarStages) -> DataFrame:
+    """A column far from zero: microseconds since 1970, all different."""
+    micros = F.unix_micros("order_purchase_timestamp") + F.col("order_id")
+    wanted = {"min": 0.0, "p25": 0.25, "p50": 0.5, "p99": 0.99, "max": 1.0}
+    found = quantiles(s.tables.orders.select(micros.alias("micros")), [], ["micros"], list(wanted.values()))
+    return found.select(
+        F.col("n").alias("orders"), *[F.round(F.col("q")[i]).cast("long").alias(name) for i, name in enumerate(wanted)]
+    )
+
+
 @query
 def cap_diagnostics(s: StarStages) -> DataFrame:
     return profile.cap_diagnostics(s.exposures)
@@ -632,7 +650,8 @@ def base_feature_names(s: StarStages) -> DataFrame:
 
 @query
 def leakage_report(s: StarStages) -> DataFrame:
-    return features.leakage_report(s.claims)
+    """Over the columns that the models use as well as those that they must not."""
+    return features.leakage_report(_featured(s))
 
 
 def _scored(s: StarStages) -> DataFrame:

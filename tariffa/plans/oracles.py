@@ -590,6 +590,13 @@ def build() -> dict[str, str]:
         f"stddev_samp({col}) AS std, " + ", ".join(f'quantile_cont({col}, {p}) AS "{n}"' for n, p in qs)
         + " FROM exposure" for col in _NUMERIC))
     out["numeric_quantiles_bucketed"] = out["numeric_quantiles"]
+    times = [("min", 0), ("p25", 0.25), ("p50", 0.5), ("p99", 0.99), ("max", 1)]
+    out["order_time_quantiles"] = "SELECT count(*) AS orders, " + ", ".join(
+        f"CAST(round(quantile_cont(CAST(epoch_us(CAST(o_orderdate AS TIMESTAMP)) + o_orderkey AS DOUBLE), {p})) AS BIGINT) AS {n}"
+        for n, p in times) + " FROM orders"
+    out["sink_round_trip"] = _with(x, """
+      SELECT count(*) AS rows_read, (SELECT count(*) FROM items) AS rows_recorded, round(sum(price), 2) AS price_sum
+      FROM exposure""")
     caps = [("p95", 0.95), ("p99", 0.99), ("p99.5", 0.995)]
     out["cap_diagnostics"] = _with(x, " UNION ALL ".join(
         f"""SELECT '{col}' AS field, '{n}' AS cap_quantile, cap AS cap_value,
@@ -861,13 +868,17 @@ caps AS (SELECT quantile_cont(freight_value, 0.99) AS fc, quantile_cont(freight_
     out["prediction_errors"] = _with(_SCORED, f"""
       SELECT split, count(*) AS row_count, avg(y) AS actual_mean, avg(s) AS predicted_mean, avg(abs(y - s)) AS mae,
              avg((y - s) * (y - s)) AS mse, sqrt(avg((y - s) * (y - s))) AS rmse FROM ({scored_split}) GROUP BY 1""")
-    out["leakage_report"] = _with(c, " UNION ALL ".join(
+    from tariffa.operators.features import MODEL_FEATURES
+
+    out["leakage_report"] = _with(c, " UNION ALL ".join([
+        f"SELECT '{f}' AS field, 1 AS is_feature, 0 AS is_barred, count(*) AS values_present, 0 AS conflict FROM claims"
+        for f in MODEL_FEATURES] + [
         f"SELECT '{f}' AS field, 0 AS is_feature, 1 AS is_barred, count({f}) AS values_present, 0 AS conflict FROM claims"
         for f in ("return_factor_category", "return_factor_route", "return_factor_freight_ratio", "return_factor_size",
                   "return_factor_month", "return_probability", "return_requested", "return_approved",
                   "refund_without_return", "partial_refund", "request_days_after_delivery", "return_reason",
                   "covered_claim_flag", "covered_claim_probability", "claim_type", "gross_loss",
-                  "recovery_from_carrier", "paid_loss", "net_loss", "claim_status")))
+                  "recovery_from_carrier", "paid_loss", "net_loss", "claim_status")]))
     out["base_feature_names"] = _with(c + "," + _LEVELS, """
       SELECT base_feature, count(*) AS encoded_feature_count, CAST(sum(n) AS BIGINT) AS row_count FROM (
         SELECT 'category_group' AS base_feature, category_group AS level, count(*) AS n FROM grouped GROUP BY 2

@@ -15,6 +15,7 @@ DOUBLE_COLUMNS: dict[str, str] = {
     "missing_report": "missing_rate",
     "numeric_quantiles": "mean std min p1 p5 p25 p50 p75 p95 p99 p99.5 max",
     "numeric_quantiles_bucketed": "mean std min p1 p5 p25 p50 p75 p95 p99 p99.5 max",
+    "sink_round_trip": "price_sum",
     "cap_diagnostics": "cap_value share_above_cap total_value_above_cap",
     "anomaly_checks": "row_share",
     "status_summary": (

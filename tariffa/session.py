@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import os
+import re
 import sys
 import tempfile
 import uuid
 
-from pyspark import cloudpickle
+from pyspark import SparkConf, cloudpickle
 from pyspark.sql import SparkSession
 
 # Functions that run on workers travel with all they use of this package, so workers need no copy of it.
@@ -24,8 +25,13 @@ RUNTIME_CONF = {
 }
 
 
-def build_session(master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
+def build_session(
+    master: str | None = None, shuffle_partitions: int | None = None, work: str | None = None
+) -> SparkSession:
+    """``work`` is the shared folder, unless the cluster's own settings name one."""
     builder = SparkSession.builder.appName("tariffa").config("spark.ui.enabled", "false")
+    if work and not SparkConf().contains("spark.checkpoint.dir"):
+        builder = builder.config("spark.checkpoint.dir", work)
     if master:
         builder = builder.master(master)
     if shuffle_partitions:
@@ -45,14 +51,17 @@ def prepare(spark: SparkSession) -> SparkSession:
 def work_dir(spark: SparkSession) -> str:
     """Shared folder for written tables and checkpoints.
 
-    The cluster names it in ``spark.checkpoint.dir``.  Only when that is unset (tests on one
-    machine) is a temporary folder made.
+    The cluster names it in ``spark.checkpoint.dir``.  Only when that is unset and all runs in one process
+    (``local`` master, as in tests) is a temporary folder made; anywhere else its absence is an error, as every machine would
+    write to a disk of its own.
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         named = context.getCheckpointDir()
         if not named:
+            if re.fullmatch(r"local(\[.*\])?", context.master) is None:
+                raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
             named = tempfile.mkdtemp(prefix="tariffa-")
             context.setCheckpointDir(named)
     return named
@@ -64,6 +73,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(work_dir(spark))
 
 
+def drop_tables(spark: SparkSession) -> None:
+    """Delete the tables that were written below the shared folder; nothing may read them any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(os.path.join(work_dir(spark), "tables"))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def new_table_path(spark: SparkSession, name: str) -> str:
     """A path nobody has used yet, below the shared folder."""
     return os.path.join(work_dir(spark), "tables", f"{name}-{uuid.uuid4().hex[:12]}")

@@ -36,12 +36,13 @@ INPUT_KEYS = {
 
 
 def read_csv(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """CSV with a header row, read with the fixed schema of table ``name``."""
+    """CSV with a header row, read with the fixed schema of table ``name``; a malformed row is an error."""
     return (
         spark.read.schema(INPUT_SCHEMAS[name])
         .option("header", "true")
         .option("enforceSchema", "false")
         .option("multiLine", "false")
+        .option("mode", "FAILFAST")
         .csv(path)
     )
 
@@ -83,7 +84,8 @@ def from_star_schema(spark: SparkSession, folder: str) -> InputTables:
         return spark.read.parquet(os.path.join(folder, f"{name}.parquet"))
 
     nation = table("nation").select("n_nationkey", "n_name")
-    items = spread(table("lineitem")).select(
+    wanted = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_tax"]
+    items = spread(table("lineitem").select(*wanted)).select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("order_item_id"),
         F.col("l_partkey").alias("product_id"),

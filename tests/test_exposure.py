@@ -85,7 +85,7 @@ def test_dimension_join_with_a_hot_key(spark, limit):
         got = joins.dimension_join(fact, dimension, "k", row_key=["id"])
         assert ("__salt" in got._jdf.queryExecution().analyzed().toString()) == (limit == "-1")
         assert got.agg(F.count("id"), F.count("v"), F.sum("v")).first() == want
-        assert joins.hot_keys(fact, "k")[0] == 1
+        assert list(joins.hot_keys(fact, "k"))[0] == 1
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 

@@ -56,6 +56,41 @@ def test_coefficients_are_named(spark, fitted):
     assert all(abs(r["relativity"] - np.exp(r["coefficient"])) < 1e-9 * r["relativity"] for r in table)
 
 
+def test_fits_converge_and_say_how(spark, fitted):
+    rows = {r["model"]: r for r in glm.fit_statistics(fitted, spark).collect()}
+    assert rows["severity"]["converged"] and all(1 < r["iterations"] <= 100 for r in rows.values())
+
+
+def test_terms_that_others_determine_are_left_out(spark, claims):
+    """Every route is kept, so the crossing flag is a sum of routes: errors exist all the same."""
+    config = GlmConfig(category_min_exposure=1, route_min_exposure=1)
+    eligible = rating.eligible_rows(claims)
+    counts = eligible.groupBy("cross_state_flag", "route_state").count().orderBy(F.desc("count"))
+    routes = [r["route_state"] for flag in (0, 1) for r in counts.filter(F.col("cross_state_flag") == flag).head(6)]
+    eligible = eligible.filter(F.col("route_state").isin(routes))
+    rows = features.prepare_features(eligible, *features.level_tables(eligible, 1, 1), missing_parts="fail")
+    model = glm.fit_regression(rows, "covered_claim_flag", "binomial", "logit", "p", config)
+    assert any(t.startswith("cross_state") for t in model.aliased)
+    table = glm.coefficient_table(model, "frequency", spark)
+    assert table.filter("standard_error IS NULL OR isnan(standard_error)").count() == 0
+    assert table.count() == len(model.terms())
+    score = model.score(rows).agg(F.sum("covered_claim_flag"), F.sum("p")).first()
+    assert abs(score[0] - score[1]) < 1e-4 * score[0]
+
+
+def test_the_gram_matrix_is_that_of_the_design(claims, fitted):
+    rows = fitted.features(rating.eligible_rows(claims)).limit(400)
+    labels = glm._labels(rows)
+    terms = ["Intercept", *glm.encoded_terms(labels)]
+    plain = rows.select(*labels, *features.LOG_FEATURES).toPandas()
+    columns = [np.ones(len(plain))]
+    for term in terms[1:]:
+        name, _, level = term.partition("[")
+        columns.append((plain[name] == level[:-1]).to_numpy(float) if level else plain[name].to_numpy(float))
+    design = np.stack(columns, axis=1)
+    np.testing.assert_allclose(glm.gram_matrix(rows, labels), design.T @ design, rtol=1e-9, atol=1e-9)
+
+
 def test_no_claims_is_a_clear_error(claims):
     quiet = rating.eligible_rows(claims).withColumns({"covered_claim_flag": F.lit(0), "net_loss": F.lit(0.0)})
     with pytest.raises(ValueError, match="no covered claims"):
