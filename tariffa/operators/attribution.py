@@ -167,6 +167,7 @@ class Contributions:
 
     rows: DataFrame
     features: list[int]  # slots some tree splits on; every other contribution is 0
+    bias: float
 
 
 def contributions(
@@ -200,16 +201,19 @@ def contributions(
 
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.select(*key).schema.fields)
     rows = encoded.mapInPandas(explain, f"{kept}, contributions array<double>, bias double, margin double")
-    return Contributions(rows, used)
+    constant = sum(game["value"] * math.prod(share for _, _, share in game["players"]) for game in games)
+    return Contributions(rows, used, constant * scale)
 
 
 def contribution_summary(parts: Contributions, encoder, name: str, scale_name: str) -> DataFrame:
     """Mean absolute and mean contribution, positive share and quantiles per encoded feature.
 
-    The per-feature rows exist only inside the scan: they are aggregated before any shuffle.
+    The contributions are worked out once and written without their keys; the per-feature rows exist only inside scans of
+    that table: they are aggregated before any shuffle.
     """
     spark = parts.rows.sparkSession
-    long = parts.rows.select(F.posexplode("contributions").alias("part", "contribution"))
+    held = stored(parts.rows.select("contributions"), "contribution_rows")
+    long = held.select(F.posexplode("contributions").alias("part", "contribution"))
     measures = long.groupBy("part").agg(
         F.avg(F.abs("contribution")).alias("mean_abs_contribution"),
         F.avg("contribution").alias("mean_contribution"),
@@ -227,7 +231,6 @@ def contribution_summary(parts: Contributions, encoder, name: str, scale_name: s
     found = slots.join(measures, "part").join(q, "part").drop("part")
     table = _feature_names(encoder, spark).join(found, "feature_index", "left")
     whole = measures.agg(F.sum("mean_abs_contribution")).scalar()
-    bias = parts.rows.agg(F.avg("bias")).scalar()
     columns = [
         "mean_abs_contribution",
         "mean_contribution",
@@ -243,7 +246,7 @@ def contribution_summary(parts: Contributions, encoder, name: str, scale_name: s
         "encoded_feature",
         *columns,
         base_feature(F.col("encoded_feature")).alias("base_feature"),
-        bias.alias("bias_mean"),
+        F.lit(parts.bias).alias("bias_mean"),
         F.when(whole > 0, F.col("mean_abs_contribution") / whole).otherwise(0.0).alias("mean_abs_contribution_share"),
     ).orderBy(F.desc("mean_abs_contribution"), "encoded_feature")
 

@@ -25,7 +25,7 @@ from tariffa.operators.features import (
     order_split,
     prepare_features,
 )
-from tariffa.operators.glm import fit_two_part
+from tariffa.operators.glm import TwoPartGlm, fit_two_part
 from tariffa.operators.rating import eligible_rows
 from tariffa.sources.sinks import stored
 from tariffa.session import ensure_checkpoint_dir
@@ -221,8 +221,9 @@ def validation_scores(
     config: BoostingConfig | None = None,
     glm: GlmConfig | None = None,
     challenger: Challenger | None = None,
+    champion: TwoPartGlm | None = None,
 ) -> DataFrame:
-    """Both models fitted on the train orders, scoring train and test eligible rows once.
+    """Both models fitted on the train orders (unless given), scoring train and test eligible rows once.
 
     Columns: the pricing columns, ``split``, the regression's ``pred_*`` and the challenger's
     ``challenger_*`` with the calibrated expected loss.
@@ -230,7 +231,7 @@ def validation_scores(
     config, glm = config or BoostingConfig(), glm or GlmConfig()
     split = order_split(eligible_rows(pricing), glm.test_size, glm.seed)
     train = split.filter("split = 'train'")
-    champion = fit_two_part(train, glm)
+    champion = champion or fit_two_part(train, glm)
     challenger = challenger or fit_challenger(train, config, glm)
     scored = champion.score(champion.features(split)).drop(
         "category_group", "route_group", *[c for c in CATEGORICAL_FEATURES], *LOG_FEATURES

@@ -304,11 +304,11 @@ def fit_statistics(model: TwoPartGlm, spark) -> DataFrame:
     return spark.createDataFrame(rows, "model string, aic double, nobs bigint, model_rank int, iterations int, converged boolean, aliased array<string>")
 
 
-def validation_scores(claims: DataFrame, config: GlmConfig | None = None) -> DataFrame:
-    """Fit on the train orders, score train and test eligible rows."""
+def validation_scores(claims: DataFrame, config: GlmConfig | None = None, model: TwoPartGlm | None = None) -> DataFrame:
+    """Fit on the train orders (unless a model is given), score train and test eligible rows."""
     config = config or GlmConfig()
     split = order_split(eligible_rows(claims), config.test_size, config.seed)
-    model = fit_two_part(split.filter("split = 'train'"), config)
+    model = model or fit_two_part(split.filter("split = 'train'"), config)
     return model.score(model.features(split))
 
 

@@ -125,7 +125,13 @@ class StarStages:
 
     @cached_property
     def glm_validation(self) -> DataFrame:
-        return stored(glm.validation_scores(self.claims, GLM), "glm_validation")
+        return stored(glm.validation_scores(self.claims, GLM, self.champion), "glm_validation")
+
+    @cached_property
+    def champion(self) -> glm.TwoPartGlm:
+        """The regression of the train orders, fitted once for its own validation and for the comparison."""
+        split = features.order_split(rating.eligible_rows(self.claims), GLM.test_size, GLM.seed)
+        return glm.fit_two_part(split.filter("split = 'train'"), GLM)
 
     @cached_property
     def glm_sellers(self) -> DataFrame:
@@ -137,7 +143,7 @@ class StarStages:
 
     @cached_property
     def boosted_validation(self) -> DataFrame:
-        return boosting.validation_scores(self.glm_pricing, BOOSTING, GLM, challenger=self.challenger_model)
+        return boosting.validation_scores(self.glm_pricing, BOOSTING, GLM, self.challenger_model, self.champion)
 
     @cached_property
     def challenger_pricing(self) -> DataFrame:
