@@ -298,10 +298,10 @@ def coefficient_table(model: FittedGlm, name: str, spark) -> DataFrame:
 
 def fit_statistics(model: TwoPartGlm, spark) -> DataFrame:
     rows = [
-        (name, float(m.summary.aic), int(m.summary.numInstances), int(m.summary.rank), m.iterations, m.converged, list(m.aliased))
+        (name, float(m.summary.aic), int(m.summary.numInstances), int(m.summary.rank), m.iterations, m.converged, " ".join(m.aliased))
         for name, m in (("frequency", model.frequency), ("severity", model.severity))
     ]
-    return spark.createDataFrame(rows, "model string, aic double, nobs bigint, model_rank int, iterations int, converged boolean, aliased array<string>")
+    return spark.createDataFrame(rows, "model string, aic double, nobs bigint, model_rank int, iterations int, converged boolean, aliased string")
 
 
 def validation_scores(claims: DataFrame, config: GlmConfig | None = None, model: TwoPartGlm | None = None) -> DataFrame:
