@@ -21,7 +21,7 @@ from dataclasses import dataclass, field
 from itertools import chain
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
@@ -227,10 +227,6 @@ def read_model(path: str) -> bytes:
         return file.read()
 
 
-def _texts(batch: pd.Series) -> list[str]:
-    return ["" if t is None else t for t in batch.where(batch.notna(), None)]
-
-
 def _chunks(texts: list[str], most: int) -> Iterator[list[str]]:
     """Texts in runs of about ``most`` characters."""
     run, size = [], 0
@@ -247,24 +243,22 @@ def _chunks(texts: list[str], most: int) -> Iterator[list[str]]:
 def encoded(model: bytes, text: str = "text", threads: int = 2, most: int = 500_000) -> Column:
     """A struct for a text column: ids, decoded (the text the ids give back), parity (SentencePiece gives the same ids)."""
 
-    @F.pandas_udf("ids array<int>, decoded string, parity boolean")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("ids array<int>, decoded string, parity boolean")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         # as many threads as a task has cores; read before the library's pool starts
         os.environ |= {"TOKENIZERS_PARALLELISM": "true", "RAYON_NUM_THREADS": str(threads)}
         encoder = Encoder(model, threads=threads)
         for batch in batches:
-            parts = []
-            for texts in _chunks(_texts(batch), most):
-                ids, parity = encoder.encode(texts)
-                parts.append(
-                    pd.DataFrame(
-                        {
-                            "ids": [np.array(x, np.int32) for x in ids],
-                            "decoded": encoder.decode(ids),
-                            "parity": parity,
-                        }
-                    )
-                )
-            yield pd.concat(parts, ignore_index=True) if parts else pd.DataFrame({"ids": [], "decoded": [], "parity": []})
+            flat, sizes, decoded, parity = [np.zeros(0, np.int32)], [0], [], []
+            for texts in _chunks([t or "" for t in batch.to_pylist()], most):
+                ids, agree = encoder.encode(texts)
+                sizes += map(len, ids)
+                flat.append(np.fromiter(chain.from_iterable(ids), np.int32))
+                decoded += encoder.decode(ids)
+                parity += agree
+            lists = pa.ListArray.from_arrays(np.cumsum(sizes, dtype=np.int32), np.concatenate(flat))
+            yield pa.StructArray.from_arrays(
+                [lists, pa.array(decoded, pa.string()), pa.array(parity, pa.bool_())], ["ids", "decoded", "parity"]
+            )
 
     return run(F.col(text))
