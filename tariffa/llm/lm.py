@@ -4,13 +4,13 @@ The probability of a word after another mixes three maximum-likelihood estimates
 the vocabulary and one unknown word.  The mixture weights depend on how frequent the context is: contexts are
 put into buckets by the binary logarithm of their relative frequency, and each bucket's weights are learned by
 expectation-maximisation on counts of a held-out part, with estimates from the retained part.  The estimates that score
-are those of both parts.  Contexts rarer than one word in ``contexts`` form the last bucket, which has no pair estimate:
-by that rule there are at most ``contexts`` of them whatever the size of the corpus, and counts of pairs stay few enough to
-gather over all documents.
+are those of both parts.  Pairs of all contexts are counted; a context that was never learned from has no pair estimate, and
+the weights of the other two are those of held-out words whose context the retained part does not have.
+With ``contexts``, contexts rarer than one word in so many are treated as never learned from.
 
-Words are told apart by XXH64; a token in its context is an event.  Counts are summed inside tasks before they are shuffled.  Events
-that make up more than one in ``frequent`` tokens (at most so many) are scored from a table sent to all tasks, so that no
-frequent pair meets in one task; all others meet their score in a join, where none is frequent any more.
+Words are told apart by XXH64; a token in its context is an event, a mix of both hashes.  Counts are summed inside tasks before they
+are shuffled.  Words and events that make up more than one in ``frequent`` tokens (at most so many) are looked up in a table sent to
+all tasks, so that no frequent one meets in one task; all others meet their counts or score in a join, where none is frequent any more.
 
 A null text counts as empty; an empty text has one token, its end.  Without training documents every score is that of unknown
 words (log10 of 1).  Null identifiers are kept, repeated rows are scored each, an empty table gives an empty result and further columns are ignored.
@@ -32,7 +32,9 @@ from tariffa.sources.sinks import stored
 
 OTHER, RETAINED, HELD = 0, 1, 2  # parts of the corpus
 START, END = (xxh64_intdigest(b) for b in (b" ", b""))  # no word is empty or holds a space
-NO_CONTEXT = -1
+LONE = xxh64_intdigest(b"  ")  # stands for all contexts without pair estimate
+ROTATED = 23
+MOST_BUCKETS = 64
 STEPS = 4  # of the logarithm, in the table that the weights are learned from
 
 
@@ -47,12 +49,18 @@ def tokens(texts: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return hashes, before, np.repeat(np.arange(len(lists)), sizes)
 
 
-def scrambled(x: np.ndarray) -> np.ndarray:
-    """Well mixed 64 bits of a small number."""
-    x = (x.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+def signed(value: int) -> int:
+    return int(np.uint64(value).view(np.int64))
+
+
+def event_of(token: np.ndarray, context: np.ndarray) -> np.ndarray:
+    """One hash for a token in its context."""
+    return token ^ (context << np.uint64(ROTATED) | context >> np.uint64(64 - ROTATED))
+
+
+def event_column(token: str, context: str) -> Column:
+    turned = F.shiftleft(context, ROTATED).bitwiseOR(F.shiftrightunsigned(context, 64 - ROTATED))
+    return F.col(token).bitwiseXOR(turned)
 
 
 def looked_up(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -81,7 +89,7 @@ def _sums() -> list[Column]:
 class Counts:
     words: DataFrame  # token, other, retained, held
     pairs: DataFrame  # context, token, other, retained, held
-    contexts: pd.DataFrame  # token, retained, total; the row number is the context's number
+    heads: np.ndarray | None  # sorted hashes of the contexts with pair estimate, None for all
     retained: int
     total: int
     vocabulary: int
@@ -92,7 +100,11 @@ def _rows(docs: DataFrame, text: str, part: Column) -> DataFrame:
     return docs.select(F.col(text).alias("text"), part.cast("int").alias("part"))
 
 
-def count(docs: DataFrame, text: str, part: Column, contexts: int = 256) -> Counts:
+def in_heads(before: np.ndarray, heads: np.ndarray | None) -> np.ndarray:
+    return before if heads is None else np.where(looked_up(heads, before) >= 0, before, np.uint64(LONE))
+
+
+def count(docs: DataFrame, text: str, part: Column, contexts: int | None = None) -> Counts:
     def words(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for piece in pieces(frames, "text"):
             hashes, _, owner = tokens(piece["text"])
@@ -106,34 +118,27 @@ def count(docs: DataFrame, text: str, part: Column, contexts: int = 256) -> Coun
         F.sum(learned), F.sum("retained"), F.count_if(learned > 0), F.sum(learned + F.col("other"))
     ).first()
     total, retained, everything = total or 0, retained or 0, everything or 0
-    end = int(np.uint64(END).view(np.int64))
-    common = table.filter((learned * contexts >= max(total, 1)) & (F.col("token") != end))
-    known = [(r["token"], r["retained"], r["retained"] + r["held"]) for r in collectable(common, contexts, "contexts")]
-    # every text has one end, and one start
-    ends = table.filter(F.col("token") == end).select("retained", "held").first() or (0, 0)
-    known.append((int(np.uint64(START).view(np.int64)), ends[0], ends[0] + ends[1]))
-    kept = pd.DataFrame(known, columns=["token", "retained", "total"])
-    kept["token"] = kept["token"].to_numpy(np.int64).view(np.uint64)
-    kept = kept.sort_values("token", ignore_index=True)
-    heads = kept["token"].to_numpy()
+    heads = None
+    if contexts is not None:
+        common = table.filter((learned * contexts >= max(total, 1)) & (F.col("token") != signed(END)))
+        known = [r["token"] for r in collectable(common, contexts, "contexts")]
+        heads = np.sort(np.array([*known, signed(START)], np.int64).view(np.uint64))
 
     def pairs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for piece in pieces(frames, "text"):
             hashes, before, owner = tokens(piece["text"])
-            context = looked_up(heads, before)
-            use = context >= 0
-            hashes, context, kind = hashes[use], context[use], piece["part"].to_numpy()[owner[use]]
-            _, first, counts = _counted(hashes ^ scrambled(context), kind)
+            before = in_heads(before, heads)
+            _, first, counts = _counted(event_of(hashes, before), piece["part"].to_numpy()[owner])
             yield pd.DataFrame(
                 {
-                    "context": context[first].astype(np.int32),
+                    "context": before[first].view(np.int64),
                     "token": hashes[first].view(np.int64),
                     **dict(zip(("other", "retained", "held"), counts.T, strict=True)),
                 }
             )
 
-    found = rows.mapInPandas(pairs, f"context int, token long, {PARTS}").groupBy("context", "token").agg(*_sums())
-    return Counts(table, stored(found, "pairs"), kept, retained, total, vocabulary, everything)
+    found = rows.mapInPandas(pairs, f"context long, token long, {PARTS}").groupBy("context", "token").agg(*_sums())
+    return Counts(table, stored(found, "pairs"), heads, retained, total, vocabulary, everything)
 
 
 def bucket(share: np.ndarray) -> np.ndarray:
@@ -166,32 +171,49 @@ def _literals(values: np.ndarray) -> Column:
 
 @dataclass
 class Weights:
-    pair: np.ndarray  # by context: pair, word, uniform
+    pair: np.ndarray  # by bucket: pair, word, uniform
     lone: np.ndarray  # word, uniform
 
 
-def events(counts: Counts) -> DataFrame:
-    """Every token in its context, with the counts of the pair and of the word."""
-    word = [F.col(f"w.{c}").alias(f"word_{c}") for c in ("retained", "held")]
-    own = [F.col(f"p.{c}").alias(c) for c in ("other", "retained", "held")]
-    paired = counts.pairs.alias("p").join(counts.words.alias("w"), "token").select("context", "token", *own, *word)
-    covered = counts.pairs.groupBy("token").agg(*_sums())
-    left = [(F.col(f"w.{c}") - F.coalesce(F.col(f"c.{c}"), F.lit(0))).alias(c) for c in ("other", "retained", "held")]
-    alone = counts.words.alias("w").join(covered.alias("c"), "token", "left")
-    return paired.unionByName(alone.select(F.lit(NO_CONTEXT).alias("context"), "token", *left, *word))
+def _with_counts(rows: DataFrame, counts: DataFrame, key: str) -> DataFrame:
+    """Each row with the counts of its key: the frequent keys' sent to all tasks, the others' by a join."""
+    near = F.broadcast(counts.filter("hot").withColumn("_near", F.lit(True)).drop("hot"))
+    met = rows.join(near, key, "left")
+    far = met.filter(F.col("_near").isNull()).select(*rows.columns).join(counts.filter("not hot").drop("hot"), key)
+    found = met.filter(F.col("_near").isNotNull()).drop("_near")
+    return found.unionByName(far)
+
+
+def events(pairs: DataFrame, counts: Counts, frequent: int) -> DataFrame:
+    """Every token in its context, with the counts of the pair, the word and the context (null without pair estimate)."""
+    own = [F.col(c) for c in ("retained", "held")]
+    hot = ((own[0] + own[1] + F.col("other")) * frequent >= max(counts.everything, 1)).alias("hot")
+    words = counts.words.select("token", own[0].alias("word_retained"), (own[0] + own[1]).alias("word_total"), hot)
+    # every text has one end, and one start
+    context = F.when(F.col("token") == signed(END), signed(START)).otherwise(F.col("token")).alias("context")
+    heads = counts.words.select(context, own[0].alias("head_retained"), (own[0] + own[1]).alias("head_total"), hot)
+    none = pairs.sparkSession.range(1).select(
+        F.lit(signed(LONE)).alias("context"), F.lit(None).cast("long").alias("head_retained"),
+        F.lit(None).cast("long").alias("head_total"), F.lit(True).alias("hot"),
+    )
+    return _with_counts(_with_counts(pairs, words, "token"), heads.unionByName(none), "context")
+
+
+def bucket_column(size: Column, total: int) -> Column:
+    """``bucket`` of size / total, null for none; the logarithm is put right where it is off by a rounding."""
+    size = size.cast("double")
+    near = F.round(F.log2(F.lit(float(max(total, 1))) / size))
+    exact = near - F.when(size * F.pow(F.lit(2.0), near) > float(max(total, 1)), 1).otherwise(0)
+    return F.when(size > 0, F.greatest(F.least(exact, F.lit(MOST_BUCKETS - 1.0)), F.lit(0.0)).cast("int"))
 
 
 def learn_weights(found: DataFrame, counts: Counts) -> Weights:
     """Mixture weights of each bucket, from the held-out counts of all events."""
-    heads = counts.contexts
-    buckets = bucket(heads["retained"].to_numpy() / max(counts.retained, 1))
-    size = F.get(_literals(heads["retained"].to_numpy()), "context")
-    kind = F.when(F.col("context") >= 0, F.get(_literals(buckets), "context").cast("int"))
-    pair = F.when(F.col("context") >= 0, F.col("retained") / F.nullif(size, F.lit(0.0)))
+    pair = F.when(F.col("head_retained") > 0, F.col("retained") / F.col("head_retained"))
     table = (
         found.filter("held > 0")
         .groupBy(
-            kind.alias("bucket"),
+            bucket_column(F.col("head_retained"), counts.retained).alias("bucket"),
             _log_step(pair).alias("pair"),
             _log_step(F.col("word_retained") / float(max(counts.retained, 1))).alias("word"),
         )
@@ -204,37 +226,32 @@ def learn_weights(found: DataFrame, counts: Counts) -> Weights:
     held = seen["held"].to_numpy(float)
     lone = seen["bucket"].isna().to_numpy()
     by_bucket = {}
-    for b in set(buckets):
+    for b in sorted(set(seen["bucket"].dropna().astype(int))):
         rows = (seen["bucket"] == b).to_numpy()
         by_bucket[b] = expectation_maximisation(
             held[rows], np.stack([estimate["pair"][rows], estimate["word"][rows], uniform[rows]], axis=1)
         )
     alone = expectation_maximisation(held[lone], np.stack([estimate["word"][lone], uniform[lone]], axis=1))
-    # a context is looked up in the bucket it has over both parts
-    final = bucket(heads["total"].to_numpy() / max(counts.total, 1))
-    nearest = [min(by_bucket, key=lambda b, own=own: (abs(b - own), b)) for own in final]
+    # a context is looked up in the bucket it has over both parts, or the nearest that was learned
+    by_bucket = by_bucket or {0: np.full(3, 1 / 3)}
+    nearest = [min(by_bucket, key=lambda b, own=own: (abs(b - own), b)) for own in range(MOST_BUCKETS)]
     return Weights(np.array([by_bucket[b] for b in nearest]), alone)
 
 
-def event_scores(found: DataFrame, counts: Counts, weights: Weights, base: float) -> DataFrame:
-    """Columns event, tokens (occurrences), known, lp and base_lp."""
-    total, size = float(max(counts.total, 1)), counts.vocabulary + 1
-    word = (F.col("word_retained") + F.col("word_held")) / total
-    uniform = F.lit(1.0 / size)
-    within = F.col("context")
+def event_scores(found: DataFrame, counts: Counts, weights: Weights) -> DataFrame:
+    """Columns event, tokens (occurrences), seen (of the word, in training) and lp."""
+    word = F.col("word_total") / float(max(counts.total, 1))
+    uniform = F.lit(1.0 / (counts.vocabulary + 1))
+    within = bucket_column(F.col("head_total"), counts.total)
     part = [F.get(_literals(weights.pair[:, i]), within) for i in range(3)]
-    heads = F.get(_literals(np.maximum(counts.contexts["total"].to_numpy(), 1)), within)
-    paired = part[0] * (F.col("retained") + F.col("held")) / heads + part[1] * word + part[2] * uniform
+    pair = (F.col("retained") + F.col("held")) / F.nullif(F.col("head_total"), F.lit(0))
+    paired = part[0] * pair + part[1] * word + part[2] * uniform
     lone = float(weights.lone[0]) * word + float(weights.lone[1]) * uniform
-    mark = scrambled(np.arange(len(counts.contexts))).view(np.int64)
-    marks = F.get(F.array(*[F.lit(int(m)) for m in mark]), within)
-    seen = F.col("word_retained") + F.col("word_held")
     return found.select(
-        F.when(within >= 0, F.col("token").bitwiseXOR(marks)).otherwise(F.col("token")).alias("event"),
+        event_column("token", "context").alias("event"),
         (F.col("other") + F.col("retained") + F.col("held")).alias("tokens"),
-        (seen > 0).cast("long").alias("known"),
-        F.log10(F.when(within >= 0, paired).otherwise(lone)).alias("lp"),
-        F.log10((seen + base) / (float(counts.total) + base * size)).alias("base_lp"),
+        F.col("word_total").alias("seen"),
+        F.log10(F.coalesce(paired, lone)).alias("lp"),
     )
 
 
@@ -243,7 +260,7 @@ def score(
     part: Column,
     id: str = "doc_id",
     text: str = "text",
-    contexts: int = 256,
+    contexts: int | None = None,
     frequent: int = 65_536,
     base: float = 0.1,
 ) -> DataFrame:
@@ -252,24 +269,26 @@ def score(
     ``part`` gives each document's part: RETAINED and HELD are learned from, OTHER is scored only.
     """
     counts = count(docs, text, part, contexts)
-    found = events(counts)
-    scores = event_scores(found, counts, learn_weights(found, counts), base)
+    weights = learn_weights(events(counts.pairs.filter("held > 0"), counts, frequent), counts)
+    scores = stored(event_scores(events(counts.pairs, counts, frequent), counts, weights), "events")
+    size = counts.vocabulary + 1
+    known = (F.col("seen") > 0).cast("long").alias("known")
+    base_lp = F.log10((F.col("seen") + base) / (float(counts.total) + base * size)).alias("base_lp")
     common = F.col("tokens") * frequent >= max(counts.everything, 1)
     table = pd.DataFrame(
-        [r.asDict() for r in collectable(scores.filter(common), frequent, "frequent events")],
-        columns=["event", "tokens", "known", "lp", "base_lp"],
+        [r.asDict() for r in collectable(scores.filter(common).select("event", known, "lp", base_lp), frequent, "frequent events")],
+        columns=["event", "known", "lp", "base_lp"],
     )
     table["event"] = table["event"].to_numpy(np.int64).view(np.uint64)
     table = table.sort_values("event")
     keys = table["event"].to_numpy()
     values = np.r_[table[["known", "lp", "base_lp"]].to_numpy(float), np.zeros((1, 3))]  # the last: not frequent
-    heads = counts.contexts["token"].to_numpy()
+    heads = counts.heads
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for piece in pieces(frames, "text"):
             hashes, before, owner = tokens(piece["text"])
-            context = looked_up(heads, before)
-            event = np.where(context >= 0, hashes ^ scrambled(np.maximum(context, 0)), hashes)
+            event = event_of(hashes, in_heads(before, heads))
             at = looked_up(keys, event)
             sums = [np.bincount(owner, values[at, c], len(piece)) for c in range(3)]
             rare = at < 0
@@ -294,7 +313,7 @@ def score(
     spread = scanned.select(
         "row", "id", "n", "known", "lp", "base_lp", F.posexplode(F.concat(F.array(F.xxhash64("row")), F.col("rare"))).alias("pos", "event")
     ).select("row", "event", *[F.when(first, F.col(c)).alias(c) for c in ("id", "n", "known", "lp", "base_lp")])
-    lookup = scores.filter(~common).select("event", *[F.col(c).alias(f"_{c}") for c in ("known", "lp", "base_lp")])
+    lookup = scores.filter(~common).select("event", *[c.alias(f"_{n}") for n, c in (("known", known), ("lp", F.col("lp")), ("base_lp", base_lp))])
     # a first row's key is no event, even if it should equal one
     met = spread.join(lookup, "event", "left").select(
         "row", "id", "n", *[F.when(F.col("n").isNull(), F.col(f"_{c}")).otherwise(F.col(c)).alias(c) for c in ("known", "lp", "base_lp")]

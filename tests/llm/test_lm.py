@@ -110,3 +110,37 @@ def test_nothing_to_learn_from(spark):
     assert rows[1]["n_tokens"] == 3 and rows[2]["n_tokens"] == 1 and rows[1]["n_known"] == rows[1]["train_tokens"] == 0
     assert rows[1]["score"] <= 0 and rows[1]["base_score"] == pytest.approx(0)
     assert lm.score(docs.limit(0), F.lit(lm.RETAINED)).count() == 0
+
+
+def test_rare_contexts_have_pair_estimates(spark):
+    """All contexts, each far below one word in 256: the pair decides, and an unseen context has none."""
+    rows = [(i, " ".join(f"a{(i * 7 + j) % 700} b{(i * 7 + j) % 700}" for j in range(60)), 0, "") for i in range(300)]
+    rows += [(1000, "a1 b1 a2 b2", 0, ""), (1010, "b1 a1 b2 a2", 0, ""), (1020, "new b1", 0, "")]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    rest = F.col("doc_id") % 10
+    part = F.when(rest == 0, lm.OTHER).when(rest == 1, lm.HELD).otherwise(lm.RETAINED)
+    for frequent in (65_536, 10):
+        got = {r["doc_id"]: r for r in lm.score(docs, part, frequent=frequent).collect()}
+        assert got[1000]["base_score"] == pytest.approx(got[1010]["base_score"], rel=1e-2)
+        assert got[1000]["score"] > got[1010]["score"] + 4
+        assert got[1020]["n_tokens"] == 3 and got[1020]["n_known"] == 2
+        assert all(got[i]["score"] > 0.6 * got[i]["base_score"] for i in range(0, 300, 10))
+
+
+def test_learned_contexts_add_up(spark):
+    """Over the vocabulary and one unknown word, the probabilities after a rare word sum to one."""
+    words = [f"v{i}" for i in range(40)]
+    rng = random.Random(2)
+    rows = [(i, " ".join(rng.choices(words, k=30)), 0, "") for i in range(1, 10)]
+    # every continuation of v3, the unknown word and the end included
+    rows += [(10 + 10 * k, f"v3 {w}", 0, "") for k, w in enumerate([*words, "unknown"])] + [(9000, "v3", 0, "")]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    part = F.when(F.col("doc_id") >= 10, lm.OTHER).when(F.col("doc_id") == 1, lm.HELD).otherwise(lm.RETAINED)
+    counts = lm.count(docs, "text", part)
+    weights = lm.learn_weights(lm.events(counts.pairs.filter("held > 0"), counts, 10), counts)
+    found = lm.event_scores(lm.events(counts.pairs, counts, 10), counts, weights)
+    head = lm.signed(lm.xxh64_intdigest(b"v3"))
+    keys = [lm.xxh64_intdigest(w.encode()) for w in [*words, "unknown"]] + [lm.END]
+    marks = lm.event_of(np.array(keys, np.uint64), np.full(len(keys), head, np.int64).view(np.uint64)).view(np.int64)
+    lp = {r["event"]: r["lp"] for r in found.collect()}
+    assert sum(10 ** lp[m] for m in marks.tolist()) == pytest.approx(1)
