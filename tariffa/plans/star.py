@@ -41,10 +41,7 @@ SIMULATION = SimulationConfig(
 RATING = RatingConfig(category_min_exposure=300, route_min_exposure=60, seller_min_exposure=200)
 CREDIBILITY = CredibilityConfig(k=200.0)
 GLM = GlmConfig(category_min_exposure=300, route_min_exposure=60)
-# Few trees: the registered queries check the method, and the defaults only add rounds to it.
-BOOSTING = BoostingConfig(
-    frequency_trees=8, frequency_step=0.3, severity_trees=8, severity_step=0.3, severity_min_rows=5
-)
+BOOSTING = BoostingConfig()
 
 _CLAIM_INPUT = [
     "order_id",

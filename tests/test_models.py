@@ -154,3 +154,14 @@ def test_shapley_against_all_orderings():
                 want[player] += (value(row, seen | {player}) - value(row, seen)) / 2
                 seen.add(player)
         assert np.allclose(parts, want) and abs(constant - value(row, set())) < 1e-12
+
+
+def test_registered_models_have_their_documented_size():
+    from tariffa.plans import catalog, star
+
+    assert star.BOOSTING == BoostingConfig()
+    assert (star.BOOSTING.frequency_trees, star.BOOSTING.severity_trees, star.BOOSTING.severity_min_rows) == (500, 350, 1)
+    settings = dict(catalog.SWEEP)
+    assert settings["regularized"] == star.BOOSTING and settings["current"].frequency_step == 0.04
+    assert min(c.frequency_trees for c in settings.values()) == 400
+    assert settings["shallow_more"].frequency_trees > settings["depth2"].frequency_trees
