@@ -5,7 +5,7 @@ greedily: the longest match from the current position is a phrase, then the next
 log2(length of the training text) bits, the price of pointing into it, so phrase counts are comparable between languages
 trained on texts of different length; the language with the fewest bits wins, ties go to the smaller name.
 
-The fit uses a bounded sample: ``passages`` passages of ``passage`` characters a language, from rows chosen by hash, and an
+The fit uses a bounded sample: ``passages`` passages of ``passage`` characters a language, from distinct texts chosen by hash, and an
 alphabet of the ``letters`` most frequent letters in it.  Everything else that is not a letter of the alphabet is a space (ASCII)
 or an unknown letter, which is a phrase of its own.  Whole texts are parsed, in windows of ``WINDOW`` symbols that advance together;
 a phrase ends at a window's edge.
@@ -37,10 +37,12 @@ def sample_text(
     labelled: DataFrame, text: str, label: str, passages: int = 160, passage: int = 256, surplus: int = 4
 ) -> dict[str, list[str]]:
     """A bounded number of passages per label: rows by hash, a passage of each from a place given by the hash."""
-    counts = collectable(labelled.groupBy(label).count(), MOST_LANGUAGES, "languages")
+    # distinct texts are counted, as copies are drawn together and give one passage
+    distinct = labelled.select(F.col(label).alias("label"), F.xxhash64(text).alias("hash")).distinct()
+    counts = collectable(distinct.groupBy("label").count(), MOST_LANGUAGES, "languages")
     if not counts:
         return {}
-    share = F.create_map(*[F.lit(x) for r in counts for x in (r[label], surplus * passages / r["count"])])
+    share = F.create_map(*[F.lit(x) for r in counts for x in (r["label"], surplus * passages / r["count"])])
     mixed = F.xxhash64(text)
     draw = F.pmod(mixed, F.lit(1 << 40)) / float(1 << 40)
     start = F.pmod(F.xxhash64(mixed), F.greatest(F.lit(1), F.length(text) - passage)).cast("int") + 1

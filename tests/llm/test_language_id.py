@@ -105,3 +105,12 @@ def test_alphabet_is_bounded():
     assert alphabet.size == language_id.FIRST + 2
     assert out[ord("a")] != language_id.UNKNOWN and out[ord("é")] == language_id.UNKNOWN and out[ord(" ")] == language_id.SPACE
     assert np.array_equal(language_id.symbols("a  . b", out), [3, 1, 4])
+
+
+def test_copies_take_no_passages_from_a_language(spark):
+    """A third of all rows is one text of a small language, whose distinct texts reach the bound all the same."""
+    rows = [(f"beta text number {i} has its own words", "b") for i in range(300)] + [("one text of beta many times", "b")] * 8000
+    rows += [(f"alpha line {i} of a large language", "a") for i in range(16_000)]
+    passages = language_id.sample_text(spark.createDataFrame(rows, "text string, lang string"), "text", "lang")
+    assert {k: len(v) for k, v in passages.items()} == {"a": 160, "b": 160}
+    assert all(len(set(v)) == 160 for v in passages.values())
