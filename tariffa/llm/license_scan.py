@@ -1,7 +1,9 @@
 """Licence scan by canonical digests.
 
-A text is brought to a canonical form: lower case; lines of a copyright notice out; every run of punctuation and white space one
-blank; equivalent spellings one.  The SHA-256 of the whole canonical text is looked up among the digests of known licences
+A text is brought to a canonical form: lower case; copyright notices and lines with a licence's title only out; every run of
+punctuation and white space one blank; equivalent spellings one.  A notice is a line that starts with "copyright" or (c) followed by a year,
+a (c) or a placeholder in brackets, or with the copyright sign, and "all rights reserved" at the start of a line or in the line after a notice; other
+lines that start with "copyright" are sentences and stay, so the form does not depend on where a text is wrapped.  The SHA-256 of the whole canonical text is looked up among the digests of known licences
 in a hash join.  All of it is built-in column functions.
 
 A null text counts as empty and matches nothing; texts without a letter or digit match nothing either.  Null identifiers are kept, repeated rows
@@ -11,6 +13,8 @@ further columns are ignored.
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,7 +58,18 @@ SPELLINGS = (
     ("while", "whilst"),
     ("willful", "wilful"),
 )
-NOTICE = r"(^|\n)[ \t>*/#;-]*(copyright|\(c\)|©)[^\n]*"
+_YEAR_OR_MARK = r"((19|20)[0-9][0-9]|[\[<{])"
+_RIGHTS = r"all[ \t]+rights[ \t]+reserved[.!]*"
+_GAP = r"[ \t]+"
+_TITLE = (
+    rf"(the{_GAP})?(mit|isc|zlib(/libpng)?|((new|modified|revised|simplified|zero[ -]clause){_GAP})?bsd([ -][0-9][ -]clause|{_GAP}zero[ -]clause)?"
+    rf"({_GAP}\"[^\n\"]*\"({_GAP}or{_GAP}\"[^\n\"]*\")?)?){_GAP}licen[sc]e({_GAP}\([a-z0-9 -]*\))?[ \t\r:.*/#-]*$"
+)
+NOTICE = (
+    r"(?m)^[ \t>*/#;-]*("
+    rf"(copyright[ \t:,]*(\(c\)|©|{_YEAR_OR_MARK})|\(c\)[ \t]*(copyright[ \t]*)?{_YEAR_OR_MARK}|©)[^\n]*(\n[^\n]*{_RIGHTS})?"
+    rf"|{_RIGHTS}|{_TITLE})"
+)
 NOT_WORD = r"[^\p{L}\p{N}]+"
 
 _AS_IS = """THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL \
@@ -74,6 +89,9 @@ INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT
 OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
 _GRANT = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"
 
+# Long texts as published, one file each; read where the plan is built.
+_FILES = sorted((Path(__file__).parent / "licenses").glob("*.txt"))
+
 # Public licence texts (fixed values); a parameter like any other table of (license_id, text).
 KNOWN = {
     "MIT": """MIT License
@@ -108,12 +126,14 @@ software in a product, an acknowledgment in the product documentation would be a
 3. This notice may not be removed or altered from any source distribution.""",
     "CC-BY-NC-4.0-notice": "Licensed under CC BY-NC 4.0.",
     "GPL-3.0-notice": "This work is licensed under the GNU General Public License, version 3.",
+    **{f.stem: f.read_text(encoding="utf-8") for f in _FILES},
 }
 
 
 def canonical(text: Column) -> Column:
     out = F.lower(F.coalesce(text, F.lit("")))
-    out = F.regexp_replace(out, NOTICE, "\n")
+    # lines end at \n only, as in SQL
+    out = F.regexp_replace(out, f"(?d){NOTICE}", "\n")
     # blanks around, so that a spelling is replaced as a whole word only
     out = F.concat(F.lit(" "), F.trim(F.regexp_replace(out, NOT_WORD, " ")), F.lit(" "))
     for first, other in SPELLINGS:

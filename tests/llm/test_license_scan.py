@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import textwrap
+
 import duckdb
 from pyspark.sql import functions as F
 
@@ -55,3 +57,55 @@ def test_sql_has_the_same_canonical_form(spark):
     con = duckdb.connect()
     want = [con.execute(f"SELECT {license_scan.canonical_sql('t')} FROM (SELECT ? AS t)", [t]).fetchone()[0] for t in texts]
     assert got == want
+
+
+TITLES = {
+    "MIT": ["The MIT License (MIT)", "MIT License"],
+    "ISC": ["ISC License"],
+    "BSD-2-Clause": ["BSD 2-Clause License", 'BSD 2-Clause "Simplified" License'],
+    "BSD-3-Clause": ["The BSD 3-Clause License", 'BSD 3-Clause "New" or "Revised" License'],
+    "0BSD": ["Zero-Clause BSD License", "BSD Zero Clause License"],
+    "Zlib": ["zlib License"],
+}
+NOTICES = ["", "Copyright (c) 2020, Some Body\nAll rights reserved.", "Copyright 1990, 1993\n\tThe Regents.  All rights reserved.", "© The Authors", "Copyright [yyyy] [owner]"]
+
+
+def published():
+    """Each licence with a title and without, with notices of several kinds, wrapped at several widths."""
+    for name, titles in TITLES.items():
+        lines = license_scan.KNOWN[name].split("\n")
+        body = lines if name.startswith("BSD") else lines[1:]
+        for title in ["", *titles]:
+            for width in (*range(40, 100, 3), 10_000):
+                wrapped = "\n\n".join(textwrap.fill(line, width) for line in body)
+                yield name, f"{title}\n\n{NOTICES[width % len(NOTICES)]}\n\n{wrapped}\n"
+
+
+def test_published_layouts_at_several_widths(spark):
+    cases = list(published())
+    docs = spark.createDataFrame([(i, t, "", "") for i, (_, t) in enumerate(cases)], SCHEMA)
+    found = {r["doc_id"]: r["license_id"] for r in license_scan.scan(docs, license_scan.known_licenses(spark)).collect()}
+    assert [found[i] for i in range(len(cases))] == [name for name, _ in cases]
+
+
+def test_long_licences_are_known(spark):
+    names = ["Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0"]
+    texts = [textwrap.indent(license_scan.KNOWN[n], " * ", lambda _: True).replace("[yyyy] [name", "2021 [name") for n in names]
+    docs = spark.createDataFrame([(i, t, "", "") for i, t in enumerate(texts)], SCHEMA)
+    found = {r["doc_id"]: r["license_id"] for r in license_scan.scan(docs, license_scan.known_licenses(spark)).collect()}
+    assert [found[i] for i in range(len(names))] == names
+
+
+def test_sentences_about_copyright_stay():
+    con = duckdb.connect()
+    for text in ("copyright notice and this permission notice appear", "c you must retain", "copyright holders and others"):
+        given = text.replace("c you", "(c) You")
+        assert con.execute(f"SELECT {license_scan.canonical_sql('t')} FROM (SELECT ? AS t)", [given]).fetchone()[0] == text
+
+
+def test_sql_drops_the_same_notices(spark):
+    texts = [t for _, t in published()][::7] + ["a\r\n(C) 2020 x\r\nAll rights reserved.\r\nb", "a\rcopyright 2020 b", "MIT License", "x\u2028© y"]
+    column = spark.createDataFrame([(t,) for t in texts], "text string").select(license_scan.canonical(F.col("text")))
+    con = duckdb.connect()
+    want = [con.execute(f"SELECT {license_scan.canonical_sql('t')} FROM (SELECT ? AS t)", [t]).fetchone()[0] for t in texts]
+    assert [r[0] for r in column.collect()] == want
