@@ -2,7 +2,9 @@
 mixed to target weights, and the mix encoded.
 
 Every stage takes documents and returns documents with the same columns; the last returns the encoded mix.  Null texts count as
-empty throughout, documents without words leave at the mix, and an empty table gives an empty result.
+empty throughout, empty and very long texts are taken whole, documents without words leave at the mix, of repeated rows and ties one
+row stays, null sources are a source of their own, further columns go through to the mix whatever their names, and an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tariffa.llm import exact_dedup, mixing, near_copies, sentencepiece_codec, toxicity
+from tariffa.llm import exact_dedup, mixing, sentencepiece_codec, simhash, toxicity
 from tariffa.llm.common import fold, table
 from tariffa.sources.sinks import stored
 
@@ -31,8 +33,8 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of texts linked by a similarity of 0.8 or more over five-word shingles, the document with the smallest identifier."""
-    return near_copies.keep_one(docs)
+    """Of texts linked by fingerprints of three-word shingles at three bits or fewer, the document with the smallest identifier."""
+    return simhash.keep_one(docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
