@@ -30,22 +30,41 @@ def fold(key: str | Column, folds: int) -> Column:
     return F.crc32(F.coalesce(column.cast("string"), F.lit(""))) % folds
 
 
-_PLACE = ("_metadata.file_path", "_metadata.row_index")
+def _place(df: DataFrame) -> tuple[Column, Column]:
+    # the hidden column itself, even where the table has a column of that name
+    place = df.metadataColumn("_metadata")
+    return place["file_path"].alias("_file"), place["row_index"].alias("_row")
 
 
 def on_files(df: DataFrame) -> DataFrame:
     """The table itself if its rows lie in files, else a copy written to the shared folder."""
     try:
-        df.select(*_PLACE)
+        df.select(*_place(df))
     except AnalysisException:
         return stored(df, "located")
     return df
 
 
-def with_locator(df: DataFrame, *columns: str) -> DataFrame:
-    """The named columns with ``_file`` and ``_row``: where each row lies, the same in every scan of one table on files."""
-    file, row = _PLACE
-    return on_files(df).select(*columns, F.col(file).alias("_file"), F.col(row).alias("_row"))
+def with_locator(df: DataFrame, *columns: str | Column) -> DataFrame:
+    """The given columns with ``_file`` and ``_row``: where each row lies, the same in every scan of one table on files."""
+    df = on_files(df)
+    return df.select(*columns, *_place(df))
+
+
+def numbered_columns(df: DataFrame) -> list[Column]:
+    """All columns under names (c0, c1, ...) that cannot clash with those of an operator."""
+    return [F.col(f"`{name}`").alias(f"c{i}") for i, name in enumerate(df.columns)]
+
+
+def renamed_back(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Undoes ``numbered_columns``."""
+    return df.select(*[F.col(f"c{i}").alias(name) for i, name in enumerate(columns)])
+
+
+def without_rows(df: DataFrame, rows: DataFrame) -> DataFrame:
+    """The table, which must lie in files, without the rows at the places ``_file`` and ``_row``."""
+    kept = with_locator(df, *numbered_columns(df)).join(rows.select("_file", "_row"), ["_file", "_row"], "left_anti")
+    return renamed_back(kept, df.columns)
 
 
 def words_of(text: str | None) -> list[bytes]:

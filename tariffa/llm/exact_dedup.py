@@ -18,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tariffa.llm.common import on_files, with_locator
+from tariffa.llm.common import on_files, with_locator, without_rows
 from tariffa.session import new_table_path
 from tariffa.sources.sinks import stored
 
@@ -111,7 +111,5 @@ def deduplicate(
 def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents without copies: all columns of the row that stays of each class."""
     docs = on_files(docs)
-    located = with_locator(docs, *docs.columns)
     # only copies have to be taken out, so uncopied texts need no partner in the join
-    copies = deduplicate(docs, id, text).filter("not kept").select("_file", "_row")
-    return located.join(copies, ["_file", "_row"], "left_anti").select(*docs.columns)
+    return without_rows(docs, deduplicate(docs, id, text).filter("not kept"))

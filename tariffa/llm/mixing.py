@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tariffa.llm.common import SPACE, collectable, on_files, with_locator
+from tariffa.llm.common import SPACE, collectable, numbered_columns, on_files, renamed_back, with_locator
 from tariffa.sources.sinks import stored
 
 MOST_SOURCES = 100_000
@@ -248,11 +248,10 @@ def mixed_documents(plan: Mix, text: str = "text") -> DataFrame:
         .withColumnRenamed("turn", "_turn")
         .withColumnRenamed("size", "_size")
     )
-    words = word_list(text)
+    own = f"c{docs.columns.index(text)}"
     parts = F.flatten(
         F.transform("_spans", lambda s: F.slice(F.col("_words"), (s["offset"] + 1).cast("int"), s["words"].cast("int")))
     )
-    joined = with_locator(docs, *docs.columns).join(taken, ["_file", "_row"]).withColumn("_words", words)
-    return joined.withColumn(
-        text, F.when(F.col("_count") == F.col("_size"), F.col(text)).otherwise(F.array_join(parts, " "))
-    ).select(*docs.columns)
+    joined = with_locator(docs, *numbered_columns(docs)).join(taken, ["_file", "_row"]).withColumn("_words", word_list(own))
+    mixed = joined.withColumn(own, F.when(F.col("_count") == F.col("_size"), F.col(own)).otherwise(F.array_join(parts, " ")))
+    return renamed_back(mixed, docs.columns)

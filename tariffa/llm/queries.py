@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tariffa.llm import exact_dedup, language_id, license_scan, lm, mixing, sentencepiece_codec, simhash, topk, toxicity, warc
+from tariffa.llm import exact_dedup, language_id, license_scan, lm, merkle, mixing, sentencepiece_codec, simhash, topk, toxicity, warc
 from tariffa.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -141,9 +141,80 @@ FROM placed
 """
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered, change = fold("doc_id", 2) == 0, F.regexp_replace("text", "\n", "")
+    found = merkle.manifest(table(spark, sf_dir, "documents"), tampered, change)
+    return found.withColumnRenamed("id", "doc_id")
+
+
+# crc32 has no function in SQL: the table of its 256 remainders by rule (fixed polynomial 0xEDB88320), then byte by byte
+_CRC32 = """list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+  lambda acc, b: xor(acc >> 8, remainders[CAST(xor(acc, b) & 255 AS INTEGER) + 1]))"""
+_FIELD = "coalesce(strlen(CAST({0} AS VARCHAR)) || ':' || CAST({0} AS VARCHAR), '-')"
+_LEAF = "sha256({})"
+_FIELDS = ("doc_id", "source", "lang", "n_chars")
+
+
+def _leaf_sql(text: str) -> str:
+    return _LEAF.format(" || ".join(_FIELD.format(f) for f in (*_FIELDS, text)))
+
+
+OP12_SQL = f"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+    lambda r, k: CASE WHEN r & 1 = 1 THEN xor(r >> 1, CAST(3988292384 AS BIGINT)) ELSE r >> 1 END)) AS remainders
+), leaves AS MATERIALIZED (
+  SELECT doc_id, source, coalesce('v' || source, 'n') AS grp, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS pos,
+         count(*) OVER (PARTITION BY source) AS n, {_leaf_sql("text")} AS leaf,
+         CASE WHEN xor({_CRC32}, 4294967295) % 2 = 0 THEN {_leaf_sql("replace(text, chr(10), '')")} END AS changed
+  FROM documents, crc
+), tree AS (
+  SELECT grp, 0 AS level, pos, n, leaf AS digest FROM leaves
+  UNION ALL
+  SELECT grp, level + 1, pos // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY pos)) FROM tree WHERE n > 1
+  GROUP BY grp, level, pos // 3, n
+), tops AS MATERIALIZED (
+  SELECT grp, level AS height, digest AS subroot, row_number() OVER (ORDER BY encode(grp)) - 1 AS pos, count(*) OVER () AS n FROM tree WHERE n = 1
+), upper AS (
+  SELECT 0 AS level, pos, n, subroot AS digest FROM tops
+  UNION ALL
+  SELECT level + 1, pos // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY pos)) FROM upper WHERE n > 1 GROUP BY level, pos // 3, n
+), ways AS (
+  SELECT l.doc_id, l.grp, l.leaf, l.changed, l.pos, h.level
+  FROM leaves l JOIN tops USING (grp), range(100) AS h(level) WHERE h.level < tops.height
+), steps AS (
+  SELECT w.doc_id, w.level, coalesce(string_agg(t.digest, '' ORDER BY t.pos) FILTER (t.pos < w.pos // pow(3, w.level)::BIGINT), '') AS before,
+         coalesce(string_agg(t.digest, '' ORDER BY t.pos) FILTER (t.pos > w.pos // pow(3, w.level)::BIGINT), '') AS after
+  FROM ways w JOIN tree t ON t.grp = w.grp AND t.level = w.level AND t.pos // 3 = w.pos // pow(3, w.level + 1)::BIGINT
+  GROUP BY w.doc_id, w.level
+), upper_ways AS (
+  SELECT l.doc_id, tops.height, tops.pos, h.level FROM leaves l JOIN tops USING (grp), range(100) AS h(level)
+  WHERE h.level < (SELECT max(level) FROM upper)
+), all_steps AS MATERIALIZED (
+  SELECT * FROM steps
+  UNION ALL
+  SELECT w.doc_id, w.height + w.level, coalesce(string_agg(u.digest, '' ORDER BY u.pos) FILTER (u.pos < w.pos // pow(3, w.level)::BIGINT), ''),
+         coalesce(string_agg(u.digest, '' ORDER BY u.pos) FILTER (u.pos > w.pos // pow(3, w.level)::BIGINT), '')
+  FROM upper_ways w JOIN upper u ON u.level = w.level AND u.pos // 3 = w.pos // pow(3, w.level + 1)::BIGINT
+  GROUP BY w.doc_id, w.height, w.level
+), folded AS (
+  SELECT doc_id, 0 AS level, coalesce(changed, leaf) AS digest FROM leaves
+  UNION ALL
+  SELECT f.doc_id, f.level + 1, sha256(s.before || f.digest || s.after) FROM folded f JOIN all_steps s USING (doc_id, level)
+), proofs AS (
+  SELECT doc_id, sha256(string_agg(before || after, '' ORDER BY level)) AS proof_sha256, max(level) AS last FROM all_steps GROUP BY doc_id
+)
+SELECT l.doc_id, l.leaf, tops.subroot, (SELECT digest FROM upper WHERE n = 1) AS root,
+       coalesce(proof_sha256, sha256('')) AS proof_sha256, f.digest AS folded_root,
+       f.digest = (SELECT digest FROM upper WHERE n = 1) AS verified
+FROM leaves l JOIN tops USING (grp) LEFT JOIN proofs USING (doc_id)
+JOIN folded f ON f.doc_id = l.doc_id AND f.level = coalesce(proofs.last + 1, 0)
+"""
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_language_id, op2_exact_dedup, op3_mixing, op4_lm_scoring, op5_sentencepiece, op6_license_scan, op7_toxicity, op8_topk, op9_simhash, op10_warc)}
+    return {f.__name__: f for f in (op1_language_id, op2_exact_dedup, op3_mixing, op4_lm_scoring, op5_sentencepiece, op6_license_scan, op7_toxicity, op8_topk, op9_simhash, op10_warc, op12_merkle)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": OP2_SQL, "op6_license_scan": _op6_sql(), "op8_topk": OP8_SQL, "op10_warc": OP10_SQL}
+    return {"op2_exact_dedup": OP2_SQL, "op6_license_scan": _op6_sql(), "op8_topk": OP8_SQL, "op10_warc": OP10_SQL, "op12_merkle": OP12_SQL}

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from tariffa.llm.common import on_files, pieces, with_locator, words_of
+from tariffa.llm.common import on_files, pieces, with_locator, without_rows, words_of
 from tariffa.llm.components import components
 from tariffa.sources.sinks import stored
 
@@ -230,5 +230,4 @@ def as_hex(column: str) -> Column:
 def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = 3) -> DataFrame:
     """All columns of one document of each group: the one with the smallest identifier."""
     docs = on_files(docs)
-    dropped = near_duplicates(docs, id, text, width).filter("not keeper").select("_file", "_row")
-    return with_locator(docs, *docs.columns).join(dropped, ["_file", "_row"], "left_anti").select(*docs.columns)
+    return without_rows(docs, near_duplicates(docs, id, text, width).filter("not keeper"))
