@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tariffa.llm import exact_dedup, language_id, license_scan, lm, merkle, mixing, sentencepiece_codec, simhash, topk, toxicity, warc
+from tariffa.llm import exact_dedup, language_id, license_scan, lm, merkle, mixing, quality, sentencepiece_codec, simhash, topk, toxicity, vector_codes, warc
 from tariffa.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -141,6 +141,49 @@ FROM placed
 """
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.encode(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+def _op11_sql(rounds: int = vector_codes.ROUNDS) -> str:
+    def nearest(book: str) -> str:
+        # the smallest distance * 64 + number gives both, ties to the smaller number
+        return f"""
+SELECT vec_id, label, p, any_value(v) AS v, min(d * 64 + e) % 64 AS e, min(d * 64 + e) // 64 AS d FROM (
+  SELECT vec_id, label, p, k.v, e, list_sum(list_transform(range(1, len(k.v) + 1), lambda i: (k.v[i] - b.v[i]) * (k.v[i] - b.v[i])))::BIGINT AS d
+  FROM parts k JOIN {book} b USING (p)
+) GROUP BY vec_id, label, p"""
+
+    steps = []
+    for n in range(rounds):
+        steps.append(f"near{n} AS MATERIALIZED ({nearest(f'book{n}')})")
+        steps.append(f"""book{n + 1} AS MATERIALIZED (
+  SELECT b.p, b.e, coalesce(m.v, b.v) AS v FROM book{n} b LEFT JOIN (
+    SELECT p, e, list(mean ORDER BY i) AS v FROM (
+      SELECT p, e, i, (sum(v[i]) - ((sum(v[i]) % count(*)) + count(*)) % count(*)) // count(*) AS mean
+      FROM near{n}, range(1, (SELECT max(len(v)) FROM parts) + 1) AS places(i) GROUP BY p, e, i
+    ) GROUP BY p, e
+  ) m USING (p, e))""")
+    return f"""
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS w FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS MATERIALIZED (
+  SELECT vec_id, label, p, list_slice(w, CAST(1 + p * (len(w) // 16) AS BIGINT), CAST((p + 1) * (len(w) // 16) AS BIGINT)) AS v
+  FROM kept, range(16) AS positions(p)
+), book0 AS MATERIALIZED (
+  SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, v FROM parts
+  WHERE vec_id IN (SELECT vec_id FROM kept ORDER BY vec_id LIMIT 64)
+), {", ".join(steps)}, final AS MATERIALIZED ({nearest(f"book{rounds}")}
+), coded AS (
+  SELECT vec_id, label, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM final GROUP BY vec_id, label
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY p, e)) FROM book{rounds}) AS codebooks_sha256
+FROM coded
+"""
+
+
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     tampered, change = fold("doc_id", 2) == 0, F.regexp_replace("text", "\n", "")
     found = merkle.manifest(table(spark, sf_dir, "documents"), tampered, change)
@@ -212,9 +255,17 @@ JOIN folded f ON f.doc_id = l.doc_id AND f.level = coalesce(proofs.last + 1, 0)
 """
 
 
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold("doc_id", 3) == 1
+    model = quality.learn(docs, table(spark, sf_dir, "labels"), ~held_out)
+    found = docs.select("doc_id", held_out.alias("held_out"), quality.score(model).alias("score"))
+    return found.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_language_id, op2_exact_dedup, op3_mixing, op4_lm_scoring, op5_sentencepiece, op6_license_scan, op7_toxicity, op8_topk, op9_simhash, op10_warc, op12_merkle)}
+    return {f.__name__: f for f in (op1_language_id, op2_exact_dedup, op3_mixing, op4_lm_scoring, op5_sentencepiece, op6_license_scan, op7_toxicity, op8_topk, op9_simhash, op10_warc, op11_vector_codes, op12_merkle, op13_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": OP2_SQL, "op6_license_scan": _op6_sql(), "op8_topk": OP8_SQL, "op10_warc": OP10_SQL, "op12_merkle": OP12_SQL}
+    return {"op2_exact_dedup": OP2_SQL, "op6_license_scan": _op6_sql(), "op8_topk": OP8_SQL, "op10_warc": OP10_SQL, "op11_vector_codes": _op11_sql(), "op12_merkle": OP12_SQL}
