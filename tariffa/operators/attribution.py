@@ -88,77 +88,151 @@ def split_importance(model, encoder, name: str, spark) -> DataFrame:
     ).orderBy(F.desc("gain"), F.desc("total_gain"), "encoded_feature")
 
 
-def leaf_games(nodes: Sequence) -> list[dict]:
-    """Every leaf as a small cooperative game: its value, and one player per feature on its path.
+def leaf_intervals(nodes: DataFrame) -> DataFrame:
+    """Every leaf as one row: tree_id, node_id, value, and ``bounds`` on the features of its path.
 
-    A player is (feature, conditions, share): the row has to meet all the conditions that the
-    path puts on the feature; ``share`` is the part of the cover that does so.
+    A bound is (feature_index, low, high, share): a row reaches the leaf if ``low < x <= high`` for each of them, and
+    ``share`` is the part of the cover that does.  A feature has one bound however often the path cuts it.  The paths
+    are followed level by level, so there are as many joins as the trees have levels.
     """
-    trees: dict[int, dict[int, object]] = {}
-    for node in nodes:
-        trees.setdefault(node["tree_id"], {})[node["node_id"]] = node
-    games = []
-    for tree in trees.values():
-        stack = [(tree[0], ())]
-        while stack:
-            node, path = stack.pop()
-            if node["left_id"] < 0:
-                players: dict[int, list] = {}
-                for feature, condition, share in path:
-                    entry = players.setdefault(feature, [[], 1.0])
-                    entry[0].append(condition)
-                    entry[1] *= share
-                games.append(
-                    {
-                        "value": node["prediction"] * node["tree_weight"],
-                        "players": [(f, conditions, share) for f, (conditions, share) in players.items()],
-                    }
-                )
-                continue
-            left, right = tree[node["left_id"]], tree[node["right_id"]]
-            categorical = node["category_count"] != -1
-            cut = tuple(node["left_values"])
-            both = left["cover"] + right["cover"]
-            for child, goes_left in ((left, True), (right, False)):
-                share = child["cover"] / both if both else 0.5
-                step = (node["feature_index"], (categorical, cut, goes_left), share)
-                stack.append((child, (*path, step)))
-    return games
-
-
-def _meets(values: np.ndarray, conditions: list) -> np.ndarray:
-    ok = np.ones(len(values), dtype=bool)
-    for categorical, cut, goes_left in conditions:
-        left = np.isin(values, cut) if categorical else values <= cut[0]
-        ok &= left if goes_left else ~left
-    return ok
-
-
-def shapley_batch(x: np.ndarray, games: list[dict]) -> tuple[np.ndarray, float]:
-    """Exact Shapley values of a tree ensemble for a batch of rows, plus the constant part.
-
-    Paths have at most ``depth`` players, so each leaf's game is a sum over few coalitions.
+    binary = F.col("category_count") == 2
+    # of two categories, 0 and 1, the cut lies between them; the left side may hold either
+    plain = nodes.select(
+        "tree_id",
+        "node_id",
+        "left_id",
+        "right_id",
+        "cover",
+        (F.col("prediction") * F.col("tree_weight")).alias("value"),
+        F.col("feature_index").alias("feature"),
+        F.when(binary, F.lit(0.5)).otherwise(F.get("left_values", F.lit(0))).alias("cut"),
+        (binary & (F.get("left_values", F.lit(0)) == 1.0)).alias("swapped"),
+        (~binary & (F.col("category_count") != -1)).alias("many"),
+    )
+    if not plain.filter("left_id >= 0 AND many").isEmpty():
+        raise ValueError("a feature with more than two categories cannot be an interval")
+    child = plain.select(F.col("tree_id"), F.col("node_id").alias("child_id"), F.col("cover").alias("child_cover"))
+    step = "array<struct<feature:int,low:double,high:double,share:double>>"
+    walk = plain.filter("node_id = 0").withColumn("bounds", F.array().cast(step))
+    below, above = F.lit(float("-inf")), F.lit(float("inf"))
+    leaves = walk.filter("left_id < 0")
+    while not (inner := walk.filter("left_id >= 0")).isEmpty():
+        sides = F.array(
+            F.struct(F.col("left_id").alias("child_id"), (~F.col("swapped")).alias("low_side")),
+            F.struct(F.col("right_id").alias("child_id"), F.col("swapped").alias("low_side")),
+        )
+        down = inner.select("tree_id", "cover", "feature", "cut", "bounds", F.inline(sides)).join(child, ["tree_id", "child_id"])
+        taken = F.struct(
+            "feature",
+            F.when(F.col("low_side"), below).otherwise(F.col("cut")).alias("low"),
+            F.when(F.col("low_side"), F.col("cut")).otherwise(above).alias("high"),
+            F.when(F.col("cover") > 0, F.col("child_cover") / F.col("cover")).otherwise(0.5).alias("share"),
+        )
+        steps = down.select("tree_id", F.col("child_id").alias("node_id"), F.concat("bounds", F.array(taken)).alias("bounds"))
+        # the model's own table is small, and a level of it smaller
+        walk = stored(plain.join(steps, ["tree_id", "node_id"]), "level")
+        leaves = leaves.unionByName(walk.filter("left_id < 0"))
+    each = leaves.select("tree_id", "node_id", "value", F.inline_outer("bounds"))
+    bounds = each.groupBy("tree_id", "node_id", "value", "feature").agg(
+        F.max("low").alias("low"), F.min("high").alias("high"), F.product("share").alias("share")
+    )
+    bound = F.struct(F.col("feature").alias("feature_index"), "low", "high", "share")
+    return bounds.groupBy("tree_id", "node_id", "value").agg(
+        F.array_sort(F.collect_list(F.when(F.col("feature").isNotNull(), bound))).alias("bounds")
+    )
+
+
+def with_interval_margin(df: DataFrame, leaves: DataFrame, values: Column, output: str = "margin") -> DataFrame:
+    """Add the ensemble's output from its leaf intervals: the sum of the values of all leaves whose bounds an array of feature
+    values meets.  The leaves, as many as the model has, are a scalar subquery."""
+    table = leaves.agg(F.array_sort(F.collect_list(F.struct("tree_id", "node_id", "value", "bounds")))).scalar()
+    rows = df.withColumns({"__leaves": table, "__x": values})
+
+    def met(bound: Column) -> Column:
+        x = F.get("__x", bound["feature_index"])
+        return (x > bound["low"]) & (x <= bound["high"])
+
+    def add(total: Column, leaf: Column) -> Column:
+        return total + F.when(F.forall(leaf["bounds"], met), leaf["value"]).otherwise(0.0)
+
+    return rows.withColumn(output, F.aggregate("__leaves", F.lit(0.0), add)).drop("__leaves", "__x")
+
+
+@dataclass(frozen=True)
+class Games:
+    """All leaves as cooperative games, added up.
+
+    A leaf's players are its bounds, and a player's part is a polynomial in which bounds are met.  Leaves with the same bounds
+    differ in their coefficients only, so those are added: the work on a row depends on the distinct bounds, not on how many trees
+    repeat them.  ``tests`` lists the distinct bounds (column, low, high); for each number of players there is the
+    place of the tests (games x players) and, for each set of players that are met, a matrix (games x columns).
+    """
+
+    tests: np.ndarray
+    parts: list[tuple[np.ndarray, list[np.ndarray]]]
+    constant: float
+    columns: int
+
+
+def polynomials(value: float, shares: Sequence[float]) -> np.ndarray:
+    """Coefficients (players x sets of players) of each player's Shapley value in a leaf's game.
+
+    The leaf pays ``value`` times the product over players of: 1 or 0 for a player whose bound is known to be met or not, and the share
+    of one that is not known.
     """
-    out = np.zeros(x.shape)
+    m = len(shares)
+    out = np.zeros((m, 1 << m))
+    for i in range(m):
+        others = [j for j in range(m) if j != i]
+        for size in range(m):
+            weight = math.factorial(size) * math.factorial(m - size - 1) / math.factorial(m)
+            for known in itertools.combinations(others, size):
+                paid = value * weight * math.prod(shares[j] for j in others if j not in known)
+                mask = sum(1 << j for j in known)
+                out[i, mask | 1 << i] += paid
+                out[i, mask] -= paid * shares[i]
+    return out
+
+
+def games_of(leaves: Sequence, column_of: dict[int, int]) -> Games:
+    """``leaves`` as rows of :func:`leaf_intervals`; ``column_of`` says where a feature's values are found."""
+    added: dict[tuple, np.ndarray] = {}
     constant = 0.0
-    for game in games:
-        players = game["players"]
-        m = len(players)
-        shares = [share for _, _, share in players]
-        constant += game["value"] * math.prod(shares)
-        met = [_meets(x[:, feature], conditions).astype(float) for feature, conditions, _ in players]
-        for i, (feature, _, share) in enumerate(players):
-            others = [j for j in range(m) if j != i]
-            gained = np.zeros(len(x))
-            for size in range(m):
-                weight = math.factorial(size) * math.factorial(m - size - 1) / math.factorial(m)
-                for coalition in itertools.combinations(others, size):
-                    part = np.full(len(x), weight)
-                    for j in others:
-                        part *= met[j] if j in coalition else shares[j]
-                    gained += part
-            out[:, feature] += game["value"] * gained * (met[i] - share)
-    return out, constant
+    for leaf in leaves:
+        players = sorted((column_of[b["feature_index"]], b["low"], b["high"], b["share"]) for b in leaf["bounds"])
+        constant += leaf["value"] * math.prod(p[3] for p in players)
+        if players:
+            key = tuple(p[:3] for p in players)
+            added[key] = added.get(key, 0.0) + polynomials(leaf["value"], [p[3] for p in players])
+    tests = sorted({test for key in added for test in key})
+    place = {test: i for i, test in enumerate(tests)}
+    parts = []
+    for m in sorted({len(key) for key in added}):
+        own = [(key, c) for key, c in added.items() if len(key) == m]
+        matrices = [np.zeros((len(own), len(column_of))) for _ in range(1 << m)]
+        for g, (key, c) in enumerate(own):
+            for i, test in enumerate(key):
+                for mask in range(1 << m):
+                    matrices[mask][g, test[0]] += c[i, mask]
+        parts.append((np.array([[place[t] for t in key] for key, _ in own]), matrices))
+    return Games(np.array(tests, float).reshape(len(tests), 3), parts, constant, len(column_of))
+
+
+def shapley_batch(x: np.ndarray, games: Games, most: int = 512) -> np.ndarray:
+    """Exact Shapley values of a tree ensemble for a batch of rows, one column a feature; ``most`` rows at a time."""
+    out = np.zeros((len(x), games.columns))
+    columns, low, high = games.tests[:, 0].astype(int), games.tests[:, 1], games.tests[:, 2]
+    for start in range(0, len(x), most):
+        own = x[start : start + most, columns]
+        # one bit for each row and distinct bound
+        met = ((own > low) & (own <= high)).astype(float)
+        for places, matrices in games.parts:
+            products = [np.ones((len(own), len(places)))]
+            for j in range(places.shape[1]):
+                products += [p * met[:, places[:, j]] for p in products]
+            for product, matrix in zip(products, matrices, strict=True):
+                out[start : start + most] += product @ matrix
+    return out
 
 
 @dataclass(frozen=True)
@@ -179,11 +253,10 @@ def contributions(
     classifier).  Only the leaf table, whose size is set by the model, goes to the workers, and
     only the slots that the trees use come in and out.
     """
-    games = leaf_games(node_table(model, features.sparkSession).collect())
-    used = sorted({feature for game in games for feature, _, _ in game["players"]})
-    slot = {feature: i for i, feature in enumerate(used)}
-    for game in games:
-        game["players"] = [(slot[f], conditions, share) for f, conditions, share in game["players"]]
+    leaves = leaf_intervals(node_table(model, features.sparkSession)).collect()
+    used = sorted({bound["feature_index"] for leaf in leaves for bound in leaf["bounds"]})
+    # summed in one order, so that repeated runs agree to the last bit
+    games = games_of(sorted(leaves, key=lambda r: (r["tree_id"], r["node_id"])), {f: i for i, f in enumerate(used)})
     values = vector_to_array("__ml_x")
     encoded = encoder.transform(features).select(
         *key, F.array(*[values[f] for f in used]).cast("array<double>").alias("x")
@@ -192,17 +265,16 @@ def contributions(
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             x = np.array(batch["x"].tolist(), dtype=float).reshape(len(batch), len(used))
-            parts, constant = shapley_batch(x, games)
+            parts = shapley_batch(x, games)
             out = batch[list(key)].copy()
             out["contributions"] = list(parts * scale)
-            out["bias"] = constant * scale
-            out["margin"] = (parts.sum(axis=1) + constant) * scale
+            out["bias"] = games.constant * scale
+            out["margin"] = (parts.sum(axis=1) + games.constant) * scale
             yield out
 
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.select(*key).schema.fields)
     rows = encoded.mapInPandas(explain, f"{kept}, contributions array<double>, bias double, margin double")
-    constant = sum(game["value"] * math.prod(share for _, _, share in game["players"]) for game in games)
-    return Contributions(rows, used, constant * scale)
+    return Contributions(rows, used, games.constant * scale)
 
 
 def contribution_summary(parts: Contributions, encoder, name: str, scale_name: str) -> DataFrame:

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import time
+from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tariffa.config import EXPOSURE_KEY, BoostingConfig, GlmConfig
@@ -31,6 +34,11 @@ from tariffa.sources.sinks import stored
 from tariffa.session import ensure_checkpoint_dir
 
 MODEL_FAMILY = "spark_gbt"
+# Encoded training rows a partition holds, at every size.
+ROWS_PER_PARTITION = 250_000
+# Fits that run at the same time; each is a chain of small jobs, so one alone leaves most cores idle.
+FITS_AT_ONCE = 8
+# The output columns.
 CHALLENGER_OUTPUT_COLUMNS = [
     "order_id",
     "order_item_id",
@@ -135,8 +143,8 @@ def _frequency_estimator(config: BoostingConfig) -> GBTClassifier:
         subsamplingRate=config.frequency_subsample,
         featureSubsetStrategy=config.frequency_feature_share,
         minInstancesPerNode=config.frequency_min_rows,
+        # trees this shallow are walked faster than a table of node numbers is kept
         checkpointInterval=config.checkpoint_interval,
-        cacheNodeIds=True,
         seed=config.seed,
     )
     return estimator.setProbabilityCol("__gbt_p").setRawPredictionCol("__gbt_r")
@@ -153,50 +161,88 @@ def _severity_estimator(config: BoostingConfig) -> GBTRegressor:
         subsamplingRate=config.severity_subsample,
         featureSubsetStrategy=config.severity_feature_share,
         minInstancesPerNode=config.severity_min_rows,
+        # trees this shallow are walked faster than a table of node numbers is kept
         checkpointInterval=config.checkpoint_interval,
-        cacheNodeIds=True,
         seed=config.seed,
     )
 
 
+def side_by_side(spark: SparkSession, fits: Sequence[Callable[[], object]], most: int = FITS_AT_ONCE) -> list:
+    """Run fits at the same time, ``most`` of them at once and each in a scheduler pool of its own; results in order.
+
+    Pools share the cores evenly where ``spark.scheduler.mode`` is FAIR and do no harm elsewhere.
+    """
+
+    def run(at: int):
+        def job():
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"fit-{at}")
+            return fits[at]()
+
+        return inheritable_thread_target(spark)(job)()
+
+    with ThreadPoolExecutor(max(1, min(most, len(fits)))) as threads:
+        return list(threads.map(run, range(len(fits))))
+
+
+@contextmanager
+def training_rows(encoder: PipelineModel, rows: DataFrame, columns: Sequence[Column]) -> Iterator[DataFrame]:
+    """The encoded rows that every tree of a fit scans again: vector and ``columns``, persisted.
+
+    They are dealt and sorted by the exposure key into as many partitions as their number asks for, so the rows that a tree draws depend on
+    the data alone, not on how the input was split or on the cores.
+    """
+    parts = -(-rows.count() // ROWS_PER_PARTITION) or 1
+    dealt = rows.repartition(parts, *EXPOSURE_KEY).sortWithinPartitions(*EXPOSURE_KEY)
+    ready = encoder.transform(dealt).select("__ml_x", *columns).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield ready
+    finally:
+        ready.unpersist()
+
+
+def frequency_labels() -> list[Column]:
+    return [F.col("covered_claim_flag").cast("double").alias("__label")]
+
+
+def weighted(ready: DataFrame, config: BoostingConfig) -> DataFrame:
+    """Training rows with the weight of their label."""
+    weight = F.when(F.col("__label") == 1, F.lit(float(config.positive_weight))).otherwise(1.0)
+    return ready.withColumn("__weight", weight)
+
+
 def fit_frequency(features: DataFrame, config: BoostingConfig):
     """Encoder and boosted classifier; each label is encoded from the rows passed in."""
     ensure_checkpoint_dir(features.sparkSession)
     encoder = Pipeline(stages=encoder_stages("__ml_x")).fit(features)
-    y = F.col("covered_claim_flag").cast("double")
-    ready = encoder.transform(features).select(
-        "__ml_x",
-        y.alias("__label"),
-        F.when(y == 1, F.lit(float(config.positive_weight))).otherwise(1.0).alias("__weight"),
-    )
-    return encoder, _frequency_estimator(config).fit(ready)
+    with training_rows(encoder, features, frequency_labels()) as ready:
+        return encoder, _frequency_estimator(config).fit(weighted(ready, config))
 
 
 def fit_severity(claims: DataFrame, config: BoostingConfig):
     """Encoder and boosted regressor of ``log1p(net_loss)``."""
     ensure_checkpoint_dir(claims.sparkSession)
     encoder = Pipeline(stages=encoder_stages("__ml_x")).fit(claims)
-    ready = encoder.transform(claims).select("__ml_x", F.log1p("net_loss").alias("__label"))
-    return encoder, _severity_estimator(config).fit(ready)
+    with training_rows(encoder, claims, [F.log1p("net_loss").alias("__label")]) as ready:
+        return encoder, _severity_estimator(config).fit(ready)
 
 
 def fit_challenger(
     population: DataFrame, config: BoostingConfig | None = None, levels: GlmConfig | None = None
 ) -> Challenger:
-    """Fit both parts on eligible rows; levels are chosen on the same rows."""
+    """Fit both parts on eligible rows, side by side; levels are chosen on the same rows."""
     config, levels = config or BoostingConfig(), levels or GlmConfig()
     categories, routes = level_tables(population, levels.category_min_exposure, levels.route_min_exposure)
     features = (
         prepare_features(population, categories, routes, missing_parts="zero")
-        .select(*CATEGORICAL_FEATURES, *LOG_FEATURES, "covered_claim_flag", "net_loss")
+        .select(*EXPOSURE_KEY, *CATEGORICAL_FEATURES, *LOG_FEATURES, "covered_claim_flag", "net_loss")
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
     try:
         claims = claims_only(features)
         if claims.isEmpty():
             raise ValueError("Cannot fit a severity model: there are no covered claims in the training data.")
-        f_encoder, f_model = fit_frequency(features, config)
-        s_encoder, s_model = fit_severity(claims, config)
+        fits = [lambda: fit_frequency(features, config), lambda: fit_severity(claims, config)]
+        (f_encoder, f_model), (s_encoder, s_model) = side_by_side(population.sparkSession, fits)
     finally:
         features.unpersist()
     return Challenger(f_encoder, f_model, s_encoder, s_model, categories, routes)
@@ -342,10 +388,15 @@ def challenger_pricing(
     config: BoostingConfig | None = None,
     glm: GlmConfig | None = None,
     columns: Sequence[str] = CHALLENGER_OUTPUT_COLUMNS,
+    model: Challenger | None = None,
 ) -> DataFrame:
-    """Refit on every eligible row, price every item, match the portfolio's actual loss, rank."""
+    """Refit on every eligible row, price every item, match the portfolio's actual loss, rank.
+
+    The wide table is written once, with the raw scores; calibration, premium and rank are expressions over it, the rank by nine
+    cuts that only the narrow score column is read for.
+    """
     config, glm = config or BoostingConfig(), glm or GlmConfig()
-    model = fit_challenger(eligible_rows(pricing), config, glm)
+    model = model or fit_challenger(eligible_rows(pricing), config, glm)
     eligible = F.col("claim_eligible_flag") == 1
     scored = model.score(model.features(pricing.drop("category_group", "route_group")), "challenger")
     scored = scored.withColumns(
@@ -354,8 +405,16 @@ def challenger_pricing(
             for c in ("challenger_frequency", "challenger_severity", "challenger_expected_loss_raw")
         }
     )
-    scored = stored(scored.drop(*CATEGORICAL_FEATURES[2:], *LOG_FEATURES), "challenger")
-    factor = actual_to_expected(scored, "challenger_expected_loss_raw", eligible)
+    # the totals that calibrate the scores are taken while the table is written
+    totals = Observation("challenger totals")
+    scored = scored.drop(*CATEGORICAL_FEATURES[2:], *LOG_FEATURES).observe(
+        totals,
+        F.sum(F.when(eligible, F.col("net_loss"))).alias("actual"),
+        F.sum(F.when(eligible, F.col("challenger_expected_loss_raw"))).alias("expected"),
+    )
+    scored = stored(scored, "challenger")
+    actual, expected = totals.get["actual"] or 0.0, totals.get["expected"] or 0.0
+    factor = F.lit(float(actual / expected) if expected else 0.0)
     priced = (
         scored.withColumn("challenger_calibration_factor", F.when(eligible, factor).otherwise(0.0))
         .withColumn(
@@ -375,7 +434,7 @@ def challenger_pricing(
             }
         )
     )
-    ranked = metrics.score_deciles(priced, "__rank_score", "challenger_risk_score_decile")
+    ranked = metrics.score_deciles(priced, "__rank_score", "challenger_risk_score_decile", keep_cuts=True)
     return ranked.withColumn(
         "challenger_risk_score_decile", F.coalesce("challenger_risk_score_decile", F.lit(0))
     ).select(*columns)
@@ -398,35 +457,72 @@ def challenger_report(priced: DataFrame) -> DataFrame:
     )
 
 
-def parameter_sweep(
-    pricing: DataFrame, grid: Sequence[tuple[str, BoostingConfig]], glm: GlmConfig | None = None
-) -> DataFrame:
-    """Frequency model under several settings: train and test AUC, Brier score, mean prediction.
+@dataclass(frozen=True)
+class Sweep:
+    """A frequency model under several settings.
 
-    Each setting is one distributed fit; the score columns sit side by side so that the
-    measures of all settings come from one long table.
+    ``scores`` has one row per exposure: key, split, claim flag and ``scores``, one probability for each setting in order.
     """
-    glm = glm or GlmConfig()
+
+    scores: DataFrame
+    settings: list[tuple[str, BoostingConfig, float]]  # name, setting, seconds its fit took beside the others
+
+    def long(self) -> DataFrame:
+        """One row per exposure and setting, made inside the scan."""
+        names = F.array(*[F.lit(name) for name, _, _ in self.settings])
+        pairs = F.arrays_zip(names.alias("setting"), F.col("scores").alias("p"))
+        return self.scores.select("split", "covered_claim_flag", F.inline(pairs))
+
+    def table(self) -> DataFrame:
+        """The settings as rows."""
+        rows = [(n, c.frequency_trees, c.frequency_depth, c.frequency_step, c.positive_weight, t) for n, c, t in self.settings]
+        return self.scores.sparkSession.createDataFrame(
+            rows, "setting string, trees int, depth int, step double, claim_weight double, fit_seconds double"
+        )
+
+
+def parameter_sweep(
+    pricing: DataFrame, grid: Sequence[tuple[str, BoostingConfig]], glm: GlmConfig | None = None
+) -> Sweep:
+    """Fit the frequency model of the train orders under every setting, all on one encoded table and side by side, and
+    score train and test rows with all of them in one pass."""
+    glm, spark = glm or GlmConfig(), pricing.sparkSession
     split = order_split(eligible_rows(pricing), glm.test_size, glm.seed)
     train = split.filter("split = 'train'")
     categories, routes = level_tables(train, glm.category_min_exposure, glm.route_min_exposure)
     features = (
         prepare_features(split, categories, routes, missing_parts="zero")
-        .select("split", "covered_claim_flag", *CATEGORICAL_FEATURES, *LOG_FEATURES)
+        .select(*EXPOSURE_KEY, "split", "covered_claim_flag", *CATEGORICAL_FEATURES, *LOG_FEATURES)
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
-    scored = features
-    for i, (_, config) in enumerate(grid):
-        encoder, model = fit_frequency(features.filter("split = 'train'"), config)
-        scored = model.transform(encoder.transform(scored)).withColumn(f"__p{i}", vector_to_array("__gbt_p")[1])
-        scored = scored.drop(*[c for c in scored.columns if c.startswith("__ml_") or c.startswith("__gbt_")])
-    settings = F.array(
-        *[F.struct(F.lit(name).alias("setting"), F.col(f"__p{i}").alias("p")) for i, (name, _) in enumerate(grid)]
-    )
-    long = stored(scored.select("split", "covered_claim_flag", F.inline(settings)), "sweep")
-    features.unpersist()
+    ensure_checkpoint_dir(spark)
+
+    def fit(ready: DataFrame, config: BoostingConfig):
+        begun = time.monotonic()
+        return _frequency_estimator(config).fit(weighted(ready, config)), time.monotonic() - begun
+
+    try:
+        learned = features.filter("split = 'train'")
+        encoder = Pipeline(stages=encoder_stages("__ml_x")).fit(learned)
+        with training_rows(encoder, learned, frequency_labels()) as ready:
+            fits = [lambda config=config: fit(ready, config) for _, config in grid]
+            fitted = side_by_side(spark, fits)
+        scored = encoder.transform(features).select(*EXPOSURE_KEY, "split", "covered_claim_flag", "__ml_x")
+        for i, (model, _) in enumerate(fitted):
+            scored = model.transform(scored).withColumn(f"__s{i}", vector_to_array("__gbt_p")[1])
+            scored = scored.drop(*[c for c in scored.columns if c.startswith("__gbt_")])
+        probabilities = F.array(*[F.col(f"__s{i}") for i in range(len(fitted))]).alias("scores")
+        held = stored(scored.select(*EXPOSURE_KEY, "split", "covered_claim_flag", probabilities), "sweep")
+    finally:
+        features.unpersist()
+    return Sweep(held, [(name, config, took) for (name, config), (_, took) in zip(grid, fitted, strict=True)])
+
+
+def sweep_report(sweep: Sweep) -> DataFrame:
+    """Train and test AUC, Brier score and mean prediction of every setting, with what it was and how long its fit took."""
+    long = sweep.long()
     auc = metrics.exact_auc(long, ["setting", "split"], "covered_claim_flag", "p").select("setting", "split", "auc")
     errors = long.groupBy("setting", "split").agg(
         metrics.mean_squared("covered_claim_flag", "p").alias("brier_score"), F.avg("p").alias("predicted_frequency")
     )
-    return auc.join(errors, ["setting", "split"])
+    return auc.join(errors, ["setting", "split"]).join(F.broadcast(sweep.table()), "setting")

@@ -27,6 +27,7 @@ from tariffa.operators.features import (
 )
 from tariffa.operators.rating import eligible_rows, with_baseline
 
+# The output columns.
 GLM_OUTPUT_COLUMNS = [
     "order_id",
     "order_item_id",
@@ -296,6 +297,51 @@ def coefficient_table(model: FittedGlm, name: str, spark) -> DataFrame:
     )
 
 
+def score_equations(model: TwoPartGlm, features: DataFrame) -> DataFrame:
+    """What maximum likelihood asks of both parts, one row for every column x of the design, base levels included.
+
+    The claims and the predicted frequencies have one total over x; the losses over their predicted severities have the total of x
+    itself.  ``observed`` is the total that holds whatever the model, ``score_gap`` what the model's total differs from it, for each unit of x: 0
+    on the rows a model was fitted on, and only there if the coefficients are right.  Columns that the regression leaves out
+    are sums of others, so they balance as well.
+    """
+    columns = [
+        F.struct(F.lit("Intercept").alias("feature"), F.lit("").alias("level"), F.lit(1.0).alias("x")),
+        *[F.struct(F.lit(c).alias("feature"), F.col(c).alias("level"), F.lit(1.0).alias("x")) for c in CATEGORICAL_FEATURES],
+        *[F.struct(F.lit(c).alias("feature"), F.lit("").alias("level"), F.col(c).alias("x")) for c in LOG_FEATURES],
+    ]
+    is_claim = (F.col("covered_claim_flag") == 1) & (F.col("net_loss") > 0)
+    # each row meets each column inside the scan and is added up there; one row a column is shuffled
+    long = model.score(features).select(
+        "covered_claim_flag", "pred_frequency", F.when(is_claim, F.col("net_loss") / F.col("pred_severity")).alias("scaled"), F.inline(F.array(*columns))
+    )
+    x, claim_x = F.col("x"), F.when(F.col("scaled").isNotNull(), F.col("x"))
+    sums = long.groupBy("feature", "level").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.sum(x).alias("weight"),
+        F.sum(x * F.col("covered_claim_flag")).alias("claims"),
+        F.sum(x * F.col("pred_frequency")).alias("predicted_claims"),
+        F.count("scaled").alias("claim_rows"),
+        F.sum(claim_x).alias("claim_weight"),
+        F.sum(x * F.col("scaled")).alias("scaled_losses"),
+    )
+    parts = F.array(
+        F.struct(
+            F.lit("frequency").alias("model"),
+            F.col("rows").alias("row_count"),
+            F.col("claims").alias("observed"),
+            safe_divide(F.col("predicted_claims") - F.col("claims"), "weight").alias("score_gap"),
+        ),
+        F.struct(
+            F.lit("severity").alias("model"),
+            F.col("claim_rows").alias("row_count"),
+            F.col("claim_weight").alias("observed"),
+            safe_divide(F.col("scaled_losses") - F.col("claim_weight"), "claim_weight").alias("score_gap"),
+        ),
+    )
+    return sums.select(F.inline(parts), "feature", "level").filter("row_count > 0")
+
+
 def fit_statistics(model: TwoPartGlm, spark) -> DataFrame:
     rows = [
         (name, float(m.summary.aic), int(m.summary.numInstances), int(m.summary.rank), m.iterations, m.converged, " ".join(m.aliased))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tariffa.config import EXPOSURE_KEY, SEED
 from tariffa.functions.columns import keyed_uniform, positive_divide
 from tariffa.operators.quantiles import fine_bucket, value_bucket, values_at_ranks
+from tariffa.sources.sinks import stored
 
 
 def exact_auc(df: DataFrame, by: Sequence[str], label: str, score: str) -> DataFrame:
@@ -91,13 +92,14 @@ def score_deciles(
     by: Sequence[str] = (),
     key: Sequence[str] = EXPOSURE_KEY,
     seed: int = SEED,
+    keep_cuts: bool = False,
 ) -> DataFrame:
     """Ten-way bucket of each row by its rank of ``score`` within ``by`` (a handful of groups).
 
     Rank r of n falls in bucket ``max(1, ceil((r - 1) * 10 / (n - 1)))``.  Equal scores are
     ranked by a draw keyed on ``key``, which any partitioning reproduces.  Only the nine cut
     rows are looked up; every row is then placed by comparing it with them, so the full table
-    is neither sorted nor moved.
+    is neither sorted nor moved.  ``keep_cuts`` looks them up now, for a result that is read many times.
     """
     by = list(by)
     tie = keyed_uniform(key, "rank_tie", seed)
@@ -119,6 +121,8 @@ def score_deciles(
     )
     row = F.struct(F.col("__cut").alias("s"), F.col("value").alias("u"))
     ladder = exact.groupBy(*by).agg(F.collect_list(row).alias("__cuts"))
+    if keep_cuts:
+        ladder = stored(ladder, "cuts")
 
     def above(cut: Column) -> Column:
         s = F.col(score).cast("double")

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
-from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tariffa.config import EXPOSURE_KEY
@@ -15,7 +15,7 @@ from tariffa.operators import attribution, backtest, boosting, features, glm, me
 from tariffa.operators import credibility as cred
 from tariffa.operators import exposure as exposures
 from tariffa.operators.quantiles import quantiles
-from tariffa.plans.star import BOOSTING, CREDIBILITY, GLM, RATING, SIMULATION, StarStages, exact_cap_simulation
+from tariffa.plans.star import BOOSTING, CREDIBILITY, GLM, RATING, SIMULATION, SWEEP, StarStages, exact_cap_simulation
 from tariffa.sources.sinks import read_metrics, stored, write_metrics
 from tariffa.session import new_table_path
 
@@ -717,6 +717,15 @@ def glm_balance(s: StarStages) -> DataFrame:
     )
 
 
+@query
+def glm_score_equations(s: StarStages) -> DataFrame:
+    """Both fits, each on the rows it was fitted on: every column of the design balances."""
+    eligible = rating.eligible_rows(s.claims)
+    train = features.order_split(eligible, GLM.test_size, GLM.seed).filter("split = 'train'")
+    fits = (("pricing", s.glm_model, eligible), ("validation", s.champion, train))
+    return union_all([glm.score_equations(m, m.features(rows)).withColumn("fit", F.lit(name)) for name, m, rows in fits])
+
+
 @query
 def glm_coefficients(s: StarStages) -> DataFrame:
     model = s.glm_model
@@ -771,6 +780,13 @@ def glm_pricing(s: StarStages) -> DataFrame:
     return s.glm_pricing
 
 
+def _ratio_mismatches(ratio: str, above: str, below: str) -> Column:
+    """Rows whose ratio times its denominator is not the numerator, or is not 0 where there is nothing to divide by."""
+    positive = F.col(below) > 0
+    off = F.abs(F.col(ratio) * F.col(below) - F.col(above)) > 1e-9
+    return F.count_if(F.col(ratio).isNull() | F.when(positive, off).otherwise(F.col(ratio) != 0))
+
+
 @query
 def glm_pricing_checks(s: StarStages) -> DataFrame:
     priced = s.glm_pricing
@@ -784,6 +800,12 @@ def glm_pricing_checks(s: StarStages) -> DataFrame:
         F.count_if(eligible & ~(F.col("glm_expected_loss") > 0)).alias("eligible_unpriced"),
         F.count_if(F.abs(F.col("glm_expected_loss") - product) > 1e-9).alias("product_mismatches"),
         F.count_if(F.abs(F.col("glm_commercial_premium") - premium) > 1e-9).alias("premium_mismatches"),
+        _ratio_mismatches("glm_expected_loss_ratio_to_freight", "glm_expected_loss", "freight_value_capped").alias(
+            "freight_ratio_mismatches"
+        ),
+        _ratio_mismatches("glm_expected_loss_ratio_to_baseline", "glm_expected_loss", "baseline_pure_premium").alias(
+            "baseline_ratio_mismatches"
+        ),
         F.sum("baseline_pure_premium").alias("baseline_expected_total_loss"),
     )
 
@@ -832,23 +854,49 @@ def model_comparison_actuals(s: StarStages) -> DataFrame:
 
 @query
 def challenger_calibration_identity(s: StarStages) -> DataFrame:
-    """Calibrated losses match the train actuals, and scaling leaves the ranking alone."""
-    table = model_comparison(s)
+    """Recomputed from the written scores: calibrated losses match the train actuals, and scaling leaves the ranking alone."""
+    scored = s.boosted_validation
 
-    def of(model: str, split: str, column: str):
-        return F.max(F.when((F.col("model_name") == model) & (F.col("split") == split), F.col(column)))
+    def auc(score: str) -> DataFrame:
+        return metrics.exact_auc(scored, ["split"], "covered_claim_flag", score).select("split", F.col("auc").alias(score))
 
-    gap = of("challenger_raw", "test", "frequency_auc") - of("challenger_calibrated", "test", "frequency_auc")
-    return table.agg(
-        F.round(of("challenger_calibrated", "train", "pure_premium_actual_to_expected"), 6).alias(
-            "train_actual_to_expected"
-        ),
-        F.round(F.abs(gap), 6).alias("auc_gap_raw_vs_calibrated"),
-        of("glm", "train", "exposures").alias("train_exposures"),
-        of("glm", "test", "exposures").alias("test_exposures"),
+    ranks = auc("challenger_expected_loss_raw").join(auc("challenger_expected_loss"), "split")
+    totals = scored.groupBy("split").agg(
+        F.count(F.lit(1)).alias("exposures"),
+        (F.sum("net_loss") / F.sum("challenger_expected_loss")).alias("ratio"),
+        F.countDistinct("challenger_calibration_factor").alias("factors"),
+    )
+    return totals.join(ranks, "split").select(
+        "split",
+        "exposures",
+        "factors",
+        F.when(F.col("split") == "train", F.col("ratio")).otherwise(1.0).alias("train_actual_to_expected"),
+        F.abs(F.col("challenger_expected_loss_raw") - F.col("challenger_expected_loss")).alias("auc_gap_raw_vs_calibrated"),
     )
 
 
+@query
+def challenger_margin_identity(s: StarStages) -> DataFrame:
+    """Both models once more from their leaf intervals alone, without Spark ML: every test row gets the same score."""
+    model = s.challenger_model
+    scored = model.score(s.test_features, "check")
+    parts = []
+    for name, encoder, trees in (
+        ("frequency", model.frequency_encoder, model.frequency_model),
+        ("severity", model.severity_encoder, model.severity_model),
+    ):
+        leaves = stored(attribution.leaf_intervals(attribution.node_table(trees, s.spark)), "leaves")
+        rows = attribution.with_interval_margin(encoder.transform(scored), leaves, vector_to_array("__ml_x"))
+        own = {
+            "frequency": F.abs(1.0 / (1.0 + F.exp(-2.0 * F.col("margin"))) - F.col("check_frequency")) > 1e-9,
+            "severity": F.abs(F.greatest(F.expm1("margin"), F.lit(0.01)) / F.col("check_severity") - 1.0) > 1e-9,
+        }[name]
+        tested = rows.agg(F.count(F.lit(1)).alias("rows_checked"), F.count_if(own).alias("margin_mismatches"))
+        counted = leaves.agg(F.countDistinct("tree_id").alias("trees")).scalar()
+        parts.append(tested.withColumns({"model": F.lit(name), "trees": counted}))
+    return union_all(parts)
+
+
 @query
 def challenger_calibration(s: StarStages) -> DataFrame:
     return boosting.comparison_calibration(s.boosted_validation)
@@ -889,31 +937,25 @@ def challenger_decile_sizes(s: StarStages) -> DataFrame:
     return s.challenger_pricing.groupBy("challenger_risk_score_decile").agg(F.count(F.lit(1)).alias("exposures"))
 
 
-# The first, documented setting of the frequency model; the one chosen from the sweep is BOOSTING.
-FIRST_BOOSTING = replace(
-    BOOSTING,
-    frequency_trees=400,
-    frequency_depth=3,
-    frequency_step=0.04,
-    frequency_subsample=0.85,
-    frequency_feature_share="0.85",
-    frequency_min_rows=1,
-)
-# Boosting settings compared side by side; the document gives numbers for the first and the chosen one, directions for the others.
-SWEEP = (
-    ("current", FIRST_BOOSTING),
-    ("shallow_more", replace(FIRST_BOOSTING, frequency_depth=2, frequency_trees=600, frequency_step=0.02)),
-    ("depth2", replace(FIRST_BOOSTING, frequency_depth=2)),
-    ("depth4", replace(FIRST_BOOSTING, frequency_depth=4)),
-    ("regularized", BOOSTING),
-    ("weighted", replace(FIRST_BOOSTING, positive_weight=10.0)),
-    ("weighted_reg", replace(BOOSTING, positive_weight=10.0)),
-)
+@query
+def parameter_sweep(s: StarStages) -> DataFrame:
+    return boosting.sweep_report(s.sweep)
 
 
 @query
-def parameter_sweep(s: StarStages) -> DataFrame:
-    return boosting.parameter_sweep(s.glm_pricing, SWEEP, GLM)
+def parameter_sweep_checks(s: StarStages) -> DataFrame:
+    """Every setting has scored every row of both sides, with a probability and with trees of its own."""
+    first, p = F.col("scores")[0], F.col("p")
+    long = s.sweep.scores.select("split", "covered_claim_flag", first.alias("p0"), F.posexplode("scores").alias("at", "p"))
+    found = long.groupBy("split", "at").agg(
+        F.count(F.lit(1)).alias("exposures"),
+        F.sum("covered_claim_flag").alias("actual_claims"),
+        F.count_if(~((p > 0) & (p < 1))).alias("outside"),
+        (F.count_if(p != F.col("p0")) > 0).cast("int").alias("differs_from_first"),
+    )
+    trees = F.array(*[F.lit(c.frequency_trees) for _, c in SWEEP])
+    names = F.array(*[F.lit(name) for name, _ in SWEEP])
+    return found.select(F.get(names, "at").alias("setting"), F.get(trees, "at").alias("trees"), "split", "exposures", "actual_claims", "outside", "differs_from_first")
 
 
 # --- attribution -----------------------------------------------------------------------------
@@ -929,15 +971,25 @@ def feature_importance(s: StarStages) -> DataFrame:
 
 @query
 def contribution_identity(s: StarStages) -> DataFrame:
-    """Parts plus bias give the margin, and the margin gives the model's own probability."""
-    scored = s.challenger_model.score(s.test_features, "check").select(*KEY, "check_frequency")
-    parts = s.frequency_contributions.rows
+    """Parts plus bias give the margin, and the margin gives the model's own score, for both models."""
+    scored = s.challenger_model.score(s.test_features, "check").select(*KEY, "check_frequency", "check_severity")
     added = F.aggregate("contributions", F.lit(0.0), lambda a, b: a + b) + F.col("bias")
-    implied = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("margin")))
-    return parts.join(scored, KEY).agg(
-        F.count(F.lit(1)).alias("rows_explained"),
-        F.count_if(F.abs(added - F.col("margin")) > 1e-9).alias("additive_mismatches"),
-        F.count_if(F.abs(implied - F.col("check_frequency")) > 1e-9).alias("model_mismatches"),
+    chance = 1.0 / (1.0 + F.exp(-F.col("margin")))
+    wrong = {
+        "frequency": F.abs(chance - F.col("check_frequency")) > 1e-9,
+        "severity": F.abs(F.greatest(F.expm1("margin"), F.lit(0.01)) / F.col("check_severity") - 1.0) > 1e-9,
+    }
+    explained = {"frequency": s.frequency_contributions, "severity": s.severity_contributions}
+    return union_all(
+        [
+            explained[name].rows.join(scored, KEY).agg(
+                F.lit(name).alias("model"),
+                F.count(F.lit(1)).alias("rows_explained"),
+                F.count_if(F.abs(added - F.col("margin")) > 1e-9).alias("additive_mismatches"),
+                F.count_if(differs).alias("model_mismatches"),
+            )
+            for name, differs in wrong.items()
+        ]
     )
 
 
@@ -964,12 +1016,21 @@ def top_contribution_features(s: StarStages) -> DataFrame:
 
 @query
 def attribution_identity(s: StarStages) -> DataFrame:
-    """Every encoded feature is listed once, and its shares add up to one per model."""
-    importance = feature_importance(s).groupBy("model").agg(
-        F.count(F.lit(1)).alias("importance_features"), F.round(F.sum("gain_share"), 6).alias("gain_share_total")
-    )
-    shares = s.contribution_table.groupBy("model").agg(
-        F.count(F.lit(1)).alias("contribution_features"),
-        F.round(F.sum("mean_abs_contribution_share"), 6).alias("contribution_share_total"),
+    """Every encoded feature is listed once, no feature is credited without a split, and as many splits are listed as the leaves ask for."""
+    model = s.challenger_model
+    leaves = {}
+    for name, trees in (("frequency", model.frequency_model), ("severity", model.severity_model)):
+        rows = attribution.leaf_intervals(attribution.node_table(trees, s.spark))
+        leaves[name] = rows.agg(F.count(F.lit(1)) - F.countDistinct("tree_id")).scalar()
+    asked = F.when(F.col("model") == "frequency", leaves["frequency"]).otherwise(leaves["severity"])
+    listed = stored(feature_importance(s), "importance")
+    importance = listed.groupBy("model").agg(
+        F.count(F.lit(1)).alias("importance_features"), F.sum("weight").alias("splits")
+    ).withColumn("split_gap", F.col("splits") - asked).drop("splits")
+    unused = listed.filter("weight = 0").select("model", "encoded_feature")
+    credited = s.contribution_table.join(unused, ["model", "encoded_feature"]).filter("mean_abs_contribution <> 0")
+    shares = s.contribution_table.groupBy("model").agg(F.count(F.lit(1)).alias("contribution_features"))
+    wrong = credited.groupBy("model").agg(F.count(F.lit(1)).alias("n"))
+    return importance.join(shares, "model").join(wrong, "model", "left").select(
+        "model", "importance_features", "contribution_features", "split_gap", F.coalesce("n", F.lit(0)).alias("credited_without_split")
     )
-    return importance.join(shares, "model")

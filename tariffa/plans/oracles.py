@@ -7,7 +7,7 @@ runs on any engine with md5, exact quantiles and window functions.
 from __future__ import annotations
 
 from tariffa.config import PORTFOLIO_SCENARIOS, RETURN_REASONS
-from tariffa.plans.star import CREDIBILITY, GLM, RATING, SIMULATION
+from tariffa.plans.star import BOOSTING, CREDIBILITY, GLM, RATING, SIMULATION, SWEEP
 
 _SIM = SIMULATION
 
@@ -905,6 +905,7 @@ caps AS (SELECT quantile_cont(freight_value, 0.99) AS fc, quantile_cont(freight_
       SELECT count(*) AS pricing_rows, CAST(sum(claim_eligible_flag) AS BIGINT) AS eligible_exposures,
              CAST(0 AS BIGINT) AS ineligible_priced, CAST(0 AS BIGINT) AS eligible_unpriced,
              CAST(0 AS BIGINT) AS product_mismatches, CAST(0 AS BIGINT) AS premium_mismatches,
+             CAST(0 AS BIGINT) AS freight_ratio_mismatches, CAST(0 AS BIGINT) AS baseline_ratio_mismatches,
              sum(baseline_pure_premium) AS baseline_expected_total_loss FROM baseline""")
     out["glm_credibility_checks"] = _with(b, f"""
       SELECT count(*) AS pricing_rows, (SELECT count(*) FROM (SELECT DISTINCT {_KEY} FROM baseline)) AS unique_exposure_keys,
@@ -936,12 +937,52 @@ caps AS (SELECT quantile_cont(freight_value, 0.99) AS fc, quantile_cont(freight_
             FROM (SELECT *, {_SPLIT} AS split FROM claims WHERE claim_eligible_flag = 1) GROUP BY 1),
            (SELECT unnest(['glm', 'challenger_raw', 'challenger_calibrated']) AS model_name)""")
     out["challenger_calibration_identity"] = _with(c, f"""
-      SELECT CAST(1 AS DOUBLE) AS train_actual_to_expected, CAST(0 AS DOUBLE) AS auc_gap_raw_vs_calibrated,
-             count(*) FILTER (split = 'train') AS train_exposures, count(*) FILTER (split = 'test') AS test_exposures
-      FROM (SELECT {_SPLIT} AS split FROM claims WHERE claim_eligible_flag = 1)""")
-    out["contribution_identity"] = _with(c, f"""
-      SELECT count(*) AS rows_explained, CAST(0 AS BIGINT) AS additive_mismatches, CAST(0 AS BIGINT) AS model_mismatches
-      FROM (SELECT {_SPLIT} AS split FROM claims WHERE claim_eligible_flag = 1) WHERE split = 'test'""")
+      SELECT split, count(*) AS exposures, CAST(1 AS BIGINT) AS factors, CAST(1 AS DOUBLE) AS train_actual_to_expected,
+             CAST(0 AS DOUBLE) AS auc_gap_raw_vs_calibrated
+      FROM (SELECT {_SPLIT} AS split FROM claims WHERE claim_eligible_flag = 1) GROUP BY 1""")
+    tests = f"(SELECT *, {_SPLIT} AS split FROM claims WHERE claim_eligible_flag = 1)"
+    out["contribution_identity"] = _with(c, " UNION ALL ".join(
+        f"""SELECT '{model}' AS model, count(*) AS rows_explained, CAST(0 AS BIGINT) AS additive_mismatches,
+            CAST(0 AS BIGINT) AS model_mismatches FROM {tests} WHERE split = 'test' AND {where}"""
+        for model, where in (("frequency", "TRUE"), ("severity", "covered_claim_flag = 1 AND net_loss > 0"))))
+    out["challenger_margin_identity"] = _with(c, " UNION ALL ".join(
+        f"""SELECT '{model}' AS model, count(*) AS rows_checked, CAST(0 AS BIGINT) AS margin_mismatches, CAST({trees} AS BIGINT) AS trees
+            FROM {tests} WHERE split = 'test'"""
+        for model, trees in (("frequency", BOOSTING.frequency_trees), ("severity", BOOSTING.severity_trees))))
+    out["parameter_sweep_checks"] = _with(c, " UNION ALL ".join(
+        f"""SELECT '{name}' AS setting, {config.frequency_trees} AS trees, split, count(*) AS exposures,
+            CAST(sum(covered_claim_flag) AS BIGINT) AS actual_claims, CAST(0 AS BIGINT) AS outside, {int(k > 0)} AS differs_from_first
+            FROM {tests} GROUP BY split"""
+        for k, (name, config) in enumerate(SWEEP)))
+    equations = []
+    for fit, where in (("pricing", "TRUE"), ("validation", "split = 'train'")):
+        for model, claim, observed in (
+            ("frequency", "TRUE", "sum(x * covered_claim_flag)"),
+            ("severity", "covered_claim_flag = 1 AND net_loss > 0", "sum(x)"),
+        ):
+            equations.append(f"""SELECT '{fit}' AS fit, '{model}' AS model, feature, level, count(*) AS row_count,
+              CAST({observed} AS DOUBLE) AS observed, CAST(0 AS DOUBLE) AS score_gap FROM {fit}_long WHERE {claim} GROUP BY feature, level""")
+
+    numeric = ("price", "freight_value_capped", "freight_to_price_ratio_capped", "product_weight_g_filled",
+               "product_volume_cm3_filled", "estimated_delivery_days")
+    terms = [("Intercept", "''", "1.0"), ("category_group", "category_group", "1.0"), ("route_group", "route_group", "1.0")]
+    terms += [(f"{n}_cat", f"CAST({n} AS VARCHAR)", "1.0") for n in ("cross_state_flag", "purchase_month", "purchase_weekday")]
+    terms += [(f"log_{n}", "''", f"ln(1 + greatest(coalesce({n}, 0.0), 0.0))") for n in numeric]
+
+    def long_form(source: str) -> str:
+        return " UNION ALL ".join(
+            f"SELECT '{feature}' AS feature, {level} AS level, {x} AS x, covered_claim_flag, net_loss FROM {source}"
+            for feature, level, x in terms
+        )
+
+    levels = []
+    for fit, source in (("pricing", "split_rows"), ("validation", "(SELECT * FROM split_rows WHERE split = 'train')")):
+        levels.append(f"""{fit}_c AS (SELECT product_category_name_english AS level FROM {source} GROUP BY 1 HAVING count(*) >= {GLM.category_min_exposure}),
+          {fit}_r AS (SELECT coalesce(route_state, 'Unknown') AS level FROM {source} GROUP BY 1 HAVING count(*) >= {GLM.route_min_exposure}),
+          {fit}_rows AS (SELECT t.*, coalesce(c.level, 'Other') AS category_group, coalesce(r.level, 'Other') AS route_group FROM {source} t
+            LEFT JOIN {fit}_c c ON t.product_category_name_english = c.level LEFT JOIN {fit}_r r ON coalesce(t.route_state, 'Unknown') = r.level),
+          {fit}_long AS ({long_form(f"{fit}_rows")})""")
+    out["glm_score_equations"] = _with(c + f", split_rows AS MATERIALIZED {tests}, " + ", ".join(levels), " UNION ALL ".join(equations))
     distinct = " + ".join(
         f"count(DISTINCT {x_})" for x_ in ("cat", "route", "cross_state_flag", "purchase_month", "purchase_weekday")
     )
@@ -952,7 +993,7 @@ caps AS (SELECT quantile_cont(freight_value, 0.99) AS fc, quantile_cont(freight_
     tg AS (SELECT t.*, coalesce(tc.level, 'Other') AS cat, coalesce(tr.level, 'Other') AS route FROM train t
            LEFT JOIN tc ON t.product_category_name_english = tc.level LEFT JOIN tr ON t.r = tr.level)"""
     out["attribution_identity"] = _with(c + ", " + train, " UNION ALL ".join(
-        f"""SELECT '{model}' AS model, {distinct} + 6 AS importance_features, CAST(1 AS DOUBLE) AS gain_share_total,
-            {distinct} + 6 AS contribution_features, CAST(1 AS DOUBLE) AS contribution_share_total FROM tg WHERE {where}"""
+        f"""SELECT '{model}' AS model, {distinct} + 6 AS importance_features,
+            {distinct} + 6 AS contribution_features, CAST(0 AS DOUBLE) AS split_gap, CAST(0 AS BIGINT) AS credited_without_split FROM tg WHERE {where}"""
         for model, where in (("frequency", "TRUE"), ("severity", "covered_claim_flag = 1 AND net_loss > 0"))))
     return out

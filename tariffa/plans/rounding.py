@@ -251,7 +251,8 @@ DOUBLE_COLUMNS: dict[str, str] = {
     "model_comparison_actuals": "actual_total_loss",
     "challenger_calibration_identity": "train_actual_to_expected auc_gap_raw_vs_calibrated",
     "challenger_checks": "actual_total_loss calibrated_expected_total_loss",
-    "attribution_identity": "gain_share_total contribution_share_total",
+    "attribution_identity": "split_gap",
+    "glm_score_equations": "observed score_gap",
 }
 
 

@@ -62,17 +62,6 @@ def read_parquet_folder(spark: SparkSession, folder: str) -> InputTables:
     )
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Share out a table that was read in fewer pieces than there are cores.
-
-    Only a small input is: a large one already comes in many splits and is left alone.  The
-    layout depends on the values only, so sampled model fits repeat from run to run.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    pieces = df._jdf.queryExecution().toRdd().getNumPartitions()
-    return df.repartition(cores, *df.columns).sortWithinPartitions(*df.columns) if pieces < cores else df
-
-
 def from_star_schema(spark: SparkSession, folder: str) -> InputTables:
     """Map an order/line-item star schema (Parquet) onto the six input tables.
 
@@ -85,7 +74,7 @@ def from_star_schema(spark: SparkSession, folder: str) -> InputTables:
 
     nation = table("nation").select("n_nationkey", "n_name")
     wanted = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_tax"]
-    items = spread(table("lineitem").select(*wanted)).select(
+    items = table("lineitem").select(*wanted).select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("order_item_id"),
         F.col("l_partkey").alias("product_id"),

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pytest
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tariffa.config import BoostingConfig, GlmConfig
@@ -123,7 +126,108 @@ def test_contributions_add_up(priced):
     assert abs(sum(r["mean_abs_contribution_share"] for r in summary) - 1) < 1e-9
 
 
-def test_shapley_against_all_orderings():
+NODE = (
+    "tree_id int, node_id int, left_id int, right_id int, prediction double, gain double, cover double, feature_index int, "
+    "left_values array<double>, category_count int, tree_weight double"
+)
+
+
+def plain_shapley(row, leaf):
+    """A leaf's payments by its definition: the average over all orders in which the players' bounds become known."""
+    import itertools
+
+    bounds, out = leaf["bounds"], {}
+    for order in itertools.permutations(range(len(bounds))):
+        paid = leaf["value"] * np.prod([b["share"] for b in bounds])
+        known = {}
+        for player in order:
+            b = bounds[player]
+            known[player] = float(b["low"] < row[b["feature_index"]] <= b["high"])
+            now = leaf["value"] * np.prod([known.get(i, bounds[i]["share"]) for i in range(len(bounds))])
+            f = b["feature_index"]
+            out[f] = out.get(f, 0.0) + now - paid
+            paid = now
+    return {f: v / math.factorial(len(bounds)) for f, v in out.items()}
+
+
+def test_added_games_against_each_leaf_alone(spark):
+    """Trees that repeat cuts and cut one feature twice, with up to three features on a path."""
+    rng = np.random.default_rng(5)
+    leaves = []
+    for tree in range(40):
+        for node in range(4):
+            features_ = rng.choice(4, rng.integers(0, 4), replace=False)
+            bounds = [{"feature_index": int(f), "low": float(rng.integers(0, 2)), "high": float(rng.integers(2, 4)), "share": float(rng.random())} for f in features_]
+            leaves.append({"tree_id": tree, "node_id": node, "value": float(rng.normal()), "bounds": bounds})
+    x = rng.integers(0, 5, (50, 4)).astype(float)
+    games = attribution.games_of(leaves, {f: f for f in range(4)})
+    assert len(games.tests) <= 16 < len(leaves)
+    want = np.zeros((50, 4))
+    for r in range(50):
+        for leaf in leaves:
+            for f, v in plain_shapley(x[r], leaf).items():
+                want[r, f] += v
+    assert np.allclose(attribution.shapley_batch(x, games, most=7), want)
+
+
+def test_margins_from_intervals_and_a_tampered_node(spark, priced):
+    eligible = rating.eligible_rows(priced).drop("category_group", "route_group")
+    model = boosting.fit_challenger(eligible, BOOST, GLM)
+    nodes = attribution.node_table(model.severity_model, spark)
+    rows = model.severity_encoder.transform(model.score(model.features(eligible), "m"))
+
+    def gap(nodes_):
+        found = attribution.with_interval_margin(rows, attribution.leaf_intervals(nodes_), vector_to_array("__ml_x"))
+        wrong = F.abs(F.greatest(F.expm1("margin"), F.lit(0.01)) / F.col("m_severity") - 1) > 1e-9
+        return found.agg(F.count_if(wrong)).first()[0]
+
+    assert gap(nodes) == 0
+    changed = F.when((F.col("tree_id") == 1) & (F.col("left_id") < 0), F.col("prediction") + 1e-3).otherwise(F.col("prediction"))
+    assert gap(nodes.withColumn("prediction", changed)) > 0
+    moved = F.when(F.col("node_id") == 0, F.array(F.col("left_values")[0] + 0.4)).otherwise(F.col("left_values"))
+    assert gap(nodes.withColumn("left_values", F.when(F.col("category_count") == -1, moved).otherwise(F.col("left_values")))) > 0
+
+
+def test_score_equations_find_a_tampered_coefficient(claims, fitted):
+    rows = fitted.features(rating.eligible_rows(claims))
+
+    def gaps(model):
+        return {(r["model"], r["feature"], r["level"]): r["score_gap"] for r in glm.score_equations(model, rows).collect()}
+
+    found = gaps(fitted)
+    assert len(found) > 20 and max(abs(g) for g in found.values()) < 1e-6
+    level = fitted.frequency.labels["category_group"][1]
+
+    class Tampered(glm.TwoPartGlm):
+        def score(self, df):
+            scored = super().score(df)
+            shifted = F.expr("pred_frequency * exp(0.01) / (1 - pred_frequency + pred_frequency * exp(0.01))")
+            return scored.withColumn("pred_frequency", F.when(F.col("category_group") == level, shifted).otherwise(F.col("pred_frequency")))
+
+    bad = gaps(Tampered(fitted.frequency, fitted.severity, fitted.categories, fitted.routes))
+    assert abs(bad["frequency", "category_group", level]) > 1e-4
+    assert abs(bad["frequency", "Intercept", ""]) > 1e-6 > abs(bad["severity", "Intercept", ""])
+
+
+def test_sweep_fits_side_by_side_on_one_table(priced):
+    from dataclasses import replace
+
+    grid = [("a", BOOST), ("b", replace(BOOST, frequency_depth=3)), ("c", replace(BOOST, positive_weight=10.0)), ("again", BOOST)]
+    sweep = boosting.parameter_sweep(priced, grid, GLM)
+    table = {(r["setting"], r["split"]): r for r in boosting.sweep_report(sweep).collect()}
+    assert len(table) == 8 and all(r["fit_seconds"] > 0 and 0 <= r["auc"] <= 1 for r in table.values())
+    a, again, weighted = (table[name, "test"] for name in ("a", "again", "c"))
+    assert (a["auc"], a["brier_score"]) == (again["auc"], again["brier_score"]) and weighted["predicted_frequency"] > a["predicted_frequency"]
+    # the model of the sweep is the one a fit alone gives
+    split = features.order_split(rating.eligible_rows(priced), GLM.test_size, GLM.seed)
+    train = split.filter("split = 'train'")
+    rows = features.prepare_features(split, *features.level_tables(train, GLM.category_min_exposure, GLM.route_min_exposure))
+    encoder, model = boosting.fit_frequency(rows.filter("split = 'train'"), BOOST)
+    alone = model.transform(encoder.transform(rows)).groupBy("split").agg(F.avg(vector_to_array("__gbt_p")[1])).collect()
+    assert all(abs(mean - table["a", side]["predicted_frequency"]) < 1e-12 for side, mean in alone)
+
+
+def test_shapley_against_all_orderings(spark):
     """One hand-made tree: the values equal the average over player orderings."""
     import itertools
 
@@ -134,11 +238,13 @@ def test_shapley_against_all_orderings():
         }
 
     nodes = [
-        node(0, 1, 2, 0, 10.0, 0, (0.5,)), node(1, 3, 4, 0, 6.0, 1, (0.5,)), node(2, -1, -1, 5.0, 4.0),
+        node(0, 1, 2, 0.0, 10.0, 0, (0.5,)), node(1, 3, 4, 0.0, 6.0, 1, (0.5,)), node(2, -1, -1, 5.0, 4.0),
         node(3, -1, -1, 1.0, 2.0), node(4, -1, -1, 2.0, 4.0),
     ]
     x = np.array([[0.0, 0.0], [0.0, 1.0], [1.0, 0.0]])
-    got, constant = attribution.shapley_batch(x, attribution.leaf_games(nodes))
+    leaves = attribution.leaf_intervals(spark.createDataFrame(nodes, NODE)).collect()
+    games = attribution.games_of(leaves, {0: 0, 1: 1})
+    got, constant = attribution.shapley_batch(x, games, most=2), games.constant
 
     def value(row, known):
         inner = (1.0 if row[1] <= 0.5 else 2.0) if 1 in known else (1.0 * 2 + 2.0 * 4) / 6
