@@ -9,28 +9,37 @@ from pyspark.sql import functions as F
 
 from tariffa.config import TARGET_LOSS_RATIO
 from tariffa.functions.columns import flag, isclose, safe_divide
-from tariffa.operators.rating import eligible_rows, total
+from tariffa.operators.rating import eligible_rows
+from tariffa.operators.segments import segment_totals
 
 BASES = ("baseline", "glm", "credibility")
 
 
+# What a backtest adds up, and the identifiers it counts.
+_SUMS = {
+    "covered_claim_count": "covered_claim_flag",
+    "actual_loss": "net_loss",
+    "baseline_expected_loss": "baseline_pure_premium",
+    "glm_expected_loss": "glm_expected_loss",
+    "credibility_expected_loss": "credibility_expected_loss",
+    **{f"{b}_commercial_premium": f"{b}_commercial_premium" for b in BASES},
+}
+_DISTINCT = {"unique_orders": "order_id", "unique_sellers": "seller_id", "unique_products": "product_id"}
+
+
 def backtest(pricing: DataFrame, groups: Sequence[str] = (), target: float = TARGET_LOSS_RATIO) -> DataFrame:
     """Frequency, severity, A/E and loss ratio on each basis; whole portfolio without ``groups``."""
+    return backtests(pricing, [groups], target).drop("segmentation")
+
+
+def backtests(pricing: DataFrame, segmentations: Sequence[Sequence[str]], target: float = TARGET_LOSS_RATIO) -> DataFrame:
+    """The backtests of several segmentations from one scan, told apart by ``segmentation``, their place in the list."""
+    sums = {"eligible_exposures": F.lit(1), **{name: F.col(c) for name, c in _SUMS.items()}}
+    totals = segment_totals(eligible_rows(pricing), segmentations, sums, _DISTINCT)
+    losses = [name for name in _SUMS if name != "covered_claim_count"]
     out = (
-        eligible_rows(pricing)
-        .groupBy(*groups)
-        .agg(
-            F.count(F.lit(1)).alias("eligible_exposures"),
-            total("covered_claim_flag").alias("covered_claim_count"),
-            total("net_loss").cast("double").alias("actual_loss"),
-            total("baseline_pure_premium").cast("double").alias("baseline_expected_loss"),
-            total("glm_expected_loss").cast("double").alias("glm_expected_loss"),
-            total("credibility_expected_loss").cast("double").alias("credibility_expected_loss"),
-            *[total(f"{b}_commercial_premium").cast("double").alias(f"{b}_commercial_premium") for b in BASES],
-            F.count_distinct("order_id").alias("unique_orders"),
-            F.count_distinct("seller_id").alias("unique_sellers"),
-            F.count_distinct("product_id").alias("unique_products"),
-        )
+        totals.withColumns({name: F.coalesce(F.col(name).cast("double"), F.lit(0.0)) for name in losses})
+        .withColumns({c: F.coalesce(c, F.lit(0)) for c in ("eligible_exposures", "covered_claim_count")})
         .withColumns(
             {
                 "claim_frequency": safe_divide("covered_claim_count", "eligible_exposures"),
@@ -61,6 +70,13 @@ def backtest(pricing: DataFrame, groups: Sequence[str] = (), target: float = TAR
     )
 
 
+def one_of(tested: DataFrame, segmentations: Sequence[Sequence[str]], groups: Sequence[str]) -> DataFrame:
+    """The backtest of one segmentation out of the table of all."""
+    at = [tuple(g) for g in segmentations].index(tuple(groups))
+    others = {c for g in segmentations for c in g} - set(groups)
+    return tested.filter(F.col("segmentation") == at).drop("segmentation", *others)
+
+
 def sorted_backtest(frame: DataFrame, group: str) -> DataFrame:
     """Largest segments first; months in calendar order."""
     if group == "purchase_month":

@@ -12,6 +12,7 @@ from tariffa.functions.columns import clip, first_match, flag, isclose, positive
 from tariffa.operators.joins import dimension_join
 from tariffa.operators.quantiles import quantiles, unpivoted
 from tariffa.operators.rating import eligible_rows
+from tariffa.operators.segments import segment_totals
 from tariffa.sources.sinks import stored
 
 _PUSHED_COLUMNS = [
@@ -35,20 +36,19 @@ DISTRIBUTION_COLUMNS = [
 
 def seller_experience(pricing: DataFrame) -> DataFrame:
     """Exposure, claims, losses and model premium per seller, with observed rates."""
+    model = ("glm_expected_loss", "glm_commercial_premium")
+    sums = {
+        "seller_eligible_exposures": F.lit(1),
+        "seller_claim_count": F.col("covered_claim_flag"),
+        "seller_actual_net_loss": F.col("net_loss"),
+        **{f"seller_{c}": F.col(c) for c in model},
+        **{f"known_{c}": F.col(c).isNotNull().cast("int") for c in model},
+    }
+    distinct = {"unique_orders": "order_id", "unique_products": "product_id"}
+    totals = segment_totals(eligible_rows(pricing), [["seller_id"]], sums, distinct)
     return (
-        eligible_rows(pricing)
-        .groupBy("seller_id")
-        .agg(
-            F.count(F.lit(1)).alias("seller_eligible_exposures"),
-            F.sum("covered_claim_flag").alias("seller_claim_count"),
-            F.sum("net_loss").alias("seller_actual_net_loss"),
-            F.sum("glm_expected_loss").alias("seller_glm_expected_loss"),
-            F.sum("glm_commercial_premium").alias("seller_glm_commercial_premium"),
-            F.avg("glm_expected_loss").alias("seller_average_glm_expected_loss"),
-            F.avg("glm_commercial_premium").alias("seller_average_glm_commercial_premium"),
-            F.count_distinct("order_id").alias("unique_orders"),
-            F.count_distinct("product_id").alias("unique_products"),
-        )
+        totals.withColumns({f"seller_average_{c}": F.try_divide(f"seller_{c}", f"known_{c}") for c in model})
+        .drop("segmentation", *[f"known_{c}" for c in model])
         .withColumns(
             {
                 "seller_observed_frequency": F.col("seller_claim_count") / F.col("seller_eligible_exposures"),

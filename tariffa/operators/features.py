@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tariffa.config import SEED
+from tariffa.config import EXPOSURE_KEY, SEED
 from tariffa.functions.columns import keyed_uniform
 from tariffa.operators.joins import checked_broadcast
 from tariffa.operators.quantiles import values_at_ranks
@@ -82,6 +82,38 @@ def leakage_report(df: DataFrame, features: Iterable[str] = tuple(MODEL_FEATURES
     )
 
 
+def leakage_probe(
+    df: DataFrame, build: Callable[[DataFrame], DataFrame], features: Iterable[str] = tuple(MODEL_FEATURES), key: Sequence[str] = EXPOSURE_KEY
+) -> DataFrame:
+    """One row per feature: does it change when every barred field of the input changes?
+
+    ``build`` makes the features from ``df``.  It is run once on the table and once with all outcomes and simulation fields altered; a
+    feature that comes from one of them under whatever name, or through any number of steps, has another checksum then.  Checksums
+    are sums over (key, value) hashes, so nothing is joined or shuffled but one row a task.
+    """
+    altered = {}
+    for field in df.schema.fields:
+        if field.name in LEAKAGE_FIELDS:
+            column, kind = F.col(field.name), field.dataType.typeName()
+            if kind == "boolean":
+                altered[field.name] = ~F.coalesce(column, F.lit(False))
+            elif kind == "string":
+                altered[field.name] = F.concat(F.coalesce(column, F.lit("")), F.lit("*"))
+            else:
+                altered[field.name] = (F.coalesce(column, F.lit(0)) + 7).cast(field.dataType)
+    features = list(features)
+
+    def checksums(rows: DataFrame) -> DataFrame:
+        sums = [F.sum(F.xxhash64(*key, F.lit(f), F.col(f)).cast("decimal(38,0)")).alias(f) for f in features]
+        pairs = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).alias("checksum")) for f in features])
+        return build(rows).agg(*sums).select(F.inline(pairs))
+
+    after = checksums(df.withColumns(altered)).withColumnRenamed("checksum", "altered")
+    return checksums(df).join(after, "feature").select(
+        "feature", (~F.col("checksum").eqNullSafe(F.col("altered"))).cast("int").alias("leaks")
+    )
+
+
 def order_split(df: DataFrame, test_size: float = 0.20, seed: int = SEED) -> DataFrame:
     """Add ``split``: a whole order is test or train, decided by a draw keyed on the order id.
 

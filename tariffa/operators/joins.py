@@ -84,6 +84,7 @@ def dimension_join(
     row_key: Sequence[str] = (),
     derived: bool = False,
     rows_per_salt: int = ROWS_PER_SALT,
+    may_broadcast: bool = True,
 ) -> DataFrame:
     """Left join to a table with a unique ``key``, whatever the sizes and however hot a key is.
 
@@ -93,9 +94,9 @@ def dimension_join(
     dimension rows of those few keys are repeated, so a key with a third of all rows still
     ends up in many tasks.
     """
-    if estimated_bytes(dimension) <= broadcast_limit(dimension):
+    if may_broadcast and estimated_bytes(dimension) <= broadcast_limit(dimension):
         return fact.join(F.broadcast(dimension), key, "left")
-    if derived:
+    if may_broadcast and derived:
         dimension = stored(dimension, "dimension")
         if few(dimension):
             return fact.join(F.broadcast(dimension), key, "left")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tariffa.config import EXPOSURE_KEY, RatingConfig
 from tariffa.functions.columns import flag, isclose, positive_divide, safe_divide
+from tariffa.operators.segments import segment_totals
 
 
 def eligible_rows(df: DataFrame) -> DataFrame:
@@ -54,28 +55,27 @@ def portfolio_premiums(claims: DataFrame, config: RatingConfig | None = None) ->
     return metrics.select(F.struct("portfolio_pure_premium", "portfolio_commercial_premium")).scalar()
 
 
+AVERAGED = ("freight_value", "freight_value_capped")
+
+
 def rating_summary(
     claims: DataFrame, group: str, *, min_exposure: int, config: RatingConfig | None = None
 ) -> DataFrame:
     """Experience and indicated premium per segment, relative to the portfolio."""
     target = F.lit((config or RatingConfig()).target_loss_ratio)
     portfolio = portfolio_premiums(claims, config).getField("portfolio_pure_premium")
+    sums = {
+        "eligible_exposures": F.lit(1),
+        "covered_claim_count": F.col("covered_claim_flag"),
+        **{f"total_{c}": F.col(c) for c in ("gross_loss", "recovery_from_carrier", "paid_loss", "net_loss")},
+        **{f"{part}_{c}": x for c in AVERAGED for part, x in (("sum", F.col(c)), ("known", F.col(c).isNotNull().cast("int")))},
+    }
+    distinct = {"unique_orders": "order_id", "unique_sellers": "seller_id", "unique_products": "product_id"}
+    totals = segment_totals(eligible_rows(claims), [[group]], sums, distinct)
+    average = {f"average_{c}": F.try_divide(f"sum_{c}", f"known_{c}") for c in AVERAGED}
     return (
-        eligible_rows(claims)
-        .groupBy(group)
-        .agg(
-            F.count(F.lit(1)).alias("eligible_exposures"),
-            F.sum("covered_claim_flag").alias("covered_claim_count"),
-            F.sum("gross_loss").alias("total_gross_loss"),
-            F.sum("recovery_from_carrier").alias("total_recovery_from_carrier"),
-            F.sum("paid_loss").alias("total_paid_loss"),
-            F.sum("net_loss").alias("total_net_loss"),
-            F.avg("freight_value").alias("average_freight_value"),
-            F.avg("freight_value_capped").alias("average_freight_value_capped"),
-            F.count_distinct("order_id").alias("unique_orders"),
-            F.count_distinct("seller_id").alias("unique_sellers"),
-            F.count_distinct("product_id").alias("unique_products"),
-        )
+        totals.withColumns(average)
+        .drop("segmentation", *[f"{part}_{c}" for c in AVERAGED for part in ("sum", "known")])
         .withColumn("claim_frequency", F.col("covered_claim_count") / F.col("eligible_exposures"))
         .withColumn("average_severity", positive_divide("total_net_loss", "covered_claim_count"))
         .withColumn("pure_premium", F.col("total_net_loss") / F.col("eligible_exposures"))

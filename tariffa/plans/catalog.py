@@ -14,9 +14,11 @@ from tariffa.functions.columns import keyed_uniform
 from tariffa.operators import attribution, backtest, boosting, features, glm, metrics, profile, rating, simulate, stress
 from tariffa.operators import credibility as cred
 from tariffa.operators import exposure as exposures
+from tariffa.operators.joins import dimension_join
 from tariffa.operators.quantiles import quantiles
-from tariffa.plans.star import BOOSTING, CREDIBILITY, GLM, RATING, SIMULATION, SWEEP, StarStages, exact_cap_simulation
-from tariffa.sources.sinks import read_metrics, stored, write_metrics
+from tariffa.plans.star import BACKTESTED, BOOSTING, CREDIBILITY, GLM, RATING, SIMULATION, SWEEP, StarStages, exact_cap_simulation
+from tariffa.sources.quarantine import read_csv_diverting
+from tariffa.sources.sinks import read_metrics, rewrite_partitions, stored, write_metrics
 from tariffa.session import new_table_path
 
 KEY = list(EXPOSURE_KEY)
@@ -115,6 +117,80 @@ def exposure_table(s: StarStages) -> DataFrame:
     return exposures.build_exposure(s.tables)
 
 
+@query
+def exposure_table_salted(s: StarStages) -> DataFrame:
+    """Items joined to sellers by the shuffled route while one seller holds half of them: its rows are dealt over salts."""
+    hot = F.when(F.col("order_id") % 2 == 0, F.lit(1)).otherwise(F.col("seller_id"))
+    items = s.tables.items.withColumn("seller_id", hot.cast(s.tables.items.schema["seller_id"].dataType))
+    joined = dimension_join(
+        items, s.tables.sellers, "seller_id", row_key=["order_id", "order_item_id"], rows_per_salt=10_000, may_broadcast=False
+    )
+    return joined.groupBy("seller_id", "seller_city", "seller_state").agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum("freight_value").alias("freight_loss")
+    )
+
+
+def _faulty_csv(s: StarStages) -> dict[str, str]:
+    """Items and orders as CSV, some rows with a bad number, a bad date or too few fields."""
+    items, orders = s.tables.items, s.tables.orders
+    at, line = F.col("order_id"), F.col("order_item_id")
+    price = F.when((at % 50 == 3) & (line == 1), F.lit("n/a")).otherwise(F.col("price").cast("string"))
+    freight = F.when((at % 64 == 5) & (line == 1), F.lit("12,x")).otherwise(F.col("freight_value").cast("string"))
+    whole = [at, line, F.col("product_id"), F.col("seller_id"), F.lit("2020-01-02 03:04:05"), price, freight]
+    quoted = [F.concat(F.lit('"'), c.cast("string"), F.lit('"')) for c in whole]
+    short = F.concat_ws(",", *quoted[:3])
+    item_lines = items.select(F.when((at % 77 == 1) & (line == 2), short).otherwise(F.concat_ws(",", *quoted)).alias("value"))
+    bought = F.when(at % 60 == 2, F.lit("2024-13-45 99:00:00")).otherwise(F.col("order_purchase_timestamp").cast("string"))
+    due = F.when(at % 90 == 2, F.lit("soon")).otherwise(F.col("order_estimated_delivery_date").cast("string"))
+    parts = [at, F.col("customer_id"), F.col("order_status"), bought, F.lit(""), F.lit(""), F.lit(""), due]
+    order_lines = orders.select(F.concat_ws(",", *[p.cast("string") for p in parts]).alias("value"))
+    paths = {}
+    for name, lines in (("items", item_lines), ("orders", order_lines)):
+        paths[name] = new_table_path(s.spark, f"faulty-{name}")
+        lines.write.text(paths[name])
+    return paths
+
+
+@query
+def csv_quarantine(s: StarStages) -> DataFrame:
+    """Malformed rows of CSV input, counted per column, beside the rows that are read."""
+    parts = []
+    for name, path in _faulty_csv(s).items():
+        found = read_csv_diverting(s.spark, path, name, header=False)
+        kept = found.rows.agg(F.lit(name).alias("table_name"), F.lit("(rows read)").alias("column_name"), F.count(F.lit(1)).alias("row_count"))
+        held = found.quarantine.agg(F.lit(name).alias("table_name"), F.lit("(rows diverted)").alias("column_name"), F.count("text").alias("row_count"))
+        parts += [kept, held, found.counts()]
+    return union_all(parts)
+
+
+@query
+def month_rerun(s: StarStages) -> DataFrame:
+    """Claims by month; one month is run again with other losses, and every other month keeps its files."""
+    path = new_table_path(s.spark, "by-month")
+    rows = s.claims.select(*KEY, "purchase_month", "net_loss")
+    rewrite_partitions(rows, path, ["purchase_month"])
+
+    def files(name: str) -> DataFrame:
+        held = s.spark.read.schema(rows.select(*KEY, "net_loss", "purchase_month").schema).parquet(path)
+        per = held.groupBy("purchase_month", F.col("_metadata.file_path").alias("file")).agg(
+            F.count(F.lit(1)).alias("n"), F.sum("net_loss").alias("loss")
+        )
+        return stored(
+            per.groupBy("purchase_month").agg(
+                F.sum("n").alias("row_count"), F.sum("loss").alias("total_net_loss"), F.array_sort(F.collect_list("file")).alias(name)
+            ),
+            name,
+        )
+
+    before = files("before").select("purchase_month", "before")
+    again = rows.filter("purchase_month = 3").withColumn("net_loss", F.col("net_loss") * 2)
+    rewrite_partitions(again, path, ["purchase_month"])
+    after = files("after").withColumnRenamed("purchase_month", "month")
+    return after.join(before, F.col("month").eqNullSafe(F.col("purchase_month"))).select(
+        "purchase_month", "row_count", "total_net_loss", (F.col("before") == F.col("after")).cast("int").alias("files_kept")
+    )
+
+
 @query
 def key_audit(s: StarStages) -> DataFrame:
     return exposures.key_audit(s.tables)
@@ -491,7 +567,7 @@ def validate_credibility(s: StarStages) -> DataFrame:
 
 
 def _tested(s: StarStages, *groups: str) -> DataFrame:
-    frame = backtest.backtest(s.analytic_credibility, groups, RATING.target_loss_ratio)
+    frame = backtest.one_of(s.backtests, BACKTESTED, groups)
     return backtest.sorted_backtest(frame, groups[0]) if groups else frame
 
 
@@ -654,6 +730,18 @@ def leakage_report(s: StarStages) -> DataFrame:
     return features.leakage_report(_featured(s))
 
 
+@query
+def leakage_probe(s: StarStages) -> DataFrame:
+    """Which features move with the outcomes?  None of the models' own; the last one, made from a loss under another name, must."""
+    tables = features.level_tables(s.claims, GLM.category_min_exposure, GLM.route_min_exposure)
+
+    def build(rows: DataFrame) -> DataFrame:
+        made = features.prepare_features(rows.withColumn("spending", F.log1p("net_loss")), *tables)
+        return made.withColumn("control_from_outcome", F.round("spending", 4))
+
+    return features.leakage_probe(s.claims, build, [*features.MODEL_FEATURES, "control_from_outcome"])
+
+
 def _scored(s: StarStages) -> DataFrame:
     return rating.eligible_rows(s.claims).withColumns(
         {

@@ -492,6 +492,13 @@ grouped AS (
   FROM claims c LEFT JOIN cat_levels cl ON c.product_category_name_english = cl.level
   LEFT JOIN route_levels rl ON coalesce(c.route_state, 'Unknown') = rl.level)"""
 
+# Columns of the design: feature, level and value.
+_NUMERIC = ("price", "freight_value_capped", "freight_to_price_ratio_capped", "product_weight_g_filled",
+           "product_volume_cm3_filled", "estimated_delivery_days")
+_TERMS = [("Intercept", "''", "1.0"), ("category_group", "category_group", "1.0"), ("route_group", "route_group", "1.0")]
+_TERMS += [(f"{n}_cat", f"CAST({n} AS VARCHAR)", "1.0") for n in ("cross_state_flag", "purchase_month", "purchase_weekday")]
+_TERMS += [(f"log_{n}", "''", f"ln(1 + greatest(coalesce({n}, 0.0), 0.0))") for n in _NUMERIC]
+
 # A deterministic score: closed-form probability, capped freight as severity.
 _SCORED = _CLAIMS + """,
 scored AS MATERIALIZED (
@@ -889,6 +896,27 @@ caps AS (SELECT quantile_cont(freight_value, 0.99) AS fc, quantile_cont(freight_
       GROUP BY 1""")
 
     # --- identities that fitted models have to satisfy ------------------------------------
+    out["leakage_probe"] = " UNION ALL ".join(
+        f"SELECT '{name}' AS feature, {int(name == 'control_from_outcome')} AS leaks"
+        for name in (*[t[0] for t in _TERMS[1:]], "control_from_outcome"))
+    out["month_rerun"] = _with(c, """
+      SELECT purchase_month, count(*) AS row_count, sum(net_loss) * CASE WHEN purchase_month = 3 THEN 2 ELSE 1 END AS total_net_loss,
+             CAST(purchase_month <> 3 AS INTEGER) AS files_kept FROM claims GROUP BY purchase_month""")
+    out["exposure_table_salted"] = """
+      SELECT seller_id, s_name AS seller_city, n_name AS seller_state, count(*) AS row_count, sum(l_extendedprice * l_tax) AS freight_loss
+      FROM (SELECT CASE WHEN l_orderkey % 2 = 0 THEN 1 ELSE l_suppkey END AS seller_id, l_extendedprice, l_tax FROM lineitem)
+      LEFT JOIN supplier ON seller_id = s_suppkey LEFT JOIN nation ON s_nationkey = n_nationkey GROUP BY ALL"""
+    faults = {"items": ("lineitem", {"(row shape)": "short", "price": "NOT short AND bad_price", "freight_value": "NOT short AND bad_freight"}),
+              "orders": ("orders", {"order_purchase_timestamp": "o_orderkey % 60 = 2", "order_estimated_delivery_date": "o_orderkey % 90 = 2"})}
+    pieces = []
+    for name, (source, bad) in faults.items():
+        rows = """(SELECT *, l_orderkey % 77 = 1 AND l_linenumber = 2 AS short, l_orderkey % 50 = 3 AND l_linenumber = 1 AS bad_price,
+                   l_orderkey % 64 = 5 AND l_linenumber = 1 AS bad_freight FROM lineitem)""" if source == "lineitem" else source
+        some = " OR ".join(f"({rule})" for rule in bad.values())
+        pieces.append(f"SELECT '{name}' AS table_name, '(rows read)' AS column_name, count(*) AS row_count FROM {rows} WHERE NOT ({some})")
+        pieces.append(f"SELECT '{name}', '(rows diverted)', count(*) FROM {rows} WHERE {some}")
+        pieces += [f"SELECT '{name}', '{column}', count(*) FROM {rows} WHERE {rule} HAVING count(*) > 0" for column, rule in bad.items()]
+    out["csv_quarantine"] = " UNION ALL ".join(pieces)
     out["glm_balance"] = _with(c, """
       SELECT count(*) AS exposures, CAST(sum(covered_claim_flag) AS BIGINT) AS actual_claims,
              CAST(sum(covered_claim_flag) AS DOUBLE) AS predicted_claims,
@@ -963,16 +991,10 @@ caps AS (SELECT quantile_cont(freight_value, 0.99) AS fc, quantile_cont(freight_
             equations.append(f"""SELECT '{fit}' AS fit, '{model}' AS model, feature, level, count(*) AS row_count,
               CAST({observed} AS DOUBLE) AS observed, CAST(0 AS DOUBLE) AS score_gap FROM {fit}_long WHERE {claim} GROUP BY feature, level""")
 
-    numeric = ("price", "freight_value_capped", "freight_to_price_ratio_capped", "product_weight_g_filled",
-               "product_volume_cm3_filled", "estimated_delivery_days")
-    terms = [("Intercept", "''", "1.0"), ("category_group", "category_group", "1.0"), ("route_group", "route_group", "1.0")]
-    terms += [(f"{n}_cat", f"CAST({n} AS VARCHAR)", "1.0") for n in ("cross_state_flag", "purchase_month", "purchase_weekday")]
-    terms += [(f"log_{n}", "''", f"ln(1 + greatest(coalesce({n}, 0.0), 0.0))") for n in numeric]
-
     def long_form(source: str) -> str:
         return " UNION ALL ".join(
             f"SELECT '{feature}' AS feature, {level} AS level, {x} AS x, covered_claim_flag, net_loss FROM {source}"
-            for feature, level, x in terms
+            for feature, level, x in _TERMS
         )
 
     levels = []

@@ -253,6 +253,8 @@ DOUBLE_COLUMNS: dict[str, str] = {
     "challenger_checks": "actual_total_loss calibrated_expected_total_loss",
     "attribution_identity": "split_gap",
     "glm_score_equations": "observed score_gap",
+    "month_rerun": "total_net_loss",
+    "exposure_table_salted": "freight_loss",
 }
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tariffa.config import BoostingConfig, CredibilityConfig, GlmConfig, RatingConfig, SimulationConfig
 from tariffa.operators import exposure as exposures
-from tariffa.operators import attribution, boosting, features, glm, rating, simulate
+from tariffa.operators import attribution, backtest, boosting, features, glm, rating, simulate
 from tariffa.operators import credibility as cred
 from tariffa.session import prepare
 from tariffa.sources.sinks import stored
@@ -63,6 +63,16 @@ SWEEP = (
     ("weighted_reg", replace(BOOSTING, positive_weight=10.0)),
 )
 
+# Segmentations of the loss-ratio backtest.
+BACKTESTED = [
+    (),
+    ("purchase_month",),
+    ("product_category_name_english",),
+    ("route_state",),
+    ("seller_risk_tier",),
+    ("seller_id",),
+]
+
 _CLAIM_INPUT = [
     "order_id",
     "order_item_id",
@@ -132,6 +142,11 @@ class StarStages:
             cred.credibility_pricing(self.analytic_pricing, self.analytic_sellers, CREDIBILITY), "credibility"
         )
 
+    @cached_property
+    def backtests(self) -> DataFrame:
+        """All six segmentations from one scan of the priced table."""
+        return stored(backtest.backtests(self.analytic_credibility, BACKTESTED, RATING.target_loss_ratio), "backtests")
+
     @cached_property
     def glm_model(self) -> glm.TwoPartGlm:
         return glm.fit_two_part(rating.eligible_rows(self.claims), GLM)

@@ -26,7 +26,7 @@ from tariffa.operators import (
     stress,
 )
 from tariffa.operators import credibility as cred
-from tariffa.sources.sinks import write_metrics, write_table
+from tariffa.sources.sinks import stored, write_metrics, write_table
 from tariffa.sources.tables import InputTables
 
 CATEGORY, ROUTE = "product_category_name_english", "route_state"
@@ -139,22 +139,19 @@ class Workflow:
     def run_backtesting(self) -> None:
         pricing, r = self.load("pricing_glm_credibility"), self.rating
         target = r.target_loss_ratio
-        self.metrics(backtest.backtest(pricing, target=target), "loss_ratio_backtesting")
+        segments = (("month", "purchase_month"), ("category", CATEGORY), ("route", ROUTE), ("seller_tier", "seller_risk_tier"), ("seller", "seller_id"))
+        all_segments = [(), *[(group,) for _, group in segments]]
+        # one scan of the priced table serves all
+        tested = stored(backtest.backtests(pricing, all_segments, target), "backtests")
+        self.metrics(backtest.one_of(tested, all_segments, ()), "loss_ratio_backtesting")
         tops = {
             CATEGORY: r.category_min_exposure,
             ROUTE: r.route_min_exposure,
             "seller_id": r.seller_min_exposure,
         }
-        for name, group in (
-            ("month", "purchase_month"),
-            ("category", CATEGORY),
-            ("route", ROUTE),
-            ("seller_tier", "seller_risk_tier"),
-            ("seller", "seller_id"),
-        ):
-            table = self.save(
-                backtest.sorted_backtest(backtest.backtest(pricing, [group], target), group), f"backtest_by_{name}"
-            )
+        for name, group in segments:
+            own = backtest.one_of(tested, all_segments, (group,))
+            table = self.save(backtest.sorted_backtest(own, group), f"backtest_by_{name}")
             if group in tops:
                 self.report(
                     backtest.top_segments(table, group, min_exposures=tops[group]), f"top_{name}_high_loss_ratio"

@@ -19,6 +19,18 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Se
     return path
 
 
+def rewrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> str:
+    """Write the partitions that ``df`` has rows of, in place of what they held; all others keep their files.
+
+    A month can be run again alone.  Rows that a rerun no longer has leave with their partition's old files, but a partition
+    without any row in ``df`` is not emptied.  Rows are brought together by partition first, one that is too large for a task
+    in several tasks.
+    """
+    gathered = df.hint("rebalance", *partition_by)
+    gathered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+    return path
+
+
 def write_metrics(one_row: DataFrame, path: str) -> str:
     """A metrics DataFrame as JSON lines (one row, so one small file)."""
     one_row.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
