@@ -22,8 +22,16 @@ from tariffa.llm.common import on_files, with_locator, without_rows
 from tariffa.session import new_table_path
 from tariffa.sources.sinks import stored
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+# State on disk, with little memory for each of many small stores: no space set aside for logs, small write buffers, one bounded
+# cache for all stores of an executor, and stores of an ended stream are closed soon.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "64",
+    "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "2",
+    "spark.sql.streaming.stateStore.maintenanceInterval": "10s",
+}
 
 
 def sha256(content: Column) -> Column:
@@ -42,8 +50,9 @@ def drain(spark: SparkSession, rows: DataFrame, checkpoint: str) -> DataFrame:
 
     Called again with the same checkpoint, it goes on where it stopped: the state is kept.
     """
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    before = {key: spark.conf.get(key, None) for key in STATE_CONF}
+    for key, value in STATE_CONF.items():
+        spark.conf.set(key, value)
     try:
         (
             keyed_state(rows)
@@ -56,7 +65,8 @@ def drain(spark: SparkSession, rows: DataFrame, checkpoint: str) -> DataFrame:
         )
         kept = spark.read.format("statestore").option("path", checkpoint).load()
     finally:
-        spark.conf.unset(PROVIDER) if before is None else spark.conf.set(PROVIDER, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     return kept.select("key.digest", F.col("value.max").alias("keeper"), F.col("value.count").alias("size"))
 
 
