@@ -493,11 +493,11 @@ grouped AS (
   LEFT JOIN route_levels rl ON coalesce(c.route_state, 'Unknown') = rl.level)"""
 
 # Columns of the design: feature, level and value.
-_NUMERIC = ("price", "freight_value_capped", "freight_to_price_ratio_capped", "product_weight_g_filled",
+_LOGGED = ("price", "freight_value_capped", "freight_to_price_ratio_capped", "product_weight_g_filled",
            "product_volume_cm3_filled", "estimated_delivery_days")
 _TERMS = [("Intercept", "''", "1.0"), ("category_group", "category_group", "1.0"), ("route_group", "route_group", "1.0")]
 _TERMS += [(f"{n}_cat", f"CAST({n} AS VARCHAR)", "1.0") for n in ("cross_state_flag", "purchase_month", "purchase_weekday")]
-_TERMS += [(f"log_{n}", "''", f"ln(1 + greatest(coalesce({n}, 0.0), 0.0))") for n in _NUMERIC]
+_TERMS += [(f"log_{n}", "''", f"ln(1 + greatest(coalesce({n}, 0.0), 0.0))") for n in _LOGGED]
 
 # A deterministic score: closed-form probability, capped freight as severity.
 _SCORED = _CLAIMS + """,
