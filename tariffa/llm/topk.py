@@ -10,6 +10,14 @@ Pivots come from a bounded sample (``sample`` vectors, by hash); every vector is
 ``pivots`` x ``rings`` and is the only thing sent to all tasks.  A crowded annulus (one vector repeated many times, say)
 is dealt into chunks of about ``chunk`` rows, and queries are dealt into blocks as well.
 
+Scores are exact integers.  By Cauchy and Schwarz no partial sum of products exceeds the product of both norms; up to 2^53 doubles hold
+all of them.  Beyond, doubles only choose the candidates, all those whose score may reach the k-th within the rounding of a sum of products,
+and Python integers score them.  A component from 2^62 on, or a best score beyond a long, is an error.  The bounds allow for rounding too:
+the annuli's distances are taken wider by what a rounded square can move a square root.
+
+A block of queries and the pieces of annuli that one of them visits meet in one task; pieces that no query of the block visits are not
+copied for it.
+
 Vectors that are null or hold a null or non-finite component, and rows without identifier, take no part.  Shorter vectors count as
 padded with zeros.  Candidates sharing a query's identifier are left out, repeated queries are asked once, ties go to the smaller
 identifier, and an empty table gives an empty result.  Further columns are ignored.
@@ -28,8 +36,9 @@ from tariffa.llm.common import collectable
 from tariffa.sources.sinks import stored
 
 SCALE = 256
-# bounds are real numbers, scores are integers: half a unit of score is more than any rounding
-SLACK = 0.5
+UNIT = 2.0**-53  # of rounding
+EXACT = 2.0**53  # integers up to here are exact in doubles
+LARGEST = 2.0**62
 
 
 def quantised(vector: str, scale: int = SCALE) -> Column:
@@ -48,6 +57,17 @@ def _matrix(vectors: pd.Series, width: int) -> np.ndarray:
     return out
 
 
+def _loose(width: int, norms: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray]:
+    """What rounding moves a bound of distance by at most, and a bound of score, for queries of these norms.
+
+    A square of a distance is off by a few units for each of ``width`` terms, relative to the squares of the norms; its root, and the
+    added coordinate, which is a root as well, by no more than the root of that.
+    """
+    size = norms + np.sqrt(reach)
+    relative = 8 * (width + 4) * UNIT
+    return 4 * np.sqrt(relative) * size, relative * size * size
+
+
 def _augmented(x: np.ndarray, reach: float) -> np.ndarray:
     return np.c_[x, np.sqrt(np.maximum(reach - (x * x).sum(axis=1), 0.0))]
 
@@ -67,6 +87,11 @@ def spread_pivots(points: np.ndarray, count: int) -> np.ndarray:
     return points[chosen]
 
 
+def _check_size(largest: float | None) -> None:
+    if (largest or 0.0) >= LARGEST:
+        raise ValueError("components are too large: floor(256 * x) must stay below 2^62")
+
+
 class Index:
     """The indexed vectors (id, vector, pivot, ring, piece) and the bounded table of annuli."""
 
@@ -84,10 +109,14 @@ def build(
         ),
         "vectors",
     )
-    norm = F.aggregate("vector", F.lit(0.0), lambda total, x: total + x * x)
-    reach, width = clean.agg(F.max(norm), F.max(F.size("vector"))).first()
+    norm = F.aggregate("vector", F.lit(0.0), lambda total, x: total + x.cast("double") * x.cast("double"))
+    largest = F.array_max(F.transform("vector", lambda x: F.abs(x.cast("double"))))
+    reach, width, most = clean.agg(F.max(norm), F.max(F.size("vector")), F.max(largest)).first()
     if reach is None:
         return None
+    _check_size(most)
+    # no norm is above it, however it was rounded
+    reach *= 1 + 4 * (width + 2) * UNIT
     some = clean.orderBy(F.xxhash64("id"), "id").limit(sample).toPandas()
     centres = spread_pivots(_augmented(_matrix(some["vector"], width), reach), pivots)
     # no point is farther from a pivot than twice the largest norm
@@ -127,8 +156,10 @@ def _visits(queries: DataFrame, index: Index, k: int, first: bool) -> DataFrame:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             x = _matrix(frame["vector"], width)
+            square = (x * x).sum(axis=1)[:, None]
+            far, off = _loose(width, np.sqrt(square), reach)
             away = _distances(np.c_[x, np.zeros(len(x))], pivots)[:, owner]
-            bound = np.maximum(0.0, np.maximum(low - away, away - high))
+            bound = np.maximum(0.0, np.maximum(low - away, away - high) - far)
             order = np.argsort(bound, axis=1, kind="stable")
             before = np.cumsum(rows[order], axis=1) - rows[order]
             opening = np.zeros_like(order, bool)
@@ -136,7 +167,7 @@ def _visits(queries: DataFrame, index: Index, k: int, first: bool) -> DataFrame:
             if first:
                 wanted = opening
             else:
-                best = ((x * x).sum(axis=1)[:, None] + reach - bound * bound) / 2 + SLACK
+                best = (square + reach - bound * bound) / 2 + off
                 floor = frame["floor"].to_numpy(dtype=float)
                 wanted = ~opening & (np.isnan(floor)[:, None] | (best >= floor[:, None]))
             query, annulus = np.nonzero(wanted)
@@ -151,29 +182,55 @@ def _visits(queries: DataFrame, index: Index, k: int, first: bool) -> DataFrame:
     return queries.mapInPandas(run, "query_id long, vector array<long>, part int, pivot int, ring int, piece int")
 
 
-def _meet(queries: DataFrame, index: Index, k: int, parts: int, first: bool) -> DataFrame:
+def _top(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each row of scores the k largest finite ones: row, place and score; of equal ones the first."""
+    top = np.argsort(-scores, axis=1, kind="stable")[:, :k]
+    value = np.take_along_axis(scores, top, axis=1)
+    row, rank = np.nonzero(np.isfinite(value))
+    return row, top[row, rank], value[row, rank]
+
+
+def _top_exact(x: np.ndarray, y: np.ndarray, scores: np.ndarray, k: int) -> tuple[list[int], list[int], list[int]]:
+    """The same by exact integers, of the rows that rounding leaves in question."""
+    off = 4 * (x.shape[1] + 2) * UNIT * np.linalg.norm(x, axis=1) * np.linalg.norm(y, axis=1).max()
+    found: tuple[list[int], list[int], list[int]] = ([], [], [])
+    for row, own in enumerate(scores):
+        finite = np.flatnonzero(np.isfinite(own))
+        if len(finite) > k:
+            least = np.partition(own[finite], -k)[-k]
+            finite = finite[own[finite] >= least - 2 * off[row]]
+        asked = [int(v) for v in x[row]]
+        exact = [(-sum(a * int(b) for a, b in zip(asked, y[place], strict=True)), int(place)) for place in finite]
+        for value, place in sorted(exact)[:k]:
+            if not -(2**63) <= -value < 2**63:
+                raise OverflowError("a score does not fit a long")
+            for column, entry in zip(found, (row, place, -value), strict=True):
+                column.append(entry)
+    return found
+
+
+def _meet(queries: DataFrame, index: Index, k: int, first: bool) -> DataFrame:
     """The best k of every annulus piece for every query that visits it."""
     width = index.width
-    keys = ["pivot", "ring", "piece", "part"]
-    # a block of queries meets a piece of an annulus in one task
-    blocks = index.rows.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    place = ["pivot", "ring", "piece"]
+    keys = [*place, "part"]
 
     def best(asked: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         if not len(asked) or not len(rows):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype=np.int64)
         rows = rows.sort_values("id", kind="stable")
         ids, asking = rows["id"].to_numpy(), asked["query_id"].to_numpy()
-        # sums of products of small integers are exact in doubles
-        scores = _matrix(asked["vector"], width) @ _matrix(rows["vector"], width).T
+        x, y = _matrix(asked["vector"], width), _matrix(rows["vector"], width)
+        scores = x @ y.T
         scores[asking[:, None] == ids[None, :]] = -np.inf
-        top = np.argsort(-scores, axis=1, kind="stable")[:, :k]
-        value = np.take_along_axis(scores, top, axis=1)
-        query, place = np.nonzero(np.isfinite(value))
-        return pd.DataFrame(
-            {"query_id": asking[query], "vec_id": ids[top[query, place]], "score": value[query, place].astype(np.int64)}
-        )
-
-    visits = _visits(queries, index, k, first)
+        exact = max((v * v).sum(axis=1).max() for v in (x, y)) * (1 + 4 * (width + 2) * UNIT) <= EXACT
+        query, found, value = _top(scores, k) if exact else _top_exact(x, y, scores, k)
+        return pd.DataFrame({"query_id": asking[query], "vec_id": ids[found], "score": np.array(value, dtype=np.int64)})
+
+    visits = stored(_visits(queries, index, k, first), "visits")
+    # a piece is copied once for every block of queries with a visit to it
+    visited = visits.select(*[F.col(c).alias(c) for c in keys]).distinct()
+    blocks = index.rows.join(visited, place)
     return visits.groupBy(*keys).cogroup(blocks.groupBy(*keys)).applyInPandas(best, "query_id long, vec_id long, score long")
 
 
@@ -195,11 +252,16 @@ def search(
         .filter("query_id is not null and vector is not null")
         .distinct()
     )
-    parts = max(1, -(-asked.count() // block))
+    size = F.max(F.array_max(F.transform("vector", lambda x: F.abs(x.cast("double")))))
+    count, most = asked.agg(F.count(F.lit(1)), size).first()
+    _check_size(most)
+    parts = max(1, -(-count // block))
     asked = stored(asked.withColumn("part", F.pmod(F.xxhash64("query_id"), F.lit(parts)).cast("int")), "queries")
-    opening = stored(_ranked(_meet(asked, index, k, parts, True), k), "opening")
+    # however few files the queries lie in, their visits are found in many tasks
+    asked = asked.repartition("query_id")
+    opening = stored(_ranked(_meet(asked, index, k, True), k), "opening")
     floors = opening.filter(F.col("rank") == k).select("query_id", F.col("score").alias("floor"))
-    rest = _meet(asked.join(floors, "query_id", "left"), index, k, parts, False)
+    rest = _meet(asked.join(floors, "query_id", "left"), index, k, False)
     columns = ["query_id", "vec_id", "score"]
     return _ranked(opening.select(*columns).unionByName(rest), k).select(
         "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"

@@ -6,6 +6,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tariffa.llm import topk
 
@@ -46,6 +47,47 @@ def test_search_is_exact(spark, settings):
     assert answer(spark, rows, **settings) == plain(rows, 5)
 
 
+@pytest.mark.parametrize("norm", [1.0, 1e3, 1e6, 1e9])
+def test_scores_are_exact_integers_at_any_size(spark, norm):
+    """Products beyond 2^53, near ties and repeated rows; one wide component at the largest size."""
+    rng = np.random.default_rng(int(math.log10(norm)))
+    width = 8 if norm < 1e9 else 1
+    base = rng.normal(0, norm / 3 if norm < 1e9 else norm / 300, (40, width))
+    # neighbours a few units apart, whose scores differ below the rounding of doubles
+    rows = [(i, [float(np.float32(x)) for x in base[i % 40] * (1 + (i // 40) * 1e-7)], "", 0) for i in range(400)]
+    rows += [(1000 + i, rows[0][1], "", 0) for i in range(30)]
+    assert answer(spark, rows) == plain(rows, 5)
+    assert answer(spark, rows, pivots=4, rings=6, chunk=20, block=3, sample=50) == plain(rows, 5)
+
+
+def test_rounding_leaves_nothing_out():
+    """Float scores that lie wrong way round are put right by integers, ties to the first row."""
+    x = np.array([[2.0**31 + 1, 1.0]])
+    y = np.array([[2.0**31, 3.0], [2.0**31, 5.0], [2.0**31, 4.0], [2.0**31, 5.0]])
+    assert topk._top_exact(x, y, x @ y.T, 2) == ([0, 0], [1, 3], [(2**31 + 1) * 2**31 + 5] * 2)
+
+
+def test_too_large_components_are_an_error(spark):
+    vectors = spark.createDataFrame([(0, [1e30], "", 0), (1, [1.0], "", 0)], SCHEMA)
+    with pytest.raises(ValueError, match="2\\^62"):
+        topk.search(vectors, vectors, 1)
+    large = spark.createDataFrame([(0, [1e15] * 4, "", 0), (1, [1e15] * 4, "", 0)], SCHEMA)
+    with pytest.raises(Exception, match="does not fit a long"):
+        topk.search(large, large, 1).collect()
+
+
+def test_a_block_copies_only_the_pieces_it_visits(spark):
+    """Two far clouds, queries in one of them: the rows of the other are never dealt to the queries' blocks."""
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in (100.0 if i % 2 else -100.0) + rng.normal(0, 1, 2)], "", 0) for i in range(400)]
+    vectors = spark.createDataFrame(rows, SCHEMA)
+    index = topk.build(vectors, "vec_id", "embedding", pivots=2, rings=8)
+    asked = vectors.filter("vec_id = 50").select(F.col("vec_id").alias("query_id"), topk.quantised("embedding").alias("vector"), F.lit(0).alias("part"))
+    visited = topk._visits(asked, index, 5, True).select("pivot").distinct().collect()
+    assert len(visited) == 1
+    assert answer(spark, rows) == plain(rows, 5)
+
+
 def test_fewer_candidates_than_asked_for(spark):
     rows = [(0, [1.0, 0.0], "", 0), (1, [0.5, 0.5], "", 0), (50, [-1.0, 0.0], "", 0)]
     assert answer(spark, rows) == plain(rows, 5)
