@@ -147,48 +147,33 @@ def build(model: bytes) -> Tokenizer:
 class Encoder:
     """Encodes and decodes batches; a part of a text between cuts that came before isn't encoded again (``most`` are kept).
 
-    Parity with the SentencePiece library is held part by part: every part that is a marker and a word is encoded by both.  A text
-    with any other part, or with one on which they differ, is encoded whole by both.
+    Parity is held on whole texts: the ids joined from a text's parts against those that the SentencePiece library, with its own normaliser,
+    gives for the text itself.  Ids are decoded by the rebuilt tokenizer's decoder.
     """
 
     def __init__(self, model: bytes, most: int = 120_000, run: int = 1000, threads: int = 1):
         self.reference, self.threads = SentencePieceProcessor(model_proto=model), threads
         self.tokenizer, spec = build(model), parse(model)
-        self.most, self.run, self.known, self.doubtful = most, run, {}, set()
+        self.most, self.run, self.known = most, run, {}
         self.heads = np.array([p.startswith(MARK) for p, _, _ in spec.pieces])
         self.parts = None
         if separable(spec):
             self.parts = Tokenizer.from_str(self.tokenizer.to_str())
             self.parts.normalizer = None
             self.cut = re.compile(CUT).findall
-            # without a character map or squeezed spaces the normaliser is a prefix and a replacement
-            plain = not spec.charsmap and not spec.squeeze
-            prefix = MARK if spec.dummy_prefix else ""
-            whole = self.tokenizer.normalizer.normalize_str
-            self.normalise = (lambda t: prefix + t.replace(" ", MARK) if t else "") if plain else whole
-        # pieces that stand for themselves; the library decodes texts with any other
-        own = (CONTROL, UNKNOWN, BYTE)
-        self.spelled = {i: p.replace(MARK, " ") for i, (p, _, kind) in enumerate(spec.pieces) if kind not in own}
-        # so does a byte that is a whole character
-        self.spelled |= {i: chr(int(p[1:-1], 16)) for i, (p, _, k) in enumerate(spec.pieces) if k == BYTE and int(p[1:-1], 16) < 128}
-        self.prefixed = spec.dummy_prefix
+            self.normalise = self.tokenizer.normalizer.normalize_str
 
     def encode(self, texts: list[str]) -> tuple[list[list[int]], list[bool]]:
         """Ids of each text, and whether they agree with the library's."""
         if self.parts is None:
             ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-            return ids, [a == b for a, b in zip(ids, self.reference.encode(texts, num_threads=self.threads), strict=True)]
-        cut = [self.cut(self.normalise(t)) for t in texts]
-        if len(self.known) > self.most:
-            self.known.clear()
-            self.doubtful.clear()
-        self._learn(set().union(*cut) - self.known.keys())
-        ids = [list(chain.from_iterable(map(self.known.__getitem__, parts))) for parts in cut]
-        parity = [self.doubtful.isdisjoint(parts) for parts in cut]
-        whole = [i for i, sure in enumerate(parity) if not sure]
-        for i, want in zip(whole, self.reference.encode([texts[i] for i in whole], num_threads=self.threads), strict=True):
-            parity[i] = ids[i] == want
-        return ids, parity
+        else:
+            cut = [self.cut(self.normalise(t)) for t in texts]
+            if len(self.known) > self.most:
+                self.known.clear()
+            self._learn(set().union(*cut) - self.known.keys())
+            ids = [list(chain.from_iterable(map(self.known.__getitem__, parts))) for parts in cut]
+        return ids, [a == b for a, b in zip(ids, self.reference.encode(texts, num_threads=self.threads), strict=True)]
 
     def _learn(self, new: set[str]) -> None:
         """Encode parts: those with one marker, at the start, in runs whose ids tell where each part starts."""
@@ -198,28 +183,11 @@ class Encoder:
             ids = found.ids
             starts = np.flatnonzero(self.heads[ids]).tolist()
             self.known.update(zip(parts, (ids[a:b] for a, b in zip(starts, [*starts[1:], len(ids)], strict=True)), strict=True))
-        if self.prefixed:
-            want = self.reference.encode([w[1:] for w in single], num_threads=self.threads)
-            self.doubtful.update(w for w, ids in zip(single, want, strict=True) if self.known[w] != ids)
-        else:
-            self.doubtful.update(single)
         other = list(new.difference(single))
-        self.doubtful.update(other)
         self.known.update(zip(other, (e.ids for e in self.parts.encode_batch_fast(other, add_special_tokens=False)), strict=True))
 
     def decode(self, ids: list[list[int]]) -> list[str]:
-        out, left = [], []
-        for i, own in enumerate(ids):
-            try:
-                text = "".join(map(self.spelled.__getitem__, own))
-                out.append(text[1:] if self.prefixed and text[:1] == " " else text)
-            except KeyError:
-                out.append("")
-                left.append(i)
-        decoded = self.tokenizer.decode_batch([ids[i] for i in left], skip_special_tokens=False) if left else []
-        for i, text in zip(left, decoded, strict=True):
-            out[i] = text
-        return out
+        return self.tokenizer.decode_batch(ids, skip_special_tokens=False)
 
 
 def read_model(path: str) -> bytes:

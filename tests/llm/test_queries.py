@@ -14,7 +14,7 @@ COLUMNS = {
     "op2_exact_dedup": "doc_id keep_id group_size kept text_sha256",
     "op3_mixing": "doc_id size source_size target taken",
     "op4_lm_scoring": "doc_id held_out n_tokens n_known train_tokens base_score score",
-    "op5_sentencepiece": "doc_id n_tokens ids_hash round_trip parity",
+    "op5_sentencepiece": "doc_id n_tokens token_ids round_trip parity",
     "op6_license_scan": "doc_id text_digest license_id",
     "op7_toxicity": "doc_id held_out score predicted",
     "op8_topk": "query_id rank vec_id score",

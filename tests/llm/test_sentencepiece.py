@@ -85,6 +85,22 @@ def test_a_difference_is_seen():
     assert parity[:2] == [False, True]
 
 
+def test_a_difference_of_whole_texts_is_seen():
+    """Every part agrees alone, but the library's own normaliser squeezes spaces: only the text as a whole tells."""
+    encoder = codec.Encoder(unigram(squeeze=False))
+    encoder.reference = SentencePieceProcessor(model_proto=unigram(squeeze=True))
+    assert encoder.encode(["a b"])[1] == [True]
+    assert encoder.encode(["a  b", "a b "])[1] == [False, False]
+    # a word known from before hides nothing
+    assert encoder.encode(["a b", "a  b"])[1] == [True, False]
+
+
+def test_texts_come_back_through_the_decoder():
+    encoder = codec.Encoder(codec.read_model(codec.MODEL))
+    ids, _ = encoder.encode(TEXTS)
+    assert encoder.decode(ids) == encoder.reference.decode(ids) and encoder.decode([[]]) == [""]
+
+
 def test_parse_reads_the_settings():
     spec = codec.parse(unigram(True, False, True))
     assert (spec.kind, spec.byte_fallback, spec.dummy_prefix, spec.squeeze) == (codec.UNIGRAM, True, False, True)
