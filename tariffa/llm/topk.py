@@ -39,6 +39,7 @@ SCALE = 256
 UNIT = 2.0**-53  # of rounding
 EXACT = 2.0**53  # integers up to here are exact in doubles
 LARGEST = 2.0**62
+QUERIES_PER_TASK = 64
 
 
 def quantised(vector: str, scale: int = SCALE) -> Column:
@@ -257,11 +258,11 @@ def search(
     _check_size(most)
     parts = max(1, -(-count // block))
     asked = stored(asked.withColumn("part", F.pmod(F.xxhash64("query_id"), F.lit(parts)).cast("int")), "queries")
-    # however few files the queries lie in, their visits are found in many tasks
-    asked = asked.repartition("query_id")
-    opening = stored(_ranked(_meet(asked, index, k, True), k), "opening")
+    # a query has many visits: however few files the queries lie in, these are found in tasks of few queries each
+    tasks = -(-count // QUERIES_PER_TASK) or 1
+    opening = stored(_ranked(_meet(asked.repartition(tasks, "query_id"), index, k, True), k), "opening")
     floors = opening.filter(F.col("rank") == k).select("query_id", F.col("score").alias("floor"))
-    rest = _meet(asked.join(floors, "query_id", "left"), index, k, False)
+    rest = _meet(asked.join(floors, "query_id", "left").repartition(tasks, "query_id"), index, k, False)
     columns = ["query_id", "vec_id", "score"]
     return _ranked(opening.select(*columns).unionByName(rest), k).select(
         "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"
