@@ -8,12 +8,15 @@ are those of both parts.  Pairs of all contexts are counted; a context that was
 the weights of the other two are those of held-out words whose context the retained part does not have.
 With ``contexts``, contexts rarer than one word in so many are treated as never learned from.
 
-Words are told apart by XXH64; a token in its context is an event, a mix of both hashes.  Counts are summed inside tasks before they
-are shuffled.  Words and events that make up more than one in ``frequent`` tokens (at most so many) are looked up in a table sent to
-all tasks, so that no frequent one meets in one task; all others meet their counts or score in a join, where none is frequent any more.
+Texts are read once and kept as pieces of about ``piece_tokens`` tokens: the hashes (XXH64) of a piece's distinct words, and its tokens as
+numbers of these.  Each piece asks for the counts of its distinct words and pairs, every one once, as sorted hashes cut into ranges.  One task
+has a range of hashes of all pieces, adds their counts and answers each piece in the order it asked.  Hashes are spread evenly and the number of ranges
+follows the number of tokens, so about ``range_keys`` meet in a task however frequent a word is.  With its
+answers a piece has all that its tokens' scores need: no table of counts is joined to tokens or sent to all tasks.
 
 A null text counts as empty; an empty text has one token, its end.  Without training documents every score is that of unknown
-words (log10 of 1).  Null identifiers are kept, repeated rows are scored each, an empty table gives an empty result and further columns are ignored.
+words (log10 of 1).  A text longer than a piece is cut into several, the word before each cut going along.
+Null identifiers are kept, repeated rows are scored each, an empty table gives an empty result and further columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,6 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
@@ -32,25 +36,27 @@ from tariffa.sources.sinks import stored
 
 OTHER, RETAINED, HELD = 0, 1, 2  # parts of the corpus
 START, END = (xxh64_intdigest(b) for b in (b" ", b""))  # no word is empty or holds a space
-LONE = xxh64_intdigest(b"  ")  # stands for all contexts without pair estimate
 ROTATED = 23
 MOST_BUCKETS = 64
 STEPS = 4  # of the logarithm, in the table that the weights are learned from
+WORDS, PAIRS = 0, 1  # what is asked for
 
+PIECE = "start long, offset long, part int, lead long, tokens long, rows array<long>, ids array<string>, words binary, stream binary"
+ASKED = "range long, start long, offset long, part int, keys binary, counts binary"
+ANSWERED = "range long, start long, offset long, part int, known long, retained binary, held binary"
+SCORED = "row long, id string, n long, known long, base_lp double, lp double"
 
-def tokens(texts: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of all tokens with the end of each text, of their predecessors, and the tokens' text numbers."""
-    lists = [words_of(t) for t in texts]
-    sizes = np.array([len(x) + 1 for x in lists], np.int64)
-    hashes = np.fromiter((h for words in lists for h in (*map(xxh64_intdigest, words), END)), np.uint64, sizes.sum())
-    before = np.empty_like(hashes)
-    before[1:] = hashes[:-1]
-    before[np.cumsum(sizes) - sizes] = START
-    return hashes, before, np.repeat(np.arange(len(lists)), sizes)
 
+def pack(values: np.ndarray) -> bytes:
+    """Whole numbers from 0 on as compressed bytes: all lowest bytes, all second ones and so on."""
+    planes = np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8).T)
+    return len(values).to_bytes(8, "little") + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
 
-def signed(value: int) -> int:
-    return int(np.uint64(value).view(np.int64))
+
+def unpack(data: bytes) -> np.ndarray:
+    size = int.from_bytes(data[:8], "little")
+    plain = pa.decompress(data[8:], decompressed_size=8 * size, codec="zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(plain, np.uint8).reshape(8, size).T).view("<u8").reshape(-1)
 
 
 def event_of(token: np.ndarray, context: np.ndarray) -> np.ndarray:
@@ -58,87 +64,154 @@ def event_of(token: np.ndarray, context: np.ndarray) -> np.ndarray:
     return token ^ (context << np.uint64(ROTATED) | context >> np.uint64(64 - ROTATED))
 
 
-def event_column(token: str, context: str) -> Column:
-    turned = F.shiftleft(context, ROTATED).bitwiseOR(F.shiftrightunsigned(context, 64 - ROTATED))
-    return F.col(token).bitwiseXOR(turned)
-
-
-def looked_up(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Position of each key, -1 if it isn't there."""
-    if not len(sorted_keys):
-        return np.full(len(keys), -1)
-    at = np.minimum(np.searchsorted(sorted_keys, keys), len(sorted_keys) - 1)
-    return np.where(sorted_keys[at] == keys, at, -1)
-
-
-def _counted(keys: np.ndarray, part: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys, where each came first, and its counts by part."""
-    distinct, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
-    counts = np.bincount(inverse * 3 + part, minlength=3 * len(distinct)).reshape(-1, 3)
-    return distinct, first, counts
-
-
-PARTS = "other long, retained long, held long"
+class Piece:
+    """Tokens in a row, as numbers of the piece's distinct words.
 
+    Number 0 ends a text; as the token before another it is the start of one, so ``before`` needs no second number.  ``lead``
+    is the token before the first.
+    """
 
-def _sums() -> list[Column]:
-    return [F.sum(c).alias(c) for c in ("other", "retained", "held")]
+    def __init__(self, lead: int, words: np.ndarray, stream: np.ndarray):
+        self.words, self.stream = words, stream
+        before = np.empty_like(stream)
+        before[:1], before[1:] = lead, stream[:-1]
+        pairs, self.pair_of, self.pair_counts = np.unique(before * len(words) + stream, return_inverse=True, return_counts=True)
+        self.context, self.token = pairs // len(words), pairs % len(words)
+        # the first token belongs to the first text even where that began in an earlier piece
+        self.text_of = np.cumsum(np.r_[False, stream[:-1] == 0])
+        self.word_counts = np.bincount(stream, minlength=len(words))
+        heads = words.copy()
+        heads[0] = START
+        self.events = event_of(words[self.token], heads[self.context])
+
+    @classmethod
+    def of(cls, row) -> Piece:
+        return cls(int(row["lead"]), np.frombuffer(row["words"], "<u8"), unpack(row["stream"]).astype(np.int64))
+
+    def asked(self) -> list[tuple[int, np.ndarray, np.ndarray]]:
+        """What the piece asks for: kind, keys and the piece's own counts of them."""
+        return [(WORDS, self.words, self.word_counts), (PAIRS, self.events, self.pair_counts)]
+
+
+class Open:
+    """A piece that texts are added to."""
+
+    def __init__(self, part: int, lead: bytes | None = None):
+        self.part, self.numbers = part, {b"": 0}
+        self.lead = 0 if lead is None else self.numbers.setdefault(lead, 1)
+        self.stream: list[int] = []
+        self.rows: list[int] = []
+        self.ids: list[str | None] = []
+        self.start: tuple[int, int] | None = None
+
+    def add(self, row: int, id: str | None, words: list[bytes], done: int) -> None:
+        self.start = self.start or (row, done)
+        numbers = self.numbers
+        self.stream += [numbers.setdefault(w, len(numbers)) for w in words]
+        self.rows.append(row)
+        self.ids.append(id)
+
+    def closed(self) -> dict:
+        hashes = np.fromiter(map(xxh64_intdigest, self.numbers), np.uint64, len(self.numbers))
+        return {
+            "start": self.start[0], "offset": self.start[1], "part": self.part, "lead": self.lead, "tokens": len(self.stream),
+            "rows": self.rows, "ids": self.ids, "words": hashes.astype("<u8").tobytes(), "stream": pack(np.array(self.stream)),
+        }
+
+
+def in_pieces(frames: Iterator[pd.DataFrame], most: int) -> Iterator[dict]:
+    """Texts (columns row, id, text, part) as rows of the piece table; a piece has texts of one part."""
+    pending: dict[int, Open] = {}
+    for frame in pieces(frames, "text"):
+        for row, id, text, part in zip(frame["row"], frame["id"], frame["text"], frame["part"], strict=True):
+            words = words_of(text)
+            words.append(b"")
+            done = 0
+            while done < len(words):
+                piece = pending.setdefault(part, Open(part))
+                here = words[done : done + most - len(piece.stream)]
+                piece.add(row, id, here, done)
+                done += len(here)
+                if len(piece.stream) >= most:
+                    yield piece.closed()
+                    pending[part] = Open(part, words[done - 1] if done < len(words) else None)
+    for piece in pending.values():
+        if piece.stream:
+            yield piece.closed()
 
 
 @dataclass
 class Counts:
-    words: DataFrame  # token, other, retained, held
-    pairs: DataFrame  # context, token, other, retained, held
-    heads: np.ndarray | None  # sorted hashes of the contexts with pair estimate, None for all
+    pieces: DataFrame
+    answers: DataFrame
+    ranges: int
     retained: int
     total: int
     vocabulary: int
-    everything: int
-
-
-def _rows(docs: DataFrame, text: str, part: Column) -> DataFrame:
-    return docs.select(F.col(text).alias("text"), part.cast("int").alias("part"))
-
-
-def in_heads(before: np.ndarray, heads: np.ndarray | None) -> np.ndarray:
-    return before if heads is None else np.where(looked_up(heads, before) >= 0, before, np.uint64(LONE))
-
-
-def count(docs: DataFrame, text: str, part: Column, contexts: int | None = None) -> Counts:
-    def words(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for piece in pieces(frames, "text"):
-            hashes, _, owner = tokens(piece["text"])
-            distinct, _, counts = _counted(hashes, piece["part"].to_numpy()[owner])
-            yield pd.DataFrame({"token": distinct.view(np.int64), **dict(zip(("other", "retained", "held"), counts.T, strict=True))})
-
-    rows = _rows(docs, text, part)
-    table = stored(rows.mapInPandas(words, f"token long, {PARTS}").groupBy("token").agg(*_sums()), "words")
-    learned = F.col("retained") + F.col("held")
-    total, retained, vocabulary, everything = table.agg(
-        F.sum(learned), F.sum("retained"), F.count_if(learned > 0), F.sum(learned + F.col("other"))
-    ).first()
-    total, retained, everything = total or 0, retained or 0, everything or 0
-    heads = None
-    if contexts is not None:
-        common = table.filter((learned * contexts >= max(total, 1)) & (F.col("token") != signed(END)))
-        known = [r["token"] for r in collectable(common, contexts, "contexts")]
-        heads = np.sort(np.array([*known, signed(START)], np.int64).view(np.uint64))
-
-    def pairs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for piece in pieces(frames, "text"):
-            hashes, before, owner = tokens(piece["text"])
-            before = in_heads(before, heads)
-            _, first, counts = _counted(event_of(hashes, before), piece["part"].to_numpy()[owner])
-            yield pd.DataFrame(
-                {
-                    "context": before[first].view(np.int64),
-                    "token": hashes[first].view(np.int64),
-                    **dict(zip(("other", "retained", "held"), counts.T, strict=True)),
-                }
-            )
-
-    found = rows.mapInPandas(pairs, f"context long, token long, {PARTS}").groupBy("context", "token").agg(*_sums())
-    return Counts(table, stored(found, "pairs"), heads, retained, total, vocabulary, everything)
+    contexts: int | None
+
+    def has_pairs(self, head_total: np.ndarray) -> np.ndarray:
+        """Which contexts have pair estimates; the first is the start of a text."""
+        enough = np.ones(len(head_total), bool) if self.contexts is None else head_total * self.contexts >= max(self.total, 1)
+        enough[0] = True
+        return enough & (head_total > 0)
+
+
+def count(
+    docs: DataFrame,
+    part: Column,
+    id: str = "doc_id",
+    text: str = "text",
+    contexts: int | None = None,
+    piece_tokens: int = 1_000_000,
+    range_keys: int = 2_000_000,
+) -> Counts:
+    """Pieces, and for every piece the counts of its words and pairs over all pieces of the parts learned from."""
+
+    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for piece in in_pieces(frames, piece_tokens):
+            yield pd.DataFrame([piece])
+
+    rows = docs.select(
+        F.monotonically_increasing_id().alias("row"), F.col(id).cast("string").alias("id"), F.col(text).alias("text"),
+        F.coalesce(part.cast("int"), F.lit(OTHER)).alias("part"),
+    )
+    table = stored(rows.mapInPandas(cut, PIECE), "pieces")
+    sizes = {r["part"]: r["n"] for r in table.groupBy("part").agg(F.sum("tokens").alias("n")).collect()}
+    ranges = max(1, -(-sum(sizes.values()) // range_keys))
+
+    def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for _, row in frame.iterrows():
+                out = []
+                for kind, keys, counts in Piece.of(row).asked():
+                    order = np.argsort(keys, kind="stable")
+                    keys, counts = keys[order], counts[order]
+                    within = ((keys >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
+                    found, begins = np.unique(within, return_index=True)
+                    for number, begin, end in zip(found, begins, [*begins[1:], len(keys)], strict=True):
+                        gaps = np.diff(keys[begin:end], prepend=np.uint64(0))
+                        out.append((kind * ranges + number, row["start"], row["offset"], row["part"], pack(gaps), pack(counts[begin:end])))
+                yield pd.DataFrame(out, columns=["range", "start", "offset", "part", "keys", "counts"])
+
+    def answer(asked: pd.DataFrame) -> pd.DataFrame:
+        keys = [np.cumsum(unpack(k), dtype=np.uint64) for k in asked["keys"]]
+        ends = np.cumsum([len(k) for k in keys])[:-1]
+        counts = np.concatenate([unpack(c) for c in asked["counts"]]).astype(float)
+        parts = np.repeat(asked["part"].to_numpy(), [len(k) for k in keys])
+        _, place = np.unique(np.concatenate(keys), return_inverse=True)
+        sums = [np.bincount(place, counts * (parts == p)).astype(np.int64) for p in (RETAINED, HELD)]
+        out = asked[["range", "start", "offset", "part"]].copy()
+        # of the range, on its first row
+        out["known"] = [int(np.count_nonzero(sums[0] + sums[1]))] + [0] * (len(asked) - 1)
+        for name, total in zip(("retained", "held"), sums, strict=True):
+            out[name] = [pack(a) for a in np.split(total[place], ends)]
+        return out
+
+    answers = stored(table.mapInPandas(ask, ASKED).groupBy("range").applyInPandas(answer, ANSWERED), "answers")
+    vocabulary = answers.filter(F.col("range") < ranges).agg(F.sum("known")).first()[0] or 0
+    retained, held = (sizes.get(p, 0) for p in (RETAINED, HELD))
+    return Counts(table, answers, ranges, retained, retained + held, vocabulary, contexts)
 
 
 def bucket(share: np.ndarray) -> np.ndarray:
@@ -160,67 +233,74 @@ def expectation_maximisation(count: np.ndarray, estimates: np.ndarray, rounds: i
     return weights / weights.sum()
 
 
-def _log_step(estimate: Column) -> Column:
-    """Logarithm in steps; null for zero."""
-    return F.when(estimate > 0, F.round(F.log2(estimate) * STEPS).cast("int"))
-
-
-def _literals(values: np.ndarray) -> Column:
-    return F.array(*[F.lit(float(v)) for v in values])
-
-
 @dataclass
 class Weights:
     pair: np.ndarray  # by bucket: pair, word, uniform
     lone: np.ndarray  # word, uniform
 
 
-def _with_counts(rows: DataFrame, counts: DataFrame, key: str) -> DataFrame:
-    """Each row with the counts of its key: the frequent keys' sent to all tasks, the others' by a join."""
-    near = F.broadcast(counts.filter("hot").withColumn("_near", F.lit(True)).drop("hot"))
-    met = rows.join(near, key, "left")
-    far = met.filter(F.col("_near").isNull()).select(*rows.columns).join(counts.filter("not hot").drop("hot"), key)
-    found = met.filter(F.col("_near").isNotNull()).drop("_near")
-    return found.unionByName(far)
-
-
-def events(pairs: DataFrame, counts: Counts, frequent: int) -> DataFrame:
-    """Every token in its context, with the counts of the pair, the word and the context (null without pair estimate)."""
-    own = [F.col(c) for c in ("retained", "held")]
-    hot = ((own[0] + own[1] + F.col("other")) * frequent >= max(counts.everything, 1)).alias("hot")
-    words = counts.words.select("token", own[0].alias("word_retained"), (own[0] + own[1]).alias("word_total"), hot)
-    # every text has one end, and one start
-    context = F.when(F.col("token") == signed(END), signed(START)).otherwise(F.col("token")).alias("context")
-    heads = counts.words.select(context, own[0].alias("head_retained"), (own[0] + own[1]).alias("head_total"), hot)
-    none = pairs.sparkSession.range(1).select(
-        F.lit(signed(LONE)).alias("context"), F.lit(None).cast("long").alias("head_retained"),
-        F.lit(None).cast("long").alias("head_total"), F.lit(True).alias("hot"),
-    )
-    return _with_counts(_with_counts(pairs, words, "token"), heads.unionByName(none), "context")
-
-
-def bucket_column(size: Column, total: int) -> Column:
-    """``bucket`` of size / total, null for none; the logarithm is put right where it is off by a rounding."""
-    size = size.cast("double")
-    near = F.round(F.log2(F.lit(float(max(total, 1))) / size))
-    exact = near - F.when(size * F.pow(F.lit(2.0), near) > float(max(total, 1)), 1).otherwise(0)
-    return F.when(size > 0, F.greatest(F.least(exact, F.lit(MOST_BUCKETS - 1.0)), F.lit(0.0)).cast("int"))
-
-
-def learn_weights(found: DataFrame, counts: Counts) -> Weights:
-    """Mixture weights of each bucket, from the held-out counts of all events."""
-    pair = F.when(F.col("head_retained") > 0, F.col("retained") / F.col("head_retained"))
-    table = (
-        found.filter("held > 0")
-        .groupBy(
-            bucket_column(F.col("head_retained"), counts.retained).alias("bucket"),
-            _log_step(pair).alias("pair"),
-            _log_step(F.col("word_retained") / float(max(counts.retained, 1))).alias("word"),
-        )
-        .agg(F.sum("held").alias("held"))
-    )
+@dataclass
+class Facts:
+    """A piece's answers: retained and total counts of its words, and of its pairs."""
+
+    word_retained: np.ndarray
+    word_total: np.ndarray
+    pair_retained: np.ndarray
+    pair_total: np.ndarray
+
+
+def facts_of(piece: Piece, answers: pd.DataFrame, ranges: int) -> Facts:
+    answers = answers.sort_values("range")
+    out = []
+    for kind, keys, _ in piece.asked():
+        own = answers[(answers["range"] // ranges) == kind]
+        order = np.argsort(keys, kind="stable")
+        counts = [np.empty(len(keys), np.int64) for _ in range(2)]
+        for values, name in zip(counts, ("retained", "held"), strict=True):
+            values[order] = np.concatenate([unpack(a) for a in own[name]]).astype(np.int64)
+        out += [counts[0], counts[0] + counts[1]]
+    return Facts(*out)
+
+
+def _share(part: np.ndarray, whole: np.ndarray) -> np.ndarray:
+    return np.divide(part, whole, out=np.zeros(len(part)), where=whole > 0)
+
+
+def _steps(estimate: np.ndarray) -> pd.Series:
+    """Logarithm in steps; missing for zero."""
+    return pd.Series(np.round(np.log2(np.where(estimate > 0, estimate, np.nan)) * STEPS)).astype("Int64")
+
+
+def _each_piece(counts: Counts, held_only: bool):
+    tables = [counts.pieces, counts.answers]
+    if held_only:
+        tables = [t.filter(F.col("part") == HELD) for t in tables]
+    return tables[0].groupBy("start", "offset").cogroup(tables[1].groupBy("start", "offset"))
+
+
+def learn_weights(counts: Counts) -> Weights:
+    """Mixture weights of each bucket, from the held-out counts of all pairs."""
+    bare = _bare(counts)
+    retained = max(bare.retained, 1)
+
+    def seen_in(row: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        piece = Piece.of(row.iloc[0])
+        facts = facts_of(piece, answers, bare.ranges)
+        heads = np.where(bare.has_pairs(facts.word_total), facts.word_retained, 0)[piece.context]
+        buckets = pd.Series(np.minimum(bucket(heads / retained), MOST_BUCKETS - 1)).astype("Int64").mask(heads == 0)
+        found = pd.DataFrame({
+            "bucket": buckets,
+            "pair": _steps(_share(facts.pair_retained, heads)),
+            "word": _steps(facts.word_retained[piece.token] / retained),
+            "held": piece.pair_counts,
+        })
+        return found.groupby(["bucket", "pair", "word"], dropna=False, as_index=False)["held"].sum()
+
+    found = _each_piece(counts, True).applyInPandas(seen_in, "bucket int, pair int, word int, held long")
+    table = found.groupBy("bucket", "pair", "word").agg(F.sum("held").alias("held"))
     # bounded by buckets x steps x steps of the logarithms
     seen = pd.DataFrame([r.asDict() for r in collectable(table, 2_000_000, "weights")], columns=["bucket", "pair", "word", "held"])
+    seen = seen.sort_values(["bucket", "pair", "word"], ignore_index=True)
     estimate = {c: np.where(seen[c].isna(), 0.0, np.exp2(seen[c].astype(float) / STEPS)) for c in ("pair", "word")}
     uniform = np.full(len(seen), 1 / (counts.vocabulary + 1))
     held = seen["held"].to_numpy(float)
@@ -238,90 +318,54 @@ def learn_weights(found: DataFrame, counts: Counts) -> Weights:
     return Weights(np.array([by_bucket[b] for b in nearest]), alone)
 
 
-def event_scores(found: DataFrame, counts: Counts, weights: Weights) -> DataFrame:
-    """Columns event, tokens (occurrences), seen (of the word, in training) and lp."""
-    word = F.col("word_total") / float(max(counts.total, 1))
-    uniform = F.lit(1.0 / (counts.vocabulary + 1))
-    within = bucket_column(F.col("head_total"), counts.total)
-    part = [F.get(_literals(weights.pair[:, i]), within) for i in range(3)]
-    pair = (F.col("retained") + F.col("held")) / F.nullif(F.col("head_total"), F.lit(0))
-    paired = part[0] * pair + part[1] * word + part[2] * uniform
-    lone = float(weights.lone[0]) * word + float(weights.lone[1]) * uniform
-    return found.select(
-        event_column("token", "context").alias("event"),
-        (F.col("other") + F.col("retained") + F.col("held")).alias("tokens"),
-        F.col("word_total").alias("seen"),
-        F.log10(F.coalesce(paired, lone)).alias("lp"),
-    )
+def _bare(counts: Counts) -> Counts:
+    """Without its tables, to travel to tasks."""
+    return Counts(None, None, counts.ranges, counts.retained, counts.total, counts.vocabulary, counts.contexts)
+
+
+def pair_scores(piece: Piece, facts: Facts, counts: Counts, weights: Weights) -> np.ndarray:
+    """log10 of the probability of each of the piece's pairs: the token, given its context."""
+    heads = facts.word_total[piece.context]
+    word = facts.word_total[piece.token] / max(counts.total, 1)
+    uniform = 1.0 / (counts.vocabulary + 1)
+    own = weights.pair[np.clip(bucket(heads / max(counts.total, 1)), 0, MOST_BUCKETS - 1)]
+    paired = own[:, 0] * _share(facts.pair_total, heads) + own[:, 1] * word + own[:, 2] * uniform
+    lone = weights.lone[0] * word + weights.lone[1] * uniform
+    return np.log10(np.where(counts.has_pairs(facts.word_total)[piece.context], paired, lone))
 
 
 def score(
-    docs: DataFrame,
-    part: Column,
-    id: str = "doc_id",
-    text: str = "text",
-    contexts: int | None = None,
-    frequent: int = 65_536,
-    base: float = 0.1,
+    docs: DataFrame, part: Column, id: str = "doc_id", text: str = "text", contexts: int | None = None, base: float = 0.1, **sizes: int
 ) -> DataFrame:
     """Columns id, n_tokens, n_known, train_tokens, base_score and score (log10), one row per document.
 
-    ``part`` gives each document's part: RETAINED and HELD are learned from, OTHER is scored only.
+    ``part`` gives each document's part: RETAINED and HELD are learned from, OTHER is scored only.  ``sizes`` are those of ``count``.
     """
-    counts = count(docs, text, part, contexts)
-    weights = learn_weights(events(counts.pairs.filter("held > 0"), counts, frequent), counts)
-    scores = stored(event_scores(events(counts.pairs, counts, frequent), counts, weights), "events")
-    size = counts.vocabulary + 1
-    known = (F.col("seen") > 0).cast("long").alias("known")
-    base_lp = F.log10((F.col("seen") + base) / (float(counts.total) + base * size)).alias("base_lp")
-    common = F.col("tokens") * frequent >= max(counts.everything, 1)
-    table = pd.DataFrame(
-        [r.asDict() for r in collectable(scores.filter(common).select("event", known, "lp", base_lp), frequent, "frequent events")],
-        columns=["event", "known", "lp", "base_lp"],
-    )
-    table["event"] = table["event"].to_numpy(np.int64).view(np.uint64)
-    table = table.sort_values("event")
-    keys = table["event"].to_numpy()
-    values = np.r_[table[["known", "lp", "base_lp"]].to_numpy(float), np.zeros((1, 3))]  # the last: not frequent
-    heads = counts.heads
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for piece in pieces(frames, "text"):
-            hashes, before, owner = tokens(piece["text"])
-            event = event_of(hashes, in_heads(before, heads))
-            at = looked_up(keys, event)
-            sums = [np.bincount(owner, values[at, c], len(piece)) for c in range(3)]
-            rare = at < 0
-            ends = np.cumsum(np.bincount(owner[rare], minlength=len(piece)))[:-1]
-            yield pd.DataFrame(
-                {
-                    "row": piece["row"],
-                    "id": piece["id"],
-                    "n": np.bincount(owner, minlength=len(piece)),
-                    "known": sums[0].astype(np.int64),
-                    "lp": sums[1],
-                    "base_lp": sums[2],
-                    "rare": np.split(event[rare].view(np.int64), ends),
-                }
-            )
-
-    kind = docs.schema[id].dataType.simpleString()
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id).alias("id"), F.col(text).alias("text"))
-    scanned = rows.mapInPandas(run, f"row long, id {kind}, n long, known long, lp double, base_lp double, rare array<long>")
-    # what a text has so far rides on its first row; the others are one rare event each
-    first = F.col("pos") == 0
-    spread = scanned.select(
-        "row", "id", "n", "known", "lp", "base_lp", F.posexplode(F.concat(F.array(F.xxhash64("row")), F.col("rare"))).alias("pos", "event")
-    ).select("row", "event", *[F.when(first, F.col(c)).alias(c) for c in ("id", "n", "known", "lp", "base_lp")])
-    lookup = scores.filter(~common).select("event", *[c.alias(f"_{n}") for n, c in (("known", known), ("lp", F.col("lp")), ("base_lp", base_lp))])
-    # a first row's key is no event, even if it should equal one
-    met = spread.join(lookup, "event", "left").select(
-        "row", "id", "n", *[F.when(F.col("n").isNull(), F.col(f"_{c}")).otherwise(F.col(c)).alias(c) for c in ("known", "lp", "base_lp")]
-    )
-    summed = met.groupBy("row").agg(
+    counts = count(docs, part, id, text, contexts, **sizes)
+    weights = learn_weights(counts)
+    bare = _bare(counts)
+
+    def run(row: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        row = row.iloc[0]
+        piece = Piece.of(row)
+        facts = facts_of(piece, answers, bare.ranges)
+        seen = facts.word_total[piece.stream]
+        base_lp = np.log10((seen + base) / (bare.total + base * (bare.vocabulary + 1)))
+        lp = pair_scores(piece, facts, bare, weights)[piece.pair_of]
+        of, size = piece.text_of, len(row["rows"])
+        return pd.DataFrame({
+            "row": row["rows"], "id": row["ids"], "n": np.bincount(of, minlength=size),
+            "known": np.bincount(of, seen > 0, size).astype(np.int64),
+            "base_lp": np.bincount(of, base_lp, size), "lp": np.bincount(of, lp, size),
+        })
+
+    scored = _each_piece(counts, False).applyInPandas(run, SCORED)
+    # a text that was cut has a row in each of its pieces
+    summed = scored.groupBy("row").agg(
         F.max("id").alias("id"), F.sum("n").alias("n_tokens"),
         F.sum("known").alias("n_known"), F.sum("base_lp").alias("base_score"), F.sum("lp").alias("score"),
     )
     return summed.select(
-        F.col("id").alias(id), "n_tokens", "n_known", F.lit(counts.total).cast("long").alias("train_tokens"), "base_score", "score"
-    )
+        F.col("id").cast(docs.schema[id].dataType).alias(id), "n_tokens", "n_known",
+        F.lit(counts.total).cast("long").alias("train_tokens"), "base_score", "score",
+    )

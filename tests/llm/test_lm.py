@@ -45,7 +45,7 @@ def plain(rows, contexts):
             head[part][before] += 1
     both = {k: v[1] + v[2] for k, v in (("word", word), ("pair", pair), ("head", head))}
     total, kept = sum(both["word"].values()), sum(word[1].values())
-    known = {w for w, c in both["word"].items() if w is not None and c * contexts >= total} | {b" "}
+    known = {w for w, c in both["word"].items() if w is not None and (contexts is None or c * contexts >= total)} | {b" "}
     size = len(both["word"]) + 1
 
     def step(p):
@@ -54,10 +54,10 @@ def plain(rows, contexts):
     stats = {}
     for (before, token), count in pair[2].items():
         p1 = step(word[1][token] / kept)
-        if before in known:
-            heads = head[1][before]
+        heads = head[1][before]
+        if before in known and heads:
             key = int(lm.bucket(np.array([heads / kept]))[0])
-            row = (step(pair[1][before, token] / heads) if heads else 0.0, p1, 1 / size)
+            row = (step(pair[1][before, token] / heads), p1, 1 / size)
         else:
             key, row = None, (p1, 1 / size)
         stats.setdefault(key, []).append((count, row))
@@ -69,7 +69,7 @@ def plain(rows, contexts):
         score = base = 0.0
         for before, token in zip([b" ", *tokens], tokens, strict=False):
             p1 = both["word"][token] / total
-            if before in known:
+            if before in known and both["head"][before]:
                 b = int(lm.bucket(np.array([both["head"][before] / total]))[0])
                 key = min((k for k in weights if k is not None), key=lambda k, b=b: (abs(k - b), k))
                 row = (both["pair"][before, token] / both["head"][before], p1, 1 / size)
@@ -81,16 +81,18 @@ def plain(rows, contexts):
     return out
 
 
-@pytest.mark.parametrize("frequent", [65_536, 10])
-def test_scores(spark, frequent):
+# the last: pieces that cut texts, and many ranges of keys
+@pytest.mark.parametrize("contexts", [24, None])
+@pytest.mark.parametrize("sizes", [{}, {"piece_tokens": 37, "range_keys": 500}])
+def test_scores(spark, contexts, sizes):
     rows = texts()
     docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
     rest = F.col("doc_id") % 10
     part = F.when(F.coalesce(rest, F.lit(0)) == 0, lm.OTHER).when(rest == 1, lm.HELD).otherwise(lm.RETAINED)
-    found = lm.score(docs, part, contexts=24, frequent=frequent).collect()
+    found = lm.score(docs, part, contexts=contexts, **sizes).collect()
     columns = ("doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score")
     got = sorted((tuple(r[c] for c in columns) for r in found), key=lambda r: (str(r[0]), r[1]))
-    want = sorted(plain(rows, 24), key=lambda r: (str(r[0]), r[1]))
+    want = sorted(plain(rows, contexts), key=lambda r: (str(r[0]), r[1]))
     assert [r[:4] for r in got] == [r[:4] for r in want]
     for g, w in zip(got, want, strict=True):
         assert g[4:] == pytest.approx(w[4:], rel=1e-9)
@@ -119,8 +121,8 @@ def test_rare_contexts_have_pair_estimates(spark):
     docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
     rest = F.col("doc_id") % 10
     part = F.when(rest == 0, lm.OTHER).when(rest == 1, lm.HELD).otherwise(lm.RETAINED)
-    for frequent in (65_536, 10):
-        got = {r["doc_id"]: r for r in lm.score(docs, part, frequent=frequent).collect()}
+    for sizes in ({}, {"piece_tokens": 50, "range_keys": 1000}):
+        got = {r["doc_id"]: r for r in lm.score(docs, part, **sizes).collect()}
         assert got[1000]["base_score"] == pytest.approx(got[1010]["base_score"], rel=1e-2)
         assert got[1000]["score"] > got[1010]["score"] + 4
         assert got[1020]["n_tokens"] == 3 and got[1020]["n_known"] == 2
@@ -136,11 +138,34 @@ def test_learned_contexts_add_up(spark):
     rows += [(10 + 10 * k, f"v3 {w}", 0, "") for k, w in enumerate([*words, "unknown"])] + [(9000, "v3", 0, "")]
     docs = spark.createDataFrame(rows, SCHEMA)
     part = F.when(F.col("doc_id") >= 10, lm.OTHER).when(F.col("doc_id") == 1, lm.HELD).otherwise(lm.RETAINED)
-    counts = lm.count(docs, "text", part)
-    weights = lm.learn_weights(lm.events(counts.pairs.filter("held > 0"), counts, 10), counts)
-    found = lm.event_scores(lm.events(counts.pairs, counts, 10), counts, weights)
-    head = lm.signed(lm.xxh64_intdigest(b"v3"))
+    counts = lm.count(docs, part)
+    weights = lm.learn_weights(counts)
+    answers = counts.answers.toPandas()
+    head = lm.xxh64_intdigest(b"v3")
+    lp = {}
+    for _, row in counts.pieces.toPandas().iterrows():
+        piece = lm.Piece.of(row)
+        own = answers[(answers["start"] == row["start"]) & (answers["offset"] == row["offset"])]
+        scores = lm.pair_scores(piece, lm.facts_of(piece, own, counts.ranges), counts, weights)
+        lp |= {int(piece.words[t]): x for t, c, x in zip(piece.token, piece.context, scores, strict=True) if int(piece.words[c]) == head and c}
     keys = [lm.xxh64_intdigest(w.encode()) for w in [*words, "unknown"]] + [lm.END]
-    marks = lm.event_of(np.array(keys, np.uint64), np.full(len(keys), head, np.int64).view(np.uint64)).view(np.int64)
-    lp = {r["event"]: r["lp"] for r in found.collect()}
-    assert sum(10 ** lp[m] for m in marks.tolist()) == pytest.approx(1)
+    assert sum(10 ** lp[k] for k in keys) == pytest.approx(1)
+
+
+def test_awkward_rows(spark):
+    """Texts of any length, repeated rows, nulls, further columns with clashing names."""
+    long = " ".join(f"a{i % 50}" for i in range(30_000))
+    rows = [(1, long, 0, "x"), (1, long, 0, "x"), (2, None, 1, None), (3, "", 1, None), (2**60 + 1, "a1 a2", 1, None), (None, "a1", 1, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row long, part string")
+    got = [r.asDict() for r in lm.score(docs, F.lit(lm.RETAINED), piece_tokens=1000, range_keys=100).collect()]
+    assert sorted((str(r["doc_id"]), r["n_tokens"], r["n_known"]) for r in got) == sorted(
+        [("1", 30_001, 30_001)] * 2 + [("2", 1, 1), ("3", 1, 1), (str(2**60 + 1), 3, 3), ("None", 2, 2)]
+    )
+    assert {r["train_tokens"] for r in got} == {60_009}
+    assert len({round(r["score"], 6) for r in got if r["doc_id"] == 1}) == 1
+
+
+def test_packed_numbers():
+    for values in ([], [0], [1, 2**64 - 1, 5], range(1000)):
+        numbers = np.array(values, np.uint64)
+        assert (lm.unpack(lm.pack(numbers)) == numbers).all()
