@@ -145,6 +145,7 @@ class Counts:
     pieces: DataFrame
     answers: DataFrame
     ranges: int
+    tasks: int
     retained: int
     total: int
     vocabulary: int
@@ -208,10 +209,12 @@ def count(
             out[name] = [pack(a) for a in np.split(total[place], ends)]
         return out
 
-    answers = stored(table.mapInPandas(ask, ASKED).groupBy("range").applyInPandas(answer, ANSWERED), "answers")
+    tasks = max(ranges, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    asked = table.mapInPandas(ask, ASKED).repartition(tasks, "range")
+    answers = stored(asked.groupBy("range").applyInPandas(answer, ANSWERED), "answers")
     vocabulary = answers.filter(F.col("range") < ranges).agg(F.sum("known")).first()[0] or 0
     retained, held = (sizes.get(p, 0) for p in (RETAINED, HELD))
-    return Counts(table, answers, ranges, retained, retained + held, vocabulary, contexts)
+    return Counts(table, answers, ranges, tasks, retained, retained + held, vocabulary, contexts)
 
 
 def bucket(share: np.ndarray) -> np.ndarray:
@@ -275,7 +278,9 @@ def _each_piece(counts: Counts, held_only: bool):
     tables = [counts.pieces, counts.answers]
     if held_only:
         tables = [t.filter(F.col("part") == HELD) for t in tables]
-    return tables[0].groupBy("start", "offset").cogroup(tables[1].groupBy("start", "offset"))
+    # as many tasks as the tokens ask for, however many the session's setting has
+    near, far = (t.repartition(counts.tasks, "start", "offset").groupBy("start", "offset") for t in tables)
+    return near.cogroup(far)
 
 
 def learn_weights(counts: Counts) -> Weights:
@@ -320,7 +325,7 @@ def learn_weights(counts: Counts) -> Weights:
 
 def _bare(counts: Counts) -> Counts:
     """Without its tables, to travel to tasks."""
-    return Counts(None, None, counts.ranges, counts.retained, counts.total, counts.vocabulary, counts.contexts)
+    return Counts(None, None, counts.ranges, counts.tasks, counts.retained, counts.total, counts.vocabulary, counts.contexts)
 
 
 def pair_scores(piece: Piece, facts: Facts, counts: Counts, weights: Weights) -> np.ndarray:
