@@ -56,14 +56,14 @@ def few(held: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     return estimated_bytes(held) <= max(BROADCAST_BYTES, broadcast_limit(held)) and held.count() <= max_rows
 
 
-def hot_keys(key_source: DataFrame, key: str) -> dict:
-    """Keys that hold at least ``HOT_SHARE`` of the rows, with their counts: never more than ``1 / HOT_SHARE``.
+def hot_keys(key_source: DataFrame, key: str, share: float = HOT_SHARE) -> dict:
+    """Keys that hold at least ``share`` of the rows, with their counts: never more than ``1 / share``.
 
     A frequent-items sketch has a bounded state, so this is one narrow pass with nothing to
     shuffle.  The list is fixed once, as literals, so both join sides and every retried task
     see the same one.  It only decides how rows are routed; it never changes a result.
     """
-    most = int(1 / HOT_SHARE)
+    most = int(1 / share)
     summary = (
         key_source.filter(F.col(key).isNotNull())
         .agg(
@@ -72,7 +72,7 @@ def hot_keys(key_source: DataFrame, key: str) -> dict:
         )
         .first()
     )
-    return {t["item"]: t["count"] for t in summary["top"] or [] if t["count"] >= summary["row_count"] * HOT_SHARE}
+    return {t["item"]: t["count"] for t in summary["top"] or [] if t["count"] >= summary["row_count"] * share}
 
 
 def dimension_join(

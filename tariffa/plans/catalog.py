@@ -492,7 +492,7 @@ def validate_baseline(s: StarStages) -> DataFrame:
 
 @query
 def order_premium(s: StarStages) -> DataFrame:
-    return rating.order_premium(s.baseline)
+    return rating.order_premium(s.order_rows)
 
 
 @query

@@ -8,12 +8,13 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tariffa.config import BoostingConfig, CredibilityConfig, GlmConfig, RatingConfig, SimulationConfig
+from tariffa.config import EXPOSURE_KEY, BoostingConfig, CredibilityConfig, GlmConfig, RatingConfig, SimulationConfig
 from tariffa.operators import exposure as exposures
 from tariffa.operators import attribution, backtest, boosting, features, glm, rating, simulate
 from tariffa.operators import credibility as cred
+from tariffa.operators.joins import hot_keys
 from tariffa.session import prepare
-from tariffa.sources.sinks import stored
+from tariffa.sources.sinks import stored, stored_bucketed
 from tariffa.sources.tables import InputTables, from_star_schema
 
 SIMULATION = SimulationConfig(
@@ -63,6 +64,9 @@ SWEEP = (
     ("weighted_reg", replace(BOOSTING, positive_weight=10.0)),
 )
 
+# An order with this share of all rows would crowd its bucket.
+HOT_ORDER = 0.02
+
 # Segmentations of the loss-ratio backtest.
 BACKTESTED = [
     (),
@@ -116,15 +120,26 @@ class StarStages:
 
     @cached_property
     def claims(self) -> DataFrame:
-        """Written once: every later stage scans it many times."""
-        return stored(
-            simulate.simulate_claims(self.exposures.select(*_CLAIM_INPUT), SIMULATION, self.size_statistics), "claims"
-        )
+        """Written once: every later stage scans it many times.
+
+        Bucketed by the exposure key, which identifies a row, so no bucket is crowded: what is derived from it is
+        joined back on that key without an exchange.
+        """
+        claims = simulate.simulate_claims(self.exposures.select(*_CLAIM_INPUT), SIMULATION, self.size_statistics)
+        return stored_bucketed(claims, EXPOSURE_KEY, "claims")
 
     @cached_property
     def baseline(self) -> DataFrame:
         return rating.baseline_pricing(self.claims, RATING)
 
+    @cached_property
+    def order_rows(self) -> DataFrame:
+        """What orders are rolled up from, bucketed by order; where an order is hot, its rows stay dealt by the exposure key."""
+        rows = self.baseline.select(
+            *EXPOSURE_KEY, "claim_eligible_flag", "net_loss", "baseline_pure_premium", "baseline_commercial_premium"
+        )
+        return rows if hot_keys(rows, "order_id", HOT_ORDER) else stored_bucketed(rows, ["order_id"], "orders")
+
     @cached_property
     def analytic_pricing(self) -> DataFrame:
         """Baseline table with the closed-form expected loss in the place of a model score."""
