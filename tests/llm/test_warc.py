@@ -67,6 +67,20 @@ def test_a_damaged_payload_is_an_error(spark):
         warc.read_records(spark, folder).collect()
 
 
+def test_a_payload_that_most_records_revisit_is_digested_once(spark):
+    rows = [(i, f"http://{i}/", "z" * 5000 if i % 3 else f"own {i}", "d") for i in range(300)]
+    folder = warc.write_archive(spark.createDataFrame(rows, SCHEMA).repartition(4), new_table_path(spark, "archive"))
+    records = warc.read_records(spark, folder)
+    # below the join, not above it
+    plan = records._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 <= plan.index("Join") < plan.index("sha1(")
+    parsed = warc.parse_records(records)
+    hot = parsed.filter("payload_bytes = 5000")
+    assert hot.count() == 200 and hot.filter("record_type = 'response'").first()["id"] == 1
+    assert hot.filter("octet_length(record) > 5000").count() == 1
+    assert {r[0] for r in hot.select("payload_sha1").collect()} == {base64.b32encode(hashlib.sha1(b"z" * 5000).digest()).decode()}
+
+
 def test_empty_table(spark):
     assert warc.archive_and_read(spark.createDataFrame([], SCHEMA)).count() == 0
 
