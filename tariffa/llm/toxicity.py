@@ -9,11 +9,13 @@ between the labels, counted over that sample; every identity term in the sample
 
 A null text counts as empty, and an empty text gets the score of a text without any feature.  Rows with null label are not learned
 from; of several labels for one identifier the highest counts.  Without labelled rows every score is 0.  Repeated rows get equal scores, an
-empty table gives an empty result and further columns are ignored.
+empty table gives an empty result and further columns are ignored.  A sample without any identity term leaves the penalty nothing to do:
+``Model.swaps`` is 0 then, and a warning says so.
 """
 
 from __future__ import annotations
 
+import logging
 import re
 from collections import Counter
 from collections.abc import Iterator, Sequence
@@ -43,6 +45,7 @@ IDENTITY_GROUPS = (
     ("femmes", "hommes"),
     ("mujeres", "hombres"),
 )
+LOG = logging.getLogger(__name__)
 TERM = re.compile(r"[^\W\d_]+")
 STEMS = (4,)
 
@@ -70,8 +73,9 @@ def counterfactuals(found: set[str], groups: Sequence[Sequence[str]]) -> list[se
 
 
 class Model:
-    def __init__(self, weights: dict[str, float], bias: float):
+    def __init__(self, weights: dict[str, float], bias: float, swaps: int = 0):
         self.weights, self.bias = weights, bias
+        self.swaps = swaps  # that the penalty was taken over
 
     def logit(self, found: set[str]) -> float:
         # a fixed order: sums of doubles depend on it
@@ -174,21 +178,28 @@ def learn(
 
     def design(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            plain = [words(content) for content in frame["text"]]
-            found = [with_stems(f) & place.keys() for f in plain]
-            swapped = [[sorted(place[w] for w in with_stems(other) & place.keys()) for other in counterfactuals(f, groups)] for f in plain]
+            found, gone, come = [], [], []
+            for content in frame["text"]:
+                plain = words(content)
+                own = {place[w] for w in with_stems(plain) & place.keys()}
+                others = [{place[w] for w in with_stems(other) & place.keys()} for other in counterfactuals(plain, groups)]
+                found.append(sorted(own))
+                # what a swap changes is a few features, however long the text
+                gone.append([sorted(own - other) for other in others])
+                come.append([sorted(other - own) for other in others])
             yield pd.DataFrame(
-                {"content": frame["content"], "label": (frame["label"] > 0).astype(int), "words": [sorted(place[w] for w in f) for f in found], "swapped": swapped}
+                {"content": frame["content"], "label": (frame["label"] > 0).astype(int), "words": found, "gone": gone, "come": come}
             )
 
-    table = sample.mapInPandas(design, "content long, label int, words array<int>, swapped array<array<int>>")
+    table = sample.mapInPandas(design, "content long, label int, words array<int>, gone array<array<int>>, come array<array<int>>")
     rows_, swaps = [], []
     for r in sorted(table.collect(), key=lambda r: r["content"]):
         rows_.append((r["label"], r["words"]))
-        own = set(r["words"])
-        swaps += [(sorted(own - set(s)), sorted(set(s) - own)) for s in r["swapped"]]
+        swaps += zip(r["gone"], r["come"], strict=True)
+    if not swaps:
+        LOG.warning("no labelled text holds an identity term: the counterfactual penalty has nothing to act on")
     weights, bias = fit(rows_, swaps, len(chosen), **settings)
-    return Model({w: float(x) for w, x in zip(chosen, weights, strict=True) if x}, bias)
+    return Model({w: float(x) for w, x in zip(chosen, weights, strict=True) if x}, bias, len(swaps))
 
 
 def score(model: Model | None, text: str = "text") -> Column:

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import logging
+import math
 import random
+import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -89,3 +93,42 @@ def test_fit_recovers_a_separating_word():
     swapped = toxicity.fit([(1, [0]), (0, [])], [([0], [1])], 2, swap_penalty=50.0)[0]
     assert swapped[0] == pytest.approx(swapped[1], abs=0.1)
     assert toxicity.fit([(1, [0]), (0, [])], [([0], [])], 2, swap_penalty=50.0)[0][0] == pytest.approx(0, abs=0.1)
+
+
+@pytest.mark.parametrize("penalty", [0.0, 2.0])
+def test_fit_is_at_the_optimum(penalty):
+    """The conditions of a minimum, from dense matrices: gradients of live weights balance the L1 term, the others stay below it."""
+    rng = random.Random(3)
+    size, l1 = 12, 3e-2
+    rows = [(int(rng.random() < 0.3), sorted(rng.sample(range(size), 4))) for _ in range(80)]
+    swaps = [([rng.randrange(6)], [6 + rng.randrange(6)]) for _ in range(15)] + [([1], [])]
+    weights, bias = toxicity.fit(rows, swaps, size, l1=l1, swap_penalty=penalty, steps=20_000)
+    x = np.array([[float(i in f) for i in range(size)] for _, f in rows])
+    y = np.array([float(t) for t, _ in rows])
+    d = np.array([[float(i in come) - float(i in gone) for i in range(size)] for gone, come in swaps])
+    share = np.where(y > 0, 0.5 / y.sum(), 0.5 / (1 - y).sum())
+    residual = (1 / (1 + np.exp(-(x @ weights + bias))) - y) * share
+    gradient = x.T @ residual + 2 * penalty / len(swaps) * d.T @ (d @ weights)
+    live = weights != 0
+    assert residual.sum() == pytest.approx(0, abs=1e-6) and live.any() and not live.all()
+    assert gradient[live] == pytest.approx(-l1 * np.sign(weights[live]), abs=1e-6)
+    assert (abs(gradient[~live]) <= l1 + 1e-6).all()
+
+
+def test_scores_by_a_plain_scorer(spark):
+    docs, labels = biased(spark)
+    model = toxicity.learn(docs, labels, F.lit(True), groups=GROUPS)
+    for r in docs.select("text", toxicity.score(model).alias("s")).collect():
+        found = set(re.findall(r"[^\W\d_]+", r["text"].lower()))
+        found |= {w[:4] + "*" for w in found if len(w) >= 4}
+        assert r["s"] == pytest.approx(1 / (1 + math.exp(-model.bias - sum(model.weights.get(w, 0.0) for w in found))))
+
+
+def test_swaps_are_counted_and_their_absence_is_told(spark, caplog):
+    docs, labels = biased(spark)
+    texts = {r["doc_id"]: set(r["text"].split()) for r in docs.collect()}
+    wanted = sum(3 * len(words & set(GROUPS[0])) for words in texts.values())
+    assert toxicity.learn(docs, labels, F.lit(True), groups=GROUPS).swaps == wanted > 0
+    with caplog.at_level(logging.WARNING, logger=toxicity.LOG.name):
+        assert toxicity.learn(docs, labels, F.lit(True), groups=()).swaps == 0
+    assert "identity term" in caplog.text
