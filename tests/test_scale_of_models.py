@@ -43,4 +43,4 @@ def test_the_challenger_does_not_wait_for_the_regression(spark, folder, monkeypa
     assert not {"glm_model", "glm_pricing", "champion"} & set(s.__dict__)
     # the comparison and the pricing fit both at the same time, and hold the same rows
     assert s.boosted_validation.filter("split = 'test'").count() == tested
-    assert s.challenger_pricing.count() == s.claims.count()
+    assert s.challenger_pricing.count() == s.claim_rows.count()
