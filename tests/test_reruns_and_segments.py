@@ -116,3 +116,33 @@ def test_a_hot_key_is_dealt_over_salts(spark):
     joined = joins.dimension_join(fact, dimension, "k", row_key=["id"], rows_per_salt=100, may_broadcast=False)
     assert "__salt" in joined._jdf.queryExecution().optimizedPlan().toString()
     assert joined.filter("v <> k * 10 OR v IS NULL").count() == 0 and joined.count() == 4000
+
+
+def test_segments_do_not_shuffle_pairs(spark, folder):
+    """Rows are dealt by identifier; the pairs of a segment and an identifier, eighteen a row, stay where they are made."""
+    priced = catalog.stages(spark, folder).analytic_credibility
+    plan = backtest.backtests(priced, star.BACKTESTED)._jdf.queryExecution().executedPlan().toString()
+    dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(dealt) == 2 and sum("__id" in line for line in dealt) == 1
+    assert not any("__id" in line and "segmentation" in line for line in dealt)
+
+
+def test_a_hot_identifier_is_counted_once(spark):
+    """One order and one missing order hold most rows: spread over tasks, they are still one identifier and none."""
+    rows = [(i % 5, 1 if i % 3 else None if i % 2 else i, i % 7) for i in range(600)]
+    df = spark.createDataFrame(rows, "g int, a long, b int")
+    table = segment_totals(df, [(), ("g",)], {"n": F.lit(1)}, {"as": "a", "bs": "b"})
+    got = {(r["segmentation"], r["g"]): (r["n"], r["as"], r["bs"]) for r in table.collect()}
+    for g in (None, *range(5)):
+        own = [r for r in rows if g is None or r[0] == g]
+        assert got[(int(g is not None), g)] == (len(own), len({r[1] for r in own} - {None}), len({r[2] for r in own}))
+
+
+def test_rows_that_are_only_scanned_are_not_shuffled(spark, folder):
+    """Only what is joined on the exposure key has the claims dealt by it; both tables hold the same rows."""
+    s = star.StarStages(spark, folder)
+    assert s.analytic_pricing.count() == s.exposures.count()
+    assert "claims" not in s.__dict__
+    assert s.claims.exceptAll(s.claim_rows).isEmpty() and s.claims.count() == s.claim_rows.count()
+    other = star.StarStages(spark, folder)
+    assert other.claims is other.claim_rows
