@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tariffa.config import BoostingConfig
@@ -44,3 +46,14 @@ def test_the_challenger_does_not_wait_for_the_regression(spark, folder, monkeypa
     # the comparison and the pricing fit both at the same time, and hold the same rows
     assert s.boosted_validation.filter("split = 'test'").count() == tested
     assert s.challenger_pricing.count() == s.claim_rows.count()
+
+
+def test_a_missing_month_still_stops_the_challenger(spark):
+    s = star.StarStages(spark, "unused")
+    columns = "order_id long, claim_eligible_flag int, cross_state_flag int, purchase_month int, purchase_weekday int"
+    s.__dict__["claim_rows"] = spark.createDataFrame([(1, 1, 0, 3, 2), (2, 0, 0, None, 2)], columns)
+    assert [r["purchase_month"] for r in s._split.collect()] == [3]
+    broken = star.StarStages(spark, "unused")
+    broken.__dict__["claim_rows"] = spark.createDataFrame([(1, 1, 0, None, 2)], columns)
+    with pytest.raises(PySparkException, match="purchase_month is missing"):
+        broken._split.collect()
