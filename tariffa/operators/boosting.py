@@ -3,18 +3,17 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Iterator, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tariffa.config import EXPOSURE_KEY, BoostingConfig, GlmConfig
@@ -31,7 +30,7 @@ from tariffa.operators.features import (
 from tariffa.operators.glm import TwoPartGlm, fit_two_part
 from tariffa.operators.rating import eligible_rows
 from tariffa.sources.sinks import stored
-from tariffa.session import ensure_checkpoint_dir
+from tariffa.session import ensure_checkpoint_dir, side_by_side
 
 MODEL_FAMILY = "spark_gbt"
 # Encoded training rows a partition holds, a node's pass over which is worth a task, until there are SMALL_PARTITIONS of them;
@@ -39,8 +38,6 @@ MODEL_FAMILY = "spark_gbt"
 ROWS_PER_PARTITION = 20_000
 SMALL_PARTITIONS = 64
 LARGE_PARTITION_ROWS = 100_000
-# Fits that run at the same time; each is a chain of small jobs, so one alone leaves most cores idle.
-FITS_AT_ONCE = 8
 # The output columns.
 CHALLENGER_OUTPUT_COLUMNS = [
     "order_id",
@@ -170,23 +167,6 @@ def _severity_estimator(config: BoostingConfig) -> GBTRegressor:
     )
 
 
-def side_by_side(spark: SparkSession, fits: Sequence[Callable[[], object]], most: int = FITS_AT_ONCE) -> list:
-    """Run fits at the same time, ``most`` of them at once and each in a scheduler pool of its own; results in order.
-
-    Pools share the cores evenly where ``spark.scheduler.mode`` is FAIR and do no harm elsewhere.
-    """
-
-    def run(at: int):
-        def job():
-            spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"fit-{at}")
-            return fits[at]()
-
-        return inheritable_thread_target(spark)(job)()
-
-    with ThreadPoolExecutor(max(1, min(most, len(fits)))) as threads:
-        return list(threads.map(run, range(len(fits))))
-
-
 def training_partitions(rows: int) -> int:
     """Partitions of a training table, from its number of rows alone."""
     return max(1, min(SMALL_PARTITIONS, -(-rows // ROWS_PER_PARTITION)), -(-rows // LARGE_PARTITION_ROWS))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import sys
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -11,7 +12,7 @@ from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler, VectorSlicer
 from pyspark.ml.regression import GeneralizedLinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tariffa.config import GlmConfig
@@ -26,6 +27,7 @@ from tariffa.operators.features import (
     prepare_features,
 )
 from tariffa.operators.rating import eligible_rows, with_baseline
+from tariffa.session import side_by_side
 
 # The output columns.
 GLM_OUTPUT_COLUMNS = [
@@ -65,6 +67,19 @@ GLM_OUTPUT_COLUMNS = [
 ]
 
 
+# The bounds that Spark keeps fitted means in.
+LEAST_MEAN, MOST_MEAN = 1e-16, sys.float_info.max
+
+
+def fitted_mean(eta: Column, link: str) -> Column:
+    """Mean of a linear predictor under a logit or a log link, kept inside the family's bounds as Spark keeps it."""
+    if link == "logit":
+        return F.greatest(F.least(1.0 / (1.0 + F.exp(-eta)), F.lit(1.0 - LEAST_MEAN)), F.lit(LEAST_MEAN))
+    if link == "log":
+        return F.greatest(F.least(F.exp(eta), F.lit(MOST_MEAN)), F.lit(LEAST_MEAN))
+    raise ValueError(f"{link}: only logit and log links are scored")
+
+
 @dataclass(frozen=True)
 class FittedGlm:
     """One fitted regression with the labels each category was trained on."""
@@ -76,12 +91,26 @@ class FittedGlm:
     max_iter: int = 0
 
     def score(self, df: DataFrame) -> DataFrame:
-        """Add the prediction.  A label not seen in training is scored as the base level."""
-        known = {}
-        for column, levels in self.labels.items():
-            known[f"__known_{column}"] = F.when(F.col(column).isin(levels), F.col(column)).otherwise(levels[0])
-        scored = self.pipeline.transform(df.withColumns(known))
-        return scored.drop(*[c for c in scored.columns if c.startswith("__known_") or c.startswith("__ml_")])
+        """Add the prediction.  A label not seen in training is scored as the base level.
+
+        The linear predictor is added up from the coefficients of a row's labels and its log features, in the order of the model's own
+        dot product, so no row becomes a vector of all levels.
+        """
+        fitted = self.pipeline.stages[-1]
+        values = dict(zip(self.terms(), [*map(float, fitted.coefficients.toArray()), float(fitted.intercept)], strict=True))
+        out, eta = df, F.lit(0.0)
+        for i, (column, levels) in enumerate(self.labels.items()):
+            rows = [(level, values[f"{column}[{level}]"]) for level in levels[1:] if f"{column}[{level}]" in values]
+            if rows:
+                table = df.sparkSession.createDataFrame(rows, f"__level_{i} string, __value_{i} double")
+                # a row a level: a proven size
+                out = out.join(F.broadcast(table), F.col(column) == F.col(f"__level_{i}"), "left")
+                eta = eta + F.coalesce(f"__value_{i}", F.lit(0.0))
+        for c in LOG_FEATURES:
+            broken = F.raise_error(F.lit(f"{c} is not a number")).cast("double")
+            eta = eta + F.when(F.col(c).isNull() | F.isnan(c), broken).otherwise(F.col(c) * values[c] if c in values else F.lit(0.0))
+        mean = fitted_mean(eta + values["Intercept"], fitted.getLink())
+        return out.select(*[F.col(f"`{c}`") for c in df.columns], mean.alias(self.prediction))
 
     @property
     def summary(self):
@@ -267,8 +296,13 @@ def fit_two_part(population: DataFrame, config: GlmConfig | None = None) -> TwoP
         claims = claims_only(features)
         if claims.isEmpty():
             raise ValueError("Cannot fit a severity model: there are no covered claims in the training data.")
-        frequency = fit_regression(features, "covered_claim_flag", "binomial", "logit", "pred_frequency", config)
-        severity = fit_regression(claims, "net_loss", "gamma", "log", "pred_severity", config)
+        frequency, severity = side_by_side(
+            population.sparkSession,
+            [
+                lambda: fit_regression(features, "covered_claim_flag", "binomial", "logit", "pred_frequency", config),
+                lambda: fit_regression(claims, "net_loss", "gamma", "log", "pred_severity", config),
+            ],
+        )
     finally:
         features.unpersist()
     return TwoPartGlm(frequency, severity, categories, routes)

@@ -7,13 +7,18 @@ import re
 import sys
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import SparkConf, cloudpickle
+from pyspark import SparkConf, cloudpickle, inheritable_thread_target
 from pyspark.sql import SparkSession
 
 # Functions that run on workers travel with all they use of this package, so workers need no copy of it.
 cloudpickle.register_pickle_by_value(sys.modules[__name__.partition(".")[0]])
 
+# Fits that run at the same time; each is a chain of small jobs, so one alone leaves most cores idle.
+FITS_AT_ONCE = 8
+
 # Runtime settings the operators rely on.  All are Spark's own switches.
 RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -82,3 +87,20 @@ def drop_tables(spark: SparkSession) -> None:
 def new_table_path(spark: SparkSession, name: str) -> str:
     """A path nobody has used yet, below the shared folder."""
     return os.path.join(work_dir(spark), "tables", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def side_by_side(spark: SparkSession, fits: Sequence[Callable[[], object]], most: int = FITS_AT_ONCE) -> list:
+    """Run fits at the same time, ``most`` of them at once and each in a scheduler pool of its own; results in order.
+
+    Pools share the cores evenly where ``spark.scheduler.mode`` is FAIR and do no harm elsewhere.
+    """
+
+    def run(at: int):
+        def job():
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"fit-{at}")
+            return fits[at]()
+
+        return inheritable_thread_target(spark)(job)()
+
+    with ThreadPoolExecutor(max(1, min(most, len(fits)))) as threads:
+        return list(threads.map(run, range(len(fits))))

@@ -10,12 +10,19 @@ from pyspark.sql import DataFrame, SparkSession
 from tariffa.session import new_table_path
 
 
+# A scan is cut into tasks between row groups, and what follows it costs far more than reading; Spark's own 128 MB would leave a
+# table of a million rows to one task.
+ROW_GROUP_BYTES = 8 * 2**20
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> str:
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if fmt == "csv":
         writer = writer.option("header", "true")
+    if fmt == "parquet":
+        writer = writer.option("parquet.block.size", str(ROW_GROUP_BYTES))
     writer.format(fmt).save(path)
     return path
 

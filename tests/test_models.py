@@ -52,6 +52,29 @@ def test_unseen_label_scores_as_base(claims, fitted):
     assert unseen.agg(F.sum("pred_frequency")).first() == known.agg(F.sum("pred_frequency")).first()
 
 
+def test_scores_are_those_of_the_fitted_pipeline_without_vectors(claims, fitted):
+    """The model's own transform, where every row is a vector of all levels, is the reference."""
+    rows = fitted.features(rating.eligible_rows(claims)).withColumn(
+        "purchase_month_cat", F.when(F.col("order_id") % 7 == 0, F.lit("99")).when(F.col("order_id") % 7 != 1, F.col("purchase_month_cat"))
+    )
+    for part in (fitted.frequency, fitted.severity):
+        known = {f"__known_{c}": F.when(F.col(c).isin(own), F.col(c)).otherwise(own[0]) for c, own in part.labels.items()}
+        theirs = part.pipeline.transform(rows.withColumns(known)).withColumnRenamed(part.prediction, "theirs")
+        scored = part.score(theirs)
+        gap = F.max(F.abs(F.col(part.prediction) / F.col("theirs") - 1.0))
+        assert scored.agg(gap).first()[0] < 1e-12 and scored.columns == [*theirs.columns, part.prediction]
+        alone = part.score(rows)
+        assert "UDF" not in alone._jdf.queryExecution().executedPlan().toString() and alone.columns == [*rows.columns, part.prediction]
+        with pytest.raises(Exception, match="not a number"):
+            part.score(rows.withColumn("log_price", F.lit(float("nan")))).agg(F.sum(part.prediction)).collect()
+
+
+def test_fitted_means_keep_inside_their_bounds(spark):
+    etas = spark.createDataFrame([(-800.0,), (0.0,), (800.0,)], "eta double")
+    logit, log = ([r[0] for r in etas.select(glm.fitted_mean(F.col("eta"), link)).collect()] for link in ("logit", "log"))
+    assert logit == [1e-16, 0.5, 1.0 - 1e-16] and log == [1e-16, 1.0, 1.7976931348623157e308]
+
+
 def test_coefficients_are_named(spark, fitted):
     table = glm.coefficient_table(fitted.frequency, "frequency", spark).collect()
     assert len(table) == len(fitted.frequency.terms())

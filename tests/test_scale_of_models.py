@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tariffa.config import BoostingConfig
 from tariffa.operators import boosting
 from tariffa.plans import star
+from tariffa.sources.sinks import stored
 
 
 def test_training_rows_of_a_hundred_thousand_are_many_tasks(spark):
@@ -57,3 +58,11 @@ def test_a_missing_month_still_stops_the_challenger(spark):
     broken.__dict__["claim_rows"] = spark.createDataFrame([(1, 1, 0, None, 2)], columns)
     with pytest.raises(PySparkException, match="purchase_month is missing"):
         broken._split.collect()
+
+
+def test_a_stage_table_is_read_in_many_tasks(spark):
+    """One task wrote it; what scans it next (scores, draws, designs) is not left to one task again."""
+    rows = spark.range(0, 1_500_000, 1, 1).select(F.col("id"), *[F.rand(i).alias(f"x{i}") for i in range(4)])
+    held = stored(rows)
+    sizes = held.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
+    assert sum(sizes) == 1_500_000 and max(sizes) < 750_000
