@@ -22,6 +22,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
@@ -158,8 +159,9 @@ class Encoder:
         self.heads = np.array([p.startswith(MARK) for p, _, _ in spec.pieces])
         self.parts = None
         if separable(spec):
-            self.parts = Tokenizer.from_str(self.tokenizer.to_str())
-            self.parts.normalizer = None
+            # the same model without the normaliser, not a second copy of its vocabulary
+            self.parts = Tokenizer(self.tokenizer.model)
+            self.parts.pre_tokenizer = self.tokenizer.pre_tokenizer
             self.cut = re.compile(CUT).findall
             self.normalise = self.tokenizer.normalizer.normalize_str
 
@@ -195,17 +197,25 @@ def read_model(path: str) -> bytes:
         return file.read()
 
 
-def _chunks(texts: list[str], most: int) -> Iterator[list[str]]:
-    """Texts in runs of about ``most`` characters."""
-    run, size = [], 0
-    for text in texts:
-        run.append(text)
-        size += len(text)
-        if size >= most:
-            yield run
-            run, size = [], 0
-    if run:
-        yield run
+def pieces(batches: Iterator[pa.Array], most: int) -> Iterator[pa.Array]:
+    """The batches' texts in order, cut so that a piece holds about ``most`` bytes or one long text."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        cuts = np.flatnonzero(np.diff(ends // most)) + 1
+        for start, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(batch)], strict=True):
+            yield batch.slice(start, end - start)
+
+
+def encode_batches(encoder: Encoder, batches: Iterator[pa.Array], most: int) -> Iterator[pa.Array]:
+    """Structs of ids, decoded and parity, a piece at a time: what a piece needs is let go before the next one is read."""
+    for piece in pieces(batches, most):
+        texts = [t or "" for t in piece.to_pylist()]
+        ids, parity = encoder.encode(texts)
+        sizes = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+        lists = pa.ListArray.from_arrays(sizes, np.fromiter(chain.from_iterable(ids), np.int32, int(sizes[-1])))
+        yield pa.StructArray.from_arrays(
+            [lists, pa.array(encoder.decode(ids), pa.string()), pa.array(parity, pa.bool_())], ["ids", "decoded", "parity"]
+        )
 
 
 def encoded(model: bytes, text: str = "text", threads: int = 2, most: int = 500_000) -> Column:
@@ -215,18 +225,6 @@ def encoded(model: bytes, text: str = "text", threads: int = 2, most: int = 500_
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         # as many threads as a task has cores; read before the library's pool starts
         os.environ |= {"TOKENIZERS_PARALLELISM": "true", "RAYON_NUM_THREADS": str(threads)}
-        encoder = Encoder(model, threads=threads)
-        for batch in batches:
-            flat, sizes, decoded, parity = [np.zeros(0, np.int32)], [0], [], []
-            for texts in _chunks([t or "" for t in batch.to_pylist()], most):
-                ids, agree = encoder.encode(texts)
-                sizes += map(len, ids)
-                flat.append(np.fromiter(chain.from_iterable(ids), np.int32))
-                decoded += encoder.decode(ids)
-                parity += agree
-            lists = pa.ListArray.from_arrays(np.cumsum(sizes, dtype=np.int32), np.concatenate(flat))
-            yield pa.StructArray.from_arrays(
-                [lists, pa.array(decoded, pa.string()), pa.array(parity, pa.bool_())], ["ids", "decoded", "parity"]
-            )
+        yield from encode_batches(Encoder(model, threads=threads), batches, most)
 
     return run(F.col(text))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import struct
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
@@ -118,3 +119,14 @@ def test_columns(spark):
         assert "▁" in (r["text"] or "") or r["found"]["decoded"] == (r["text"] or "")
     empty = docs.limit(0).withColumn("found", codec.encoded(codec.read_model(codec.MODEL)))
     assert empty.filter(F.col("found.parity")).count() == 0
+
+
+def test_a_batch_is_handed_over_in_pieces():
+    """What a worker holds follows the piece, not the batch; one vocabulary serves whole texts and parts."""
+    encoder = codec.Encoder(codec.read_model(codec.MODEL))
+    texts = ["Hello World " * 30, None, "", "x" * 5000, *["a b c"] * 1000, "Grüße\n"]
+    batch = pa.array(texts, pa.string())
+    found = list(codec.encode_batches(encoder, iter([batch, batch.slice(0, 0), batch.slice(2)]), 1000))
+    assert len(found) > 10 and max(len(piece) for piece in found) <= 201
+    rows = [r for piece in found for r in piece.to_pylist()]
+    assert [r["decoded"] for r in rows] == [t or "" for t in [*texts, *texts[2:]]] and all(r["parity"] for r in rows)
