@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import time
 from dataclasses import replace
 
@@ -102,6 +103,38 @@ def test_draws_hang_on_the_data_and_the_seed_alone(spark):
     assert abs(first - mean(config, rows.repartition(5))) < 1e-12 < abs(first - mean(replace(config, seed=7), rows))
 
 
+def test_a_small_table_starts_few_jobs_and_gets_the_trees_of_passes(spark, monkeypatch):
+    """A job for every level of every tree was most of the time of a fit, whatever the rows."""
+    monkeypatch.setattr(boosting, "ROWS_PER_PARTITION", 400)
+    rows = rows_of(spark, 2000, 8, values=500).persist()
+    config = BoostingConfig(frequency_trees=40, frequency_min_rows=5)
+    tracker, context = spark.sparkContext.statusTracker(), spark.sparkContext
+
+    def fitted(group: str):
+        context.setJobGroup(group, group)
+        try:
+            model = boosting.fit_frequency(rows, config)[1]
+        finally:
+            context.setLocalProperty("spark.jobGroup.id", None)
+        return model.toDebugString.split("\n", 1)[1], len(tracker.getJobIdsForGroup(group))
+
+    together, few = fitted("together")
+    monkeypatch.setattr(histogram_trees, "ROWS_OF_ONE_TASK", 0)
+    passes, many = fitted("passes")
+    number = re.compile(r"-?\d+\.\d+(?:E-?\d+)?")
+    assert number.sub("", together) == number.sub("", passes)
+    # blocks are summed by task, so the last digits may differ
+    np.testing.assert_allclose([float(x) for x in number.findall(together)], [float(x) for x in number.findall(passes)], rtol=1e-9, atol=1e-12)
+    assert few < 40 < many
+
+
+def test_blocks_of_one_task_draw_rows_of_their_own(spark):
+    rows = rows_of(spark, 400, 3).select(F.col("u").alias("n"), F.lit(0.0).alias("__label")).repartition(4)
+    layout = histogram_trees.Layout([], [np.arange(10.0)])
+    blocks = histogram_trees.packed(rows, [], ["n"], layout, 2, True).coalesce(1).collect()
+    assert sorted(b["at"] for b in blocks) == [0, 1, 2, 3]
+
+
 def test_labels_must_be_classes_and_numbers_there(spark):
     rows = rows_of(spark, 100, 3)
     for broken in ({"covered_claim_flag": F.lit(None).cast("int")}, {"covered_claim_flag": F.lit(2)}, {"log_price": F.lit(float("nan"))}):
