@@ -16,9 +16,9 @@ from __future__ import annotations
 import os
 import re
 import struct
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -145,6 +145,11 @@ def build(model: bytes) -> Tokenizer:
     return out
 
 
+def pack(ids: list[int]) -> bytes:
+    """Ids as 32-bit numbers: a small part of the memory of a list, and joined and compared as bytes."""
+    return array("i", ids).tobytes()
+
+
 class Encoder:
     """Encodes and decodes batches; a part of a text between cuts that came before isn't encoded again (``most`` are kept).
 
@@ -167,15 +172,21 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> tuple[list[list[int]], list[bool]]:
         """Ids of each text, and whether they agree with the library's."""
+        packed, ids, parity = self.encode_packed(texts)
+        return [i if same else np.frombuffer(p, np.int32).tolist() for p, i, same in zip(packed, ids, parity, strict=True)], parity
+
+    def encode_packed(self, texts: list[str]) -> tuple[list[bytes], list[list[int]], list[bool]]:
+        """Ids of each text as bytes of 32-bit numbers, the library's own ids, and whether the two agree."""
         if self.parts is None:
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            ids = [pack(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         else:
             cut = [self.cut(self.normalise(t)) for t in texts]
             if len(self.known) > self.most:
                 self.known.clear()
             self._learn(set().union(*cut) - self.known.keys())
-            ids = [list(chain.from_iterable(map(self.known.__getitem__, parts))) for parts in cut]
-        return ids, [a == b for a, b in zip(ids, self.reference.encode(texts, num_threads=self.threads), strict=True)]
+            ids = [b"".join(map(self.known.__getitem__, parts)) for parts in cut]
+        theirs = self.reference.encode(texts, num_threads=self.threads)
+        return ids, theirs, [a == pack(b) for a, b in zip(ids, theirs, strict=True)]
 
     def _learn(self, new: set[str]) -> None:
         """Encode parts: those with one marker, at the start, in runs whose ids tell where each part starts."""
@@ -184,9 +195,10 @@ class Encoder:
         for parts, found in zip(runs, self.parts.encode_batch_fast(["".join(r) for r in runs], add_special_tokens=False), strict=True):
             ids = found.ids
             starts = np.flatnonzero(self.heads[ids]).tolist()
-            self.known.update(zip(parts, (ids[a:b] for a, b in zip(starts, [*starts[1:], len(ids)], strict=True)), strict=True))
+            held = pack(ids)
+            self.known.update(zip(parts, (held[4 * a : 4 * b] for a, b in zip(starts, [*starts[1:], len(ids)], strict=True)), strict=True))
         other = list(new.difference(single))
-        self.known.update(zip(other, (e.ids for e in self.parts.encode_batch_fast(other, add_special_tokens=False)), strict=True))
+        self.known.update(zip(other, (pack(e.ids) for e in self.parts.encode_batch_fast(other, add_special_tokens=False)), strict=True))
 
     def decode(self, ids: list[list[int]]) -> list[str]:
         return self.tokenizer.decode_batch(ids, skip_special_tokens=False)
@@ -210,11 +222,13 @@ def encode_batches(encoder: Encoder, batches: Iterator[pa.Array], most: int) ->
     """Structs of ids, decoded and parity, a piece at a time: what a piece needs is let go before the next one is read."""
     for piece in pieces(batches, most):
         texts = [t or "" for t in piece.to_pylist()]
-        ids, parity = encoder.encode(texts)
-        sizes = np.cumsum([0, *map(len, ids)], dtype=np.int32)
-        lists = pa.ListArray.from_arrays(sizes, np.fromiter(chain.from_iterable(ids), np.int32, int(sizes[-1])))
+        packed, ids, parity = encoder.encode_packed(texts)
+        sizes = np.cumsum([0, *map(len, packed)], dtype=np.int64) // 4
+        lists = pa.ListArray.from_arrays(sizes.astype(np.int32), np.frombuffer(b"".join(packed), np.int32))
+        # what is decoded are the ids found here; where both agree, the library's list spares making another
+        ours = [i if same else np.frombuffer(p, np.int32).tolist() for p, i, same in zip(packed, ids, parity, strict=True)]
         yield pa.StructArray.from_arrays(
-            [lists, pa.array(encoder.decode(ids), pa.string()), pa.array(parity, pa.bool_())], ["ids", "decoded", "parity"]
+            [lists, pa.array(encoder.decode(ours), pa.string()), pa.array(parity, pa.bool_())], ["ids", "decoded", "parity"]
         )
 
 

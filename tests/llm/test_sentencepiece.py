@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import struct
+import sys
 
 import pyarrow as pa
 import pytest
@@ -130,3 +131,12 @@ def test_a_batch_is_handed_over_in_pieces():
     assert len(found) > 10 and max(len(piece) for piece in found) <= 201
     rows = [r for piece in found for r in piece.to_pylist()]
     assert [r["decoded"] for r in rows] == [t or "" for t in [*texts, *texts[2:]]] and all(r["parity"] for r in rows)
+
+
+def test_kept_parts_take_four_bytes_an_id():
+    """As lists of numbers they took many times that, in every worker process."""
+    encoder = codec.Encoder(codec.read_model(codec.MODEL))
+    texts = [f"part{i} zq{i * i}xv and some more words" for i in range(500)]
+    ids, parity = encoder.encode(texts)
+    assert all(parity) and ids == encoder.reference.encode(texts)
+    assert sum(sys.getsizeof(v) - sys.getsizeof(b"") for v in encoder.known.values()) <= 4 * sum(len(i) for i in ids)
